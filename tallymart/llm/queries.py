@@ -4,10 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallymart.llm.exact_dedup import exact_dedup
+from tallymart.llm.language_id import language_id
 from tallymart.llm.mixing import mix_plan
+from tallymart.llm.piece_counts import piece_counts
+from tallymart.llm.quality_rules import judged
+
+#: The public vocabulary of the counting, packing and language operators; a parameter of each.
+RANKS = "byte_bpe_50k.tiktoken"
+
+
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +34,19 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_plan(table(spark, sf_dir, "documents"))
 
 
+def op5_piece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_counts(table(spark, sf_dir, "documents"), vocabulary(RANKS))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(table(spark, sf_dir, "documents"), vocabulary(RANKS))
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.array_join("rejected_by", ",").alias("rejected_by"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
