@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallymart.llm.exact_dedup import exact_dedup
 from tallymart.llm.language_id import language_id
+from tallymart.llm.lm_score import lm_scores
 from tallymart.llm.mixing import mix_plan
 from tallymart.llm.piece_counts import piece_counts
 from tallymart.llm.quality_rules import judged
@@ -42,6 +43,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(table(spark, sf_dir, "documents"), vocabulary(RANKS))
 
 
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.array_join("rejected_by", ",").alias("rejected_by"))
