@@ -11,11 +11,12 @@ from tallymart.llm.language_id import language_id
 from tallymart.llm.lm_score import lm_scores
 from tallymart.llm.mixing import mix_plan
 from tallymart.llm.near_dedup import near_classes
+from tallymart.llm.packing import packed
 from tallymart.llm.piece_counts import piece_counts
 from tallymart.llm.quality_rules import judged
 
 #: The public vocabulary of the counting, packing and language operators; a parameter of each.
-RANKS = "byte_bpe_50k.tiktoken"
+RANKS, TOKENIZER = "byte_bpe_50k.tiktoken", "byte_bpe_50k.json"
 
 
 def vocabulary(name: str) -> str:
@@ -44,6 +45,10 @@ def op5_piece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_counts(table(spark, sf_dir, "documents"), vocabulary(RANKS))
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"), vocabulary(TOKENIZER), vocabulary(RANKS))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(table(spark, sf_dir, "documents"), vocabulary(RANKS))
 
