@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tallymart.llm.archives import archived
 from tallymart.llm.exact_dedup import exact_dedup
 from tallymart.llm.language_id import language_id
 from tallymart.llm.lm_score import lm_scores
@@ -49,6 +50,10 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"), vocabulary(TOKENIZER), vocabulary(RANKS))
 
 
+def op7_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived(table(spark, sf_dir, "pages"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(table(spark, sf_dir, "documents"), vocabulary(RANKS))
 
@@ -113,4 +118,17 @@ u AS (
 SELECT u.doc_id, u.size, q.source_size, q.target,
        CAST(u.size * (floor(q.rate) + CASE WHEN u.draw < q.rate - floor(q.rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM u JOIN q ON u.source IS NOT DISTINCT FROM q.source""",
+    "op7_arc_to_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+q AS (
+  SELECT page_id, strlen(h) AS n, max(page_id) OVER (PARTITION BY h) AS first,
+         array_to_string([['0000','0001','0010','0011','0100','0101','0110','0111','1000','1001','1010','1011','1100','1101','1110','1111']
+                          [instr('0123456789abcdef', substr(sha1(h), i, 1))] FOR i IN range(1, 41)], '') AS bits
+  FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+       array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         CAST(1 + list_sum([CAST(substr(bits, 5 * k + j, 1) AS INT) * pow(2, 5 - j) FOR j IN range(1, 6)]) AS INT), 1) FOR k IN range(0, 32)], '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM q""",
 }
