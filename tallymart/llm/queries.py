@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tallymart.llm.archives import archived
 from tallymart.llm.exact_dedup import exact_dedup
 from tallymart.llm.language_id import language_id
+from tallymart.llm.line_dedup import line_report
 from tallymart.llm.lm_score import lm_scores
 from tallymart.llm.mixing import mix_plan
 from tallymart.llm.near_dedup import near_classes
@@ -30,6 +31,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_report(table(spark, sf_dir, "documents"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -72,6 +77,25 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 SQL = {
+    # A pair within two edits keeps one third of either line whole: the cheap test before the distance.
+    "op1_line_dedup": """
+WITH t AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, unnest(ls) AS line, unnest(range(0, len(ls))) AS pos FROM t),
+e AS (SELECT * FROM l WHERE strlen(line) >= 20),
+d AS (SELECT line, strlen(line) AS n, length(line) // 3 AS third, doc_id AS d, pos AS p FROM e
+      QUALIFY row_number() OVER (PARTITION BY line ORDER BY doc_id NULLS FIRST, pos) = 1),
+c AS (SELECT *, n + k AS m FROM d, (SELECT unnest([-2, -1, 0, 1, 2]) AS k)),
+k AS (SELECT a.d AS ad, b.d AS bd, b.line AS late
+      FROM c a JOIN d b ON a.m = b.n AND (a.d < b.d OR (a.d = b.d AND a.p < b.p))
+      WHERE (contains(b.line, substr(a.line, 1, a.third)) OR contains(b.line, substr(a.line, a.third + 1, a.third)) OR contains(b.line, substr(a.line, 2 * a.third + 1)))
+        AND levenshtein(a.line, b.line) <= 2),
+v AS (SELECT e.doc_id, e.pos, e.line IN (SELECT late FROM k) AS near, NOT (e.doc_id = d.d AND e.pos = d.p) AS again FROM e JOIN d USING (line)),
+r AS (SELECT doc_id, count(*) FILTER (NOT near) AS n_exact, count(*) FILTER (near) AS n_near, string_agg(CAST(pos AS VARCHAR), ',' ORDER BY pos) AS removed
+      FROM v WHERE near OR again GROUP BY doc_id),
+n AS (SELECT doc_id, count(*) AS n_links FROM (SELECT ad AS doc_id FROM k UNION ALL SELECT bd FROM k) GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(len(ls), 0) AS BIGINT) AS n_lines, coalesce(n_exact, 0) AS n_exact, coalesce(n_near, 0) AS n_near,
+       coalesce(removed, '') AS removed, coalesce(n_links, 0) AS n_links
+FROM t LEFT JOIN r USING (doc_id) LEFT JOIN n USING (doc_id)""",
     "op2_exact_dedup": """
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
