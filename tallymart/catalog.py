@@ -128,7 +128,7 @@ on_star("d5_dim_date", """, d AS (SELECT CAST(unnest(generate_series(min(bought)
   dayofweek(d) + 1 AS "DayOfWeek", dayofweek(d) IN (0, 6) AS "IsWeekend", monthname(d) AS "MonthName", dayname(d) AS "DayName", year(d + INTERVAL 6 MONTH) AS "FiscalYear", quarter(d + INTERVAL 6 MONTH) AS "FiscalQuarter",
   CAST(NULL AS VARCHAR) AS "Holiday", false AS "IsHoliday" FROM d""", lambda t: text_dates(S.dim_date(S.date_bounds(t["orders"], to_estimate=False), fiscal_start_month=7), "Date"))
 on_star("d7_fact_sales", "SELECT * FROM f", lambda t: t["fact_sales"])
-on_star("d8_fact_reviews", """SELECT event_id AS "OrderID", event_id AS "ReviewID", customer_id AS "CustomerID", CAST(strftime(ts, '%Y%m%d') AS INT) AS "DateKey", 1 + event_id % 7 AS "ReviewScore", props AS "ReviewCommentMessage",
+on_star("d8_fact_reviews", """SELECT event_id AS "OrderID", event_id AS "ReviewID", customer_id AS "CustomerID", CAST(strftime(bought, '%Y%m%d') AS INT) AS "DateKey", 1 + event_id % 7 AS "ReviewScore", props AS "ReviewCommentMessage",
   ts AS "ReviewCreationDate", ts + to_days(CAST(event_id % 10 AS INT)) AS "ReviewAnswerTimestamp", event_id % 10 AS "ReviewResponseDays" FROM events JOIN o ON order_id = event_id WHERE event_type = 'view'""", lambda t: t["fact_reviews"])
 on_star("d6_status_usage", """SELECT x.s AS "StatusID", x.d AS "IsDelivered", count(order_id) AS n_orders FROM (VALUES ('CREATED', false), ('APPROVED', false), ('SHIPPED', false), ('DELIVERED', true), ('CANCELLED', false), ('UNAVAILABLE', false)) x(s, d)
   LEFT JOIN o ON o.order_status = x.s GROUP BY 1, 2""", lambda t: S.dim_order_status(t["orders"].sparkSession).join(t["orders"], F.col("StatusID") == F.col("order_status"), "left").groupBy("StatusID", "IsDelivered").agg(F.count("order_id").alias("n_orders")))

@@ -156,9 +156,9 @@ def fact_sales(frames: Frames) -> DataFrame:
 
 
 def fact_reviews(frames: Frames) -> DataFrame:
-    rows = frames["order_reviews"].join(frames["orders"].select("order_id", "customer_id"), "order_id")
+    rows = frames["order_reviews"].join(frames["orders"].select("order_id", "customer_id", "order_purchase_timestamp"), "order_id")
     return rows.select(
-        F.col("order_id").alias("OrderID"), F.col("review_id").alias("ReviewID"), F.col("customer_id").alias("CustomerID"), date_key("review_creation_date").alias("DateKey"), F.col("review_score").alias("ReviewScore"),
+        F.col("order_id").alias("OrderID"), F.col("review_id").alias("ReviewID"), F.col("customer_id").alias("CustomerID"), date_key("order_purchase_timestamp").alias("DateKey"), F.col("review_score").alias("ReviewScore"),
         F.col("review_comment_message").alias("ReviewCommentMessage"), F.col("review_creation_date").alias("ReviewCreationDate"), F.col("review_answer_timestamp").alias("ReviewAnswerTimestamp"),
         F.datediff("review_answer_timestamp", "review_creation_date").alias("ReviewResponseDays"),
     )

@@ -22,7 +22,7 @@ def write_csv_export(df: DataFrame, path: str) -> None:
 
 def append_jdbc(df: DataFrame, options: dict[str, str], table: str, attempt_id: str, attempt_column: str = "ATTEMPT_ID") -> DataFrame:
     """Append with the attempt's tag, and what the database then has under that tag."""
-    df.withColumn(attempt_column, F.lit(attempt_id)).write.format("jdbc").options(**options).option("dbtable", table).mode("append").save()
+    df.withColumn(attempt_column, F.lit(attempt_id)).write.format("jdbc").options(**options).option("dbtable", table).option("createTableColumnTypes", f"{attempt_column} VARCHAR(128)").mode("append").save()
     return read_jdbc(df.sparkSession, options, f'SELECT * FROM {table} WHERE "{attempt_column}" = \'{attempt_id}\'')
 
 
