@@ -423,6 +423,52 @@ add("r7_audit_violations", AUDIT + "SELECT dataset, batch_id, attempt_number, 'd
 )
 SQL["r7_audit_violations"] = AUDIT + "SELECT dataset, batch_id, 1 AS attempt_number, 'duplicate_attempt' AS issue FROM a WHERE attempt_number <= 2 QUALIFY count(*) OVER (PARTITION BY dataset, batch_id) > 1"
 
+# Single rules, loads, unions and stamps.
+add("q2_required_key_null", "SELECT event_id FROM events WHERE event_id % 6 = 0 OR user_id % 9 = 0", base=False)(
+    lambda spark, sf_dir: Q.reject_rows(table(spark, sf_dir, "events").selectExpr("event_id", "nullif(event_id % 6, 0) AS a", "nullif(user_id % 9, 0) AS b"), [Q.required(["a", "b"])])[1].select("event_id")
+)
+
+
+@add("q3_invalid_parse", "SELECT event_id FROM events WHERE event_id % 10 = 0 OR event_id % 7 = 0", base=False)
+def q3_invalid_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallymart.contracts import contract
+
+    text = table(spark, sf_dir, "events").selectExpr("CAST(event_id AS STRING) AS event_id", "CASE WHEN event_id % 10 = 0 THEN 'x' ELSE CAST(value AS STRING) END AS v", "CASE WHEN event_id % 7 <> 0 THEN event_type END AS kind")
+    c = contract("events", "event_id integer, v decimal(12,2)?, kind string", "event_id")
+    return Q.reject_rows(parsing.normalize(text, c), [Q.unparsed(c)])[1].select("event_id")
+
+
+add("q4_invalid_monetary_value", "SELECT c_custkey FROM customer WHERE c_acctbal - 3000 < 0 OR c_nationkey < 2", base=False)(
+    lambda spark, sf_dir: Q.reject_rows(table(spark, sf_dir, "customer").selectExpr("c_custkey", "c_acctbal - 3000 AS amount", "c_nationkey"), [Q.not_negative(["amount"], {"c_nationkey": 2})])[1].select("c_custkey")
+)
+add("q5_invalid_review_score", "SELECT event_id AS review_id FROM events WHERE event_type = 'view' AND event_id % 7 >= 5", base=False)(lambda spark, sf_dir: Q.reject_rows(D.frames(spark, sf_dir)["order_reviews"], [Q.score_between("review_score")])[1].select("review_id"))
+add("q7_invalid_range", "SELECT p_partkey FROM part WHERE p_size < 3 OR p_size > 45 OR p_retailprice > 1500", base=False)(lambda spark, sf_dir: Q.reject_rows(table(spark, sf_dir, "part"), [Q.in_range({"p_size": (3, 45), "p_retailprice": (None, 1500)})])[1].select("p_partkey"))
+
+
+@add("q19_content_violations", "SELECT c_custkey FROM customer WHERE c_custkey % 10 = 3 OR c_custkey % 10 = 4", base=False)
+def q19_content_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallymart.contracts import contract
+
+    rows = I.with_record_hash(table(spark, sf_dir, "customer").select("c_custkey", "c_name")).withColumns({"c_name": F.when(F.col("c_custkey") % 10 != 3, F.col("c_name")), "RecordHash": F.when(F.col("c_custkey") % 10 == 4, F.upper("RecordHash")).otherwise(F.col("RecordHash"))})
+    return Q.content_violations(rows, contract("c", "c_custkey integer, c_name string")).select("c_custkey")
+
+
+@add("s15_stage_for_history", """SELECT c_custkey, c_mktsegment, sha256('{"c_mktsegment":"' || c_mktsegment || '"}') AS "TrackedHash", 'a1' AS "AttemptID", 'b1' AS "BatchID", TIMESTAMP '2018-04-01' AS "EffectiveAt" FROM customer""", base=False)
+def s15_stage_for_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallymart.contracts import contract
+    from tallymart.sources.sinks import stage_for_history
+
+    return stage_for_history(table(spark, sf_dir, "customer"), contract("c", "c_custkey integer, c_mktsegment string", tracked="c_mktsegment"), "a1", "b1", D.BATCH)
+
+
+add("s4_read_layer", "SELECT * FROM supplier", base=False)(lambda spark, sf_dir: table(spark, sf_dir, "supplier"))
+add("s16_load_columns", "SELECT o_custkey, o_orderkey FROM orders", base=False)(lambda spark, sf_dir: P.load_columns(table(spark, sf_dir, "orders"), ["o_custkey", "o_orderkey"]))
+on_star("p15_stamp", "SELECT \"CustomerState\", count(DISTINCT \"OrderID\") AS \"OrdersCount\", TIMESTAMP '2018-04-01' AS \"LastUpdated\" FROM e GROUP BY 1", lambda t: derive.stamp(M.sales_by_state(t["enriched"]).select("CustomerState", "OrdersCount"), D.BATCH))
+add("h8_publication_events", "SELECT CAST(o_orderkey AS VARCHAR) AS batch_id, unnest(CASE WHEN o_orderstatus = 'F' THEN ['STARTED', 'COMPLETED'] WHEN o_orderstatus = 'O' THEN ['NO_OP'] ELSE ['CONFLICT'] END) AS event, TIMESTAMP '2018-04-01' AS recorded_at FROM orders", base=False)(
+    lambda spark, sf_dir: P.publication_events(table(spark, sf_dir, "orders").selectExpr("CAST(o_orderkey AS STRING) AS batch_id", "CASE o_orderstatus WHEN 'F' THEN 'PUBLISH' WHEN 'O' THEN 'NO_OP' ELSE 'CONFLICT' END AS decision"), D.BATCH)
+)
+add("o4_union_and_distinct", "SELECT c_nationkey AS nation FROM customer UNION SELECT s_nationkey FROM supplier", base=False)(lambda spark, sf_dir: table(spark, sf_dir, "customer").selectExpr("c_nationkey AS nation").unionByName(table(spark, sf_dir, "supplier").selectExpr("s_nationkey AS nation")).distinct())
+
 
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
