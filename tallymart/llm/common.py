@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +27,17 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def known_to_workers(spark: SparkSession) -> SparkSession:
+    """The session, with this package's folder on its Python workers' path.
+
+    For workers on this machine that were started from another folder; on a cluster the package is shipped (--py-files).
+    """
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (env.get("PYTHONPATH", ""), root) if x)
+    return spark
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """df written as a Parquet table in the shared folder and read again.
 

@@ -1,14 +1,14 @@
 """Quality rules whose cutoffs carry a proven bound on false rejections.
 
 Each rule is a measure of the text and a direction. Documents with a quality label are the holdout: the
-measures are not learned, so none of them has been used before. For every stratum and rule the cutoffs
-of a fixed ladder are tested from mild to strict: of the good documents (quality 1) that pass the base
-rules, how many would be rejected, and what is the exact (Clopper-Pearson) upper bound on that share.
-The strictest cutoff up to which all bounds stay under `risk` is taken; if the mildest fails, the
-stratum has no cutoff for that rule. A ladder is a fixed sequence, so testing along it needs no
-correction; across the rules and strata the level is divided by their number (Bonferroni), and the risk
-by the number of rules, so that with probability 1 - delta no stratum loses more than `risk` of
-its good documents to all rules together.
+measures are not learned, so none of them has been used before. In every stratum the rules
+are taken one after another, and each rule's cutoffs from mild to strict: of the good documents (quality 1)
+that pass the base rules, how many would be rejected by this cutoff or by the rules settled before, and what
+is the exact (Clopper-Pearson) upper bound on that share. Of the cutoffs up to which all bounds stay under `risk`
+the mildest is taken that catches the most bad documents (quality 0) not caught before; if none catches any, or
+the mildest fails, the rule has no cutoff: clean documents are not given up for nothing. The level of each bound is delta divided by
+the number of strata and of all cutoffs (Bonferroni), so with probability 1 - delta no stratum loses more
+than `risk` of its good documents to all rules together, however the cutoffs depend on each other.
 
 Defined cases: a null text has no words and fails the base rules. A null stratum is a stratum. A stratum
 without good labelled documents has no cutoffs and keeps all that pass the base rules. Repeated labels of
@@ -94,20 +94,15 @@ def upper_bound(k: int, n: int, delta: float) -> float:
     return high
 
 
-def choose_cutoffs(counts: list[dict], risk: float, delta: float) -> list[tuple[str | None, str, float]]:
-    """counts: for each stratum good (n) and <rule>_<i> rejected by step i. (stratum, rule, cutoff)."""
-    chosen = []
-    level = delta / max(1, len(counts) * len(RULES))
-    for c in counts:
-        for rule, (_, ladder) in RULES.items():
-            best = None
-            for i, cutoff in enumerate(ladder):
-                if not c["good"] or upper_bound(int(c[f"{rule}_{i}"]), int(c["good"]), level) > risk / len(RULES):
-                    break
-                best = cutoff
-            if best is not None:
-                chosen.append((c["stratum"], rule, best))
-    return chosen
+def chosen_cutoff(rejected: list[int], caught: list[int], good: int, ladder: list[float], risk: float, level: float) -> float | None:
+    """Of the cutoffs before the first whose bound is over the risk, the first that catches the most; None if that is nothing."""
+    best, most = None, 0
+    for k, n, cutoff in zip(rejected, caught, ladder, strict=True):
+        if not good or upper_bound(int(k), int(good), level) > risk:
+            break
+        if n > most:
+            best, most = cutoff, n
+    return best
 
 
 def base_failed(min_words: int = 50):
@@ -115,12 +110,24 @@ def base_failed(min_words: int = 50):
 
 
 def cutoffs(measures: DataFrame, labels: DataFrame, risk: float = 0.05, delta: float = 0.05) -> DataFrame:
-    """stratum, rule, cutoff. All labelled documents count, through one aggregation to a row for each stratum."""
-    good = labels.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").alias("quality")).filter("quality = 1").select("doc_id")
-    held = measures.filter(~base_failed()).join(good, "doc_id", "left_semi")
-    steps = [F.count_if(F.expr(sql) > F.lit(cut)).alias(f"{rule}_{i}") for rule, (sql, ladder) in RULES.items() for i, cut in enumerate(ladder)]
-    counts = [r.asDict() for r in held.groupBy("stratum").agg(F.count("*").alias("good"), *steps).collect()]
-    return measures.sparkSession.createDataFrame(choose_cutoffs(counts, risk, delta), "stratum string, rule string, cutoff double")
+    """stratum, rule, cutoff. All labelled documents count, through an aggregation for each rule to a row for each stratum."""
+    quality = labels.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").alias("quality")).filter("quality IS NOT NULL")
+    held = measures.filter(~base_failed()).join(quality, "doc_id").withColumn("good", F.col("quality") == 1)
+    held = written(held.withColumn("gone", F.lit(False)), "quality-holdout")
+    n_steps, chosen = sum(len(ladder) for _, ladder in RULES.values()), []
+    for rule, (sql, ladder) in RULES.items():
+        over = [F.expr(sql) > F.lit(cut) for cut in ladder]
+        rejected = [F.count_if(F.col("good") & (F.col("gone") | x)).alias(f"k{i}") for i, x in enumerate(over)]
+        caught = [F.count_if(~F.col("good") & ~F.col("gone") & x).alias(f"b{i}") for i, x in enumerate(over)]
+        counts = held.groupBy("stratum").agg(F.count_if("good").alias("good"), *rejected, *caught).collect()
+        level, n = delta / max(1, len(counts) * n_steps), len(ladder)
+        new = [(c["stratum"], rule, cut) for c in counts if (cut := chosen_cutoff(list(c[2 : 2 + n]), list(c[2 + n :]), c["good"], ladder, risk, level)) is not None]
+        chosen += new
+        if new:
+            side = held.sparkSession.createDataFrame(new, "_s string, _r string, _cut double").drop("_r")
+            side = F.broadcast(side) if len(new) <= BROADCAST_STRATA else side
+            held = held.join(side, F.col("stratum").eqNullSafe(F.col("_s")), "left").withColumn("gone", F.col("gone") | F.coalesce(F.expr(sql) > F.col("_cut"), F.lit(False))).drop("_s", "_cut")
+    return measures.sparkSession.createDataFrame(chosen, "stratum string, rule string, cutoff double")
 
 
 def judged(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = 0.05, delta: float = 0.05) -> DataFrame:

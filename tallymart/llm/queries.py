@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallymart.llm.archives import archived
+from tallymart.llm.common import known_to_workers
 from tallymart.llm.exact_dedup import exact_dedup
 from tallymart.llm.language_id import language_id
 from tallymart.llm.line_dedup import line_report
@@ -28,7 +29,7 @@ def vocabulary(name: str) -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return known_to_workers(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -229,10 +229,20 @@ def test_quality_verdicts(spark):
     assert quality_rules.judged(empty(spark), labels).count() == 0
 
 
-def test_cutoffs_keep_the_risk():
-    ladder = quality_rules.RULES["symbols_a_word"][1]
-    counts = {"stratum": "x", "good": 10_000} | {f"{r}_{i}": 0 for r, (_, steps) in quality_rules.RULES.items() for i in range(len(steps))}
-    counts |= {f"symbols_a_word_{i}": [0, 0, 10, 50, 90, 400, 800, 900][i] for i in range(len(ladder))}
-    chosen = {rule: cut for _, rule, cut in quality_rules.choose_cutoffs([counts], 0.05, 0.05)}
-    assert chosen["symbols_a_word"] == ladder[3]
-    assert quality_rules.choose_cutoffs([counts | {"good": 0}], 0.05, 0.05) == []
+def test_chosen_cutoff():
+    ladder, pick = [9.0, 8.0, 7.0, 6.0], quality_rules.chosen_cutoff
+    assert pick([0, 10, 300, 900], [1, 2, 3, 4], 10_000, ladder, 0.05, 1e-4) == 7.0
+    assert pick([0, 10, 300, 300], [1, 2, 2, 2], 10_000, ladder, 0.05, 1e-4) == 8.0  # stricter ones catch no more
+    assert pick([0, 600, 0, 0], [1, 2, 3, 4], 10_000, ladder, 0.05, 1e-4) == 9.0  # nothing beyond a failure counts
+    assert pick([0] * 4, [0] * 4, 10_000, ladder, 0.05, 1e-4) is None
+    assert pick([0] * 4, [1] * 4, 0, ladder, 0.05, 1e-4) is None and pick([0] * 4, [1] * 4, 50, ladder, 0.05, 1e-4) is None
+
+
+def test_rules_together_keep_the_risk(spark):
+    """Each rule alone would reject 4 of 100 good documents, both together 8: only one may."""
+    measures = spark.range(1100).selectExpr(
+        "id AS doc_id", "'a' AS stratum", "100L AS n_words", "500L AS word_chars", "IF(id % 25 = 0 OR id >= 1000, 90L, 0L) AS n_symbols", "0L AS n_dup_lines", "IF(id % 25 = 1 OR id >= 1090, 48L, 0L) AS n_repeat_words"
+    )
+    labels = spark.range(1100).selectExpr("id AS doc_id", "IF(id < 1000, 1, 0) AS quality")
+    got = {r.rule: r.cutoff for r in quality_rules.cutoffs(measures, labels, risk=0.075).collect()}
+    assert got == {"symbols_a_word": 0.5}
