@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallymart.llm.common import written
+from tallymart.llm.common import known_to_workers, written
 from tallymart.llm.language_id import language_model, prediction
 from tallymart.llm.line_dedup import deduplicated
 from tallymart.llm.mixing import mixed
@@ -60,7 +60,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = known_to_workers(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), name)
     return docs
