@@ -80,38 +80,38 @@ def within(x: Column, y: Column, edits: int) -> Column:
     along that row. Arrays of characters, so that each is found at once.
     """
     width, mask = 2 * edits + 1, (1 << (2 * edits + 1)) - 1
-    chars = lambda s: F.split(s, "")
-    empty = F.array_repeat(F.lit(""), edits)
-    band, text, m = F.concat(empty, chars(x), F.array_repeat(F.lit(""), width)), chars(y), F.length(x)
-
-    def equal(j: Column) -> Column:  # j from 0; bits of the rows whose byte equals that of column j + 1
-        hit = F.lit(0)
-        for d in range(width):
-            hit = hit + F.when(F.get(band, j + d) == F.get(text, j), 1 << d).otherwise(0)
-        return hit
-
-    def column(s: Column, j: Column) -> Column:
-        pm, vp, vn = equal(j), s["vp"], s["vn"]
+    text = F.split(y, "")
+    padded = F.concat(F.array_repeat(F.lit(""), edits), F.split(x, ""), F.array_repeat(F.lit(""), width))
+    # What a lambda refers to outside itself is evaluated for each element, so the bits of all columns are made first,
+    # by zipping the text with the pattern at each of the band's shifts, and lengths travel in the state.
+    def hits(d: int) -> Column:
+        return F.zip_with(F.slice(padded, d + 1, F.length(y)), text, lambda a, b: F.when(a == b, 1 << d).otherwise(0))
+
+    matches = hits(0)
+    for d in range(1, width):
+        matches = F.zip_with(matches, hits(d), lambda a, b: a + b)
+
+    def column(s: Column, pm: Column) -> Column:
+        vp, vn = s["vp"], s["vn"]
         d0 = ((pm.bitwiseAND(vp) + vp).bitwiseXOR(vp)).bitwiseOR(pm).bitwiseOR(vn).bitwiseAND(F.lit(mask))
-        return F.struct(d0.alias("d0"), vp.alias("vp"), vn.alias("vn"))
+        return F.struct(d0.alias("d0"), vp.alias("vp"), vn.alias("vn"), s["dist"].alias("dist"), s["left"].alias("left"))
 
-    def step(s: Column, t: Column, j: Column) -> Column:
-        d0, vp, vn = t["d0"], t["vp"], t["vn"]
+    def step(t: Column) -> Column:
+        d0, vp, vn, left = t["d0"], t["vp"], t["vn"], t["left"]
         hp, hn = vn.bitwiseOR(F.bitwise_not(d0.bitwiseOR(vp))), d0.bitwiseAND(vp)
-        row = m - j - 1 + edits  # bit of the last row in this column, counted from 0
+        row = left - 1 + edits  # bit of the last row in this column
         bit = lambda v, at: F.call_function("shiftright", v.bitwiseAND(F.lit(mask)), at).bitwiseAND(F.lit(1))
         down = 1 - bit(d0, F.lit(width - 1))
         along = bit(hp, row) - bit(hn, row)
         shifted = F.shiftright(d0, 1)
         return F.struct(
             hn.bitwiseOR(F.bitwise_not(shifted.bitwiseOR(hp))).bitwiseAND(F.lit(mask)).alias("vp"), shifted.bitwiseAND(hp).bitwiseAND(F.lit(mask)).alias("vn"),
-            (s["dist"] + F.when(j < m - edits, down).otherwise(along)).alias("dist"),
+            (t["dist"] + F.when(left > edits, down).otherwise(along)).alias("dist"), (left - 1).alias("left"),
         )
 
-    # One-element arrays name what is used more than once.
-    start = F.struct(F.lit(((1 << (edits + 1)) - 1) << edits).alias("vp"), F.lit(0).alias("vn"), F.lit(edits).alias("dist"))
-    each = F.sequence(F.lit(0), F.length(y) - 1)
-    end = F.aggregate(each, start, lambda s, j: F.get(F.transform(F.array(column(s, j)), lambda t: step(s, t, j)), F.lit(0)))
+    # left: rows of the pattern below this column's diagonal. The one-element array names what is used more than once.
+    start = F.struct(F.lit(((1 << (edits + 1)) - 1) << edits).alias("vp"), F.lit(0).alias("vn"), F.lit(edits).alias("dist"), F.length(x).alias("left"))
+    end = F.aggregate(matches, start, lambda s, pm: F.get(F.transform(F.array(column(s, pm)), step), F.lit(0)))
     return end["dist"] <= edits
 
 
