@@ -19,7 +19,7 @@ empty tables give empty results. Other columns are ignored.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -32,76 +32,82 @@ from tallymart.llm.piece_counts import rank_file_vocabulary
 from tallymart.llm.word_counts import fold, word_counts
 
 LETTER = regex.compile(r"\p{L}")
-#: Bytes of a block of a word and of the longest piece used; words a worker remembers; words scored at once.
-BLOCK, PIECE, REMEMBERED, AT_ONCE = 64, 16, 300_000, 4_000
+#: Bytes of a block of a word and of the longest piece used; words a worker
+#: remembers; words looked up at once, and new ones scored at once.
+BLOCK, PIECE, REMEMBERED, AT_ONCE, TOGETHER = 64, 16, 800_000, 150_000, 2_000
 
 
 class Pieces:
-    """Where the pieces of a vocabulary lie in words."""
+    """The pieces of a vocabulary as a table of transitions, and where they lie in blocks of words."""
 
     def __init__(self, vocabulary: list[bytes]) -> None:
-        self.children: list[dict[int, int]] = [{}]
-        self.piece = [-1]
+        children: list[dict[int, int]] = [{}]
+        ends = [-1]
         self.size = len(vocabulary)
         for k, text in enumerate(vocabulary):
-            if len(text) > PIECE:
+            if len(text) > PIECE or text.lower() != text:  # words are lower-cased: these are nowhere
                 continue
             node = 0
             for byte in text:
-                nxt = self.children[node].get(byte)
+                nxt = children[node].get(byte)
                 if nxt is None:
-                    nxt = self.children[node][byte] = len(self.children)
-                    self.children.append({})
-                    self.piece.append(-1)
+                    nxt = children[node][byte] = len(children)
+                    children.append({})
+                    ends.append(-1)
                 node = nxt
-            self.piece[node] = k
-
-    def edges(self, blocks: list[bytes]) -> np.ndarray:
-        """Columns block, start, end, piece; by block."""
-        out: list[int] = []
-        children, piece = self.children, self.piece
-        for b, block in enumerate(blocks):
-            for start in range(len(block)):
-                node = 0
-                for end in range(start, len(block)):
-                    node = children[node].get(block[end])
-                    if node is None:
-                        break
-                    if piece[node] >= 0:
-                        out += (b, start, end + 1, piece[node])
-        return np.array(out, np.int64).reshape(-1, 4)
-
-
-def summed(at: np.ndarray, edges: np.ndarray, p: np.ndarray, backward: bool = False) -> np.ndarray:
-    """Adds up at[block, position, k] along the edges, p[edge, k] each, from the first position on or backward from the last."""
-    here, there = (1, 2) if backward else (2, 1)
-    order = np.argsort(edges[:, here], kind="stable")
-    parts = np.split(order, np.flatnonzero(np.diff(edges[order, here])) + 1) if len(order) else []
-    for chosen in reversed(parts) if backward else parts:
-        e = edges[chosen]
-        first = np.flatnonzero(np.r_[True, np.diff(e[:, 0]) != 0])
-        at[e[first, 0], e[first, here]] += np.add.reduceat(at[e[:, 0], e[:, there]] * p[chosen], first)
+            ends[node] = k
+        self.piece = np.array(ends, np.int32)
+        self.next = np.zeros((len(children), 256), np.int32)  # 0: no transition, as none leads to the root
+        for node, c in enumerate(children):
+            if c:
+                self.next[node, list(c)] = list(c.values())
+
+    def hits(self, blocks: list[bytes]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """Start, end, blocks and pieces; by start. All blocks go through the table together, a byte at a time."""
+        sizes = np.array([len(b) for b in blocks])
+        width = int(sizes.max())
+        text = np.frombuffer(b"".join([b.ljust(width, b"\0") for b in blocks]), np.uint8).reshape(len(blocks), width)
+        for start in range(width):
+            at = np.flatnonzero(sizes > start)
+            node = np.zeros(len(at), np.int32)
+            for end in range(start, min(width, start + PIECE)):
+                node = self.next[node, text[at, end]]
+                on = (node > 0) & (sizes[at] > end)
+                at, node = at[on], node[on]
+                if not len(at):
+                    break
+                piece = self.piece[node]
+                here = piece >= 0
+                yield start, end + 1, at[here], piece[here]
+
+
+def forward(blocks: list[bytes], hits: Iterator[tuple], p: Callable[[np.ndarray, np.ndarray], np.ndarray], columns: int) -> np.ndarray:
+    """at[position, block, k]: probability of the bytes before the position, over all ways to cut them."""
+    at = np.zeros((max(map(len, blocks)) + 1, len(blocks), columns))
+    at[0] = 1
+    for start, end, b, piece in hits:
+        add = at[start].take(b, axis=0)
+        add *= p(b, piece)
+        add += at[end].take(b, axis=0)
+        at[end][b] = add
     return at
 
 
-def forward(n_blocks: int, edges: np.ndarray, p: np.ndarray) -> np.ndarray:
-    at = np.zeros((n_blocks, BLOCK + 1, p.shape[1]))
-    at[:, 0] = 1
-    return summed(at, edges, p)
-
-
 def expected(blocks: list[bytes], pieces: Pieces, probability: np.ndarray, column: np.ndarray, weight: np.ndarray, n_columns: int) -> np.ndarray:
     """Expected number of each piece; a block belongs to the language column[block] and counts weight[block] times."""
-    edges = pieces.edges(blocks)
+    hits = list(pieces.hits(blocks))
+    p = lambda b, piece: probability[piece, column[b]][:, None]
+    ahead = forward(blocks, iter(hits), p, 1)[:, :, 0]
     rows, sizes = np.arange(len(blocks)), np.array([len(b) for b in blocks])
-    p = probability[edges[:, 3], column[edges[:, 0]]][:, None]
-    ahead = forward(len(blocks), edges, p)
     behind = np.zeros_like(ahead)
-    behind[rows, sizes] = 1
-    behind = summed(behind, edges, p, backward=True)
-    share = (ahead[edges[:, 0], edges[:, 1]] * p * behind[edges[:, 0], edges[:, 2]])[:, 0] / ahead[rows, sizes, 0][edges[:, 0]]
-    at = edges[:, 3] * n_columns + column[edges[:, 0]]
-    return np.bincount(at, share * weight[edges[:, 0]], pieces.size * n_columns).reshape(-1, n_columns)
+    behind[sizes, rows] = weight / ahead[sizes, rows]
+    where, shares = [], []
+    for start, end, b, piece in reversed(hits):
+        after = behind[end].take(b) * probability[piece, column[b]]
+        behind[start][b] += after
+        where.append(piece.astype(np.int64) * n_columns + column[b])
+        shares.append(ahead[start].take(b) * after)
+    return np.bincount(np.concatenate(where), np.concatenate(shares), pieces.size * n_columns).reshape(-1, n_columns)
 
 
 def blocks_of(word: bytes) -> list[bytes]:
@@ -144,9 +150,9 @@ def learned(docs: DataFrame, vocabulary_path: str, lang: str = "lang", rounds: i
             pieces, current = pieces_for(vocabulary_path), held.value
             out = np.zeros(current.shape)
             for batch in batches:
-                rows = list(zip(*(c.to_pylist() for c in batch.columns), strict=True))
-                for i in range(0, len(rows), AT_ONCE):
-                    cut = [(block, place[g], n) for g, word, n in rows[i : i + AT_ONCE] for block in blocks_of(word)]
+                rows = sorted(zip(*(c.to_pylist() for c in batch.columns), strict=True), key=lambda r: len(r[1]))
+                for i in range(0, len(rows), TOGETHER):
+                    cut = [(block, place[g], n) for g, word, n in rows[i : i + TOGETHER] for block in blocks_of(word)]
                     blocks, column, weight = zip(*cut, strict=True)
                     out += expected(list(blocks), pieces, current, np.array(column), np.array(weight, float), out.shape[1])
             piece, k = np.nonzero(out)
@@ -173,26 +179,31 @@ class Scorer:
             b = blocks_of(w)
             blocks += b
             owner += [k] * len(b)
-        edges = pieces.edges(blocks)
-        at = forward(len(blocks), edges, self.model.probability[edges[:, 3]])
-        logs = np.log(at[np.arange(len(blocks)), [len(b) for b in blocks]])
+        at = forward(blocks, pieces.hits(blocks), lambda _, piece: self.model.probability.take(piece, axis=0), self.logs.shape[1])
+        logs = np.log(at[[len(b) for b in blocks], np.arange(len(blocks))])
         return np.add.reduceat(logs, np.flatnonzero(np.r_[True, np.diff(owner) != 0]))
 
-    def text(self, words: list[bytes]) -> np.ndarray:
-        """Log likelihood of a text under each language; AT_ONCE words at a time."""
-        total = np.zeros(self.logs.shape[1])
-        for i in range(0, len(words), AT_ONCE):
-            part = words[i : i + AT_ONCE]
-            new = list({w for w in part if w not in self.place})
-            if len(self.place) + len(new) > REMEMBERED:
-                self.place.clear()
-                new = list(set(part))
-            if new:
-                first = len(self.place)
-                self.place.update(zip(new, range(first, first + len(new)), strict=True))
-                self.logs[first : first + len(new)] = self.add(new)
-            total += self.logs[list(map(self.place.__getitem__, part))].sum(axis=0)
-        return total
+    def learn(self, words: list[bytes]) -> None:
+        first = len(self.place)
+        self.place.update(zip(words, range(first, first + len(words)), strict=True))
+        self.logs[first : first + len(words)] = self.add(words)
+
+    def texts(self, texts: list[list[bytes]]) -> np.ndarray:
+        """Log likelihood of each text under each language."""
+        new = {w for words in texts for w in words} - self.place.keys()
+        if len(self.place) + len(new) > REMEMBERED:
+            self.place.clear()
+            new = {w for words in texts for w in words}
+        new = sorted(new, key=len)
+        for k in range(0, len(new), TOGETHER):  # words of like length share a table of positions
+            self.learn(new[k : k + TOGETHER])
+        find = self.place.__getitem__
+        return np.array([self.logs.take(list(map(find, words)), axis=0).sum(axis=0) for words in texts])
+
+
+def parts(words: list[bytes]) -> Iterator[list[bytes]]:
+    for i in range(0, len(words), AT_ONCE):
+        yield words[i : i + AT_ONCE]
 
 
 _scorers: dict[str, Scorer] = {}
@@ -212,15 +223,29 @@ def prediction(model: Model, text: Column) -> Column:
     @F.pandas_udf("lang_pred string, score double")
     def run(texts: pd.Series) -> pd.DataFrame:
         scorer, languages = scorer_for(held.value), held.value.languages
-        out = []
-        for t in texts:
-            if not languages or t is None or not LETTER.search(t):
-                out.append(("und", 0.0))
-                continue
-            logs = scorer.text(t.encode().lower().split())
-            k = int(np.argmax(logs))
-            out.append((languages[k], float(1 / np.exp(np.maximum(logs - logs[k], -700)).sum())))
-        return pd.DataFrame(out, columns=["lang_pred", "score"])
+        names, scores, waiting, owner = ["und"] * len(texts), [0.0] * len(texts), [], []
+        totals = np.zeros((len(texts), len(languages)))
+
+        def settle() -> None:
+            if waiting:
+                np.add.at(totals, owner, scorer.texts(waiting))
+            waiting.clear(), owner.clear()
+
+        scored = [k for k, t in enumerate(texts) if languages and t is not None and LETTER.search(t)]
+        n = 0
+        for k in scored:
+            for part in parts(texts.iloc[k].encode().lower().split()):
+                waiting.append(part)
+                owner.append(k)
+                n += len(part)
+                if n >= AT_ONCE:
+                    settle()
+                    n = 0
+        settle()
+        for k in scored:
+            best = int(np.argmax(totals[k]))
+            names[k], scores[k] = languages[best], float(1 / np.exp(np.maximum(totals[k] - totals[k, best], -700)).sum())
+        return pd.DataFrame({"lang_pred": names, "score": scores})
 
     return run(text)
 
