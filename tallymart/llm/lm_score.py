@@ -45,6 +45,8 @@ END = b"\n"  # cannot be a word
 LOG10 = np.log(10)
 #: Tokens that a task trains on or scores at once.
 CHUNK, BATCH, NOISE = 400_000, 2048, 48
+#: Partitions that the candidates for the dictionary are gathered in.
+CANDIDATE_PARTITIONS = 4
 
 
 def rare_class(word: bytes, rare: int) -> int:
@@ -84,7 +86,11 @@ class ClassOf(dict):
 
 def dictionary_of(counts: DataFrame, top: int, rare: int, dictionary: int) -> Dictionary:
     """counts: word, n. `dictionary` rows and one row for each rare class come to the driver."""
-    frequent = counts.orderBy(F.desc("n"), "word").limit(dictionary).collect()
+    # A sort with a limit would send that many rows from every task to the driver. Only words at or above the highest
+    # power of two that enough words reach can be among them, so a few partitions hold the candidates.
+    steps = counts.agg(*[F.count_if(F.col("n") >= 2**k).alias(f"k{k}") for k in range(48)]).first()
+    floor = 2 ** max([k for k in range(48) if steps[k] >= dictionary], default=0)
+    frequent = counts.filter(F.col("n") >= floor).repartition(CANDIDATE_PARTITIONS).orderBy(F.desc("n"), "word").limit(dictionary).collect()
     kept = {bytes(r["word"]): r["n"] for r in frequent}
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
