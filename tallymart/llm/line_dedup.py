@@ -8,7 +8,8 @@ a place bounded by the edits left on either side. So
 1. lines are reduced to distinct ones (combined before the shuffle: a line that is everywhere is one row),
 2. each is indexed by its segments, keyed by segment number, line length and bytes,
 3. each probes, for every length it could be compared with, the few substrings that can equal a segment,
-4. candidates are verified by a banded bit-parallel edit distance: the 2 * edits + 1 diagonals around the
+4. keys shared by many lines pair only lines whose lengths and bigram parities allow it (a necessary condition), and
+5. candidates are verified by a banded bit-parallel edit distance: the 2 * edits + 1 diagonals around the
    main one are the bits of two numbers, and a byte of the text is one round of shifts and logic.
 
 Lines shorter than `least` bytes are never removed and remove nothing.
@@ -41,35 +42,60 @@ def lines_of(docs: DataFrame, least: int, id_col: str, text_col: str) -> DataFra
     return rows.filter(F.octet_length("line") >= least).select("doc_id", "pos", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("line"), F.col("line")).alias("h2"))
 
 
-def segment_start(length: Column, i: int, edits: int) -> Column:
+def segment_start(length: Column, i: Column, edits: int) -> Column:
     """1-based start of segment i (from 1): the last length % (edits + 1) segments are one byte longer."""
-    short = F.floor(length / (edits + 1))
-    longer = F.greatest(F.lit(0), F.lit(i - 1 - (edits + 1)) + F.pmod(length, F.lit(edits + 1)))
-    return (F.lit(1) + short * (i - 1) + longer).cast("int")
+    over = F.pmod(length, F.lit(edits + 1))
+    return (1 + (length - over) / (edits + 1) * (i - 1) + F.greatest(F.lit(0), i - 1 - (edits + 1) + over)).cast("int")
 
 
-def segment_key(i: int, length: Column, start: Column, size: Column) -> Column:
-    return F.xxhash64(F.lit(i), length, F.substring(F.col("b"), start, size))
+def segment_rows(distinct: DataFrame, edits: int) -> DataFrame:
+    """key, id, indexed: the segments of each line (indexed), and every other substring of it that can equal a segment of a line as long or up to `edits` shorter.
 
-
-def indexed(distinct: DataFrame, edits: int) -> DataFrame:
-    """key, x: a row for each segment of each line."""
-    n = F.col("n")
-    keys = [segment_key(i, n, segment_start(n, i, edits), segment_start(n, i + 1, edits) - segment_start(n, i, edits)) for i in range(1, edits + 2)]
-    return distinct.select(F.explode(F.array(*keys)).alias("key"), F.col("h1").alias("x"))
-
-
-def probed(distinct: DataFrame, edits: int) -> DataFrame:
-    """key, y: a row for each substring that can equal a segment of a line as long or up to `edits` shorter."""
-    keys = []
-    for less in range(edits + 1):
-        length = F.col("n") - less
-        for i in range(1, edits + 2):
-            start, size = segment_start(length, i, edits), segment_start(length, i + 1, edits) - segment_start(length, i, edits)
-            for shift in range(max(1 - i, less - (edits + 1 - i)), min(i - 1, less + (edits + 1 - i)) + 1):
-                at = start + shift
-                keys.append(F.when((at >= 1) & (at + size - 1 <= F.col("n")), segment_key(i, length, at, size)))
-    return distinct.select(F.explode(F.array_compact(F.array(*keys))).alias("key"), F.col("h1").alias("y"))
+    The places are rows of a literal array rather than as many expressions, so that the generated code
+    stays small enough to be compiled.
+    """
+    places = [
+        F.struct(F.lit(less).alias("less"), F.lit(i).alias("i"), F.lit(shift).alias("shift"))
+        for less in range(edits + 1) for i in range(1, edits + 2)
+        for shift in range(max(1 - i, less - (edits + 1 - i)), min(i - 1, less + (edits + 1 - i)) + 1)
+    ]
+    rows = distinct.select(F.col("h1").alias("id"), "b", "n", F.explode(F.array(*places)).alias("p")).select("id", "b", "n", "p.*")
+    rows = rows.withColumn("length", F.col("n") - F.col("less"))
+    rows = rows.withColumns({"start": segment_start(F.col("length"), F.col("i"), edits), "stop": segment_start(F.col("length"), F.col("i") + 1, edits)})
+    rows = rows.withColumns({"at": F.col("start") + F.col("shift"), "size": F.col("stop") - F.col("start")}).filter((F.col("at") >= 1) & (F.col("at") + F.col("size") - 1 <= F.col("n")))
+    key = F.xxhash64("i", "length", F.substring("b", F.col("at"), F.col("size")))
+    return rows.select(key.alias("key"), ((F.col("less") == 0) & (F.col("shift") == 0)).alias("indexed"), "id")
+
+
+def bigram_parity(b: Column) -> Column:
+    """64 bits: for each bit, whether the pairs of neighbouring bytes that hash to it are odd in number. An edit changes at most four pairs."""
+    pairs = F.transform(F.sequence(F.lit(1), F.length(b) - 1), lambda i: F.pmod(F.xxhash64(F.substring(b, i, F.lit(2))), F.lit(64)).cast("int"))
+    return F.aggregate(pairs, F.lit(0).cast("long"), lambda s, k: s.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), k)))
+
+
+def candidate_pairs(distinct: DataFrame, edits: int) -> DataFrame:
+    """x < y: ids of lines with a common key that one of them indexes; written.
+
+    A key with two rows is a pair, found by an aggregation that combines before the shuffle. The rows of keys with more
+    (lines that are variants of each other share most segments) are joined, under the condition that
+    lengths and bigram parities are near enough for the allowed edits, so that variants that differ by
+    more are never paired.
+    """
+    rows = segment_rows(distinct, edits)
+    keys = rows.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y"), F.count("*").alias("n"), F.max("indexed").alias("indexed"))
+    keys = written(keys.filter("indexed AND x <> y"), "line-keys")
+    crowded = keys.filter("n > 2").select("key")
+    side = F.broadcast(crowded) if crowded.count() <= BROADCAST_LINES else crowded
+    some = written(rows.join(side, "key", "left_semi").distinct(), "line-crowded")
+    ids = written(some.select(F.col("id").alias("h1")).distinct(), "line-crowded-ids")
+    mine = F.broadcast(ids) if ids.count() <= BROADCAST_LINES else ids
+    marks = distinct.join(mine, "h1", "left_semi").select(F.col("h1").alias("id"), "n", bigram_parity(F.col("b")).alias("parity"))
+    marked = written(some.join(marks, "id"), "line-marked")
+    one = marked.filter("indexed").select("key", F.col("id").alias("x"), F.col("n").alias("xn"), F.col("parity").alias("xp"))
+    other = marked.select("key", F.col("id").alias("y"), F.col("n").alias("yn"), F.col("parity").alias("yp"))
+    near = (one["key"] == other["key"]) & (F.col("x") != F.col("y")) & (F.abs(F.col("xn") - F.col("yn")) <= edits) & (F.bit_count(F.col("xp").bitwiseXOR(F.col("yp"))) <= 4 * edits)
+    pairs = one.join(other, near).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+    return written(keys.filter("n = 2").select("x", "y").unionByName(pairs).distinct(), "line-candidates")
 
 
 def within(x: Column, y: Column, edits: int) -> Column:
@@ -115,30 +141,32 @@ def within(x: Column, y: Column, edits: int) -> Column:
     return end["dist"] <= edits
 
 
-def near_pairs(docs: DataFrame, least: int, edits: int, id_col: str, text_col: str) -> DataFrame:
-    """early, late: h1, h2 and first place of two distinct lines within `edits` edits, the earlier one first; written."""
+def distinct_lines(docs: DataFrame, least: int, id_col: str, text_col: str) -> DataFrame:
+    """h1, h2, first place, times, bytes b and their number n of each distinct line; written once."""
     lines = lines_of(docs, least, id_col, text_col)
-    distinct = lines.groupBy(*LINE).agg(F.first("line").alias("line")).select("h1", as_bytes(F.col("line")).alias("b")).withColumn("n", F.length("b"))
-    index, probe = indexed(distinct, edits), probed(distinct, edits)
-    found = index.join(probe, "key").filter("x <> y").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
-    pairs = written(found.distinct(), "line-candidates")
-    needed = written(pairs.select(F.explode(F.array("x", "y")).alias("key")).distinct(), "line-needed")
+    once = lines.groupBy(*LINE).agg(F.first("line").alias("line"), F.min(F.struct("doc_id", "pos")).alias("first"), F.count("*").alias("times"))
+    return written(once.select(*LINE, "first", "times", as_bytes(F.col("line")).alias("b"), F.octet_length("line").alias("n")), "lines")
+
+
+def near_pairs(distinct: DataFrame, edits: int) -> DataFrame:
+    """early, late: h1, h2 and first place of two distinct lines within `edits` edits, the earlier one first; written."""
+    pairs = candidate_pairs(distinct, edits)
+    needed = written(pairs.select(F.explode(F.array("x", "y")).alias("h1")).distinct(), "line-needed")
     side = F.broadcast(needed) if needed.count() <= BROADCAST_LINES else needed
-    texts = lines.join(side, F.col("h1") == F.col("key"), "left_semi").groupBy(*LINE).agg(F.first("line").alias("line"), F.min(F.struct("doc_id", "pos")).alias("first"))
-    texts = written(texts.select("h1", "h2", "first", as_bytes(F.col("line")).alias("b")), "line-texts")
-    both = pairs.join(texts.select(F.col("h1").alias("x"), F.struct("h1", "h2", "first", "b").alias("p")), "x").join(texts.select(F.col("h1").alias("y"), F.struct("h1", "h2", "first", "b").alias("q")), "y")
+    texts = written(distinct.join(side, "h1", "left_semi").select("h1", F.struct(*LINE, "first", "b").alias("p")), "line-texts")
+    both = pairs.join(texts.withColumnRenamed("h1", "x"), "x").join(texts.select(F.col("h1").alias("y"), F.col("p").alias("q")), "y")
     near = both.filter(F.abs(F.length("p.b") - F.length("q.b")) <= edits).filter(within(F.col("p.b"), F.col("q.b"), edits))
-    ordered = near.select(F.struct(F.col("p.first"), F.col("p.h1"), F.col("p.h2")).alias("p"), F.struct(F.col("q.first"), F.col("q.h1"), F.col("q.h2")).alias("q"))
-    return written(ordered.select(F.least("p", "q").alias("early"), F.greatest("p", "q").alias("late")), "line-links")
+    ends = [F.struct(F.col(f"{c}.first"), F.col(f"{c}.h1"), F.col(f"{c}.h2")) for c in "pq"]
+    return written(near.select(F.least(*ends).alias("early"), F.greatest(*ends).alias("late")), "line-links")
 
 
 def removed_lines(docs: DataFrame, least: int = 20, edits: int = 2, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(doc_id, pos, near) of every line that goes, and the links of near_pairs."""
-    links = near_pairs(docs, least, edits, id_col, text_col)
+    distinct = distinct_lines(docs, least, id_col, text_col)
+    links = near_pairs(distinct, edits)
     late = links.select(F.col("late.h1").alias("h1"), F.col("late.h2").alias("h2")).distinct().withColumn("near", F.lit(True))
+    verdicts = distinct.select(*LINE, "first", "times").join(late, LINE, "left").filter("times > 1 OR near")
     light = lines_of(docs, least, id_col, text_col).select("doc_id", "pos", *LINE)
-    firsts = light.groupBy(*LINE).agg(F.min(F.struct("doc_id", "pos")).alias("first"), F.count("*").alias("times"))
-    verdicts = firsts.join(late, LINE, "left").filter("times > 1 OR near")
     again = light.join(verdicts, LINE).select("doc_id", "pos", F.coalesce("near", F.lit(False)).alias("near"), (F.struct("doc_id", "pos") == F.col("first")).alias("is_first"))
     return again.filter("near OR NOT is_first").select("doc_id", "pos", "near"), links
 
