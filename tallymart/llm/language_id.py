@@ -6,8 +6,8 @@ forward pass over the word's positions adds all of them up. The piece probabilit
 expectation-maximisation over the training words of a language: the same forward pass and a backward
 pass give the expected number of each piece.
 
-Words are the ASCII-lower-cased `[^\\x20\\x09-\\x0D]+` as UTF-8 bytes after a space; a word longer
-than 64 bytes is scored as consecutive blocks of 64 bytes. All languages have the same weight
+Words are the ASCII-lower-cased `[^\\x20\\x09-\\x0D]+` as UTF-8 bytes after a space, whole at any length:
+both passes are scaled as they go along, so that no probability of a long word leaves the range of the numbers. All languages have the same weight
 beforehand; the score is the best language's share of the likelihood.
 
 Defined cases: a text that is null or without a letter is `und` with score 0, and so is every text when
@@ -32,9 +32,11 @@ from tallymart.llm.piece_counts import rank_file_vocabulary
 from tallymart.llm.word_counts import fold, word_counts
 
 LETTER = regex.compile(r"\p{L}")
-#: Bytes of a block of a word and of the longest piece used; words a worker
-#: remembers; words looked up at once, and new ones scored at once.
-BLOCK, PIECE, REMEMBERED, AT_ONCE, TOGETHER = 64, 16, 800_000, 150_000, 2_000
+#: Bytes of the longest piece used; words a worker remembers; words looked up at once, and new ones
+#: scored at once, with their positions (one longer word goes alone).
+PIECE, REMEMBERED, AT_ONCE, TOGETHER, CELLS = 16, 800_000, 150_000, 2_000, 130_000
+#: Every so many positions a pass is scaled up where it is below LOW; positions whose pieces are held at once in training.
+EVERY, LOW, SPAN = 8, 1e-100, 1024
 
 
 class Pieces:
@@ -43,7 +45,7 @@ class Pieces:
     def __init__(self, vocabulary: list[bytes]) -> None:
         children: list[dict[int, int]] = [{}]
         ends = [-1]
-        self.size = len(vocabulary)
+        self.size, self.longest = len(vocabulary), 1
         for k, text in enumerate(vocabulary):
             if len(text) > PIECE or text.lower() != text:  # words are lower-cased: these are nowhere
                 continue
@@ -56,21 +58,22 @@ class Pieces:
                     ends.append(-1)
                 node = nxt
             ends[node] = k
+            self.longest = max(self.longest, len(text))
         self.piece = np.array(ends, np.int32)
         self.next = np.zeros((len(children), 256), np.int32)  # 0: no transition, as none leads to the root
         for node, c in enumerate(children):
             if c:
                 self.next[node, list(c)] = list(c.values())
 
-    def hits(self, blocks: list[bytes]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-        """Start, end, blocks and pieces; by start. All blocks go through the table together, a byte at a time."""
-        sizes = np.array([len(b) for b in blocks])
+    def hits(self, words: list[bytes], first: int = 0, last: int | None = None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """Start (from first, before last), end, words and pieces; by start. All words go through the table together, a byte at a time."""
+        sizes = np.array([len(w) for w in words])
         width = int(sizes.max())
-        text = np.frombuffer(b"".join([b.ljust(width, b"\0") for b in blocks]), np.uint8).reshape(len(blocks), width)
-        for start in range(width):
+        text = np.frombuffer(b"".join([w.ljust(width, b"\0") for w in words]), np.uint8).reshape(len(words), width)
+        for start in range(first, width if last is None else min(last, width)):
             at = np.flatnonzero(sizes > start)
             node = np.zeros(len(at), np.int32)
-            for end in range(start, min(width, start + PIECE)):
+            for end in range(start, min(width, start + self.longest)):
                 node = self.next[node, text[at, end]]
                 on = (node > 0) & (sizes[at] > end)
                 at, node = at[on], node[on]
@@ -81,38 +84,115 @@ class Pieces:
                 yield start, end + 1, at[here], piece[here]
 
 
-def forward(blocks: list[bytes], hits: Iterator[tuple], p: Callable[[np.ndarray, np.ndarray], np.ndarray], columns: int) -> np.ndarray:
-    """at[position, block, k]: probability of the bytes before the position, over all ways to cut them."""
-    at = np.zeros((max(map(len, blocks)) + 1, len(blocks), columns))
+def scaled_up(rows: list[np.ndarray], log: np.ndarray) -> None:
+    """Rows of one scale: where they are all below LOW their greatest becomes 1, and its logarithm goes to log."""
+    top = rows[0].copy()
+    for r in rows[1:]:
+        np.maximum(top, r, out=top)
+    low = (top < LOW) & (top > 0)
+    if low.any():
+        top[~low] = 1
+        log += np.log(top)
+        for r in rows:
+            r /= top
+
+
+def forward(words: list[bytes], hits: Iterator[tuple], p: Callable[[np.ndarray, np.ndarray], np.ndarray], columns: int, ready: Callable | None = None, rows: int | None = None) -> np.ndarray:
+    """at[position, word, k]: probability of the bytes before the position, over all ways to cut them, times exp(-log[word, k]).
+
+    Scaling is for each word and column, of all positions that pieces have come to, so that what is added up has one scale; log stays 0
+    as long as nothing falls below LOW. ready(position, at[position], log) is called for each position when it is complete. With
+    `rows` (more than the longest piece has bytes) only so many positions are held, in turn.
+    """
+    width = max(map(len, words))
+    rows = min(rows or width + 1, width + 1)
+    at = np.zeros((rows, len(words), columns))
     at[0] = 1
+    log, here, reach = np.zeros((len(words), columns)), -1, 0
+
+    def come(position: int) -> None:
+        nonlocal here
+        while here < position:
+            if here >= 0 and rows <= width:
+                at[here % rows] = 0
+            here += 1
+            if here and here % EVERY == 0 and reach >= here:
+                scaled_up([at[k % rows] for k in range(here, reach + 1)], log)
+            if ready is not None:
+                ready(here, at[here % rows], log)
+
     for start, end, b, piece in hits:
-        add = at[start].take(b, axis=0)
+        come(start)
+        reach = max(reach, end)
+        add = at[start % rows].take(b, axis=0)
         add *= p(b, piece)
-        add += at[end].take(b, axis=0)
-        at[end][b] = add
+        add += at[end % rows].take(b, axis=0)
+        at[end % rows][b] = add
+    come(width)
     return at
 
 
-def expected(blocks: list[bytes], pieces: Pieces, probability: np.ndarray, column: np.ndarray, weight: np.ndarray, n_columns: int) -> np.ndarray:
-    """Expected number of each piece; a block belongs to the language column[block] and counts weight[block] times."""
-    hits = list(pieces.hits(blocks))
-    p = lambda b, piece: probability[piece, column[b]][:, None]
-    ahead = forward(blocks, iter(hits), p, 1)[:, :, 0]
-    rows, sizes = np.arange(len(blocks)), np.array([len(b) for b in blocks])
-    behind = np.zeros_like(ahead)
-    behind[sizes, rows] = weight / ahead[sizes, rows]
-    where, shares = [], []
-    for start, end, b, piece in reversed(hits):
-        after = behind[end].take(b) * probability[piece, column[b]]
-        behind[start][b] += after
-        where.append(piece.astype(np.int64) * n_columns + column[b])
-        shares.append(ahead[start].take(b) * after)
-    return np.bincount(np.concatenate(where), np.concatenate(shares), pieces.size * n_columns).reshape(-1, n_columns)
+def log_likelihoods(words: list[bytes], pieces: Pieces, probability: np.ndarray) -> np.ndarray:
+    """Log probability of each word under each column of probability."""
+    sizes, out = np.array([len(w) for w in words]), np.empty((len(words), probability.shape[1]))
 
+    def ready(position: int, values: np.ndarray, log: np.ndarray) -> None:
+        ended = np.flatnonzero(sizes == position)
+        if len(ended):
+            out[ended] = np.log(values[ended]) + log[ended]
 
-def blocks_of(word: bytes) -> list[bytes]:
-    text = b" " + word
-    return [text[i : i + BLOCK] for i in range(0, len(text), BLOCK)]
+    forward(words, pieces.hits(words), lambda _, piece: probability.take(piece, axis=0), probability.shape[1], ready, pieces.longest + 1)
+    return out
+
+
+def expected(words: list[bytes], pieces: Pieces, probability: np.ndarray, column: np.ndarray, weight: np.ndarray, n_columns: int) -> np.ndarray:
+    """Expected number of each piece; a word belongs to the language column[word] and counts weight[word] times.
+
+    Pieces are found once for words of up to SPAN bytes, and again for the way back, span by span, for longer ones.
+    """
+    rows, sizes = np.arange(len(words)), np.array([len(w) for w in words])
+    width = int(sizes.max())
+    held = list(pieces.hits(words)) if width <= SPAN else None
+    p = lambda b, piece: probability[piece, column[b]][:, None]
+    ahead = np.empty((width + 1, len(words)))  # logarithms
+
+    def ready(position: int, values: np.ndarray, log: np.ndarray) -> None:
+        with np.errstate(divide="ignore"):
+            ahead[position] = np.log(values[:, 0]) + log[:, 0]
+
+    forward(words, pieces.hits(words) if held is None else iter(held), p, 1, ready, pieces.longest + 1)
+    total = ahead[sizes, rows]
+    total[total == -np.inf] = np.inf  # no way to cut it: nothing is expected
+    behind, log, scaled = np.zeros_like(ahead), np.zeros(len(words)), width
+    behind[sizes, rows] = 1
+    out = np.zeros(pieces.size * n_columns)
+    for first in range((width - 1) // SPAN * SPAN, -1, -SPAN):
+        where, shares, now = [], [], -1
+        for start, end, b, piece in reversed(held or list(pieces.hits(words, first, first + SPAN))):
+            if start != now:
+                now = start
+                if scaled - start >= EVERY:
+                    scaled = start
+                    scaled_up([behind[k] for k in range(start + 1, min(width, start + pieces.longest) + 1)], log)
+                times = weight * np.exp(np.minimum(ahead[start] + log - total, 700))
+            after = behind[end].take(b) * probability[piece, column[b]]
+            behind[start][b] += after
+            where.append(piece.astype(np.int64) * n_columns + column[b])
+            shares.append(times.take(b) * after)
+        if where:
+            out += np.bincount(np.concatenate(where), np.concatenate(shares), len(out))
+    return out.reshape(-1, n_columns)
+
+
+def together(words: list[bytes]) -> Iterator[slice]:
+    """Slices of words, sorted by length, that share a table of positions."""
+    first = 0
+    for k, w in enumerate(words):
+        if k > first and (k - first >= TOGETHER or (k - first + 1) * (len(w) + 2) > CELLS):
+            yield slice(first, k)
+            first = k
+    if words:
+        yield slice(first, len(words))
 
 
 _pieces: dict[str, Pieces] = {}
@@ -151,10 +231,10 @@ def learned(docs: DataFrame, vocabulary_path: str, lang: str = "lang", rounds: i
             out = np.zeros(current.shape)
             for batch in batches:
                 rows = sorted(zip(*(c.to_pylist() for c in batch.columns), strict=True), key=lambda r: len(r[1]))
-                for i in range(0, len(rows), TOGETHER):
-                    cut = [(block, place[g], n) for g, word, n in rows[i : i + TOGETHER] for block in blocks_of(word)]
-                    blocks, column, weight = zip(*cut, strict=True)
-                    out += expected(list(blocks), pieces, current, np.array(column), np.array(weight, float), out.shape[1])
+                words = [b" " + word for _, word, _ in rows]
+                for part in together(words):
+                    column, weight = np.array([place[g] for g, _, _ in rows[part]]), np.array([n for _, _, n in rows[part]], float)
+                    out += expected(words[part], pieces, current, column, weight, out.shape[1])
             piece, k = np.nonzero(out)
             yield pa.RecordBatch.from_arrays([pa.array(piece), pa.array(k), pa.array(out[piece, k])], names=["piece", "k", "n"])
 
@@ -172,21 +252,10 @@ class Scorer:
         self.model, self.place = model, {}
         self.logs = np.zeros((REMEMBERED, len(model.languages)))
 
-    def add(self, words: list[bytes]) -> np.ndarray:
-        pieces = pieces_for(self.model.path)
-        blocks, owner = [], []
-        for k, w in enumerate(words):
-            b = blocks_of(w)
-            blocks += b
-            owner += [k] * len(b)
-        at = forward(blocks, pieces.hits(blocks), lambda _, piece: self.model.probability.take(piece, axis=0), self.logs.shape[1])
-        logs = np.log(at[[len(b) for b in blocks], np.arange(len(blocks))])
-        return np.add.reduceat(logs, np.flatnonzero(np.r_[True, np.diff(owner) != 0]))
-
     def learn(self, words: list[bytes]) -> None:
         first = len(self.place)
         self.place.update(zip(words, range(first, first + len(words)), strict=True))
-        self.logs[first : first + len(words)] = self.add(words)
+        self.logs[first : first + len(words)] = log_likelihoods([b" " + w for w in words], pieces_for(self.model.path), self.model.probability)
 
     def texts(self, texts: list[list[bytes]]) -> np.ndarray:
         """Log likelihood of each text under each language."""
@@ -195,8 +264,8 @@ class Scorer:
             self.place.clear()
             new = {w for words in texts for w in words}
         new = sorted(new, key=len)
-        for k in range(0, len(new), TOGETHER):  # words of like length share a table of positions
-            self.learn(new[k : k + TOGETHER])
+        for part in together(new):  # words of like length share a table of positions
+            self.learn(new[part])
         find = self.place.__getitem__
         return np.array([self.logs.take(list(map(find, words)), axis=0).sum(axis=0) for words in texts])
 

@@ -258,6 +258,45 @@ def test_forward_adds_up_all_segmentations():
         assert counts[k, 0] == pytest.approx((up - sum(np.log(total(w)) for w in words)) / h, rel=1e-3, abs=1e-6)
 
 
+def plain_logs(word, vocabulary):
+    """Log probability of a word over all segmentations, with logarithms throughout; vocabulary: logarithms by piece."""
+    at = [0.0] + [-np.inf] * len(word)
+    for end in range(1, len(word) + 1):
+        at[end] = np.logaddexp.reduce([at[start] + vocabulary[word[start:end]] for start in range(end) if word[start:end] in vocabulary] or [-np.inf])
+    return at[-1]
+
+
+def test_long_words_of_rare_pieces_stay_in_range(monkeypatch):
+    """Words far beyond the smallest float, whole, also with more positions than are held at once."""
+    names = [bytes([c]) for c in range(97, 103)] + [b" ", b" a", b"bc", b"abc", b"dddd", b"x"]
+    p = np.array([1e-12, 2e-12, 1e-11, 3e-12, 1e-12, 1e-9, 0.5, 0.3, 1e-7, 1e-6, 1e-13, 0.2])
+    pieces, logs = language_id.Pieces(names), dict(zip(names, np.log(p), strict=True))
+    words = sorted([b" abc", b" " + b"abcdddde" * 8, b" " + b"edcbaf" * 50, b" " + b"d" * 400, b" zz"], key=len)
+    want = [plain_logs(w, logs) for w in words]
+    with np.errstate(divide="ignore"):
+        got = language_id.log_likelihoods(words, pieces, np.stack([p, p], axis=1))
+    assert got[:, 0] == pytest.approx(want) and got[:, 1] == pytest.approx(want) and want[0] == -np.inf and want[-1] < -2000
+    counts = language_id.expected(words, pieces, p[:, None], np.zeros(5, int), np.arange(1.0, 6), 1)
+    sizes = np.array([len(x) for x in names])
+    assert (counts[:, 0] * sizes).sum() == pytest.approx(sum(k * len(w) for k, w in enumerate(words, 1) if b"z" not in w))  # every byte is in one piece
+    monkeypatch.setattr(language_id, "SPAN", 16)
+    assert language_id.expected(words, pieces, p[:, None], np.zeros(5, int), np.arange(1.0, 6), 1) == pytest.approx(counts)
+
+
+def test_rare_script_beside_a_million_words(spark):
+    """A run of Burmese seen once in a language of a million training pieces."""
+    run = "".join(chr(0x1000 + i) for i in range(21))  # 63 bytes
+    rows = [("en", "the " * 1_000_000 + run), ("de", "der und nicht " * 50)]
+    model = language_id.learned(spark.createDataFrame(rows, "lang string, text string"), path("byte_bpe_50k.tiktoken"))
+    assert np.isfinite(model.probability).all() and model.probability.sum(axis=0) == pytest.approx([1, 1])
+    asked = spark.createDataFrame([(0, "the the"), (1, "der und"), (2, run * 3)], "k int, text string")
+    got = {r.k: (r.p.lang_pred, r.p.score) for r in asked.select("k", language_id.prediction(model, F.col("text")).alias("p")).collect()}
+    vocabulary = language_id.rank_file_vocabulary(path("byte_bpe_50k.tiktoken"))
+    logs = [plain_logs(b" " + (run * 3).encode(), dict(zip(vocabulary, c, strict=True))) for c in np.log(model.probability.T)]
+    assert [got[k][0] for k in range(2)] == ["en", "de"] and got[2][0] == model.languages[int(np.argmax(logs))]
+    assert got[2][1] == pytest.approx(1 / np.exp(np.maximum(np.array(logs) - max(logs), -700)).sum())
+
+
 def language_docs():
     rng, texts, langs = random.Random(4), [], {}
     words = {"en": "the of and thing ation with heed".split(), "de": "der und schöne gekeit nicht für".split(), "fr": "le une été quelle ment dans".split()}
