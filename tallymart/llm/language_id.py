@@ -32,9 +32,9 @@ from tallymart.llm.piece_counts import rank_file_vocabulary
 from tallymart.llm.word_counts import fold, word_counts
 
 LETTER = regex.compile(r"\p{L}")
-#: Bytes of the longest piece used; words a worker remembers; words looked up at once, and new ones
-#: scored at once, with their positions (one longer word goes alone).
-PIECE, REMEMBERED, AT_ONCE, TOGETHER, CELLS = 16, 800_000, 150_000, 2_000, 130_000
+#: Words a worker remembers; words looked up at once, and new ones scored at once, with their positions
+#: (one longer word goes alone).
+REMEMBERED, AT_ONCE, TOGETHER, CELLS = 800_000, 150_000, 2_000, 130_000
 #: Every so many positions a pass is scaled up where it is below LOW; positions whose pieces are held at once in training.
 EVERY, LOW, SPAN = 8, 1e-100, 1024
 
@@ -47,7 +47,7 @@ class Pieces:
         ends = [-1]
         self.size, self.longest = len(vocabulary), 1
         for k, text in enumerate(vocabulary):
-            if len(text) > PIECE or text.lower() != text:  # words are lower-cased: these are nowhere
+            if text.lower() != text:  # words are lower-cased: these are nowhere
                 continue
             node = 0
             for byte in text:

@@ -283,6 +283,14 @@ def test_long_words_of_rare_pieces_stay_in_range(monkeypatch):
     assert language_id.expected(words, pieces, p[:, None], np.zeros(5, int), np.arange(1.0, 6), 1) == pytest.approx(counts)
 
 
+def test_pieces_of_any_length_are_used():
+    names = [bytes([c]) for c in range(256)] + [b" responsibilities", b"-" * 64]
+    p = np.r_[np.full(256, 0.002), 0.3, 0.188]
+    pieces, logs = language_id.Pieces(names), dict(zip(names, np.log(p), strict=True))
+    words = [b" responsibilities", b" " + b"-" * 100]
+    assert language_id.log_likelihoods(words, pieces, p[:, None])[:, 0] == pytest.approx([plain_logs(w, logs) for w in words])
+
+
 def test_rare_script_beside_a_million_words(spark):
     """A run of Burmese seen once in a language of a million training pieces."""
     run = "".join(chr(0x1000 + i) for i in range(21))  # 63 bytes
