@@ -14,8 +14,9 @@ a place bounded by the edits left on either side. So
 
 Lines shorter than `least` bytes are never removed and remove nothing.
 
-Defined cases: a null text has no lines and stays null; an empty text is one empty line. Rows repeated
-with one identifier count as one document. A null identifier comes first. Line ends are `\\n` only; a text's
+Defined cases: a null text has no lines and stays null; an empty text is one empty line. Rows with a null or
+repeated identifier are documents of their own: among one identifier's rows the row number decides which is first.
+A null identifier comes first. Line ends are `\\n` only; a text's
 line may hold any other character. An empty table gives an empty result. Extra columns pass through
 `deduplicated` and are ignored by the rest.
 """
@@ -36,10 +37,27 @@ def as_bytes(line: Column) -> Column:
     return F.decode(F.encode(line, "UTF-8"), "ISO-8859-1")
 
 
+def keyed(docs: DataFrame, id_col: str) -> DataFrame:
+    """docs with _row, which tells rows of one identifier apart.
+
+    It is 0 where the identifier is the row's own. Rows with a null or repeated identifier are numbered and written, so that
+    their numbers stay what they are.
+    """
+    name = F.col(id_col).cast("long")
+    ids = docs.groupBy(name.alias("_id")).agg(F.count("*").alias("n")).filter("_id IS NULL OR n > 1").select("_id")
+    ids = written(ids, "line-repeated-ids")
+    n = ids.count()
+    if not n:
+        return docs.withColumn("_row", F.lit(0).cast("long"))
+    side = F.broadcast(ids) if n <= BROADCAST_LINES else ids
+    shared = written(docs.join(side, name.eqNullSafe(F.col("_id")), "left_semi").withColumn("_row", F.monotonically_increasing_id()), "line-shared-ids")
+    return docs.join(side, name.eqNullSafe(F.col("_id")), "left_anti").withColumn("_row", F.lit(0).cast("long")).unionByName(shared)
+
+
 def lines_of(docs: DataFrame, least: int, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, pos, line, h1, h2 of the lines that take part."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("pos", "line"))
-    return rows.filter(F.octet_length("line") >= least).select("doc_id", "pos", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("line"), F.col("line")).alias("h2"))
+    """doc_id, row, pos, line, h1, h2 of the lines that take part; docs with _row."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col("_row").alias("row"), F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("pos", "line"))
+    return rows.filter(F.octet_length("line") >= least).select("doc_id", "row", "pos", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("line"), F.col("line")).alias("h2"))
 
 
 def segment_start(length: Column, i: Column, edits: int) -> Column:
@@ -144,7 +162,7 @@ def within(x: Column, y: Column, edits: int) -> Column:
 def distinct_lines(docs: DataFrame, least: int, id_col: str, text_col: str) -> DataFrame:
     """h1, h2, first place, times, bytes b and their number n of each distinct line; written once."""
     lines = lines_of(docs, least, id_col, text_col)
-    once = lines.groupBy(*LINE).agg(F.first("line").alias("line"), F.min(F.struct("doc_id", "pos")).alias("first"), F.count("*").alias("times"))
+    once = lines.groupBy(*LINE).agg(F.first("line").alias("line"), F.min(F.struct("doc_id", "row", "pos")).alias("first"), F.count("*").alias("times"))
     return written(once.select(*LINE, "first", "times", as_bytes(F.col("line")).alias("b"), F.octet_length("line").alias("n")), "lines")
 
 
@@ -161,14 +179,14 @@ def near_pairs(distinct: DataFrame, edits: int) -> DataFrame:
 
 
 def removed_lines(docs: DataFrame, least: int = 20, edits: int = 2, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(doc_id, pos, near) of every line that goes, and the links of near_pairs."""
+    """(doc_id, row, pos, near) of every line that goes, and the links of near_pairs; docs with _row."""
     distinct = distinct_lines(docs, least, id_col, text_col)
     links = near_pairs(distinct, edits)
     late = links.select(F.col("late.h1").alias("h1"), F.col("late.h2").alias("h2")).distinct().withColumn("near", F.lit(True))
     verdicts = distinct.select(*LINE, "first", "times").join(late, LINE, "left").filter("times > 1 OR near")
-    light = lines_of(docs, least, id_col, text_col).select("doc_id", "pos", *LINE)
-    again = light.join(verdicts, LINE).select("doc_id", "pos", F.coalesce("near", F.lit(False)).alias("near"), (F.struct("doc_id", "pos") == F.col("first")).alias("is_first"))
-    return again.filter("near OR NOT is_first").select("doc_id", "pos", "near"), links
+    light = lines_of(docs, least, id_col, text_col).select("doc_id", "row", "pos", *LINE)
+    again = light.join(verdicts, LINE).select("doc_id", "row", "pos", F.coalesce("near", F.lit(False)).alias("near"), (F.struct("doc_id", "row", "pos") == F.col("first")).alias("is_first"))
+    return again.filter("near OR NOT is_first").select("doc_id", "row", "pos", "near"), links
 
 
 def line_report(docs: DataFrame, least: int = 20, edits: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -177,24 +195,26 @@ def line_report(docs: DataFrame, least: int = 20, edits: int = 2, id_col: str =
     n_exact counts removed lines without an earlier line near to but different from them, n_near the other removed ones; n_links counts
     pairs of different lines of which one first stands in the document.
     """
+    docs = keyed(docs, id_col)
     gone, links = removed_lines(docs, least, edits, id_col, text_col)
-    by_doc = gone.distinct().groupBy("doc_id").agg(F.count_if(~F.col("near")).alias("n_exact"), F.count_if("near").alias("n_near"), F.array_join(F.sort_array(F.collect_list("pos")), ",").alias("removed"))
-    ends = links.select(F.explode(F.array("early.first.doc_id", "late.first.doc_id")).alias("doc_id")).groupBy("doc_id").agg(F.count("*").alias("n_links"))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.size(F.split(F.col(text_col), "\n", -1)), F.lit(0)).cast("long").alias("n_lines"))
+    by_doc = gone.groupBy("doc_id", "row").agg(F.count_if(~F.col("near")).alias("n_exact"), F.count_if("near").alias("n_near"), F.array_join(F.sort_array(F.collect_list("pos")), ",").alias("removed"))
+    ends = links.select(F.explode(F.array("early.first", "late.first")).alias("f")).groupBy("f.doc_id", "f.row").agg(F.count("*").alias("n_links"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col("_row").alias("row"), F.coalesce(F.size(F.split(F.col(text_col), "\n", -1)), F.lit(0)).cast("long").alias("n_lines"))
     return _joined(_joined(rows, by_doc), ends).select(
         "doc_id", "n_lines", F.coalesce("n_exact", F.lit(0)).alias("n_exact"), F.coalesce("n_near", F.lit(0)).alias("n_near"), F.coalesce("removed", F.lit("")).alias("removed"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
 def _joined(rows: DataFrame, more: DataFrame) -> DataFrame:
-    more = more.withColumnRenamed("doc_id", "_id")
-    return rows.join(more, F.col("doc_id").eqNullSafe(F.col("_id")), "left").drop("_id")
+    more = more.withColumnsRenamed({"doc_id": "_id", "row": "_of"})
+    return rows.join(more, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("row") == F.col("_of")), "left").drop("_id", "_of")
 
 
 def deduplicated(docs: DataFrame, least: int = 20, edits: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents, all columns, without the lines that go; documents that lose all their lines go too."""
+    columns, docs = docs.columns, keyed(docs, id_col)
     gone, _ = removed_lines(docs, least, edits, id_col, text_col)
-    by_doc = gone.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("pos").alias("_gone"))
-    rows = docs.join(by_doc, F.col(id_col).cast("long").eqNullSafe(F.col("_id")), "left")
+    by_doc = gone.groupBy(F.col("doc_id").alias("_id"), F.col("row").alias("_of")).agg(F.collect_set("pos").alias("_gone"))
+    rows = docs.join(by_doc, F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_of")), "left")
     stays = F.filter(F.split(F.col(text_col), "\n", -1), lambda _, i: ~F.array_contains(F.col("_gone"), i))
     rows = rows.filter(F.col("_gone").isNull() | (F.size(stays) > 0))
-    return rows.withColumn(text_col, F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.array_join(stays, "\n"))).select(*docs.columns)
+    return rows.withColumn(text_col, F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.array_join(stays, "\n"))).select(*columns)

@@ -95,6 +95,19 @@ def test_lines_against_brute_force(spark):
     assert line_dedup.line_report(df.limit(0)).count() == 0 and line_dedup.deduplicated(df).columns == df.columns
 
 
+def test_lines_of_rows_without_an_identifier_of_their_own(spark):
+    """Null and repeated identifiers: only lines that stand elsewhere go, and of equal rows one keeps its lines."""
+    once = [f"line number {k:03d} {chr(97 + k) * 12}" for k in range(12)]
+    again = "this line is in several of the documents"
+    texts = [(None, f"{again}\n{once[0]}"), (None, f"{once[1]}\n{again}"), (None, f"{once[2]}\n{once[3]}"), (5, f"{again}\n{once[4]}"), (5, f"{once[5]}\n{again}"), (9, once[6]), (9, once[6]), (None, once[7]), (None, once[7]), (10, once[8])]
+    df = docs_of(spark, texts).repartition(3)
+    kept = Counter((r.doc_id, x) for r in line_dedup.deduplicated(df).collect() for x in r.text.split("\n"))
+    want = [(None, x) for x in (again, *once[:4], once[7])] + [(5, once[4]), (5, once[5]), (9, once[6]), (10, once[8])]
+    assert kept == Counter(want)
+    report = line_dedup.line_report(df).collect()
+    assert Counter(r.doc_id for r in report) == Counter(i for i, _ in texts) and sum(r.n_exact for r in report) == 5 and sum(r.n_near for r in report) == 0
+
+
 # Components and near duplicates.
 
 
