@@ -10,8 +10,8 @@ for a class:
 3. What a partition has left over, pieces first and then gaps, is matched across partitions: a row for
    each partition says how many pieces and places are over, the driver pairs these numbers from the nearest
    partition outwards, and the pieces take the places by rank. No two pieces get one place.
-4. The gaps shrink by what they took. The round is repeated, and pieces that are still over open new
-   sequences, in which each partition packs its own pieces best-fit; their gaps join the others.
+4. The gaps shrink by what they took. The round is repeated until no piece that is over finds a gap; what is
+   still over opens new sequences, in which each partition packs its own pieces best-fit; their gaps join the others.
 
 The rounds depend on the sequence length only, not on the number of documents. Tokens are those of the
 public byte-level vocabulary followed by an end token; only documents longer than a sequence are cut,
@@ -115,9 +115,9 @@ def pieces(docs: DataFrame, tokenizer_path: str, ranks_path: str, capacity: int,
 
 
 def classes(capacity: int) -> list[tuple[int, int]]:
-    """(low, high] from large to small; the last begins at 0."""
+    """(low, high] from large to small, each half the one before; the last is length 1 alone."""
     out, high = [], capacity - 1
-    while high > 16:
+    while high > 1:
         low = capacity // 2 if high == capacity - 1 else high // 2
         out.append((low, high))
         high = low
@@ -222,15 +222,13 @@ def swept(items: DataFrame, gaps: DataFrame, high: int) -> DataFrame:
     return matched.unionByName(left.join(right, ["pair", "k"]).select("item", "length", "seq"))
 
 
-def best_fit(items: DataFrame, capacity: int, repeats: int = 2) -> DataFrame:
+def best_fit(items: DataFrame, capacity: int) -> DataFrame:
     """item (unique), length <= capacity to item, length, seq, offset."""
     placed = [items.filter(F.col("length") == capacity).select("item", "length", F.col("item").alias("seq"))]
     gaps = None
     for low, high in classes(capacity):
         left = items.filter((F.col("length") > low) & (F.col("length") <= high)).select("item", "length")
-        for _ in range(repeats if gaps is not None else 0):
-            if left.isEmpty():
-                break
+        while gaps is not None and not left.isEmpty():  # a sweep fills about half of every gap, so the rounds are logarithmic
             found = written(swept(left, gaps.filter(F.col("gap") > low), high), "pack-found")
             if found.isEmpty():
                 break

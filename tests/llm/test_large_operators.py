@@ -247,6 +247,15 @@ def test_packing_of_given_lengths(spark, lengths):
     assert check_packed(rows, lengths, 1024) <= least * 1.05 + 5
 
 
+@pytest.mark.parametrize(("large", "small"), [(600, 1), (524, 17), (955, 5)])
+def test_packing_fills_gaps_with_small_pieces(spark, large, small):
+    """As many small pieces as the gaps of 20 sequences hold take no further sequence."""
+    lengths = [large] * 20 + [small] * (20 * ((1024 - large) // small))
+    items = spark.createDataFrame(list(enumerate(lengths)), "item long, length long").repartition(4)
+    rows = packing.best_fit(items, 1024).select("item", F.col("seq").alias("sequence_id"), "offset", "length").collect()
+    assert sorted(r.item for r in rows) == list(range(len(lengths))) and check_packed(rows, lengths, 1024) == 20
+
+
 # Language identification and scores.
 
 
