@@ -8,7 +8,8 @@ pass give the expected number of each piece.
 
 Words are the ASCII-lower-cased `[^\\x20\\x09-\\x0D]+` as UTF-8 bytes after a space, whole at any length:
 both passes are scaled as they go along, so that no probability of a long word leaves the range of the numbers. All languages have the same weight
-beforehand; the score is the best language's share of the likelihood.
+beforehand. The likelihood of a text is taken to the power of one by its number of words before the languages are compared, or
+every text of some length would have a score of one: the score is the best language's share of these mean likelihoods of a word.
 
 Defined cases: a text that is null or without a letter is `und` with score 0, and so is every text when
 nothing could be learned. Rows with null language are scored but not learned from. Equal likelihoods go to the
@@ -18,29 +19,34 @@ empty tables give empty results. Other columns are ignored.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tallymart.llm.common import written
 from tallymart.llm.piece_counts import rank_file_vocabulary
 from tallymart.llm.word_counts import fold, word_counts
 
-LETTER = regex.compile(r"\p{L}")
-#: Words a worker remembers; words looked up at once, and new ones scored at once, with their positions
-#: (one longer word goes alone).
-REMEMBERED, AT_ONCE, TOGETHER, CELLS = 800_000, 150_000, 2_000, 130_000
+LETTER, LATIN = regex.compile(r"\p{L}"), re.compile(rb"[A-Za-z]")
+#: Words a worker remembers, and numbers (one a word and language) at most; words looked up at once, and new ones scored at
+#: once, with their positions (one longer word goes alone).
+REMEMBERED, NUMBERS, AT_ONCE, TOGETHER, CELLS = 300_000, 2_000_000, 100_000, 2_000, 130_000
 #: Every so many positions a pass is scaled up where it is below LOW; positions whose pieces are held at once in training.
 EVERY, LOW, SPAN = 8, 1e-100, 1024
 
 
 class Pieces:
-    """The pieces of a vocabulary as a table of transitions, and where they lie in blocks of words."""
+    """The pieces of a vocabulary as a table of transitions, and where they lie in blocks of words.
+
+    A trie in a double array: the node reached from `node` by a byte is base[node] + byte, if it names `node` as its
+    owner. About as many cells as nodes, so the table is under a megabyte and travels with the model.
+    """
 
     def __init__(self, vocabulary: list[bytes]) -> None:
         children: list[dict[int, int]] = [{}]
@@ -59,11 +65,38 @@ class Pieces:
                 node = nxt
             ends[node] = k
             self.longest = max(self.longest, len(text))
-        self.piece = np.array(ends, np.int32)
-        self.next = np.zeros((len(children), 256), np.int32)  # 0: no transition, as none leads to the root
+        # Nodes with many children first: each takes the first place where the cells of all its children are free.
+        used, cell, base_of = bytearray(len(children) + 512), [0] * len(children), [0] * len(children)
+        used[0] = 1
+        begin: dict[int, int] = {}  # by number of children: places before have been tried in vain
+        for node in sorted(range(len(children)), key=lambda n: -len(children[n])):
+            own = sorted(children[node])
+            if not own:
+                break
+            at = max(begin.get(len(own), 1), own[0] + 1)
+            while True:
+                at = used.find(0, at)
+                if at < 0 or at + 256 > len(used):
+                    used.extend(bytes(len(used)))
+                    at = used.find(0, max(1, at))
+                if not any(used[at - own[0] + c] for c in own):
+                    break
+                at += 1
+            begin[len(own)] = max(begin.get(len(own), 1), at - own[0])
+            base_of[node] = at - own[0]
+            for c in own:
+                used[at - own[0] + c] = 1
+                cell[children[node][c]] = at - own[0] + c
+        cells = used.rfind(1) + 257
+        self.base, self.owner, self.piece = np.zeros(cells, np.int32), np.full(cells, -1, np.int32), np.full(cells, -1, np.int32)
+        self.base[cell], self.piece[cell] = base_of, ends
         for node, c in enumerate(children):
-            if c:
-                self.next[node, list(c)] = list(c.values())
+            self.owner[[cell[x] for x in c.values()]] = cell[node]
+
+    def follow(self, node: np.ndarray, byte: np.ndarray) -> np.ndarray:
+        """The nodes reached, 0 where there is none."""
+        to = self.base.take(node) + byte
+        return np.where(self.owner.take(to) == node, to, 0)
 
     def hits(self, words: list[bytes], first: int = 0, last: int | None = None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """Start (from first, before last), end, words and pieces; by start. All words go through the table together, a byte at a time."""
@@ -74,7 +107,7 @@ class Pieces:
             at = np.flatnonzero(sizes > start)
             node = np.zeros(len(at), np.int32)
             for end in range(start, min(width, start + self.longest)):
-                node = self.next[node, text[at, end]]
+                node = self.follow(node, text[at, end])
                 on = (node > 0) & (sizes[at] > end)
                 at, node = at[on], node[on]
                 if not len(at):
@@ -195,20 +228,11 @@ def together(words: list[bytes]) -> Iterator[slice]:
         yield slice(first, len(words))
 
 
-_pieces: dict[str, Pieces] = {}
-
-
-def pieces_for(path: str) -> Pieces:
-    if path not in _pieces:
-        _pieces[path] = Pieces(rank_file_vocabulary(path))
-    return _pieces[path]
-
-
 class Model:
-    """Languages and probability[piece, language]: as large as the vocabulary times the languages."""
+    """Languages, pieces and probability[piece, language]: as large as the vocabulary times the languages."""
 
-    def __init__(self, languages: list[str], probability: np.ndarray, path: str) -> None:
-        self.languages, self.probability, self.path, self.key = languages, probability, path, uuid.uuid4().hex
+    def __init__(self, languages: list[str], probability: np.ndarray, pieces: Pieces) -> None:
+        self.languages, self.probability, self.pieces, self.key = languages, probability, pieces, uuid.uuid4().hex
 
 
 def learned(docs: DataFrame, vocabulary_path: str, lang: str = "lang", rounds: int = 2, smoothing: float = 0.5) -> Model:
@@ -220,14 +244,14 @@ def learned(docs: DataFrame, vocabulary_path: str, lang: str = "lang", rounds: i
     """
     table = written(word_counts(docs.filter(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), "text"), "lang"), "lang-words")
     languages = sorted(r[0] for r in table.select("grp").distinct().collect())
-    size = len(rank_file_vocabulary(vocabulary_path))
-    probability = np.full((size, max(1, len(languages))), 1 / size)
+    pieces = Pieces(rank_file_vocabulary(vocabulary_path))
+    probability = np.full((pieces.size, max(1, len(languages))), 1 / pieces.size)
     place = {x: i for i, x in enumerate(languages)}
     for _ in range(rounds if languages else 0):
-        held = docs.sparkSession.sparkContext.broadcast(probability)
+        held = docs.sparkSession.sparkContext.broadcast((pieces, probability))
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            pieces, current = pieces_for(vocabulary_path), held.value
+            pieces, current = held.value
             out = np.zeros(current.shape)
             for batch in batches:
                 rows = sorted(zip(*(c.to_pylist() for c in batch.columns), strict=True), key=lambda r: len(r[1]))
@@ -242,7 +266,7 @@ def learned(docs: DataFrame, vocabulary_path: str, lang: str = "lang", rounds: i
         counts = np.full(probability.shape, smoothing)
         counts[got["piece"], got["k"]] += got["n"]
         probability = counts / counts.sum(axis=0)
-    return Model(languages, probability, vocabulary_path)
+    return Model(languages, probability, pieces)
 
 
 class Scorer:
@@ -250,29 +274,65 @@ class Scorer:
 
     def __init__(self, model: Model) -> None:
         self.model, self.place = model, {}
-        self.logs = np.zeros((REMEMBERED, len(model.languages)))
+        self.room = max(2 * TOGETHER, min(REMEMBERED, NUMBERS // max(1, len(model.languages))))
+        self.logs = np.zeros((self.room, len(model.languages)))
 
     def learn(self, words: list[bytes]) -> None:
         first = len(self.place)
         self.place.update(zip(words, range(first, first + len(words)), strict=True))
-        self.logs[first : first + len(words)] = log_likelihoods([b" " + w for w in words], pieces_for(self.model.path), self.model.probability)
+        self.logs[first : first + len(words)] = log_likelihoods([b" " + w for w in words], self.model.pieces, self.model.probability)
 
-    def texts(self, texts: list[list[bytes]]) -> np.ndarray:
-        """Log likelihood of each text under each language."""
-        new = {w for words in texts for w in words} - self.place.keys()
-        if len(self.place) + len(new) > REMEMBERED:
+    def totals(self, parts: list[list[bytes]]) -> np.ndarray:
+        """Log likelihood of each list of words under each language; not more words than there is room for, none empty."""
+        words = [w for part in parts for w in part]
+        new = set(words) - self.place.keys()
+        if len(self.place) + len(new) > self.room:
             self.place.clear()
-            new = {w for words in texts for w in words}
+            new = set(words)
         new = sorted(new, key=len)
         for part in together(new):  # words of like length share a table of positions
             self.learn(new[part])
-        find = self.place.__getitem__
-        return np.array([self.logs.take(list(map(find, words)), axis=0).sum(axis=0) for words in texts])
+        at = np.fromiter(map(self.place.__getitem__, words), np.int32, len(words))
+        return np.add.reduceat(self.logs.take(at, axis=0), np.cumsum([0, *map(len, parts[:-1])]))
+
+    def verdicts(self, texts: Iterator[bytes | None]) -> tuple[list[str], list[float]]:
+        """Language and score of each text. A long text is taken in parts."""
+        languages, step = self.model.languages, min(AT_ONCE, self.room)
+        names, scores, waiting, owner, n = [], [], [], [], 0
+        totals: list[np.ndarray] = []
+        sizes: list[int] = []
+
+        def settle() -> None:
+            if waiting:
+                for k, part in zip(owner, self.totals(waiting), strict=True):
+                    totals[k] = totals[k] + part
+            waiting.clear(), owner.clear()
+
+        for k, text in enumerate(texts):
+            words = text.lower().split() if languages and text and has_letter(text) else []
+            totals.append(np.zeros(len(languages)))
+            sizes.append(len(words))
+            for i in range(0, len(words), step):
+                part = words[i : i + step]
+                if n + len(part) > step:
+                    settle()
+                    n = 0
+                waiting.append(part)
+                owner.append(k)
+                n += len(part)
+        settle()
+        for total, size in zip(totals, sizes, strict=True):
+            if not size:
+                names.append("und"), scores.append(0.0)
+                continue
+            best = int(np.argmax(total))
+            names.append(languages[best])
+            scores.append(float(1 / np.exp(np.maximum((total - total[best]) / size, -700)).sum()))
+        return names, scores
 
 
-def parts(words: list[bytes]) -> Iterator[list[bytes]]:
-    for i in range(0, len(words), AT_ONCE):
-        yield words[i : i + AT_ONCE]
+def has_letter(text: bytes) -> bool:
+    return LATIN.search(text) is not None or (not text.isascii() and LETTER.search(text.decode("utf-8", "replace")) is not None)
 
 
 _scorers: dict[str, Scorer] = {}
@@ -285,38 +345,45 @@ def scorer_for(model: Model) -> Scorer:
     return _scorers[model.key]
 
 
-def prediction(model: Model, text: Column) -> Column:
-    """A struct lang_pred, score for a text column. Only the text goes to Python, the rest of a row stays where it is."""
-    held = SparkSession.active().sparkContext.broadcast(model)
+def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of about AT_ONCE words, so that a worker never takes apart all texts of a batch at once."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    ends = np.flatnonzero(np.diff(np.cumsum(sizes) // (6 * AT_ONCE))) + 1
+    for first, last in zip([0, *ends], [*ends, batch.num_rows], strict=True):
+        yield batch.slice(first, last - first)
 
-    @F.pandas_udf("lang_pred string, score double")
-    def run(texts: pd.Series) -> pd.DataFrame:
-        scorer, languages = scorer_for(held.value), held.value.languages
-        names, scores, waiting, owner = ["und"] * len(texts), [0.0] * len(texts), [], []
-        totals = np.zeros((len(texts), len(languages)))
 
-        def settle() -> None:
-            if waiting:
-                np.add.at(totals, owner, scorer.texts(waiting))
-            waiting.clear(), owner.clear()
+def text_bytes(column: pa.Array) -> Iterator[bytes | None]:
+    return (x.as_py() for x in column.cast(pa.large_binary()))
 
-        scored = [k for k, t in enumerate(texts) if languages and t is not None and LETTER.search(t)]
-        n = 0
-        for k in scored:
-            for part in parts(texts.iloc[k].encode().lower().split()):
-                waiting.append(part)
-                owner.append(k)
-                n += len(part)
-                if n >= AT_ONCE:
-                    settle()
-                    n = 0
-        settle()
-        for k in scored:
-            best = int(np.argmax(totals[k]))
-            names[k], scores[k] = languages[best], float(1 / np.exp(np.maximum(totals[k] - totals[k, best], -700)).sum())
-        return pd.DataFrame({"lang_pred": names, "score": scores})
 
-    return run(text)
+def predicted(docs: DataFrame, model: Model) -> DataFrame:
+    """docs, whose last column is the text, with lang_pred and score in its place."""
+    held = docs.sparkSession.sparkContext.broadcast(model)
+    *names, text = docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = scorer_for(held.value)
+        for batch in batches:
+            for part in slices(batch, len(names)):
+                found, scores = scorer.verdicts(text_bytes(part.column(len(names))))
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(found, pa.string()), pa.array(scores, pa.float64())], names=[*names, "lang_pred", "score"])
+
+    return docs.mapInArrow(run, docs.drop(text).schema.add("lang_pred", "string").add("score", "double"))
+
+
+def identified(docs: DataFrame, model: Model, least: float, text_col: str = "text") -> DataFrame:
+    """The documents with a language and a score of at least `least`, all columns. Rows pass through Python in Arrow batches, whole."""
+    held, column = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = scorer_for(held.value)
+        for batch in batches:
+            for part in slices(batch, column):
+                found, scores = scorer.verdicts(text_bytes(part.column(column)))
+                yield part.filter(pa.array([name != "und" and score >= least for name, score in zip(found, scores, strict=True)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def language_model(docs: DataFrame, vocabulary_path: str, modulus: int = 3, held: int = 1) -> Model:
@@ -327,5 +394,4 @@ def language_model(docs: DataFrame, vocabulary_path: str, modulus: int = 3, held
 def language_id(docs: DataFrame, vocabulary_path: str, modulus: int = 3, held: int = 1) -> DataFrame:
     """doc_id, held_out, lang_pred, score for each document."""
     model = language_model(docs, vocabulary_path, modulus, held)
-    scored = docs.select("doc_id", (fold(F.col("doc_id"), modulus) == held).alias("held_out"), prediction(model, F.col("text")).alias("p"))
-    return scored.select("doc_id", "held_out", "p.lang_pred", "p.score")
+    return predicted(docs.select("doc_id", (fold(F.col("doc_id"), modulus) == held).alias("held_out"), "text"), model)
