@@ -48,7 +48,7 @@ def date_key(column: str | Column) -> Column:
 def with_order_columns(orders: DataFrame, terminal: Mapping[str, str] = TERMINAL) -> DataFrame:
     """Status, date parts, elapsed days, delay and presence flags of orders; missing days are -1 in the last three."""
     days = {
-        "shipping_time_days": elapsed_days("order_purchase_timestamp", "order_delivered_carrier_date"),
+        "shipping_time_days": elapsed_days("order_approved_at", "order_delivered_carrier_date"),
         "delivery_time_days": elapsed_days("order_delivered_carrier_date", "order_delivered_customer_date"),
         "total_delivery_time_days": elapsed_days("order_purchase_timestamp", "order_delivered_customer_date"),
     }

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tallymart.contracts import Contract
 
@@ -48,18 +49,30 @@ def tracked_hash(df: DataFrame, attributes: Sequence[str]) -> Column:
     return F.sha2(record_json(df, attributes), 256)
 
 
+def digest_sums(digest: Column) -> list[Column]:
+    """Sums of the first and the second 15 hex digits of SHA-256 digests, as text: the same for any order of the rows."""
+    part = lambda at: F.conv(F.substring(digest, at, 15), 16, 10).cast("decimal(20,0)")
+    return [F.coalesce(F.sum(part(at)), F.lit(0)).cast("decimal(38,0)").cast("string").alias(name) for at, name in ((1, "sum_first"), (16, "sum_second"))]
+
+
 def table_fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """One row that any order and layout of the same rows gives: number, two mixed sums of 64-bit row hashes."""
-    names = list(columns or df.columns)
-    h = F.xxhash64(*names)
-    return df.agg(F.count("*").alias("n_rows"), F.coalesce(F.bit_xor(h), F.lit(0)).alias("hash_xor"), F.coalesce(F.sum(h.cast("decimal(20,0)")), F.lit(0)).cast("decimal(38,0)").alias("hash_sum"))
+    """One row that any order and layout of the same rows gives: their number and two sums of row digests."""
+    return df.agg(F.count("*").alias("n_rows"), *digest_sums(F.sha2(record_json(df, list(columns or df.columns)), 256)))
+
+
+def fingerprints(frames: Mapping[str, DataFrame]) -> DataFrame:
+    """dataset, fingerprint, n_rows of each table."""
+    parts = [table_fingerprint(df).select(F.lit(n).alias("dataset"), F.concat_ws(":", "sum_first", "sum_second").alias("fingerprint"), "n_rows") for n, df in frames.items()]
+    return reduce(DataFrame.unionByName, parts)
+
 
+def file_fingerprint(spark: SparkSession, path: str, suffix: str = "*") -> DataFrame:
+    """One row for the files of a folder: number, bytes and two sums of their contents' digests; names have no part in it.
 
-def file_fingerprint(df: DataFrame) -> DataFrame:
-    """One row for the files behind a scan: number, bytes, and a hash of the sorted list of names and sizes."""
-    files = df.select(F.col("_metadata.file_name").alias("name"), F.col("_metadata.file_size").alias("size")).distinct()
-    listed = F.sort_array(F.collect_list(F.concat_ws(":", "name", F.col("size").cast("string"))))
-    return files.agg(F.count("*").alias("n_files"), F.sum("size").alias("n_bytes"), F.sha2(F.concat_ws("\n", listed), 256).alias("fingerprint"))
+    A file is one binary value of a task, so at most 2 GB.
+    """
+    found = spark.read.format("binaryFile").option("pathGlobFilter", suffix).load(path)
+    return found.agg(F.count("*").alias("n_files"), F.sum("length").alias("n_bytes"), *digest_sums(F.sha2("content", 256)))
 
 
 def publication_fingerprint(summary: DataFrame, batch_id: str, versions: Sequence[str]) -> DataFrame:

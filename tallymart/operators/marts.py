@@ -108,6 +108,12 @@ def status_counts(orders: DataFrame) -> DataFrame:
     return orders.groupBy("order_status").agg(F.count("*").alias("n_orders")).orderBy("order_status")
 
 
+def all_marts(enriched: DataFrame, sales: DataFrame) -> dict[str, DataFrame]:
+    """The eight marts by name."""
+    forms = (sales_by_state, sales_by_category, monthly_sales, order_status, cross_state_analysis, seller_performance, size_analysis)
+    return {**{f.__name__: f(enriched) for f in forms}, "payment_methods": payment_methods(sales)}
+
+
 def metrics_summary(sales: DataFrame) -> DataFrame:
     """One row: fact rows, orders, same- and cross-state items, delayed items, gross value."""
     orders = sales.groupBy("OrderID").agg(F.count("*").alias("n"), F.count_if(~F.col("IsCrossState")).alias("same"), F.count_if("IsCrossState").alias("cross"), F.count_if("IsDelayed").alias("late"), F.sum("TotalItemValue").alias("gross"))

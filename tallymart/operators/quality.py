@@ -11,18 +11,19 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallymart.contracts import Contract
 from tallymart.functions.parsing import RAW
+from tallymart.tables import written
 
-#: What each reason means and how severe it is.
+#: What each reason means and how severe it is.
 REASONS = {
-    "required_key_null": ("a required value is missing", "reject-row"),
-    "invalid_parse": ("a value cannot be read as its type", "reject-row"),
-    "invalid_monetary_value": ("an amount is negative", "reject-row"),
-    "invalid_review_score": ("a score is outside 1 to 5", "reject-row"),
-    "impossible_timestamp": ("a later milestone stands before an earlier one", "reject-row"),
-    "invalid_range": ("a value is outside its range", "reject-row"),
-    "conflicting_business_key": ("a business key has more than one row", "reject-dataset"),
-    "duplicate_fact_grain": ("a fact's grain has more than one row", "reject-dataset"),
-    "orphan_reference": ("a reference has no accepted parent", "reject-row"),
+    "required_key_null": ("A required contracted field is null.", "reject-row"),
+    "invalid_parse": ("A required value is blank or cannot be parsed as its contracted type.", "reject-row"),
+    "invalid_monetary_value": ("A monetary value is negative.", "reject-row"),
+    "invalid_review_score": ("The review score is outside the inclusive range 1 through 5.", "reject-row"),
+    "impossible_timestamp": ("Timestamp ordering is chronologically impossible.", "reject-row"),
+    "invalid_range": ("A numeric value is outside its valid range.", "reject-row"),
+    "conflicting_business_key": ("More than one row has the contracted business key.", "reject-dataset"),
+    "duplicate_fact_grain": ("More than one row has the contracted fact grain.", "reject-dataset"),
+    "orphan_reference": ("A foreign-key value has no accepted parent row.", "reject-row"),
     "missing_dimension_lookup": ("a dimension key resolves to nothing", "reject-row"),
     "exact_duplicate": ("a row repeats another", "warning"),
     "missing_column": ("a header is not the contract's", "fail-batch"),
@@ -92,16 +93,29 @@ def reject_rows(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFr
 
 
 def row_signature(df: DataFrame) -> Column:
-    """SHA-256 of the row as JSON, columns by name, nulls left out."""
+    """SHA-256 of the row as JSON, columns by name, nulls left out; by name, so it holds for any frame with these columns."""
     return F.sha2(F.to_json(F.struct(*[F.col(c) for c in sorted(df.columns)])), 256)
 
 
-def deduplicate(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row for each different row of a key: repeats of the whole row go, conflicting rows stay.
+class ConflictingKeys(ValueError):
+    """A deduplication key has rows that differ."""
 
-    The groups are the rows themselves, so many repeats are combined before the shuffle.
+
+def deduplicate(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, int]:
+    """(A row for each key, the number of rows that went). Raises ConflictingKeys where rows of a key differ.
+
+    Raw text columns take no part in the comparison; of equal rows with different raw text one stays. Null keys are
+    equal. One aggregation, combined before the shuffle and written, gives the rows, the count and the conflicts.
     """
-    return df.dropDuplicates()
+    content = [c for c in df.columns if not c.startswith(RAW)]
+    signed = df.select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], row_signature(df.select(*content)).alias("signature"), F.struct(*df.columns).alias("row"))
+    of_key = [f"k{i}" for i in range(len(keys))]
+    groups = signed.groupBy(*of_key).agg(F.min_by("row", "signature").alias("row"), F.min("signature").alias("least"), F.max("signature").alias("most"), F.count("*").alias("n"))
+    groups = written(groups, "deduplicated")
+    stats = groups.agg(F.coalesce(F.sum("n") - F.count("*"), F.lit(0)).alias("removed"), F.count_if(F.col("least") != F.col("most")).alias("conflicts")).first()
+    if stats["conflicts"]:
+        raise ConflictingKeys(f"{stats['conflicts']} values of {list(keys)} have rows that differ")
+    return groups.select("row.*"), stats["removed"]
 
 
 def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -154,13 +168,17 @@ class Reference:
 
 
 def cascade_references(frames: Mapping[str, DataFrame], references: Sequence[Reference]) -> dict[str, DataFrame]:
-    """All frames with reasons; parents are settled before their children, so a rejected parent makes orphans."""
-    order = TopologicalSorter({r.child: {x.parent for x in references if x.child == r.child} for r in references})
+    """All frames with reasons; parents are settled before their children, so a rejected parent makes orphans.
+
+    What is settled is written, so that neither the children nor later counts work it out again.
+    """
+    order = TopologicalSorter({name: {x.parent for x in references if x.child == name} for name in frames})
     out = {name: df if "rejection_codes" in df.columns else with_reasons(df, []) for name, df in frames.items()}
     for name in order.static_order():
         for r in references:
             if r.child == name:
                 out[name] = flag_orphans(out[name], out[r.parent].filter(F.size("rejection_codes") == 0), r.child_key, r.parent_key)
+        out[name] = written(out[name], "cascade")
     return out
 
 

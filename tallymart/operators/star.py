@@ -8,17 +8,18 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tallymart.functions.derive import cross_flag, date_key, size_category, snapshot_columns, unsentinel, volume
+from tallymart.tables import unused, written
 
 Frames = Mapping[str, DataFrame]
 
-#: Status, description and the flags approved, delivered, shipped, cancelled.
+#: Status, description and the flags approved, delivered, shipped, cancelled.
 STATUSES = [
-    ("CREATED", "Order created", False, False, False, False),
-    ("APPROVED", "Order approved", True, False, False, False),
-    ("SHIPPED", "Order shipped", True, False, True, False),
-    ("DELIVERED", "Order delivered", True, True, True, False),
-    ("CANCELLED", "Order cancelled", False, False, False, True),
-    ("UNAVAILABLE", "Order unavailable", False, False, False, False),
+    ("CREATED", "Created", False, False, False, False),
+    ("APPROVED", "Approved", True, False, False, False),
+    ("SHIPPED", "Shipped", True, False, True, False),
+    ("DELIVERED", "Delivered", True, True, True, False),
+    ("CANCELLED", "Cancelled", False, False, False, True),
+    ("UNAVAILABLE", "Unavailable", False, False, False, False),
 ]
 
 
@@ -172,20 +173,24 @@ def enrich(sales: DataFrame, dims: Frames) -> DataFrame:
 
 
 def allocate_keys(new: DataFrame, existing: DataFrame, business_key: str, surrogate: str) -> DataFrame:
-    """new rows with surrogate = largest existing + rank by business key, dense.
+    """new rows with surrogate = largest existing + rank by business key, dense; equal keys in any order.
 
-    Ranks come from range partitions: a row for each partition (its number of rows) is added up, each partition counts
-    on from there. No partition sees all rows.
+    The rows are range-sorted once and written with their place, so that counting them and numbering them see the same
+    partitions. A row for each partition (its number of rows) is added up, each partition counts on from there. No partition
+    sees all rows.
     """
     spark = new.sparkSession
-    ordered = new.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), business_key).withColumn("_part", F.spark_partition_id())
+    at, part, before = (unused(c, new) for c in ("_at", "_part", "_before"))
+    sorted_rows = new.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), business_key).sortWithinPartitions(business_key)
+    # The upper 31 bits of these numbers are the partition, the lower 33 the row's place in it.
+    placed = written(sorted_rows.withColumn(at, F.monotonically_increasing_id()), "key-places").withColumn(part, F.shiftright(at, 33))
     last = existing.agg(F.coalesce(F.max(surrogate), F.lit(0))).first()[0]
-    counts = ordered.groupBy("_part").agg(F.count("*").alias("_n"))
-    before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = counts.select("_part", (F.lit(last) + before).alias("_before"))
-    rank = F.row_number().over(Window.partitionBy("_part").orderBy(business_key))
-    rows = ordered.withColumn("_rank", rank).join(F.broadcast(starts), "_part")  # a row a partition
-    return rows.withColumn(surrogate, (F.col("_before") + F.col("_rank")).cast("long")).select(*new.columns, surrogate)
+    counts = placed.groupBy(part).agg(F.count("*").alias("n"))
+    sums = F.coalesce(F.sum("n").over(Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = counts.select(part, (F.lit(last) + sums).alias(before))
+    rows = placed.join(F.broadcast(starts), part)  # a row a partition
+    rank = F.col(at).bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return rows.withColumn(surrogate, (F.col(before) + rank).cast("long")).select(*new.columns, surrogate)
 
 
 def next_effective(df: DataFrame, keys: Sequence[str], effective: str, name: str = "RowExpirationDate") -> DataFrame:

@@ -45,18 +45,33 @@ REFERENCES = [
 ]
 
 
-def rules(name: str) -> list[Q.Rule]:
-    """Raw-stage rules of a dataset, over its typed and raw columns."""
-    c = RAW[name]
-    more = {
+#: Numbers of a product that must not be negative.
+SIZES = ["product_name_length", "product_description_length", "product_photos_qty", "product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm"]
+
+
+def business_rules(name: str) -> list[Q.Rule]:
+    """Rules on the typed columns of a dataset, at both stages."""
+    return {
         "orders": [Q.in_order([("order_purchase_timestamp", "order_approved_at"), ("order_approved_at", "order_delivered_carrier_date"), ("order_delivered_carrier_date", "order_delivered_customer_date")])],
         "order_items": [Q.not_negative(["price", "freight_value"], {"order_item_id": 1})],
         "order_payments": [Q.not_negative(["payment_value"]), Q.in_range({"payment_sequential": (1, None), "payment_installments": (0, None)})],
         "order_reviews": [Q.score_between("review_score"), Q.in_order([("review_creation_date", "review_answer_timestamp")])],
-        "products": [Q.in_range({k: (0, None) for k in ("product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm")})],
+        "products": [Q.in_range({k: (0, None) for k in SIZES})],
         "geolocation": [Q.in_range({"geolocation_lat": (-90, 90), "geolocation_lng": (-180, 180)})],
-    }
-    return [Q.required(c.key), Q.unparsed(c), *more.get(name, [])]
+    }.get(name, [])
+
+
+def rules(name: str) -> list[Q.Rule]:
+    """Raw-stage rules of a dataset, over its typed and raw columns."""
+    c = RAW[name]
+    return [Q.required(c.key), Q.unparsed(c), *business_rules(name)]
+
+
+def processed_rules(name: str) -> list[Q.Rule]:
+    """Rules of a processed dataset: every field that is not nullable, the business rules, and what is derived."""
+    derived = {"orders": ["order_year", "order_month", "order_day"], "products": ["product_category_name", "product_category_name_english"]}.get(name, [])
+    of_dates = [Q.in_range({"order_month": (1, 12), "order_day": (1, 31)})] if name == "orders" else []
+    return [Q.required([f.name for f in RAW[name].fields if not f.nullable] + derived), *business_rules(name), *of_dates]
 
 
 def read_all(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
@@ -80,6 +95,15 @@ def accepted(flagged: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     return frames
 
 
+def validated(frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Processed frames with reasons from the processed rules, keys and references."""
+    flagged = {}
+    for name, df in frames.items():
+        code = "duplicate_fact_grain" if name in ("order_items", "order_reviews") else "conflicting_business_key"
+        flagged[name] = Q.flag_duplicate_keys(Q.with_reasons(df, processed_rules(name)), RAW[name].key, code)
+    return Q.cascade_references(flagged, REFERENCES)
+
+
 def curated(frames: Mapping[str, DataFrame], batch: str) -> dict[str, DataFrame]:
     """Dimensions, facts and the eight marts."""
     sales = star.fact_sales(frames)
@@ -88,7 +112,4 @@ def curated(frames: Mapping[str, DataFrame], batch: str) -> dict[str, DataFrame]
         "dim_geography": star.dim_geography(frames["geolocation"], batch), "dim_date": star.dim_date(star.date_bounds(frames["orders"])), "dim_order_status": star.dim_order_status(sales.sparkSession),
         "fact_sales": sales, "fact_reviews": star.fact_reviews(frames),
     }
-    rich = star.enrich(sales, out)
-    for name in ("sales_by_state", "sales_by_category", "monthly_sales", "order_status", "cross_state_analysis", "seller_performance", "size_analysis"):
-        out[name] = getattr(marts, name)(rich)
-    return {**out, "payment_methods": marts.payment_methods(sales)}
+    return {**out, **marts.all_marts(star.enrich(sales, out), sales)}

@@ -231,3 +231,53 @@ def test_driver_contract(spark, sf_dir):
         assert "Python" not in plan and "CartesianProduct" not in plan
     scan = names["a2_sales_by_state"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "l_quantity" not in scan and "l_returnflag" not in scan
+
+
+def test_shipping_days_start_at_approval(spark):
+    at = lambda d: datetime(2018, 1, d, 8)
+    rows = [(1, "shipped", at(1), at(4), at(9), None, at(20)), (2, "created", at(1), None, at(9), None, at(20))]
+    names = "order_id order_status order_purchase_timestamp order_approved_at order_delivered_carrier_date order_delivered_customer_date order_estimated_delivery_date"
+    df = spark.createDataFrame(rows, ", ".join(f"{n} {'int' if n == 'order_id' else 'string' if n == 'order_status' else 'timestamp'}" for n in names.split()))
+    assert {r.order_id: (r.shipping_time_days, r.shipping_days) for r in market.with_order_columns(df).collect()} == {1: (5, 5), 2: (None, -1)}
+
+
+def test_allocated_keys_are_dense_with_wide_rows(spark):
+    """More rows than a range exchange samples, several columns, in two layouts."""
+    rows = spark.range(150_000).selectExpr("(id * 7919) % 150000 AS k", "id AS other", "repeat('x', CAST(id % 50 AS INT)) AS text")
+    for df in (rows, rows.repartition(7)):
+        got = S.allocate_keys(df, spark.range(1).selectExpr("500L AS sk"), "k", "sk")
+        assert got.columns == ["k", "other", "text", "sk"]
+        assert got.selectExpr("count(*)", "count(DISTINCT sk)", "count_if(sk <> k + 501)").first()[:] == (150_000, 150_000, 0)
+
+
+def test_deduplicate_by_key(spark):
+    rows = spark.createDataFrame([(1, "a", " a"), (1, "a", "a"), (2, None, ""), (2, None, ""), (None, "c", "c"), (3, "d", "d")], "k int, v string, _raw__v string")
+    kept, removed = Q.deduplicate(rows, ["k"])
+    assert removed == 2 and sorted((r.k or 0, r.v or "") for r in kept.collect()) == [(0, "c"), (1, "a"), (2, ""), (3, "d")] and kept.columns == rows.columns
+    with pytest.raises(Q.ConflictingKeys):
+        Q.deduplicate(rows.withColumn("v", F.col("_raw__v")), ["k"])
+    assert Q.deduplicate(rows.limit(0), ["k"])[1] == 0
+
+
+def test_processed_rules(golden, spark):
+    _, flagged, _ = golden
+    frames = market.accepted(flagged)
+    clean = {n: df.filter(F.size("rejection_codes") > 0).count() for n, df in market.validated(frames).items()}
+    assert set(clean.values()) == {0}
+    broken = {**frames, "orders": frames["orders"].withColumn("order_month", F.when(F.col("order_id") == "o1", 13).otherwise(F.col("order_month"))), "products": frames["products"].withColumn("product_photos_qty", F.lit(-1)), "sellers": frames["sellers"].withColumn("seller_city", F.lit(None).cast("string"))}
+    found = market.validated(broken)
+    reasons = {n: {r.reason: r.n_rows for r in Q.reason_counts(df).collect()} for n, df in found.items()}
+    assert reasons["orders"] == {"invalid_range": 1} and reasons["products"] == {"invalid_range": 3} and reasons["sellers"] == {"required_key_null": 2}
+    assert reasons["order_items"] == {"orphan_reference": frames["order_items"].count()} and reasons["customers"] == {}
+    assert found["orders"].filter("order_id = 'o1'").first().rejection_descriptions == ["A numeric value is outside its valid range."]
+
+
+def test_tables_go_with_their_scope(spark):
+    from tallymart import tables
+
+    with tables.scratch(spark):
+        path = tables.new_path(spark, "x")
+        assert tables.written(spark.range(3).toDF("n"), "x").count() == 3
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path.rpartition("/")[0])
+    assert tables.unused("_id", spark.range(1).toDF("_ID")) == "_id_"
