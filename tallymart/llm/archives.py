@@ -28,7 +28,7 @@ from urllib.parse import quote
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallymart.llm.common import shared_folder
+from tallymart.llm.common import new_path
 
 #: Fixed values of the two formats.
 FIELDS = {1: ["url", "ip", "date", "mime", "length"], 2: ["url", "ip", "date", "mime", "status", "checksum", "location", "offset", "file", "length"]}
@@ -228,6 +228,6 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 def archived(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """Pages through ARC and WARC archives and back: what the WARC archives say of each page."""
     spark = pages.sparkSession
-    path = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
+    path = new_path(spark, "warc")
     write_warc(arc_to_warc(pages_to_arc(pages), least_bytes), path)
     return read_warc(spark, path)

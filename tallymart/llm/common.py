@@ -1,32 +1,21 @@
-"""What the text operators share: written tables that cut lineage, and names for helper columns."""
+"""What the text operators share."""
 
 from __future__ import annotations
 
 import os
-import tempfile
-import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallymart.tables import new_path, unused, written
+
+__all__ = ["SPACE", "WORD", "by_run", "known_to_workers", "new_path", "unused", "written"]
+
 #: Words as every operator here takes them: runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: the session's spark.checkpoint.dir.
-
-    Only where the session names none (local tests) a temporary folder of this machine is made and
-    kept for the session.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="tallymart-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
-
-
 def known_to_workers(spark: SparkSession) -> SparkSession:
     """The session, with this package's folder on its Python workers' path.
 
@@ -38,18 +27,11 @@ def known_to_workers(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """df written as a Parquet table in the shared folder and read again.
+def by_run(rows: DataFrame, keys: list[str], answers: DataFrame, how: str = "inner") -> DataFrame:
+    """rows (with `run`, the partition they were written in) joined to answers, a row for each value of keys.
 
-    This cuts the lineage: a lost executor later costs a read of the table, not the work before it,
-    and values such as spark_partition_id() or monotonically_increasing_id() stay what they were.
+    The answers go to a row for each run and value first and from there to the run's own rows, so that a value with very many
+    rows is spread over the runs.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def shuffle_width(spark: SparkSession) -> int:
-    """Partitions for an explicit repartition: the session's own setting."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    known = rows.select("run", *keys).distinct().join(answers, keys)
+    return rows.join(known, ["run", *keys], how)

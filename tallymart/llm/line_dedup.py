@@ -8,9 +8,15 @@ a place bounded by the edits left on either side. So
 1. lines are reduced to distinct ones (combined before the shuffle: a line that is everywhere is one row),
 2. each is indexed by its segments, keyed by segment number, line length and bytes,
 3. each probes, for every length it could be compared with, the few substrings that can equal a segment,
-4. keys shared by many lines pair only lines whose lengths and bigram parities allow it (a necessary condition), and
-5. candidates are verified by a banded bit-parallel edit distance: the 2 * edits + 1 diagonals around the
-   main one are the bits of two numbers, and a byte of the text is one round of shifts and logic.
+4. keys shared by more than two lines are dealt out again with a part of each line's bigram parities (two lines within the
+   distance agree in at least one of the parts), so that a template's lines meet only where they are alike elsewhere too, and
+   pair only if lengths and all parities allow it; where still many meet, they are spread over several keys, and
+5. candidates lose the bytes they begin and end with in common (which leaves the distance as it is) and are verified by a banded
+   bit-parallel edit distance: the 2 * edits + 1 diagonals around the main one are the bits of two numbers, and a byte of the
+   text is one round of shifts and logic.
+
+What is kept of the verified pairs is a row for each line with its number of links. Verdicts go back to the occurrences of a line
+by run (the lines of one input partition), so a line that is everywhere is one row a run.
 
 Lines shorter than `least` bytes are never removed and remove nothing.
 
@@ -23,12 +29,16 @@ line may hold any other character. An empty table gives an empty result. Extra c
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallymart.llm.common import written
+from tallymart.llm.common import unused, written
 
-#: Lines (a 64-bit key each) that may be broadcast to fetch their texts; beyond it the join shuffles.
+#: Lines (two 64-bit keys and a place each) that may be broadcast; beyond it the join shuffles.
 BROADCAST_LINES = 400_000
+#: Lines that meet under one key of a crowded segment; more are dealt over several keys.
+CROWD = 1_000
 LINE = ["h1", "h2"]
 
 
@@ -37,26 +47,26 @@ def as_bytes(line: Column) -> Column:
     return F.decode(F.encode(line, "UTF-8"), "ISO-8859-1")
 
 
-def keyed(docs: DataFrame, id_col: str) -> DataFrame:
-    """docs with _row, which tells rows of one identifier apart.
+def keyed(docs: DataFrame, id_col: str) -> tuple[DataFrame, str]:
+    """docs with a column that tells rows of one identifier apart, and its name.
 
     It is 0 where the identifier is the row's own. Rows with a null or repeated identifier are numbered and written, so that
     their numbers stay what they are.
     """
-    name = F.col(id_col).cast("long")
-    ids = docs.groupBy(name.alias("_id")).agg(F.count("*").alias("n")).filter("_id IS NULL OR n > 1").select("_id")
+    name, row, key = F.col(id_col).cast("long"), unused("_row", docs), unused("_id", docs)
+    ids = docs.groupBy(name.alias(key)).agg(F.count("*").alias("n")).filter(F.col(key).isNull() | (F.col("n") > 1)).select(key)
     ids = written(ids, "line-repeated-ids")
     n = ids.count()
     if not n:
-        return docs.withColumn("_row", F.lit(0).cast("long"))
+        return docs.withColumn(row, F.lit(0).cast("long")), row
     side = F.broadcast(ids) if n <= BROADCAST_LINES else ids
-    shared = written(docs.join(side, name.eqNullSafe(F.col("_id")), "left_semi").withColumn("_row", F.monotonically_increasing_id()), "line-shared-ids")
-    return docs.join(side, name.eqNullSafe(F.col("_id")), "left_anti").withColumn("_row", F.lit(0).cast("long")).unionByName(shared)
+    shared = written(docs.join(side, name.eqNullSafe(F.col(key)), "left_semi").withColumn(row, F.monotonically_increasing_id()), "line-shared-ids")
+    return docs.join(side, name.eqNullSafe(F.col(key)), "left_anti").withColumn(row, F.lit(0).cast("long")).unionByName(shared), row
 
 
-def lines_of(docs: DataFrame, least: int, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, row, pos, line, h1, h2 of the lines that take part; docs with _row."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col("_row").alias("row"), F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("pos", "line"))
+def lines_of(docs: DataFrame, row: str, least: int, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, row, pos, line, h1, h2 of the lines that take part."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(row).alias("row"), F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("pos", "line"))
     return rows.filter(F.octet_length("line") >= least).select("doc_id", "row", "pos", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("line"), F.col("line")).alias("h2"))
 
 
@@ -85,37 +95,75 @@ def segment_rows(distinct: DataFrame, edits: int) -> DataFrame:
     return rows.select(key.alias("key"), ((F.col("less") == 0) & (F.col("shift") == 0)).alias("indexed"), "id")
 
 
-def bigram_parity(b: Column) -> Column:
-    """64 bits: for each bit, whether the pairs of neighbouring bytes that hash to it are odd in number. An edit changes at most four pairs."""
-    pairs = F.transform(F.sequence(F.lit(1), F.length(b) - 1), lambda i: F.pmod(F.xxhash64(F.substring(b, i, F.lit(2))), F.lit(64)).cast("int"))
-    return F.aggregate(pairs, F.lit(0).cast("long"), lambda s, k: s.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), k)))
+def bigram_parities(b: Column, edits: int) -> Column:
+    """4 * edits + 1 numbers of 64 bits, of which lines within `edits` edits have at least one in common.
+
+    A pair of neighbouring bytes belongs to one number and one bit of it; the bit is whether such pairs are odd in number. An edit
+    changes at most four pairs.
+    """
+    parts = 4 * edits + 1
+    pairs = F.transform(F.sequence(F.lit(1), F.length(b) - 1), lambda i: F.pmod(F.xxhash64(F.substring(b, i, F.lit(2))), F.lit(64 * parts)).cast("int"))
+    bit = lambda k: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(k, F.lit(64)))
+    zero = F.array(*[F.lit(0).cast("long")] * parts)
+    # A lambda's outside is evaluated for each element, so the state carries all that is needed.
+    return F.aggregate(pairs, zero, lambda s, k: F.transform(s, lambda v, i: F.when(i == F.floor(k / 64), v.bitwiseXOR(bit(k))).otherwise(v)))
 
 
 def candidate_pairs(distinct: DataFrame, edits: int) -> DataFrame:
     """x < y: ids of lines with a common key that one of them indexes; written.
 
     A key with two rows is a pair, found by an aggregation that combines before the shuffle. The rows of keys with more
-    (lines that are variants of each other share most segments) are joined, under the condition that
-    lengths and bigram parities are near enough for the allowed edits, so that variants that differ by
-    more are never paired.
+    (lines that are variants of each other share most segments) meet again in crowded_pairs.
     """
     rows = segment_rows(distinct, edits)
     keys = rows.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y"), F.count("*").alias("n"), F.max("indexed").alias("indexed"))
     keys = written(keys.filter("indexed AND x <> y"), "line-keys")
     crowded = keys.filter("n > 2").select("key")
     side = F.broadcast(crowded) if crowded.count() <= BROADCAST_LINES else crowded
-    some = written(rows.join(side, "key", "left_semi").distinct(), "line-crowded")
+    some = written(rows.join(side, "key", "left_semi").groupBy("key", "id").agg(F.max("indexed").alias("indexed")), "line-crowded")
     ids = written(some.select(F.col("id").alias("h1")).distinct(), "line-crowded-ids")
     mine = F.broadcast(ids) if ids.count() <= BROADCAST_LINES else ids
-    marks = distinct.join(mine, "h1", "left_semi").select(F.col("h1").alias("id"), "n", bigram_parity(F.col("b")).alias("parity"))
-    marked = written(some.join(marks, "id"), "line-marked")
-    one = marked.filter("indexed").select("key", F.col("id").alias("x"), F.col("n").alias("xn"), F.col("parity").alias("xp"))
-    other = marked.select("key", F.col("id").alias("y"), F.col("n").alias("yn"), F.col("parity").alias("yp"))
-    near = (one["key"] == other["key"]) & (F.col("x") != F.col("y")) & (F.abs(F.col("xn") - F.col("yn")) <= edits) & (F.bit_count(F.col("xp").bitwiseXOR(F.col("yp"))) <= 4 * edits)
-    pairs = one.join(other, near).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+    marks = distinct.join(mine, "h1", "left_semi").select(F.col("h1").alias("id"), "n", bigram_parities(F.col("b"), edits).alias("p"))
+    pairs = crowded_pairs(written(some.join(marks, "id"), "line-marked"), edits)
     return written(keys.filter("n = 2").select("x", "y").unionByName(pairs).distinct(), "line-candidates")
 
 
+def crowded_pairs(marked: DataFrame, edits: int) -> DataFrame:
+    """x < y of lines with a common key, of which one is indexed, and near enough in length and parities.
+
+    marked: key, id, indexed, n, p. A pair meets under each number of p that it has in common and is taken at the first.
+    """
+    parts = 4 * edits + 1
+    rows = marked.select("id", "indexed", "n", "p", F.posexplode("p").alias("part", "own"), "key").withColumn("key", F.xxhash64("key", "part", "own"))
+    heavy = written(rows.groupBy("key").agg(F.count("*").alias("m")).filter(F.col("m") > CROWD).select("key", F.ceil(F.col("m") / CROWD).cast("int").alias("cells")), "line-heavy")
+    side = F.broadcast(heavy) if heavy.count() <= BROADCAST_LINES else heavy
+    rows = rows.join(side, "key", "left").withColumn("cells", F.coalesce("cells", F.lit(1)))
+    one = rows.filter("indexed").select("key", F.pmod(F.xxhash64("id"), F.col("cells")).cast("int").alias("cell"), "part", F.col("id").alias("x"), F.col("n").alias("xn"), F.col("p").alias("xp"))
+    other = rows.select("key", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("cell"), F.col("id").alias("y"), F.col("n").alias("yn"), F.col("p").alias("yp"))
+    differ = [F.col("xp")[i] != F.col("yp")[i] for i in range(parts)]
+    first = F.coalesce(*[F.when(~d, F.lit(i)) for i, d in enumerate(differ)])
+    bits = sum((F.bit_count(F.col("xp")[i].bitwiseXOR(F.col("yp")[i])) for i in range(parts)), F.lit(0))
+    near = (F.col("x") != F.col("y")) & (F.abs(F.col("xn") - F.col("yn")) <= edits) & (first == F.col("part")) & (bits <= 4 * edits)
+    return one.join(other, ["key", "cell"]).filter(near).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+
+
+def stripped(pairs: DataFrame, longest: int) -> DataFrame:
+    """pairs with strings x and y, none longer than `longest`, without what they begin and end with in common.
+
+    How far they agree is found by halving: each step compares two substrings.
+    """
+    steps = F.array(*[F.lit(1 << k) for k in range(max(1, longest).bit_length() - 1, -1, -1)])
+
+    def agree(place: Callable[[Column, Column, Column], Column]) -> Column:
+        x, y = F.col("x"), F.col("y")
+        return F.aggregate(steps, F.lit(0), lambda n, s: F.when((n + s <= F.least(F.length(x), F.length(y))) & (place(x, n, s) == place(y, n, s)), n + s).otherwise(n))
+
+    pairs = pairs.withColumn("same", agree(lambda c, n, s: F.substring(c, n + 1, s)))
+    pairs = pairs.withColumns({c: F.substring(c, F.col("same") + 1, F.length(c)) for c in "xy"})
+    pairs = pairs.withColumn("same", agree(lambda c, n, s: F.substring(c, F.length(c) - n - s + 1, s)))
+    return pairs.withColumns({c: F.substring(c, F.lit(1), F.length(c) - F.col("same")) for c in "xy"}).drop("same")
+
+
 def within(x: Column, y: Column, edits: int) -> Column:
     """Whether two byte strings, not longer than each other by more than `edits`, are within `edits` edits.
 
@@ -159,34 +207,46 @@ def within(x: Column, y: Column, edits: int) -> Column:
     return end["dist"] <= edits
 
 
-def distinct_lines(docs: DataFrame, least: int, id_col: str, text_col: str) -> DataFrame:
+def distinct_lines(docs: DataFrame, row: str, least: int, id_col: str, text_col: str) -> DataFrame:
     """h1, h2, first place, times, bytes b and their number n of each distinct line; written once."""
-    lines = lines_of(docs, least, id_col, text_col)
+    lines = lines_of(docs, row, least, id_col, text_col)
     once = lines.groupBy(*LINE).agg(F.first("line").alias("line"), F.min(F.struct("doc_id", "row", "pos")).alias("first"), F.count("*").alias("times"))
     return written(once.select(*LINE, "first", "times", as_bytes(F.col("line")).alias("b"), F.octet_length("line").alias("n")), "lines")
 
 
-def near_pairs(distinct: DataFrame, edits: int) -> DataFrame:
-    """early, late: h1, h2 and first place of two distinct lines within `edits` edits, the earlier one first; written."""
+def near_lines(distinct: DataFrame, edits: int) -> DataFrame:
+    """h1, h2, first, n_links and near (whether a link leads to an earlier line) of each distinct line within `edits` edits of another; written."""
     pairs = candidate_pairs(distinct, edits)
     needed = written(pairs.select(F.explode(F.array("x", "y")).alias("h1")).distinct(), "line-needed")
     side = F.broadcast(needed) if needed.count() <= BROADCAST_LINES else needed
-    texts = written(distinct.join(side, "h1", "left_semi").select("h1", F.struct(*LINE, "first", "b").alias("p")), "line-texts")
-    both = pairs.join(texts.withColumnRenamed("h1", "x"), "x").join(texts.select(F.col("h1").alias("y"), F.col("p").alias("q")), "y")
-    near = both.filter(F.abs(F.length("p.b") - F.length("q.b")) <= edits).filter(within(F.col("p.b"), F.col("q.b"), edits))
-    ends = [F.struct(F.col(f"{c}.first"), F.col(f"{c}.h1"), F.col(f"{c}.h2")) for c in "pq"]
-    return written(near.select(F.least(*ends).alias("early"), F.greatest(*ends).alias("late")), "line-links")
-
-
-def removed_lines(docs: DataFrame, least: int = 20, edits: int = 2, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(doc_id, row, pos, near) of every line that goes, and the links of near_pairs; docs with _row."""
-    distinct = distinct_lines(docs, least, id_col, text_col)
-    links = near_pairs(distinct, edits)
-    late = links.select(F.col("late.h1").alias("h1"), F.col("late.h2").alias("h2")).distinct().withColumn("near", F.lit(True))
-    verdicts = distinct.select(*LINE, "first", "times").join(late, LINE, "left").filter("times > 1 OR near")
-    light = lines_of(docs, least, id_col, text_col).select("doc_id", "row", "pos", *LINE)
-    again = light.join(verdicts, LINE).select("doc_id", "row", "pos", F.coalesce("near", F.lit(False)).alias("near"), (F.struct("doc_id", "row", "pos") == F.col("first")).alias("is_first"))
-    return again.filter("near OR NOT is_first").select("doc_id", "row", "pos", "near"), links
+    texts = written(distinct.join(side, "h1", "left_semi").select("h1", "n", F.struct("first", *LINE).alias("line"), "b"), "line-texts")
+    longest = texts.agg(F.max("n")).first()[0] or 0
+    both = pairs.withColumnsRenamed({"x": "i", "y": "k"})
+    for end, name in (("i", "x"), ("k", "y")):
+        both = both.join(texts.select(F.col("h1").alias(end), F.col("line").alias(f"{name}_line"), F.col("b").alias(name)), end)
+    both = stripped(both.filter(F.abs(F.length("x") - F.length("y")) <= edits).select("x_line", "y_line", "x", "y"), longest)
+    near = F.when(F.greatest(F.length("x"), F.length("y")) <= edits, True).otherwise(within(F.col("x"), F.col("y"), edits))
+    links = both.filter(near).select(F.least("x_line", "y_line").alias("early"), F.greatest("x_line", "y_line").alias("late"))
+    ends = links.select(F.explode(F.array(F.struct(F.col("early").alias("line"), F.lit(False).alias("near")), F.struct(F.col("late").alias("line"), F.lit(True).alias("near")))).alias("e"))
+    found = ends.groupBy("e.line.h1", "e.line.h2").agg(F.min("e.line.first").alias("first"), F.count("*").alias("n_links"), F.max("e.near").alias("near"))
+    return written(found, "line-near")
+
+
+def removed_lines(docs: DataFrame, row: str, least: int, edits: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, row, pos, near) of every line that goes, and the rows of near_lines."""
+    distinct = distinct_lines(docs, row, least, id_col, text_col)
+    near = near_lines(distinct, edits)
+    verdicts = distinct.filter("times > 1").select(*LINE, "first").join(near.filter("near").select(*LINE, "near"), LINE, "left")
+    verdicts = verdicts.unionByName(near.filter("near").select(*LINE, "first", "near").join(distinct.filter("times > 1").select(*LINE), LINE, "left_anti"))
+    verdicts = written(verdicts.select(*LINE, "first", F.coalesce("near", F.lit(False)).alias("near")), "line-verdicts")
+    light = lines_of(docs, row, least, id_col, text_col).select("doc_id", "row", "pos", *LINE)
+    if verdicts.count() <= BROADCAST_LINES:
+        again = light.join(F.broadcast(verdicts), LINE)
+    else:
+        light = written(light.withColumn("run", F.spark_partition_id()), "line-places")
+        again = light.join(light.select("run", *LINE).distinct().join(verdicts, LINE), ["run", *LINE])
+    again = again.select("doc_id", "row", "pos", "near", (F.struct("doc_id", "row", "pos") == F.col("first")).alias("is_first"))
+    return again.filter("near OR NOT is_first").select("doc_id", "row", "pos", "near"), near
 
 
 def line_report(docs: DataFrame, least: int = 20, edits: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -195,11 +255,11 @@ def line_report(docs: DataFrame, least: int = 20, edits: int = 2, id_col: str =
     n_exact counts removed lines without an earlier line near to but different from them, n_near the other removed ones; n_links counts
     pairs of different lines of which one first stands in the document.
     """
-    docs = keyed(docs, id_col)
-    gone, links = removed_lines(docs, least, edits, id_col, text_col)
+    docs, row = keyed(docs.select(id_col, text_col), id_col)
+    gone, near = removed_lines(docs, row, least, edits, id_col, text_col)
     by_doc = gone.groupBy("doc_id", "row").agg(F.count_if(~F.col("near")).alias("n_exact"), F.count_if("near").alias("n_near"), F.array_join(F.sort_array(F.collect_list("pos")), ",").alias("removed"))
-    ends = links.select(F.explode(F.array("early.first", "late.first")).alias("f")).groupBy("f.doc_id", "f.row").agg(F.count("*").alias("n_links"))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col("_row").alias("row"), F.coalesce(F.size(F.split(F.col(text_col), "\n", -1)), F.lit(0)).cast("long").alias("n_lines"))
+    ends = near.groupBy("first.doc_id", "first.row").agg(F.sum("n_links").alias("n_links"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(row).alias("row"), F.coalesce(F.size(F.split(F.col(text_col), "\n", -1)), F.lit(0)).cast("long").alias("n_lines"))
     return _joined(_joined(rows, by_doc), ends).select(
         "doc_id", "n_lines", F.coalesce("n_exact", F.lit(0)).alias("n_exact"), F.coalesce("n_near", F.lit(0)).alias("n_near"), F.coalesce("removed", F.lit("")).alias("removed"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
@@ -211,10 +271,11 @@ def _joined(rows: DataFrame, more: DataFrame) -> DataFrame:
 
 def deduplicated(docs: DataFrame, least: int = 20, edits: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents, all columns, without the lines that go; documents that lose all their lines go too."""
-    columns, docs = docs.columns, keyed(docs, id_col)
-    gone, _ = removed_lines(docs, least, edits, id_col, text_col)
-    by_doc = gone.groupBy(F.col("doc_id").alias("_id"), F.col("row").alias("_of")).agg(F.collect_set("pos").alias("_gone"))
-    rows = docs.join(by_doc, F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_of")), "left")
-    stays = F.filter(F.split(F.col(text_col), "\n", -1), lambda _, i: ~F.array_contains(F.col("_gone"), i))
-    rows = rows.filter(F.col("_gone").isNull() | (F.size(stays) > 0))
-    return rows.withColumn(text_col, F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.array_join(stays, "\n"))).select(*columns)
+    columns, (docs, row) = docs.columns, keyed(docs, id_col)
+    of_id, of_row, places = (unused(c, docs) for c in ("_id", "_of", "_gone"))
+    gone, _ = removed_lines(docs, row, least, edits, id_col, text_col)
+    by_doc = gone.groupBy(F.col("doc_id").alias(of_id), F.col("row").alias(of_row)).agg(F.collect_set("pos").alias(places))
+    rows = docs.join(by_doc, F.col(id_col).cast("long").eqNullSafe(F.col(of_id)) & (F.col(row) == F.col(of_row)), "left")
+    stays = F.filter(F.split(F.col(text_col), "\n", -1), lambda _, i: ~F.array_contains(F.col(places), i))
+    rows = rows.filter(F.col(places).isNull() | (F.size(stays) > 0))
+    return rows.withColumn(text_col, F.when(F.col(places).isNull(), F.col(text_col)).otherwise(F.array_join(stays, "\n"))).select(*columns)

@@ -62,6 +62,33 @@ def test_bit_parallel_distance(spark, edits):
     assert df.filter("got <> want").count() == 0
 
 
+def test_common_ends_go(spark):
+    pairs = [("abcdef", "abXdef", "c", "X"), ("aaa", "aaaa", "", "a"), ("abab", "ab", "ab", ""), ("x", "y", "x", "y"), ("same", "same", "", ""), ("é1" * 40, "é1" * 19 + "é" + "é1" * 20, "1", "")]
+    df = spark.createDataFrame(pairs, "x string, y string, wx string, wy string")
+    assert all((r.x, r.y) == (r.wx, r.wy) for r in line_dedup.stripped(df, 100).collect())
+
+
+def test_lines_of_a_template(spark, monkeypatch):
+    """Numbered lines of one template, dealt over several cells of a crowded key and joined back by run."""
+    monkeypatch.setattr(line_dedup, "CROWD", 7)
+    monkeypatch.setattr(line_dedup, "BROADCAST_LINES", 0)
+    rng = random.Random(9)
+    texts = [(i, f"this is a line of the template, number {rng.randrange(10**6):06d}, and it ends here\nand {rng.randrange(100)} is a line that comes back") for i in range(120)]
+    want = brute_lines(texts, 20, 2)
+    report = {r.doc_id: r.removed for r in line_dedup.line_report(docs_of(spark, texts).repartition(4)).collect()}
+    assert {i: r for i, r in report.items() if r} == {i: ",".join(map(str, v)) for i, v in want.items()}
+
+
+def test_parities_share_a_part(spark):
+    rng, rows = random.Random(11), []
+    for _ in range(300):
+        a = "".join(rng.choice("abcdefgh ") for _ in range(rng.randint(2, 60)))
+        rows.append((a, mutated(rng, a, rng.randint(0, 2)).replace("é", "z") or "z"))
+    df = spark.createDataFrame(rows, "a string, b string").select(*[line_dedup.bigram_parities(F.col(c), 2).alias(c) for c in "ab"])
+    for r in df.filter("size(a) = 9").collect():
+        assert len(r.a) == len(r.b) == 9 and any(x == y for x, y in zip(r.a, r.b, strict=True)) and sum((x ^ y).bit_count() if x ^ y >= 0 else ((x ^ y) & (2**64 - 1)).bit_count() for x, y in zip(r.a, r.b, strict=True)) <= 8
+
+
 def brute_lines(texts, least, edits):
     """Removed positions by document."""
     places = [(i, k, x.encode()) for i, t in sorted(texts, key=lambda x: (x[0] is not None, x[0] or 0)) for k, x in enumerate((t or "").split("\n")) if t is not None and len(x.encode()) >= least]
@@ -203,9 +230,9 @@ def test_pruning_keeps_what_reaches_the_threshold():
 
 @given(st.text(st.sampled_from("abc  \n\t.,'sé1€ "), max_size=80))
 @settings(deadline=None, max_examples=300)
-def test_word_by_word_encoding_is_the_tokenizer(text):
+def test_encoding_by_ranks_is_the_tokenizer(text):
     encoder = packing.encoder_for(path("byte_bpe_50k.json"), path("byte_bpe_50k.tiktoken"))
-    assert np.frombuffer(encoder.encode(text), "<u4").tolist() == encoder.whole.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(encoder.encode(text.encode()), "<u4").tolist() == encoder.whole.encode(text, add_special_tokens=False).ids
 
 
 def check_packed(rows, lengths, capacity):
@@ -320,7 +347,7 @@ def test_rare_script_beside_a_million_words(spark):
     model = language_id.learned(spark.createDataFrame(rows, "lang string, text string"), path("byte_bpe_50k.tiktoken"))
     assert np.isfinite(model.probability).all() and model.probability.sum(axis=0) == pytest.approx([1, 1])
     asked = spark.createDataFrame([(0, "the the"), (1, "der und"), (2, run * 3)], "k int, text string")
-    got = {r.k: (r.p.lang_pred, r.p.score) for r in asked.select("k", language_id.prediction(model, F.col("text")).alias("p")).collect()}
+    got = {r.k: (r.lang_pred, r.score) for r in language_id.predicted(asked, model).collect()}
     vocabulary = language_id.rank_file_vocabulary(path("byte_bpe_50k.tiktoken"))
     logs = [plain_logs(b" " + (run * 3).encode(), dict(zip(vocabulary, c, strict=True))) for c in np.log(model.probability.T)]
     assert [got[k][0] for k in range(2)] == ["en", "de"] and got[2][0] == model.languages[int(np.argmax(logs))]
