@@ -1,15 +1,20 @@
 """Near-duplicate documents by MinHash bands and sequential Bayesian verification.
 
-1. Each text becomes its set of word shingles (64-bit hashes) and 252 minimum hashes, of which 36 bands
-   of 7 are kept. Equal sets (a digest of 128 bits) are one node from here on, so copies cost nothing.
-2. Nodes that share a band with the band's smallest node are candidates of each other; their
-   connected components are the candidate groups. Links are one to a node and band, never all pairs.
-3. Inside a group pairs are compared by batches of signature positions. After each batch the posterior
+1. Each text becomes its set of word shingles (64-bit hashes) and 252 minimum hashes, which make up 36 bands
+   of 7; their last 8 bits are the signature. Equal sets (a digest of 128 bits) are one node from here on, so copies cost nothing.
+2. Nodes that share a band are candidates. Bands with the same nodes are one bucket; a large bucket is dealt into blocks of
+   bounded size, otherwise for each band.
+3. In each block pairs are compared by batches of signature positions. After each batch the posterior
    of the similarity (uniform prior, binomial matches) gives the chance that the pair reaches the threshold;
-   a pair whose chance is under `miss` is dropped. What is left is verified on the full sets. A pair
-   that is connected already needs no comparison, and only links that connect something are returned, so the
-   output is linear. A large group is dealt into blocks of bounded size and every pair of blocks is compared.
-4. Components of the verified links are the classes.
+   a pair whose chance is under `miss` is dropped. Of what is left a forest is handed on, never all pairs, and its
+   pairs are verified on the full sets. The components of the verified links are classes to start with.
+4. Buckets whose nodes are all in one class are done. In the others signatures are compared again, between classes and between
+   all blocks; nodes of pairs that are left after the last batch are compared on the full sets in each bucket, block by block.
+   Only links that connect something are returned, so the output is linear. No pair with a common band that could
+   reach the threshold goes without a verification, unless it is connected already.
+5. Components of all verified links are the classes.
+
+Signatures are what is shuffled; texts go to the pairs of the forest and to what step 4 leaves.
 
 Words are `[^\\x20\\x09-\\x0D]+` of the text with A-Z lower-cased. A text with fewer words than a shingle has its
 whole sequence as its only shingle; one without words has an empty set and is linked with nothing.
@@ -30,14 +35,16 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tallymart.llm.common import written
+from tallymart.llm.common import by_run, unused, written
 from tallymart.llm.components import components
 
 BANDS, ROWS, BATCH = 36, 7, 36
 HASHES = BANDS * ROWS
-#: A block of a candidate group: documents and shingles, about.
+#: A block of a bucket: documents and shingles, about.
 BLOCK_DOCS, BLOCK_SHINGLES = 2_000, 1_000_000
-#: Candidates (two numbers, a digest and three small integers each) that may be broadcast; beyond it the join shuffles.
+#: Rows of signatures that a task compares, about.
+ROWS_A_TASK = 20_000
+#: Buckets, candidates or classes (some numbers each) that may be broadcast; beyond it the join shuffles.
 BROADCAST_CANDIDATES = 400_000
 
 _rng = np.random.default_rng(20240)
@@ -72,27 +79,26 @@ def signature(found: np.ndarray) -> np.ndarray:
 
 
 def sketched(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, seen (hash of the text), n_shingles, node (digest of the set, null if empty), bands."""
+    """run, doc_id, seen (hash of the text), n_shingles, h and i (digest of the set, null if empty), bands, sig."""
+    kinds = {"run": pa.int32(), "doc_id": pa.int64(), "seen": pa.int64(), "n_shingles": pa.int64(), "h": pa.int64(), "i": pa.int64(), "bands": pa.list_(pa.int64()), "sig": pa.binary()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts, first, second, bands = [], [], [], []
-            for text in batch.column(2).cast(pa.large_binary()):
+            rows = []
+            for text in batch.column(3).cast(pa.large_binary()):
                 found = shingles(text.as_py(), width)
-                counts.append(len(found))
                 if not len(found):
-                    first.append(None), second.append(None), bands.append([])
+                    rows.append((0, None, None, [], None))
                     continue
                 digest = xxhash.xxh3_128_digest(found.tobytes())
-                first.append(int.from_bytes(digest[:8], "little", signed=True))
-                second.append(int.from_bytes(digest[8:], "little", signed=True))
-                cut = signature(found).reshape(BANDS, ROWS)
-                bands.append([xxhash.xxh3_64_intdigest(cut[b].tobytes(), seed=b) - 2**63 for b in range(BANDS)])
-            node = pa.StructArray.from_arrays([pa.array(first, pa.int64()), pa.array(second, pa.int64())], names=["h", "i"], mask=pa.array([x is None for x in first]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(counts, pa.int64()), node, pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "seen", "n_shingles", "node", "bands"])
+                sig = signature(found)
+                cut = sig.reshape(BANDS, ROWS)
+                rows.append((len(found), int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True), [xxhash.xxh3_64_intdigest(cut[b].tobytes(), seed=b) - 2**63 for b in range(BANDS)], sig.astype(np.uint8).tobytes()))
+            made = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), list(kinds.values())[3:], strict=True)] if rows else [pa.array([], t) for t in list(kinds.values())[3:]]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *made], names=list(kinds))
 
-    light = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("seen"), F.col(text_col).alias("text"))
-    return light.mapInArrow(run, "doc_id long, seen long, n_shingles long, node struct<h:long,i:long>, bands array<long>")
+    light = docs.select(F.spark_partition_id().alias("run"), F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("seen"), F.col(text_col).alias("text"))
+    return light.mapInArrow(run, "run int, doc_id long, seen long, n_shingles long, h long, i long, bands array<long>, sig binary")
 
 
 def least_matches(threshold: float, miss: float) -> list[int]:
@@ -112,25 +118,55 @@ def least_matches(threshold: float, miss: float) -> list[int]:
     return out
 
 
-def connecting(sets: list[np.ndarray], sigs: np.ndarray, part: np.ndarray, percent: int, needed: list[int]) -> list[tuple[int, int]]:
-    """Verified links that connect. part: 0 and 1 for the two blocks compared, or all alike for one block with itself."""
-    n = len(sets)
+def left_over(sigs: np.ndarray, sizes: np.ndarray, x: int, rest: np.ndarray, percent: int, needed: list[int]) -> np.ndarray:
+    """Those of rest that may reach the threshold with x, by their sizes and batch by batch by their signatures."""
+    small, large = np.minimum(sizes[rest], sizes[x]), np.maximum(sizes[rest], sizes[x])
+    rest = rest[100 * small >= percent * large]
+    matches = np.zeros(len(rest), np.int64)
+    for k, least in enumerate(needed):
+        if not len(rest):
+            break
+        at = slice(k * BATCH, (k + 1) * BATCH)
+        matches += (sigs[rest, at] == sigs[x, at]).sum(axis=1)
+        rest, matches = rest[matches >= least], matches[matches >= least]
+    return rest
+
+
+def others(cls: np.ndarray, part: np.ndarray, x: int) -> np.ndarray:
+    """Rows before x of other classes; with two blocks, those of the other block."""
+    free = cls[:x] != cls[x]
+    return np.flatnonzero(free & (part[:x] != part[x]) if part.min() != part.max() else free)
+
+
+def forest(sigs: np.ndarray, sizes: np.ndarray, percent: int, needed: list[int]) -> list[tuple[int, int]]:
+    """Pairs that signatures leave over, as few as connect all that they connect; the nearest row is taken, so that no row is in many."""
+    cls, part, pairs = np.arange(len(sigs)), np.zeros(len(sigs), np.int8), []
+    for x in range(1, len(sigs)):
+        for y in left_over(sigs, sizes, x, others(cls, part, x), percent, needed)[::-1]:
+            if cls[y] != cls[x]:
+                pairs.append((int(y), x))
+                cls[cls == cls[x]] = cls[y]
+    return pairs
+
+
+def unsettled(sigs: np.ndarray, sizes: np.ndarray, cls: np.ndarray, part: np.ndarray, percent: int, needed: list[int]) -> np.ndarray:
+    """Whether a row is in a pair of two classes that signatures leave over."""
+    found = np.zeros(len(sigs), bool)
+    for x in range(1, len(sigs)):
+        rest = left_over(sigs, sizes, x, others(cls, part, x), percent, needed)
+        found[rest] = True
+        found[x] |= len(rest) > 0
+    return found
+
+
+def connecting(sets: list[np.ndarray], sigs: np.ndarray, cls: np.ndarray, part: np.ndarray, percent: int, needed: list[int]) -> list[tuple[int, int]]:
+    """Verified links that connect classes. part: 0 and 1 for the two blocks compared, or all alike for one block with itself."""
     sizes = np.array([len(s) for s in sets])
     known, flat = np.unique(np.concatenate(sets), return_inverse=True)
     starts = np.r_[0, np.cumsum(sizes)[:-1]]
-    cls, mark, links = np.arange(n), np.zeros(len(known), bool), []
-    across = part.min() != part.max()
-    for x in range(1, n):
-        rest = np.flatnonzero((cls[:x] != cls[x]) & (part[:x] != part[x])) if across else np.flatnonzero(cls[:x] != cls[x])
-        small, large = np.minimum(sizes[rest], sizes[x]), np.maximum(sizes[rest], sizes[x])
-        rest = rest[100 * small >= percent * large]
-        matches = np.zeros(len(rest), np.int64)
-        for k, least in enumerate(needed):
-            if not len(rest):
-                break
-            at = slice(k * BATCH, (k + 1) * BATCH)
-            matches += (sigs[rest, at] == sigs[x, at]).sum(axis=1)
-            rest, matches = rest[matches >= least], matches[matches >= least]
+    cls, mark, links = cls.copy(), np.zeros(len(known), bool), []
+    for x in range(1, len(sets)):
+        rest = left_over(sigs, sizes, x, others(cls, part, x), percent, needed)
         if not len(rest):
             continue
         own = flat[starts[x] : starts[x] + sizes[x]]
@@ -144,25 +180,148 @@ def connecting(sets: list[np.ndarray], sigs: np.ndarray, part: np.ndarray, perce
     return links
 
 
-def verified_links(texts: DataFrame, width: int, percent: int, miss: float) -> DataFrame:
-    """texts: spread, root, one, other, side, node, text. Links a, b between nodes."""
-    needed = least_matches(percent / 100, miss)
+def classes_of(group: pd.DataFrame) -> np.ndarray:
+    """A number for each class of a group's rows."""
+    return group.groupby(["root_h", "root_i"], sort=False).ngroup().to_numpy()
+
+
+def signatures_of(group: pd.DataFrame) -> np.ndarray:
+    return np.frombuffer(b"".join(group["sig"]), np.uint8).reshape(len(group), HASHES)
+
+
+LINKS = "ah long, ai long, bh long, bi long"
+
+
+def pairs_of(group: pd.DataFrame, pairs: list[tuple[int, int]]) -> list[tuple[int, int, int, int]]:
+    keys = list(zip(group["h"].tolist(), group["i"].tolist(), strict=True))
+    return [(*keys[a], *keys[b]) for a, b in pairs]
+
+
+def first_pairs(rows: DataFrame, percent: int, needed: list[int]) -> DataFrame:
+    """rows: spread, band, block, h, i, n, sig. Pairs to be verified, from each block of each bucket."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
-        nodes = [(r["h"], r["i"]) for r in pdf["node"]]
-        pdf = pdf.assign(key=nodes).drop_duplicates(["key", "root_h", "root_i", "side"])
-        for _, group in pdf.groupby(["root_h", "root_i"], sort=False):
-            if len(group) < 2:
-                continue
-            sets = [shingles(t.encode(), width) for t in group["text"]]
-            sigs = np.array([signature(s) for s in sets]).astype(np.uint8)
-            keys = group["key"].tolist()
-            out += [(*keys[a], *keys[b]) for a, b in connecting(sets, sigs, group["side"].to_numpy(), percent, needed)]
+        for _, group in pdf.groupby(["band", "block"], sort=False):
+            if len(group) > 1:
+                out += pairs_of(group, forest(signatures_of(group), group["n"].to_numpy(), percent, needed))
         return pd.DataFrame(out, columns=["ah", "ai", "bh", "bi"])
 
-    found = texts.groupBy("spread", "one", "other").applyInPandas(run, "ah long, ai long, bh long, bi long")
-    return found.select(F.struct(F.col("ah").alias("h"), F.col("ai").alias("i")).alias("a"), F.struct(F.col("bh").alias("h"), F.col("bi").alias("i")).alias("b"))
+    return rows.groupBy("spread").applyInPandas(run, LINKS)
+
+
+def still_open(rows: DataFrame, percent: int, needed: list[int]) -> DataFrame:
+    """rows: spread, band, one, other, side, h, i, n, sig, root_h, root_i. band, h, i of the nodes of pairs left over between classes."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for _, group in pdf.groupby(["band", "one", "other"], sort=False):
+            if len(group) > 1:
+                out.append(group.loc[unsettled(signatures_of(group), group["n"].to_numpy(), classes_of(group), group["side"].to_numpy(), percent, needed), ["band", "h", "i"]])
+        return pd.concat(out) if out else pdf.loc[:, ["band", "h", "i"]].head(0)
+
+    return rows.groupBy("spread").applyInPandas(run, "band long, h long, i long").distinct()
+
+
+def last_links(texts: DataFrame, width: int, percent: int, needed: list[int]) -> DataFrame:
+    """texts: spread, band, one, other, side, h, i, root_h, root_i, text. Verified links between classes."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for _, group in pdf.groupby(["band", "one", "other"], sort=False):
+            if len(group) > 1:
+                sets = [shingles(t.encode(), width) for t in group["text"]]
+                sigs = np.array([signature(s) for s in sets]).astype(np.uint8)
+                out += pairs_of(group, connecting(sets, sigs, classes_of(group), group["side"].to_numpy(), percent, needed))
+        return pd.DataFrame(out, columns=["ah", "ai", "bh", "bi"])
+
+    return texts.groupBy("spread").applyInPandas(run, LINKS)
+
+
+def verified(pairs: DataFrame, width: int, percent: int) -> DataFrame:
+    """pairs with text_a and text_b: those whose sets reach the threshold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for a, b in zip(batch.column(4).cast(pa.large_binary()), batch.column(5).cast(pa.large_binary()), strict=True):
+                a, b = shingles(a.as_py(), width), shingles(b.as_py(), width)
+                common = len(np.intersect1d(a, b, assume_unique=True))
+                keep.append(100 * common >= percent * (len(a) + len(b) - common))
+            yield batch.select(["ah", "ai", "bh", "bi"]).filter(pa.array(keep, pa.bool_()))
+
+    return pairs.select("ah", "ai", "bh", "bi", "text_a", "text_b").mapInArrow(run, LINKS)
+
+
+def linked(links: DataFrame) -> DataFrame:
+    """Links as two structs."""
+    return links.select(F.struct(F.col("ah").alias("h"), F.col("ai").alias("i")).alias("a"), F.struct(F.col("bh").alias("h"), F.col("bi").alias("i")).alias("b"))
+
+
+def small(df: DataFrame) -> DataFrame:
+    """A written table, marked for a broadcast if it has few rows."""
+    return F.broadcast(df) if df.count() <= BROADCAST_CANDIDATES else df
+
+
+def in_cells(rows: DataFrame, blocks: str) -> DataFrame:
+    """rows (band, h, i) once for each pair of blocks that their own is in: one, other, and side (0 or 1) in it."""
+    own = F.pmod(F.xxhash64("h", "i", "band"), F.col(blocks)).cast("int")
+    to = rows.withColumn("block", own).withColumn("to", F.explode(F.sequence(F.lit(0), F.col(blocks) - 1)))
+    return to.withColumns({"one": F.least("block", "to"), "other": F.greatest("block", "to"), "side": (F.col("block") > F.col("to")).cast("int")}).drop("block", "to")
+
+
+def spread(rows: DataFrame, n: int, *keys: str) -> DataFrame:
+    """rows with a number that keeps groups by keys together, in so many tasks that each has about n / ROWS_A_TASK of them."""
+    return rows.withColumn("spread", F.pmod(F.xxhash64(*keys), F.lit(max(16, -(-n // ROWS_A_TASK)))))
+
+
+def near_links(nodes: DataFrame, texts: DataFrame, width: int, percent: int, miss: float) -> DataFrame:
+    """Verified links between nodes. nodes: h, i, doc_id, seen, n, bands, sig; texts: doc_id, seen, text."""
+    needed, bucket = least_matches(percent / 100, miss), F.xxhash64("h", "i")
+    keys = nodes.select("h", "i", F.explode("bands").alias("band"))
+    buckets = keys.groupBy("band").agg(F.count("*").alias("size"), F.sum(bucket.cast("decimal(20,0)")).alias("sum"), F.bit_xor(bucket).alias("xor")).filter("size > 1")
+    buckets = buckets.groupBy("size", "sum", "xor").agg(F.min("band").alias("band")).select("band", "size", F.ceil(F.col("size") / BLOCK_DOCS).cast("int").alias("blocks"))
+    buckets = written(buckets, "near-buckets")
+    members = written(keys.join(small(buckets), "band"), "near-members")
+    total = members.count()
+    of_node = nodes.select("h", "i", "n", "sig")
+    rows = members.join(of_node, ["h", "i"]).withColumn("block", F.pmod(bucket.bitwiseXOR(F.col("band")), F.col("blocks")))
+    pairs = written(first_pairs(spread(rows, total, "band", "block"), percent, needed).distinct(), "near-pairs")
+
+    # The texts of the forest's pairs.
+    place = nodes.select("h", "i", "doc_id", "seen")
+    wanted = written(pairs.selectExpr("explode(array(struct(ah AS h, ai AS i), struct(bh AS h, bi AS i))) AS k").select("k.h", "k.i").distinct().join(place, ["h", "i"]), "near-wanted")
+    found = written(with_text(wanted, texts), "near-texts")
+    both = pairs
+    for end in "ab":
+        both = both.join(found.select(F.col("h").alias(f"{end}h"), F.col("i").alias(f"{end}i"), F.col("text").alias(f"text_{end}")), [f"{end}h", f"{end}i"])
+    links = written(linked(verified(both, width, percent)), "near-links")
+    classes = components(links).select(F.col("node.h").alias("h"), F.col("node.i").alias("i"), F.col("root.h").alias("root_h"), F.col("root.i").alias("root_i"))
+
+    # Buckets with several classes: what signatures leave over between them, on the full sets.
+    root = [F.coalesce(f"root_{c}", c).alias(f"root_{c}") for c in "hi"]
+    placed = members.join(classes, ["h", "i"], "left").select("band", "h", "i", "blocks", *root)
+    several = placed.groupBy("band").agg((F.min(F.struct("root_h", "root_i")) != F.max(F.struct("root_h", "root_i"))).alias("several")).filter("several").select("band")
+    placed = written(placed.join(small(written(several, "near-several")), "band"), "near-placed")
+    rows = in_cells(placed, "blocks").join(of_node, ["h", "i"])
+    left = written(still_open(spread(rows, placed.count(), "band", "one", "other"), percent, needed), "near-left")
+    left = left.join(nodes.select("h", "i", "n", "doc_id", "seen"), ["h", "i"])
+    sizes = left.groupBy("band").agg(F.ceil(F.greatest(F.count("*") / BLOCK_DOCS, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"), F.sum("n").alias("shingles"))
+    sizes = written(sizes, "near-sizes")
+    cells = in_cells(left.join(small(sizes.select("band", "blocks")), "band").join(placed.select("band", "h", "i", "root_h", "root_i"), ["band", "h", "i"]), "blocks")
+    shingles_left = sizes.agg(F.coalesce(F.sum(F.col("shingles") * F.col("blocks")), F.lit(0))).first()[0]
+    cells = spread(cells, shingles_left * ROWS_A_TASK // BLOCK_SHINGLES, "band", "one", "other")
+    more = linked(last_links(with_text(written(cells, "near-cells"), texts), width, percent, needed))
+    return links.unionByName(more)
+
+
+def with_text(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """rows (doc_id, seen) with the text they were seen in, once each: repeated documents are left out."""
+    once = texts.withColumnsRenamed({"doc_id": "_id", "seen": "_seen"})
+    wanted = rows.select("doc_id", "seen").distinct()
+    found = once.join(wanted, (F.col("seen") == F.col("_seen")) & F.col("doc_id").eqNullSafe(F.col("_id"))).groupBy("doc_id", "seen").agg(F.first("text").alias("text"))
+    found = found.withColumnsRenamed({"doc_id": "_id", "seen": "_seen"})
+    return rows.join(found, (F.col("seen") == F.col("_seen")) & F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id", "_seen")
 
 
 def near_classes(docs: DataFrame, width: int = 5, percent: int = 80, miss: float = 1e-4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -171,39 +330,23 @@ def near_classes(docs: DataFrame, width: int = 5, percent: int = 80, miss: float
     percent: least similarity of a link in hundredths. miss: posterior chance under which a candidate pair is dropped.
     """
     all_docs = written(sketched(docs, width, id_col, text_col), "near-sketches")
-    nodes = written(
-        all_docs.filter("n_shingles > 0").groupBy("node").agg(F.min(F.struct("doc_id", "seen")).alias("from"), F.first("bands").alias("bands"), F.first("n_shingles").alias("n")), "near-nodes"
-    )
-    keys = nodes.select("node", F.explode("bands").alias("band"))
-    buckets = keys.groupBy("band").agg(F.min("node").alias("a"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    groups = components(keys.join(buckets, "band").select("a", F.col("node").alias("b")))
-
-    # Blocks: how many a group is dealt into follows from its documents and shingles.
-    members = groups.join(nodes.select("node", "from", "n"), "node")
-    blocks = F.ceil(F.greatest(F.col("docs") / BLOCK_DOCS, F.col("shingles") / BLOCK_SHINGLES)).cast("int")
-    totals = members.groupBy("root").agg(F.count("*").alias("docs"), F.sum("n").alias("shingles")).select("root", blocks.alias("blocks"))
-    dealt = written(members.join(totals, "root").select("node", "root", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"), F.col("from.doc_id").alias("_id"), F.col("from.seen").alias("_seen"), "n"), "near-candidates")
-    size = dealt.agg(F.count("*").alias("docs"), F.coalesce(F.sum("n"), F.lit(0)).alias("shingles")).first()
-    spread = max(64, math.ceil(size["shingles"] / BLOCK_SHINGLES))
-    side = F.broadcast(dealt) if size["docs"] <= BROADCAST_CANDIDATES else dealt
-    text = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("seen"))
-    cells = F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))
-    texts = text.join(side, (F.col("seen") == F.col("_seen")) & F.col("doc_id").eqNullSafe(F.col("_id"))).withColumn("to", F.explode(cells))
-    texts = texts.select(
-        F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("root"), F.lit(spread))).otherwise(F.xxhash64("root")).alias("spread"),
-        F.least("block", "to").alias("one"), F.greatest("block", "to").alias("other"), (F.col("block") > F.col("to")).cast("int").alias("side"),
-        F.col("root.h").alias("root_h"), F.col("root.i").alias("root_i"), "node", "text",
-    )
-    classes = components(verified_links(texts, width, percent, miss))
-
-    own = all_docs.select("doc_id", "n_shingles", "node").join(classes, "node", "left").select("doc_id", "n_shingles", "node", F.coalesce("root", "node").alias("class"))
-    least = own.filter("class IS NOT NULL").groupBy("class").agg(F.min("doc_id").alias("least"))
-    rows = own.join(least, "class", "left").select("doc_id", "n_shingles", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
+    from_doc = F.min(F.struct("doc_id", "seen"))
+    nodes = all_docs.filter("n_shingles > 0").groupBy("h", "i").agg(from_doc.alias("from"), F.min("doc_id").alias("least"), F.first("bands").alias("bands"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n"))
+    nodes = written(nodes.select(F.spark_partition_id().alias("run"), "h", "i", "from.doc_id", "from.seen", "least", "n", "bands", "sig"), "near-nodes")
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("seen"), F.col(text_col).alias("text"))
+    classes = components(near_links(nodes.drop("run", "least"), texts, width, percent, miss))
+    classes = written(classes.select(F.col("node.h").alias("h"), F.col("node.i").alias("i"), F.struct("root.h", "root.i").alias("root")), "near-classes")
+
+    own = written(nodes.select("run", "h", "i", "least").join(small(classes), ["h", "i"], "left").withColumn("root", F.coalesce("root", F.struct("h", "i"))), "near-own")
+    best = written(own.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("k")).filter("k > 1").drop("k"), "near-best")
+    of_node = by_run(own, ["root"], best, "left").select("h", "i", F.coalesce("component_id", "least").alias("component_id"))
+    rows = by_run(all_docs.select("run", "doc_id", "n_shingles", "h", "i"), ["h", "i"], of_node, "left")
+    rows = rows.select("doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
     return rows.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that are their class's smallest identifier, all columns."""
-    stays = near_classes(docs, width, percent, id_col=id_col, text_col=text_col).filter("kept").select(F.col("doc_id").alias("_stays"))
-    return docs.join(stays, F.col(id_col).eqNullSafe(F.col("_stays")), "left_semi")
-
+    stays = unused("_stays", docs)
+    kept = near_classes(docs, width, percent, id_col=id_col, text_col=text_col).filter("kept").select(F.col("doc_id").alias(stays)).distinct()
+    return docs.join(kept, F.col(id_col).eqNullSafe(F.col(stays)), "left_semi")
