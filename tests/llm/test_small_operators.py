@@ -156,15 +156,35 @@ def test_piece_counts_of_documents(spark):
 
 
 def test_arc_versions_and_lengths():
-    records = [("http://a/b%20c", "20010203040506", "text/html", b"HTTP/1.1 200 OK\r\n\r\nline\nWARC/1.1 \x00\xff\n\n"), ("urn:null", "20010203040507", "text/html", b"")]
+    records = [("http://a/b%20c", "20010203040506", "text/html", b"HTTP/1.1 200 OK\r\n\r\nline\nWARC/1.1 \x00\xff\n\n"), ("urn:null", "20010203040507", "text/html", b""), ("http://a b", "20010203040508", "text/html; charset=x", b"1 2 3\n")]
     for version in (1, 2):
-        got = list(archives.read_arc_bytes(archives.arc_bytes(version, "x.arc", iter(records))))
-        assert [(r.url, r.date, r.mime, r.block) for r in got] == records
+        first, *got = archives.read_arc_bytes(archives.arc_bytes(version, "x.arc", iter(records)))
+        assert [(r.url, r.date, r.mime, r.block) for r in got] == records and first.block == archives.HEAD[version]
+        assert got[0].more == ({"ARC-Result-Code": "200"} if version == 2 else {})
     broken = archives.arc_bytes(1, "x.arc", iter(records))
-    with pytest.raises(ValueError):
-        list(archives.read_arc_bytes(broken[:-20]))
-    with pytest.raises(ValueError):
-        list(archives.read_arc_bytes(broken.replace(b"http://a/b%20c", b"http://a/b c")))
+    for data in (broken[:-20], broken.replace(b" 20010203040506 ", b" 2001 "), broken.replace(b"1 0 tallymart", b"7 0 tallymart")):
+        with pytest.raises(ValueError):
+            list(archives.read_arc_bytes(data))
+
+
+def test_warc_fields(spark):
+    """A version 2 file with a page, its copy and a capture without HTTP, all told apart; a version 1 file with an equal payload."""
+    page = b"HTTP/1.1 200 OK\r\nServer: x\r\n\r\nsame payload"
+    made = [("http://a/1", "20010203040506", "text/html", page), ("dns:a", "20010203040507", "text/dns", b"a 1 IN A 1.2.3.4"), ("http://a/1", "20010203040506", "text/html", page)]
+    two = archives.arc_bytes(2, "two.arc", iter(made)).replace(b"dns:a 0.0.0.0", b"dns:a 9.9.9.9").replace(b"200 - - ", b"404 abc http://b ")
+    one = archives.arc_bytes(1, "one.arc", iter(made[:1]))
+    df = spark.createDataFrame([("two.arc", bytearray(two)), ("one.arc", bytearray(one))], "name string, content binary").repartition(2)
+    got = [next(archives.read_warc_bytes(r.record.encode() + b"\r\n\r\n")) for r in archives.arc_to_warc(df).collect()]
+    kinds = Counter(h["warc-type"] for h, _ in got)
+    assert kinds == {"warcinfo": 2, "response": 1, "revisit": 2, "resource": 1} and len({h["warc-record-id"] for h, _ in got}) == 6
+    info = {h["warc-filename"]: h["warc-record-id"] for h, _ in got if h["warc-type"] == "warcinfo"}
+    dns = next(h for h, _ in got if h["warc-type"] == "resource")
+    assert (dns["content-type"], dns["warc-ip-address"], dns["arc-result-code"], dns["arc-checksum"], dns["arc-location"], dns["warc-warcinfo-id"]) == ("text/dns", "9.9.9.9", "404", "abc", "http://b", info["two.arc"])
+    whole = next(h for h, _ in got if h["warc-type"] == "response")
+    for h, block in got:
+        if h["warc-type"] == "revisit":
+            assert (h["warc-refers-to"], h["warc-refers-to-target-uri"], h["warc-refers-to-date"], h["warc-payload-digest"]) == (whole["warc-record-id"], "http://a/1", "2001-02-03T04:05:06Z", whole["warc-payload-digest"])
+            assert block.endswith(b"\r\n\r\n") and b"payload" not in block
 
 
 def test_warc_round_trip(spark):
@@ -181,6 +201,16 @@ def test_warc_round_trip(spark):
     assert archives.archived(df.limit(0)).count() == 0
 
 
+def test_warc_decisions_without_a_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(archives, "BROADCAST_REVISITS", 0)
+    df = spark.range(2000).selectExpr("id AS page_id", "concat('http://', id) AS url", "IF(id % 3 = 0, 'hot', concat('p', id % 900)) AS html").repartition(5)
+    got = archives.archived(df).selectExpr("count(*)", "count_if(record_type = 'response')", "count_if(payload_digest = '%s' AND refers_to = 1998)" % archives.sha1(b"hot")).first()
+    top = {}
+    for i in range(2000):
+        top["hot" if i % 3 == 0 else i % 900] = i
+    assert got[:] == (2000, len(top), 666)
+
+
 # Quality rules.
 
 
