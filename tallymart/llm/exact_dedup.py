@@ -1,11 +1,11 @@
 """Exact deduplication by a tree merge of sorted digest runs.
 
-Every input partition becomes a run: one entry for each distinct text in it, with the digest, a
-verification (length in bytes and a second, independent 64-bit hash), the best row and the number
-of rows. In each round the runs r, r + s, r + 2s, ... of a block of `fan_in` meet (s grows by that
-factor: `log2(fan_in)` binomial rounds at once) and are merged by a multiway merge of sorted
-sequences; entries agree only if digest and verification agree. The digest space is cut into
-buckets of bounded size, so no task ever holds more than `fan_in` runs of one bucket, and a text with
+Every input partition becomes a run, or several where there are few partitions: one entry for each distinct text in it, with
+the digest, a verification (length in bytes and a second, independent 64-bit hash), the best row and the number
+of rows, sorted by digest. A run is a row for each bucket of the digest space with its sorted entries, so it stays sorted on its way.
+In each round the runs r, r + s, r + 2s, ... of a block of `fan_in` meet and are merged by a multiway merge of sorted
+sequences; with a fan-in of 2, s doubles each round (binomial rounds). Entries agree only if digest and verification agree: that
+is what equal texts are here. Buckets are of bounded size, so no task ever holds more than `fan_in` runs of one bucket, and a text with
 any number of copies is one entry a run from the start: there is no hot group.
 
 Defined cases: a null text counts as empty (all empty texts are one group). Of equal texts the row
@@ -19,13 +19,15 @@ from __future__ import annotations
 import heapq
 from itertools import groupby
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tallymart.llm.common import written
+from tallymart.llm.common import by_run, unused, written
 
-ENTRY = "digest string, n_bytes long, second long, has_id boolean, best_id long, best_row long, copies long"
+ENTRY = {"digest": "string", "n_bytes": "long", "second": "long", "has_id": "boolean", "best_id": "long", "best_row": "long", "copies": "long"}
 KEY = ["digest", "n_bytes", "second"]
+#: Runs that there are at least, whatever the number of partitions.
+LEAST_RUNS = 8
 
 
 def merge_runs(runs: list[list[tuple]]) -> list[tuple]:
@@ -39,42 +41,50 @@ def merge_runs(runs: list[list[tuple]]) -> list[tuple]:
 
 def digest_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row for each document: run, row, identifier, digest and verification; written once."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    text, parts = F.coalesce(F.col(text_col), F.lit("")), F.lit(-(-LEAST_RUNS // max(1, docs.rdd.getNumPartitions())))
     light = docs.select(
-        F.spark_partition_id().alias("run"),
+        F.spark_partition_id().alias("part"),
         F.monotonically_increasing_id().alias("row"),
         F.col(id_col).cast("long").alias("id"),
         F.sha2(text, 256).alias("digest"),
         F.octet_length(text).cast("long").alias("n_bytes"),
         F.xxhash64(F.lit("second"), text).alias("second"),
     )
-    return written(light, "digest-runs")
+    return written(light.withColumn("run", (F.col("part") * parts + F.pmod("row", parts)).cast("int")).drop("part"), "digest-runs")
 
 
-def winners(runs: DataFrame, fan_in: int = 16, bucket_rows: int = 50_000) -> tuple[DataFrame, DataFrame]:
-    """(entries of each run, entries of the merged run). bucket_rows: entries of one run and bucket, about."""
-    entries = runs.groupBy("run", *KEY).agg(
-        F.max(F.struct(F.col("id").isNotNull().alias("has_id"), F.coalesce("id", F.lit(0)).alias("best_id"), F.col("row").alias("best_row"))).alias("b"),
-        F.count("*").alias("copies"),
-    ).select("run", *KEY, "b.has_id", "b.best_id", "b.best_row", "copies")
-    seen = runs.agg(F.max("run").alias("last"), F.count("*").alias("n")).first()
-    n_runs, buckets = (seen["last"] or 0) + 1, max(16, -(-seen["n"] // bucket_rows))
+def sorted_runs(runs: DataFrame, buckets: int) -> DataFrame:
+    """run, bucket, entries: the distinct texts of each run and bucket with their best row and number, sorted."""
+    best = F.max(F.struct(F.col("id").isNotNull().alias("has_id"), F.coalesce("id", F.lit(0)).alias("best_id"), F.col("row").alias("best_row")))
+    entries = runs.groupBy("run", *KEY).agg(best.alias("b"), F.count("*").alias("copies")).select("run", F.struct(*KEY, "b.has_id", "b.best_id", "b.best_row", "copies").alias("entry"))
+    return entries.groupBy("run", F.pmod(F.xxhash64("entry.digest"), F.lit(buckets)).alias("bucket")).agg(F.sort_array(F.collect_list("entry")).alias("entries"))
+
+
+def merged_runs(runs: DataFrame, n_runs: int, fan_in: int) -> DataFrame:
+    """run, bucket, entries to the same with one run: rounds in which blocks of fan_in runs are merged."""
+    kinds = {"string": pa.string(), "long": pa.int64(), "boolean": pa.bool_()}
+    entries = pa.list_(pa.struct([(n, kinds[t]) for n, t in ENTRY.items()]))
 
-    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        cols = ["digest", "n_bytes", "second", "has_id", "best_id", "best_row", "copies"]
-        parts = [sorted(zip(*(g[c].tolist() for c in cols), strict=True)) for _, g in pdf.groupby("run")]
-        return pd.DataFrame(merge_runs(parts), columns=cols).assign(run=int(pdf["run"].iloc[0]) // fan_in)
+    def merge(table: pa.Table) -> pa.Table:
+        parts = [list(zip(*(cell.values.field(n).to_pylist() for n in ENTRY), strict=True)) for cell in table.column("entries").cast(entries).combine_chunks()]
+        out = [dict(zip(ENTRY, e, strict=True)) for e in merge_runs(parts)]
+        return pa.table({"run": pa.array([table.column("run")[0].as_py() // fan_in], pa.int32()), "bucket": table.column("bucket").slice(0, 1), "entries": pa.array([out], entries)})
 
-    merged = entries.select("run", *[c.split()[0] for c in ENTRY.split(", ")])
+    schema = f"run int, bucket long, entries array<struct<{','.join(f'{n}:{t}' for n, t in ENTRY.items())}>>"
     while n_runs > 1:
-        block = F.floor(F.col("run") / fan_in).alias("block")
-        bucket = F.pmod(F.xxhash64("digest"), F.lit(buckets)).alias("bucket")
-        merged = merged.groupBy(block, bucket).applyInPandas(merge, f"{ENTRY}, run int")
+        runs = runs.groupBy(F.floor(F.col("run") / fan_in), "bucket").applyInArrow(merge, schema)
         n_runs = -(-n_runs // fan_in)
-    return entries, merged.drop("run")
+    return runs
+
+
+def winners(runs: DataFrame, fan_in: int = 2, bucket_rows: int = 50_000) -> DataFrame:
+    """Entries of the merged run. bucket_rows: entries of a bucket in one run, about."""
+    seen = runs.agg(F.max("run").alias("last"), F.count("*").alias("n")).first()
+    n_runs, buckets = (seen["last"] or 0) + 1, max(16, -(-seen["n"] // bucket_rows))
+    return merged_runs(sorted_runs(runs, buckets), n_runs, fan_in).select(F.explode("entries").alias("e")).select("e.*")
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fan_in: int = 16) -> DataFrame:
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fan_in: int = 2) -> DataFrame:
     """A row for each document: id_col, keep_id, group_size, kept, text_sha256.
 
     The answer goes back the way it came: the merged entries to the entries of each run (at most one
@@ -82,15 +92,15 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     thereby spread over the runs.
     """
     runs = digest_runs(docs, id_col, text_col)
-    entries, merged = winners(runs, fan_in)
+    merged = written(winners(runs, fan_in), "digest-winners")
     answers = merged.select(*KEY, F.when(F.col("has_id"), F.col("best_id")).alias("keep_id"), F.col("best_row").alias("keep_row"), F.col("copies").alias("group_size"))
-    by_run = entries.select("run", *KEY).join(answers, KEY)
-    return runs.join(by_run, ["run", *KEY]).select(
+    return by_run(runs, KEY, answers).select(
         F.col("id").alias(id_col), "keep_id", F.col("group_size").cast("long"), (F.col("row") == F.col("keep_row")).alias("kept"), F.col("digest").alias("text_sha256")
     )
 
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that stay, all columns. Identifiers must be unique here."""
-    stays = exact_dedup(docs, id_col, text_col).filter("kept").select(F.col(id_col).alias("_stays"))
-    return docs.join(stays, F.col(id_col).eqNullSafe(F.col("_stays")), "left_semi")
+    name = unused("_stays", docs)
+    stays = exact_dedup(docs, id_col, text_col).filter("kept").select(F.col(id_col).alias(name))
+    return docs.join(stays, F.col(id_col).eqNullSafe(F.col(name)), "left_semi")
