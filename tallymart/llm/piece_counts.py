@@ -119,11 +119,12 @@ def piece_counts(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id",
         counts = counts_for(vocabulary_path)
         for batch in batches:
             words, pieces, sizes = [], [], []
-            for text in batch.column(1).cast(pa.large_binary()).to_pylist():
-                found = (text or b"").split()
+            for text in batch.column(1).cast(pa.large_binary()):
+                text = text.as_py() or b""
+                found = text.split()
                 words.append(len(found))
                 pieces.append(sum(map(counts.__getitem__, found)))
-                sizes.append(len(text or b""))
+                sizes.append(len(text))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.int64()), pa.array(pieces, pa.int64()), pa.array(sizes, pa.int64())], names=[id_col, "n_words", "n_pieces", "n_bytes"])
 
     light = docs.selectExpr(f"CAST(`{id_col}` AS BIGINT) AS `{id_col}`", f"`{text_col}` AS text")

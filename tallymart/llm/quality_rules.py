@@ -6,9 +6,13 @@ are taken one after another, and each rule's cutoffs from mild to strict: of the
 that pass the base rules, how many would be rejected by this cutoff or by the rules settled before, and what
 is the exact (Clopper-Pearson) upper bound on that share. Of the cutoffs up to which all bounds stay under `risk`
 the mildest is taken that catches the most bad documents (quality 0) not caught before; if none catches any, or
-the mildest fails, the rule has no cutoff: clean documents are not given up for nothing. The level of each bound is delta divided by
-the number of strata and of all cutoffs (Bonferroni), so with probability 1 - delta no stratum loses more
-than `risk` of its good documents to all rules together, however the cutoffs depend on each other.
+the mildest fails, the rule has no cutoff: clean documents are not given up for nothing.
+
+What is tested at a rule depends on the cutoffs chosen before it from the same labels, so the level of each bound is delta divided by
+the number of strata and of all combinations of cutoffs that the ladders allow (Bonferroni over every set that could have been
+tested; the bounds move little, as they grow with the logarithm). So with probability 1 - delta no stratum loses more
+than `risk` of its good documents to all rules together, whatever combination is chosen. Choosing needs a row for each stratum and is done
+in tasks.
 
 Defined cases: a null text has no words and fails the base rules. A null stratum is a stratum. A stratum
 without good labelled documents has no cutoffs and keeps all that pass the base rules. Repeated labels of
@@ -20,6 +24,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -72,7 +77,7 @@ def measured(docs: DataFrame, stratum: str = "lang") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [measure(t or b"") for t in batch.column(2).cast(pa.large_binary()).to_pylist()]
+            rows = [measure(t.as_py() or b"") for t in batch.column(2).cast(pa.large_binary())]
             cols = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)] if rows else [pa.array([], pa.int64())] * 5
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *cols], names=["doc_id", "stratum", *MEASURES])
 
@@ -109,31 +114,50 @@ def base_failed(min_words: int = 50):
     return (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
+def combinations() -> int:
+    """Sets of cutoffs that can be chosen: for each rule one of its ladder or none."""
+    return math.prod(len(ladder) + 1 for _, ladder in RULES.values())
+
+
+def picked(counts: DataFrame, ladder: list[float], risk: float, level: float) -> DataFrame:
+    """counts: stratum, good, k0.., b0..: rejected good and caught bad documents for each cutoff. stratum, cutoff of the strata that get one."""
+    n = len(ladder)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(*(c.to_pylist() for c in batch.columns), strict=True)
+            found = [(r[0], cut) for r in rows if (cut := chosen_cutoff(list(r[2 : 2 + n]), list(r[2 + n :]), r[1], ladder, risk, level)) is not None]
+            yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in found], pa.string()), pa.array([c for _, c in found], pa.float64())], names=["stratum", "cutoff"])
+
+    return counts.mapInArrow(run, "stratum string, cutoff double")
+
+
 def cutoffs(measures: DataFrame, labels: DataFrame, risk: float = 0.05, delta: float = 0.05) -> DataFrame:
     """stratum, rule, cutoff. All labelled documents count, through an aggregation for each rule to a row for each stratum."""
     quality = labels.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").alias("quality")).filter("quality IS NOT NULL")
     held = measures.filter(~base_failed()).join(quality, "doc_id").withColumn("good", F.col("quality") == 1)
     held = written(held.withColumn("gone", F.lit(False)), "quality-holdout")
-    n_steps, chosen = sum(len(ladder) for _, ladder in RULES.values()), []
+    level, chosen = delta / max(1, held.select("stratum").distinct().count() * combinations()), []
     for rule, (sql, ladder) in RULES.items():
         over = [F.expr(sql) > F.lit(cut) for cut in ladder]
         rejected = [F.count_if(F.col("good") & (F.col("gone") | x)).alias(f"k{i}") for i, x in enumerate(over)]
         caught = [F.count_if(~F.col("good") & ~F.col("gone") & x).alias(f"b{i}") for i, x in enumerate(over)]
-        counts = held.groupBy("stratum").agg(F.count_if("good").alias("good"), *rejected, *caught).collect()
-        level, n = delta / max(1, len(counts) * n_steps), len(ladder)
-        new = [(c["stratum"], rule, cut) for c in counts if (cut := chosen_cutoff(list(c[2 : 2 + n]), list(c[2 + n :]), c["good"], ladder, risk, level)) is not None]
-        chosen += new
-        if new:
-            side = held.sparkSession.createDataFrame(new, "_s string, _r string, _cut double").drop("_r")
-            side = F.broadcast(side) if len(new) <= BROADCAST_STRATA else side
+        counts = held.groupBy("stratum").agg(F.count_if("good").alias("good"), *rejected, *caught)
+        new = written(picked(counts, ladder, risk, level).select("stratum", F.lit(rule).alias("rule"), "cutoff"), "quality-cutoffs")
+        chosen.append(new)
+        n = new.count()
+        if n:
+            side = new.select(F.col("stratum").alias("_s"), F.col("cutoff").alias("_cut"))
+            side = F.broadcast(side) if n <= BROADCAST_STRATA else side
             held = held.join(side, F.col("stratum").eqNullSafe(F.col("_s")), "left").withColumn("gone", F.col("gone") | F.coalesce(F.expr(sql) > F.col("_cut"), F.lit(False))).drop("_s", "_cut")
-    return measures.sparkSession.createDataFrame(chosen, "stratum string, rule string, cutoff double")
+    return reduce(DataFrame.unionByName, chosen)
 
 
 def judged(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = 0.05, delta: float = 0.05) -> DataFrame:
     """doc_id, the measures, base_failed, kept and rejected_by (names of rules, sorted)."""
     measures = written(measured(docs, stratum), "quality-measures")
     limits = cutoffs(measures, labels, risk, delta).groupBy(F.col("stratum").alias("_s")).agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("limits"))
+    limits = written(limits, "quality-limits")
     side = F.broadcast(limits) if limits.count() <= BROADCAST_STRATA else limits
     rows = measures.join(side, F.col("stratum").eqNullSafe(F.col("_s")), "left")
     broken = [F.when(F.expr(sql) > F.try_element_at("limits", F.lit(rule)), F.lit(rule)) for rule, (sql, _) in RULES.items()]

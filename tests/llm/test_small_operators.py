@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
 
@@ -66,6 +67,16 @@ def test_merge_runs_is_a_group_by(runs):
     assert [(e[0], e[3:6], e[6]) for e in got] == [(k, max(x[3:6] for x in v), len(v)) for k, v in sorted(want.items())]
 
 
+def test_exact_dedup_of_one_partition_merges_runs(spark):
+    docs = rows(spark, [(i, f"t{i % 50}") for i in range(400)]).coalesce(1)
+    runs = exact_dedup.digest_runs(docs)
+    sorted_runs = exact_dedup.sorted_runs(runs, 4).collect()
+    assert len({r.run for r in sorted_runs}) == exact_dedup.LEAST_RUNS and all([tuple(e) for e in r.entries] == sorted(tuple(e) for e in r.entries) for r in sorted_runs)
+    for fan_in in (2, 3, 16):
+        got = exact_dedup.exact_dedup(docs, fan_in=fan_in).selectExpr("count(*)", "count_if(kept)", "min(keep_id)", "max(keep_id)", "min(group_size)").first()
+        assert got[:] == (400, 50, 350, 399, 8)
+
+
 # Mixing.
 
 
@@ -259,6 +270,37 @@ def test_quality_verdicts(spark):
     assert quality_rules.judged(empty(spark), labels).count() == 0
 
 
+def test_base_columns_of_the_table(spark, sf_dir):
+    """The query's base columns on a whole table against the plain version."""
+    from tallymart.llm import queries
+
+    text = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()}
+    got = queries.op10_quality_rules(spark, sf_dir).collect()
+    assert len(got) == len(text)
+    for r in got:
+        n, *want = brute_measures(text[r.doc_id])
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == (n, *want)
+        assert r.base_failed == (n < 50 or 100 * want[-1] > 50 * n) and not (r.kept and r.base_failed)
+
+
+def test_the_risk_holds_in_simulation():
+    """Two rules, the second's cutoff chosen after the first's from the same labels; good documents would lose 1 % a step."""
+    rng, risk, delta, broken, chosen = np.random.default_rng(12), 0.05, 0.1, 0, 0
+    ladder, level = [0.99, 0.98, 0.97, 0.96, 0.95, 0.94, 0.93], 0.1 / 64
+    for _ in range(400):
+        good, bad = rng.random((1500, 2)), rng.random((300, 2))
+        gone, caught, cuts = np.zeros(1500, bool), np.zeros(300, bool), []
+        for k in range(2):
+            rejected = [int((gone | (good[:, k] > c)).sum()) for c in ladder]
+            cut = quality_rules.chosen_cutoff(rejected, [int((~caught & (bad[:, k] > c)).sum()) for c in ladder], 1500, ladder, risk, level)
+            if cut is not None:
+                gone, caught = gone | (good[:, k] > cut), caught | (bad[:, k] > cut)
+                cuts.append(cut)
+        broken += 1 - np.prod(cuts) > risk
+        chosen += len(cuts)
+    assert broken <= delta * 400 and chosen > 400
+
+
 def test_chosen_cutoff():
     ladder, pick = [9.0, 8.0, 7.0, 6.0], quality_rules.chosen_cutoff
     assert pick([0, 10, 300, 900], [1, 2, 3, 4], 10_000, ladder, 0.05, 1e-4) == 7.0
@@ -274,5 +316,5 @@ def test_rules_together_keep_the_risk(spark):
         "id AS doc_id", "'a' AS stratum", "100L AS n_words", "500L AS word_chars", "IF(id % 25 = 0 OR id >= 1000, 90L, 0L) AS n_symbols", "0L AS n_dup_lines", "IF(id % 25 = 1 OR id >= 1090, 48L, 0L) AS n_repeat_words"
     )
     labels = spark.range(1100).selectExpr("id AS doc_id", "IF(id < 1000, 1, 0) AS quality")
-    got = {r.rule: r.cutoff for r in quality_rules.cutoffs(measures, labels, risk=0.075).collect()}
+    got = {r.rule: r.cutoff for r in quality_rules.cutoffs(measures, labels, risk=0.08).collect()}
     assert got == {"symbols_a_word": 0.5}
