@@ -1,22 +1,27 @@
 """Language-model scoring by a log-bilinear model trained with noise-contrastive estimation.
 
-Classes: the most frequent `top` training tokens stand for themselves, every other token for one of
-`rare` classes by its last two bytes. A context is the two tokens before; its vector is the sum of two
-matrices times the classes' vectors, and a class's logit is a product with its own vector plus a
-bias. Training is numpy in the tasks: each goes through all its documents once a round, with noise classes
-drawn for each batch, starting from the common parameters; the tasks' parameters are averaged,
-weighted by tokens, up a tree. The documents are split over the rounds, so each is learned from once.
-
-Scoring is normalised: log Z of every context (classes squared) comes from batched matrix products, once
-a worker. Within a rare class a token has (c + 1) / (n + v + 1), c its training count, n and v the
-class's training tokens and distinct tokens; the one over is for tokens never seen. So the
+Units: the `top` most frequent training tokens stand for themselves, every other token for one of
+`rare` units by its last two bytes. Both numbers grow with the corpus (top with the square root of its tokens), and so do the
+vectors. Units by falling frequency are cut into classes, small ones first. A context is the two units before; its vector h is the
+sum of two matrices times the units' vectors. The probability of a unit is that of its class given h times that of the unit among
+its class given h; both are log-bilinear, with vectors and biases of their own.
+
+Training is numpy in the tasks, on shards: documents are dealt out and ordered by a hash of their content, as many shards as the tokens
+ask for, so that the model is a function of the rows, not of their partitions. Each shard is gone through once
+a round from the common parameters, with noise drawn for each step: classes by their frequency for the first factor, units of the
+class by theirs for the second. The shards' parameters are averaged, weighted by tokens, up a tree. The documents are split over
+the rounds, so each is learned from once.
+
+Scoring is normalised: batched matrix products of contexts with all classes, and with the units of the class in question.
+Within a rare unit a token has (c + 1) / (n + v + 1), c its training count, n and v the
+unit's training tokens and distinct tokens; the one over is for tokens never seen. So the
 probabilities of all next tokens add up to one.
 
 Tokens: ASCII-lower-cased `[^\\x20\\x09-\\x0D]+`, then one end. The base score takes all training
 counts with one added, (c + 1) / (N + V + 1).
 
-What the driver and the workers hold is bounded by parameters: `dictionary` words with counts and the
-model. All other counts stay in a table that is joined to the words of the documents.
+The driver and the workers hold the model and `dictionary` words with counts (as many as have units, if these are more). All other
+counts stay in a table that is joined to the words of the documents.
 
 Defined cases: a null or empty text is the end alone. Repeated rows are scored alike and learned from as often as
 they occur. Without training documents N and V are 0 and every score is that of an unseen token
@@ -26,12 +31,13 @@ empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 import uuid
 import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import repeat
+from itertools import pairwise, repeat
 
 import numpy as np
 import pandas as pd
@@ -43,8 +49,10 @@ from tallymart.llm.word_counts import fold, word_counts
 
 END = b"\n"  # cannot be a word
 LOG10 = np.log(10)
-#: Tokens that a task trains on or scores at once.
-CHUNK, BATCH, NOISE = 400_000, 2048, 48
+#: Tokens shuffled together in training; of a step; scored at once. Noise classes of a step, noise units of a class in a step.
+CHUNK, STEP, SCORED, NOISE, NOISE_UNITS = 400_000, 8192, 65_536, 16, 8
+#: Training tokens of a shard and round, about; shards whose parameters are added up at once.
+SHARD_TOKENS, FAN_IN = 2_000_000, 8
 #: Partitions that the candidates for the dictionary are gathered in.
 CANDIDATE_PARTITIONS = 4
 
@@ -55,41 +63,49 @@ def rare_class(word: bytes, rare: int) -> int:
 
 @dataclass
 class Dictionary:
-    """The most frequent words: count and class of each; sums of the classes; N and V."""
+    """The most frequent words with their counts; units by falling frequency; N and V.
+
+    top_units, rare_units: unit of each word with its own, and of each rare group. tokens, words: of each unit.
+    """
 
     counts: dict[bytes, int]
-    top: int
     rare: int
-    class_tokens: np.ndarray
-    class_words: np.ndarray
+    top_units: np.ndarray
+    rare_units: np.ndarray
+    tokens: np.ndarray
+    words: np.ndarray
     n_tokens: int
     n_words: int
     key: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     @property
-    def classes(self) -> int:
-        return self.top + self.rare
+    def units(self) -> int:
+        return len(self.tokens)
 
-    def index(self) -> dict[bytes, int]:
-        """Class of each dictionary word."""
-        return {w: i if i < self.top else self.top + rare_class(w, self.rare) for i, w in enumerate(self.counts)}
+    def index(self) -> np.ndarray:
+        """Unit of each dictionary word."""
+        top = len(self.top_units)
+        return np.array([self.top_units[i] if i < top else self.rare_units[rare_class(w, self.rare)] for i, w in enumerate(self.counts)], np.int32)
 
 
-class ClassOf(dict):
+class UnitOf(dict):
     def __init__(self, dictionary: Dictionary) -> None:
-        super().__init__(dictionary.index())
-        self.top, self.rare = dictionary.top, dictionary.rare
+        super().__init__(zip(dictionary.counts, dictionary.index().tolist(), strict=True))
+        self.rare_units = dictionary.rare_units.tolist()
 
     def __missing__(self, word: bytes) -> int:
-        return self.top + zlib.crc32(word[-2:]) % self.rare
+        return self.rare_units[zlib.crc32(word[-2:]) % len(self.rare_units)]
 
 
-def dictionary_of(counts: DataFrame, top: int, rare: int, dictionary: int) -> Dictionary:
-    """counts: word, n. `dictionary` rows and one row for each rare class come to the driver."""
+def dictionary_of(counts: DataFrame, top: int | None, rare: int | None, dictionary: int) -> Dictionary:
+    """counts: word, n. The dictionary's rows and one row for each rare unit come to the driver."""
     # A sort with a limit would send that many rows from every task to the driver. Only words at or above the highest
     # power of two that enough words reach can be among them, so a few partitions hold the candidates.
-    steps = counts.agg(*[F.count_if(F.col("n") >= 2**k).alias(f"k{k}") for k in range(48)]).first()
-    floor = 2 ** max([k for k in range(48) if steps[k] >= dictionary], default=0)
+    steps = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("all"), *[F.count_if(F.col("n") >= 2**k).alias(f"k{k}") for k in range(48)]).first()
+    top = math.isqrt(steps["all"]) + 1 if top is None else top
+    rare = max(64, math.isqrt(top) + 1) if rare is None else rare
+    dictionary = max(dictionary, top)
+    floor = 2 ** max([k for k in range(48) if steps[f"k{k}"] >= dictionary], default=0)
     frequent = counts.filter(F.col("n") >= floor).repartition(CANDIDATE_PARTITIONS).orderBy(F.desc("n"), "word").limit(dictionary).collect()
     kept = {bytes(r["word"]): r["n"] for r in frequent}
 
@@ -103,29 +119,52 @@ def dictionary_of(counts: DataFrame, top: int, rare: int, dictionary: int) -> Di
     for r in counts.select("word", "n").mapInArrow(sums, "k long, n long, v long").groupBy("k").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect():
         tokens[r["k"]], words[r["k"]] = r["n"], r["v"]
     total, distinct = int(tokens.sum()), int(words.sum())
-    for w in list(kept)[:top]:
+    own = list(kept)[:top]
+    for w in own:
         tokens[rare_class(w, rare)] -= kept[w]
         words[rare_class(w, rare)] -= 1
-    return Dictionary(kept, min(top, len(kept)), rare, tokens, words, total, distinct)
+    all_tokens, all_words = np.r_[[kept[w] for w in own], tokens].astype(np.int64), np.r_[np.ones(len(own)), words].astype(np.int64)
+    order = np.argsort(-all_tokens, kind="stable")
+    unit = np.empty(len(order), np.int32)
+    unit[order] = np.arange(len(order))
+    return Dictionary(kept, rare, unit[: len(own)], unit[len(own) :], all_tokens[order], all_words[order], total, distinct)
+
+
+def class_bounds(units: int) -> np.ndarray:
+    """First units of the classes, and the end. A class is about three times the root of its first unit's rank, which keeps both products small."""
+    bounds = [0]
+    while bounds[-1] < units:
+        bounds.append(min(units, bounds[-1] + math.ceil(3 * math.sqrt(bounds[-1] + 1))))
+    return np.array(bounds)
 
 
 class Bilinear:
-    """Parameters: context vectors (one more for before the text), a matrix for each place, class vectors, biases."""
+    """Parameters: context vectors (one more for before the text), a matrix for each place, vectors and biases of classes and units."""
 
     def __init__(self, dictionary: Dictionary, size: int, seed: int) -> None:
         rng = np.random.default_rng(seed)
-        c = dictionary.classes
-        freq = np.r_[list(dictionary.counts.values())[: dictionary.top], dictionary.class_tokens].astype(float) + 1
-        self.noise = freq / freq.sum()
+        freq = dictionary.tokens.astype(float) + 1
+        self.bounds = class_bounds(len(freq))
+        c = len(self.bounds) - 1
+        self.cls = np.repeat(np.arange(c, dtype=np.int32), np.diff(self.bounds))
+        mass = np.add.reduceat(freq, self.bounds[:-1])
+        self.class_noise, self.unit_noise = mass / mass.sum(), freq / mass[self.cls]
         self.parts = {
-            "context": rng.normal(0, 0.1, (c + 1, size)).astype(np.float32),
+            "context": rng.normal(0, 0.1, (len(freq) + 1, size)).astype(np.float32),
             "near": np.eye(size, dtype=np.float32),
             "far": 0.5 * np.eye(size, dtype=np.float32),
-            "target": rng.normal(0, 0.1, (c, size)).astype(np.float32),
-            "bias": np.log(self.noise).astype(np.float32),
+            "class": rng.normal(0, 0.1, (c, size)).astype(np.float32),
+            "class_bias": np.log(self.class_noise).astype(np.float32),
+            "unit": rng.normal(0, 0.1, (len(freq), size)).astype(np.float32),
+            "unit_bias": np.log(self.unit_noise).astype(np.float32),
         }
         self.key = uuid.uuid4().hex
 
+    def copy(self) -> Bilinear:
+        mine = Bilinear.__new__(Bilinear)
+        mine.__dict__ |= self.__dict__ | {"parts": {n: p.copy() for n, p in self.parts.items()}}
+        return mine
+
     def flat(self) -> np.ndarray:
         return np.concatenate([p.ravel() for p in self.parts.values()])
 
@@ -134,65 +173,80 @@ class Bilinear:
         for k, p in self.parts.items():
             self.parts[k] = flat[at : at + p.size].reshape(p.shape).astype(np.float32)
             at += p.size
+        self.key = uuid.uuid4().hex
 
-    def train(self, target: np.ndarray, near: np.ndarray, far: np.ndarray, rng: np.random.Generator, squares: dict, rate: float) -> None:
-        """One pass in batches; squares: sums of squared gradients (AdaGrad), kept by the caller."""
-        log_noise = np.log(NOISE * self.noise).astype(np.float32)
-        cumulative = np.cumsum(self.noise)
-        P = self.parts
-        for i in range(0, len(target), BATCH):
-            w, a, b = target[i : i + BATCH], near[i : i + BATCH], far[i : i + BATCH]
-            drawn = np.minimum(np.searchsorted(cumulative, rng.random(NOISE)), len(cumulative) - 1)
-            va, vb = P["context"][a], P["context"][b]
+    def train(self, target: np.ndarray, near: np.ndarray, far: np.ndarray, rng: np.random.Generator, squares: dict[str, np.ndarray], rate: float) -> None:
+        """One pass in steps; squares: sums of squared gradients (AdaGrad) of each part, kept by the caller."""
+        P, cls = self.parts, self.cls
+        drawn_from, in_class = np.cumsum(self.class_noise), np.cumsum(self.unit_noise)
+        class_log, unit_log = np.log(NOISE * self.class_noise).astype(np.float32), np.log(NOISE_UNITS * self.unit_noise).astype(np.float32)
+        ends = in_class[self.bounds[1:] - 1]
+        begins = np.r_[0, ends[:-1]]
+
+        def move(name: str, gradient: np.ndarray, rows: slice = slice(None)) -> None:
+            squares[name][rows] += gradient * gradient
+            P[name][rows] += rate * gradient / np.sqrt(squares[name][rows])
+
+        for i in range(0, len(target), STEP):
+            w, a, b = target[i : i + STEP], near[i : i + STEP], far[i : i + STEP]
+            order = np.argsort(cls[w], kind="stable")
+            w, a, b = w[order], a[order], b[order]
+            va, vb, c, n = P["context"][a], P["context"][b], cls[w], np.float32(1 / len(w))
             hidden = va @ P["near"] + vb @ P["far"]
-            tw, tn = P["target"][w], P["target"][drawn]
-            gw = 1 / (1 + np.exp(np.clip(np.einsum("ij,ij->i", hidden, tw) + P["bias"][w] - log_noise[w], -30, 30)))
-            gn = -1 / (1 + np.exp(np.clip(log_noise[drawn] - P["bias"][drawn] - hidden @ tn.T, -30, 30)))
-            gh = gw[:, None] * tw + gn @ tn
-            grads = {
-                "near": va.T @ gh,
-                "far": vb.T @ gh,
-                "context": scatter(np.r_[a, b], np.r_[gh @ P["near"].T, gh @ P["far"].T], P["context"].shape[0]),
-                "target": scatter(np.r_[w, drawn], np.r_[gw[:, None] * hidden, gn.T @ hidden], P["target"].shape[0]),
-                "bias": np.bincount(w, gw, len(P["bias"])) + np.bincount(drawn, gn.sum(axis=0), len(P["bias"])),
-            }
-            for k, g in grads.items():
-                g = g / len(w)
-                squares[k] = squares.get(k, 1e-8) + g * g
-                P[k] += (rate * g / np.sqrt(squares[k])).astype(np.float32)
-
-    def log_z(self) -> np.ndarray:
-        """Log of the normaliser for every (near, far) context, by products of a block of contexts with all classes."""
-        P = self.parts
-        near, far = P["context"] @ P["near"], P["context"] @ P["far"]
-        out = np.empty((len(near), len(far)), np.float32)
-        for i in range(len(near)):
-            logits = (near[i] + far) @ P["target"].T + P["bias"]
-            top = logits.max(axis=1, keepdims=True)
-            out[i] = top[:, 0] + np.log(np.exp(logits - top).sum(axis=1))
-        return out
+            noise = np.minimum(np.searchsorted(drawn_from, rng.random(NOISE)), len(drawn_from) - 1)
+            gw, gn, gh = contrast(hidden, P["class"], P["class_bias"], c, noise, class_log)
+            grad_class, grad_bias = scatter(c, gw[:, None] * hidden, len(drawn_from)), np.bincount(c, gw, len(drawn_from)).astype(np.float32)
+            np.add.at(grad_class, noise, gn.T @ hidden)
+            np.add.at(grad_bias, noise, gn.sum(axis=0))
+            starts = np.flatnonzero(np.r_[True, c[1:] != c[:-1]])
+            for lo, hi in pairwise([*starts.tolist(), len(c)]):
+                k = int(c[lo])
+                first, last = int(self.bounds[k]), int(self.bounds[k + 1])
+                if last - first < 2:
+                    continue
+                own, at, h = slice(first, last), w[lo:hi] - first, hidden[lo:hi]
+                noise = np.clip(np.searchsorted(in_class, begins[k] + rng.random(NOISE_UNITS) * (ends[k] - begins[k])) - first, 0, last - first - 1)
+                uw, un, uh = contrast(h, P["unit"][own], P["unit_bias"][own], at, noise, unit_log[own])
+                gh[lo:hi] += uh
+                grad, bias = scatter(at, uw[:, None] * h, last - first), np.bincount(at, uw, last - first).astype(np.float32)
+                np.add.at(grad, noise, un.T @ h)
+                np.add.at(bias, noise, un.sum(axis=0))
+                move("unit", grad * n, own)
+                move("unit_bias", bias * n, own)
+            context = scatter(np.r_[a, b], np.r_[gh @ P["near"].T, gh @ P["far"].T], len(P["context"]))
+            for name, gradient in (("near", va.T @ gh), ("far", vb.T @ gh), ("context", context), ("class", grad_class), ("class_bias", grad_bias)):
+                move(name, gradient * n)
+
+
+def contrast(hidden: np.ndarray, vectors: np.ndarray, bias: np.ndarray, target: np.ndarray, noise: np.ndarray, log_noise: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Gradients of the noise-contrastive objective by the logits of targets and of noise, and by the context vectors."""
+    tw, tn = vectors[target], vectors[noise]
+    gw = 1 / (1 + np.exp(np.clip(np.einsum("ij,ij->i", hidden, tw) + bias[target] - log_noise[target], -30, 30)))
+    gn = -1 / (1 + np.exp(np.clip(log_noise[noise] - bias[noise] - hidden @ tn.T, -30, 30)))
+    return gw, gn, gw[:, None] * tw + gn @ tn
 
 
 def scatter(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """Sums of rows by place."""
     size = rows.shape[1]
     flat = (at[:, None] * size + np.arange(size)).ravel()
-    return np.bincount(flat, rows.ravel(), n * size).reshape(n, size)
+    return np.bincount(flat, rows.ravel(), n * size).reshape(n, size).astype(np.float32)
 
 
-def sequences(batches: Iterator[pa.RecordBatch], column: int, class_of: ClassOf, start: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def chunks(texts: Iterator[bytes | None], unit_of: UnitOf, start: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Targets, near and far contexts of whole texts, about CHUNK tokens at a time."""
-    parts: list[np.ndarray] = []
-    for batch in batches:
-        for text in batch.column(column).cast(pa.large_binary()):
-            words = (text.as_py() or b"").lower().split()
-            words.append(END)
-            ids = np.empty(len(words) + 2, np.int32)
-            ids[:2] = start
-            ids[2:] = np.fromiter(map(class_of.__getitem__, words), np.int32, len(words))
-            parts.append(ids)
-            if sum(map(len, parts)) >= CHUNK:
-                yield joined(parts)
-                parts = []
+    parts, n = [], 0
+    for text in texts:
+        words = (text or b"").lower().split()
+        words.append(END)
+        ids = np.empty(len(words) + 2, np.int32)
+        ids[:2] = start
+        ids[2:] = np.fromiter(map(unit_of.__getitem__, words), np.int32, len(words))
+        parts.append(ids)
+        n += len(words)
+        if n >= CHUNK:
+            yield joined(parts)
+            parts, n = [], 0
     if parts:
         yield joined(parts)
 
@@ -201,78 +255,128 @@ def joined(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return np.concatenate([p[2:] for p in parts]), np.concatenate([p[1:-1] for p in parts]), np.concatenate([p[:-2] for p in parts])
 
 
-def trained(docs: DataFrame, dictionary: Dictionary, size: int = 16, rounds: int = 2, rate: float = 0.05, seed: int = 7) -> Bilinear:
+def shards_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Iterator[bytes | None]]]:
+    """(shard, its texts) from rows shard, text, sorted by shard. A shard's texts must be used up before the next."""
+    rows = ((shard, text) for batch in batches for shard, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.large_binary()), strict=True))
+    head = next(rows, None)
+
+    def texts(shard: int) -> Iterator[bytes | None]:
+        nonlocal head
+        while head is not None and head[0] == shard:
+            yield head[1].as_py()
+            head = next(rows, None)
+
+    while head is not None:
+        yield head[0], texts(head[0])
+
+
+def trained(docs: DataFrame, dictionary: Dictionary, size: int = 16, rounds: int = 2, rate: float = 0.1, seed: int = 7) -> Bilinear:
     """docs: doc_id, text of the training documents; all of them are used, in one round each."""
     spark = docs.sparkSession
     model = Bilinear(dictionary, size, seed)
     shared = spark.sparkContext.broadcast(dictionary)
+    shards = max(4, math.ceil(dictionary.n_tokens / (rounds * SHARD_TOKENS)))
+    content = F.xxhash64("doc_id", "text")
     for k in range(rounds):
         held = spark.sparkContext.broadcast(model)
 
         def run(batches: Iterator[pa.RecordBatch], held=held, k=k) -> Iterator[pa.RecordBatch]:
-            mine, d = Bilinear.__new__(Bilinear), shared.value
-            mine.noise, mine.parts = held.value.noise, {n: p.copy() for n, p in held.value.parts.items()}
-            rng, squares, seen, crc = np.random.default_rng([seed, k]), {}, 0, 0
-            for target, near, far in sequences(batches, 0, class_of(d), d.classes):
-                order = rng.permutation(len(target))
-                mine.train(target[order], near[order], far[order], rng, squares, rate)
-                seen, crc = seen + len(target), zlib.crc32(target.tobytes(), crc)
-            if seen:
-                yield pa.RecordBatch.from_arrays([pa.array([crc], pa.int64()), pa.array([float(seen)]), pa.array([(mine.flat() * np.float64(seen)).tobytes()], pa.binary())], names=["slot", "weight", "sums"])
+            d = shared.value
+            for shard, texts in shards_of(batches):
+                mine, rng, seen = held.value.copy(), np.random.default_rng([seed, k, shard]), 0
+                squares = {n: np.full(p.shape, 1e-8, np.float32) for n, p in mine.parts.items()}
+                for target, near, far in chunks(texts, unit_of(d), d.units):
+                    order = rng.permutation(len(target))
+                    mine.train(target[order], near[order], far[order], rng, squares, rate)
+                    seen += len(target)
+                yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([float(seen)]), pa.array([(mine.flat() * np.float64(seen)).tobytes()], pa.binary())], names=["slot", "weight", "sums"])
 
         def add(pdf: pd.DataFrame) -> pd.DataFrame:
+            pdf = pdf.sort_values("slot")  # sums in one order, whatever order the rows come in
             total = sum((np.frombuffer(b) for b in pdf["sums"]), start=np.float64(0))
-            return pd.DataFrame({"slot": [pdf["slot"].iloc[0]], "weight": [pdf["weight"].sum()], "sums": [total.tobytes()]})
-
-        part = docs.filter(fold(F.concat(F.lit("round"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), rounds) == k).select("text")
-        sums = part.mapInArrow(run, "slot long, weight double, sums binary")
-        for width in (4096, 64, 1):  # up a tree: nobody adds up more than a few dozen of many tasks' parameters
-            sums = sums.groupBy(F.pmod("slot", F.lit(width)).alias("slot")).applyInPandas(add, "slot long, weight double, sums binary")
+            return pd.DataFrame({"slot": [pdf["slot"].iloc[0] // FAN_IN], "weight": [pdf["weight"].sum()], "sums": [total.tobytes()]})
+
+        part = docs.filter(fold(F.concat(F.lit("round"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), rounds) == k)
+        part = part.select(F.pmod(content, F.lit(shards)).cast("int").alias("shard"), content.alias("content"), "text")
+        dealt = part.repartitionById(shards, "shard").sortWithinPartitions("shard", "content").select("shard", "text")
+        sums, width = dealt.mapInArrow(run, "slot long, weight double, sums binary"), shards
+        while width > 1:  # up a tree: nobody adds up more than a few shards' parameters
+            sums = sums.groupBy(F.floor(F.col("slot") / FAN_IN).alias("next")).applyInPandas(add, "slot long, weight double, sums binary")
+            width = math.ceil(width / FAN_IN)
         got = sums.collect()
         if got:
             model.load(np.frombuffer(got[0]["sums"]) / got[0]["weight"])
-            model.key = uuid.uuid4().hex
     return model
 
 
-_class_of: dict[str, ClassOf] = {}
-_tables: dict[str, np.ndarray] = {}
-
-
-def class_of(dictionary: Dictionary) -> ClassOf:
-    if dictionary.key not in _class_of:
-        _class_of.clear()
-        _class_of[dictionary.key] = ClassOf(dictionary)
-    return _class_of[dictionary.key]
-
-
-def log_z_of(model: Bilinear) -> np.ndarray:
-    if model.key not in _tables:
-        _tables.clear()
-        _tables[model.key] = model.log_z()
-    return _tables[model.key]
-
-
-def class_logs(model: Bilinear, target: np.ndarray, near: np.ndarray, far: np.ndarray) -> np.ndarray:
-    """Normalised natural log probability of each class in its context."""
-    P = model.parts
-    a, b = P["context"] @ P["near"], P["context"] @ P["far"]
-    logits = np.einsum("ij,ij->i", a[near] + b[far], P["target"][target]) + P["bias"][target]
-    return logits.astype(np.float64) - log_z_of(model)[near, far]
+_unit_of: dict[str, UnitOf] = {}
+_scorers: dict[str, tuple[Lookup, Scorer]] = {}
+
+
+def unit_of(dictionary: Dictionary) -> UnitOf:
+    if dictionary.key not in _unit_of:
+        _unit_of.clear()
+        _unit_of[dictionary.key] = UnitOf(dictionary)
+    return _unit_of[dictionary.key]
+
+
+def log_sums(logits: np.ndarray) -> np.ndarray:
+    """Logarithms of the sums of exponentials of each row."""
+    top = logits.max()
+    if top - logits.min() > 80:
+        top = logits.max(axis=1, keepdims=True)
+    return np.log(np.exp(logits - top).sum(axis=1)) + np.ravel(top)
+
+
+class Scorer:
+    """Normalised log probabilities of units."""
+
+    def __init__(self, model: Bilinear) -> None:
+        P = self.parts = model.parts
+        self.bounds, self.cls = model.bounds, model.cls
+        self.near, self.far = P["context"] @ P["near"], P["context"] @ P["far"]
+
+    def logs(self, target: np.ndarray, near: np.ndarray, far: np.ndarray) -> np.ndarray:
+        """Natural log probability of each unit in its context."""
+        if len(target) > SCORED:
+            return np.concatenate([self.logs(target[i : i + SCORED], near[i : i + SCORED], far[i : i + SCORED]) for i in range(0, len(target), SCORED)])
+        P, c = self.parts, self.cls[target]
+        order = np.argsort(c, kind="stable")
+        target, c, out = target[order], c[order], np.empty(len(target))
+        hidden = self.near[near[order]] + self.far[far[order]]
+        logits = hidden @ P["class"].T + P["class_bias"]
+        logs = (logits[np.arange(len(c)), c] - log_sums(logits)).astype(np.float64)
+        starts = np.flatnonzero(np.r_[True, c[1:] != c[:-1]]).tolist()
+        for lo, hi in pairwise([*starts, len(c)]):
+            first, last = int(self.bounds[c[lo]]), int(self.bounds[c[lo] + 1])
+            logits = hidden[lo:hi] @ P["unit"][first:last].T + P["unit_bias"][first:last]
+            logs[lo:hi] += logits[np.arange(hi - lo), target[lo:hi] - first] - log_sums(logits)
+        out[order] = logs
+        return out
 
 
 class Lookup:
     """The dictionary as arrays by place; the last place stands for all other words."""
 
     def __init__(self, d: Dictionary) -> None:
-        self.place = {w: i for i, w in enumerate(d.counts)}
-        self.cls = np.r_[np.fromiter(d.index().values(), np.int32, len(d.counts)), 0].astype(np.int32)
+        self.place, top = {w: i for i, w in enumerate(d.counts)}, len(d.top_units)
+        self.unit = np.r_[d.index(), 0].astype(np.int32)
         self.base = np.r_[np.log10(np.fromiter(d.counts.values(), float, len(d.counts)) + 1), 0]
-        self.within = np.where(np.arange(len(self.cls)) < d.top, 0, self.base)
-        self.one_in_class = np.r_[np.zeros(d.top), -np.log10(d.class_tokens + d.class_words + 1.0)]
+        self.within = np.where(np.arange(len(self.unit)) < top, 0, self.base)
+        self.one_in_unit = np.zeros(d.units)
+        self.one_in_unit[d.rare_units] = -np.log10(d.tokens[d.rare_units] + d.words[d.rare_units] + 1.0)
         self.one = -np.log10(d.n_tokens + d.n_words + 1)
 
 
+def tools(d: Dictionary, model: Bilinear) -> tuple[Lookup, Scorer]:
+    """Made once for each worker and model."""
+    key = f"{d.key} {model.key}"
+    if key not in _scorers:
+        _scorers.clear()
+        _scorers[key] = Lookup(d), Scorer(model)
+    return _scorers[key]
+
+
 def document_parts(docs: DataFrame, dictionary: Dictionary, model: Bilinear) -> DataFrame:
     """docs: row, doc_id, text. Scores without the words beyond the dictionary; those are listed with their number."""
     spark = docs.sparkSession
@@ -280,8 +384,9 @@ def document_parts(docs: DataFrame, dictionary: Dictionary, model: Bilinear) ->
     types = {"row": pa.int64(), "doc_id": pa.int64(), "n_tokens": pa.int64(), "n_known": pa.int64(), "base_score": pa.float64(), "score": pa.float64(), "words": pa.list_(pa.binary()), "times": pa.list_(pa.int64())}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        d, m = shared.value, held.value
-        look, last = Lookup(d), len(d.counts)
+        d = shared.value
+        look, scorer = tools(d, held.value)
+        last, rare_units = len(d.counts), d.rare_units.tolist()
         for batch in batches:
             for i in range(0, batch.num_rows, 128):
                 part = batch.slice(i, 128)
@@ -290,16 +395,15 @@ def document_parts(docs: DataFrame, dictionary: Dictionary, model: Bilinear) ->
                     words = (text.as_py() or b"").lower().split()
                     words.append(END)
                     at = np.fromiter(map(look.place.get, words, repeat(last)), np.int32, len(words))
-                    classes = look.cls[at]
-                    other = np.flatnonzero(at == last)
-                    classes[other] = [d.top + rare_class(words[j], d.rare) for j in other]
-                    rests.append(Counter(words[j] for j in other))
+                    units = look.unit[at]
+                    other = np.flatnonzero(at == last).tolist()
+                    units[other] = [rare_units[zlib.crc32(words[j][-2:]) % d.rare] for j in other]
+                    rests.append(Counter([words[j] for j in other]))
                     places.append(at)
-                    contexts.append(np.r_[d.classes, d.classes, classes])
+                    contexts.append(np.r_[d.units, d.units, units].astype(np.int32))
                 starts = np.cumsum([0, *map(len, places)])[:-1]
-                at, target = np.concatenate(places), np.concatenate([c[2:] for c in contexts])
-                logs = class_logs(m, target, np.concatenate([c[1:-1] for c in contexts]), np.concatenate([c[:-2] for c in contexts]))
-                score = logs / LOG10 + look.one_in_class[target] + look.within[at]
+                at, (target, near, far) = np.concatenate(places), joined(contexts)
+                score = scorer.logs(target, near, far) / LOG10 + look.one_in_unit[target] + look.within[at]
                 n = np.array([len(p) for p in places])
                 cols = [
                     part.column(0), part.column(1), n, np.add.reduceat((at != last).astype(np.int64), starts), np.add.reduceat(look.base[at], starts) + n * look.one,
@@ -311,10 +415,11 @@ def document_parts(docs: DataFrame, dictionary: Dictionary, model: Bilinear) ->
     return docs.select("row", "doc_id", "text").mapInArrow(run, schema)
 
 
-def lm_scores(docs: DataFrame, modulus: int = 7, held: int = 2, top: int = 1024, rare: int = 64, dictionary: int = 65_536, size: int = 16) -> DataFrame:
+def lm_scores(docs: DataFrame, modulus: int = 7, held: int = 2, top: int | None = None, rare: int | None = None, dictionary: int = 131_072, size: int = 16) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
-    The texts are read once for the counts, once for training and once for scoring. A frequent word is in
+    top, rare: words and groups with vectors of their own, None for as many as the corpus asks for. The texts are read once for
+    the counts, once for training and once for scoring. A frequent word is in
     the dictionary, so the join with the other counts has no hot key: none of its words makes up
     more than 1 / dictionary of all tokens.
     """

@@ -400,21 +400,41 @@ def test_scores(spark):
 
 
 def test_probabilities_add_up(spark):
-    """Over all known tokens and the unseen one of each rare class, for several contexts of a trained model."""
+    """Over all known tokens and the unseen one of each rare unit, for several contexts of a trained model."""
     texts, _ = language_docs()
     df = docs_of(spark, texts)
     counts = lm_score.word_counts(df.select("text"), end=lm_score.END).select("word", "n")
     d = lm_score.dictionary_of(counts, 20, 4, 10**6)
-    model = lm_score.trained(df.select("doc_id", "text"), d, 8)
-    look = lm_score.Lookup(d)
+    look, scorer = lm_score.tools(d, lm_score.trained(df.select("doc_id", "text"), d, 8))
     words = len(d.counts)
-    target = np.r_[look.cls[:words], d.top + np.arange(d.rare)]
-    inside = look.one_in_class[target] + np.r_[look.within[:words], np.zeros(d.rare)]
-    for near, far in ((0, d.classes), (3, 1), (d.classes, d.classes), (d.top + 1, 5)):
-        logs = lm_score.class_logs(model, target, np.full(len(target), near), np.full(len(target), far)) / lm_score.LOG10
+    assert d.units == 24 and len(scorer.bounds) > 3
+    target = np.r_[look.unit[:words], d.rare_units].astype(np.int32)
+    inside = look.one_in_unit[target] + np.r_[look.within[:words], np.zeros(d.rare)]
+    for near, far in ((0, d.units), (3, 1), (d.units, d.units), (21, 5)):
+        logs = scorer.logs(target, np.full(len(target), near), np.full(len(target), far)) / lm_score.LOG10
         assert (10 ** (logs + inside)).sum() == pytest.approx(1, abs=1e-4)
 
 
+def test_scores_do_not_depend_on_partitions(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "SHARD_TOKENS", 500)
+    texts, _ = language_docs()
+    df = docs_of(spark, [*texts, (3, texts[3][1])])
+    one, more = ({r.doc_id: r.score for r in lm_score.lm_scores(x).collect()} for x in (df.coalesce(1), df.repartition(7)))
+    assert one == pytest.approx(more, rel=1e-5)
+
+
+def test_units_grow_with_the_corpus(spark):
+    sizes = []
+    for n in (400, 40_000):
+        counts = spark.range(n).selectExpr("encode(concat('w', id), 'UTF-8') AS word", "1L + CAST(1000 / (id + 1) AS BIGINT) AS n")
+        d = lm_score.dictionary_of(counts, None, None, 100)
+        assert d.tokens.sum() == d.n_tokens and d.words.sum() == d.n_words == n and len(d.top_units) == min(n, int(d.n_tokens**0.5) + 1)
+        sizes.append(d.units)
+        bounds = lm_score.class_bounds(d.units)
+        assert bounds[-1] == d.units and (np.diff(bounds) > 0).all()
+    assert sizes[1] > 2 * sizes[0] - 64
+
+
 # The pipeline.
 
 
