@@ -33,6 +33,12 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{_scopes[-1] if _scopes else shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system, if it is there."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Tables written inside go when the block ends: for callers that have written what they need by then."""
@@ -42,9 +48,7 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _scopes.remove(folder)
-        jvm = spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        remove(spark, folder)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
