@@ -433,28 +433,3 @@ def test_units_grow_with_the_corpus(spark):
         bounds = lm_score.class_bounds(d.units)
         assert bounds[-1] == d.units and (np.diff(bounds) > 0).all()
     assert sizes[1] > 2 * sizes[0] - 64
-
-
-# The pipeline.
-
-
-def test_pipeline_stages(spark, tmp_path):
-    corpus_pipeline = pytest.importorskip("corpus_pipeline")
-    texts, langs = language_docs()
-    texts = [(i, t + "\n" + f"line {i} of its own {langs[i]} " * 3) for i, t in texts]
-    texts += [(2000, "12345 !!!"), (2001, texts[0][1]), (2002, texts[1][1] + " more")]
-    rows = [(i, t, langs.get(i, "en"), f"src{i % 4}", len(t)) for i, t in texts]
-    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int").write.parquet(f"{tmp_path}/documents.parquet")
-    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
-    names, seen = docs.columns, []
-    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
-        stage(spark, docs, str(tmp_path)).write.parquet(f"{tmp_path}/{k}")
-        docs = spark.read.parquet(f"{tmp_path}/{k}")
-        seen.append({r[0] for r in docs.select("doc_id").collect()})
-        if k < len(corpus_pipeline.STAGES) - 1:
-            assert docs.columns == names
-    assert 2000 not in seen[0] and seen[0] >= {i for i, _ in texts if i != 2000}
-    assert 2001 not in seen[1]
-    assert seen[1] >= seen[2] >= seen[3] == seen[4]
-    assert check_packed(docs.collect(), None, 1024) >= 1
-    assert corpus_pipeline.run(spark, str(tmp_path)).count() == docs.count()
