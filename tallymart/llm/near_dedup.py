@@ -9,8 +9,8 @@
    a pair whose chance is under `miss` is dropped. Of what is left a forest is handed on, never all pairs, and its
    pairs are verified on the full sets. The components of the verified links are classes to start with.
 4. Buckets whose nodes are all in one class are done. In the others signatures are compared again, between classes and between
-   all blocks; nodes of pairs that are left after the last batch are compared on the full sets in each bucket, block by block.
-   Only links that connect something are returned, so the output is linear. No pair with a common band that could
+   all blocks; a forest of the pairs that are left after the last batch gives groups, in which the pairs between classes are compared on
+   the full sets, block by block, so that a text goes once to its group and not to each of its buckets. Only links that connect something are returned, so the output is linear. No pair with a common band that could
    reach the threshold goes without a verification, unless it is connected already.
 5. Components of all verified links are the classes.
 
@@ -119,7 +119,7 @@ def least_matches(threshold: float, miss: float) -> list[int]:
 
 
 def left_over(sigs: np.ndarray, sizes: np.ndarray, x: int, rest: np.ndarray, percent: int, needed: list[int]) -> np.ndarray:
-    """Those of rest that may reach the threshold with x, by their sizes and batch by batch by their signatures."""
+    """Those of rest that may reach the threshold with x, by their sizes and batch by batch by their signatures; the likest first."""
     small, large = np.minimum(sizes[rest], sizes[x]), np.maximum(sizes[rest], sizes[x])
     rest = rest[100 * small >= percent * large]
     matches = np.zeros(len(rest), np.int64)
@@ -129,7 +129,7 @@ def left_over(sigs: np.ndarray, sizes: np.ndarray, x: int, rest: np.ndarray, per
         at = slice(k * BATCH, (k + 1) * BATCH)
         matches += (sigs[rest, at] == sigs[x, at]).sum(axis=1)
         rest, matches = rest[matches >= least], matches[matches >= least]
-    return rest
+    return rest[np.lexsort((-rest, -matches))]  # of those alike the nearest, so that no row is in very many pairs
 
 
 def others(cls: np.ndarray, part: np.ndarray, x: int) -> np.ndarray:
@@ -138,27 +138,20 @@ def others(cls: np.ndarray, part: np.ndarray, x: int) -> np.ndarray:
     return np.flatnonzero(free & (part[:x] != part[x]) if part.min() != part.max() else free)
 
 
-def forest(sigs: np.ndarray, sizes: np.ndarray, percent: int, needed: list[int]) -> list[tuple[int, int]]:
-    """Pairs that signatures leave over, as few as connect all that they connect; the nearest row is taken, so that no row is in many."""
-    cls, part, pairs = np.arange(len(sigs)), np.zeros(len(sigs), np.int8), []
+def forest(sigs: np.ndarray, sizes: np.ndarray, cls: np.ndarray, part: np.ndarray, percent: int, needed: list[int], settled: bool) -> list[tuple[int, int]]:
+    """Pairs of two classes that signatures leave over, as few as connect all that they connect.
+
+    settled: rows that a pair connects count as one class from then on, so that what is left between them is not looked at.
+    """
+    tree, pairs = np.arange(len(sigs)), []
     for x in range(1, len(sigs)):
-        for y in left_over(sigs, sizes, x, others(cls, part, x), percent, needed)[::-1]:
-            if cls[y] != cls[x]:
+        for y in left_over(sigs, sizes, x, others(tree if settled else cls, part, x), percent, needed):
+            if tree[y] != tree[x]:
                 pairs.append((int(y), x))
-                cls[cls == cls[x]] = cls[y]
+                tree[tree == tree[x]] = tree[y]
     return pairs
 
 
-def unsettled(sigs: np.ndarray, sizes: np.ndarray, cls: np.ndarray, part: np.ndarray, percent: int, needed: list[int]) -> np.ndarray:
-    """Whether a row is in a pair of two classes that signatures leave over."""
-    found = np.zeros(len(sigs), bool)
-    for x in range(1, len(sigs)):
-        rest = left_over(sigs, sizes, x, others(cls, part, x), percent, needed)
-        found[rest] = True
-        found[x] |= len(rest) > 0
-    return found
-
-
 def connecting(sets: list[np.ndarray], sigs: np.ndarray, cls: np.ndarray, part: np.ndarray, percent: int, needed: list[int]) -> list[tuple[int, int]]:
     """Verified links that connect classes. part: 0 and 1 for the two blocks compared, or all alike for one block with itself."""
     sizes = np.array([len(s) for s in sets])
@@ -204,23 +197,24 @@ def first_pairs(rows: DataFrame, percent: int, needed: list[int]) -> DataFrame:
         out = []
         for _, group in pdf.groupby(["band", "block"], sort=False):
             if len(group) > 1:
-                out += pairs_of(group, forest(signatures_of(group), group["n"].to_numpy(), percent, needed))
+                one = np.zeros(len(group), np.int8)
+                out += pairs_of(group, forest(signatures_of(group), group["n"].to_numpy(), one, one, percent, needed, True))
         return pd.DataFrame(out, columns=["ah", "ai", "bh", "bi"])
 
     return rows.groupBy("spread").applyInPandas(run, LINKS)
 
 
 def still_open(rows: DataFrame, percent: int, needed: list[int]) -> DataFrame:
-    """rows: spread, band, one, other, side, h, i, n, sig, root_h, root_i. band, h, i of the nodes of pairs left over between classes."""
+    """rows: spread, band, one, other, side, h, i, n, sig, root_h, root_i. A forest of the pairs left over between classes."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
         for _, group in pdf.groupby(["band", "one", "other"], sort=False):
             if len(group) > 1:
-                out.append(group.loc[unsettled(signatures_of(group), group["n"].to_numpy(), classes_of(group), group["side"].to_numpy(), percent, needed), ["band", "h", "i"]])
-        return pd.concat(out) if out else pdf.loc[:, ["band", "h", "i"]].head(0)
+                out += pairs_of(group, forest(signatures_of(group), group["n"].to_numpy(), classes_of(group), group["side"].to_numpy(), percent, needed, False))
+        return pd.DataFrame(out, columns=["ah", "ai", "bh", "bi"])
 
-    return rows.groupBy("spread").applyInPandas(run, "band long, h long, i long").distinct()
+    return rows.groupBy("spread").applyInPandas(run, LINKS).distinct()
 
 
 def last_links(texts: DataFrame, width: int, percent: int, needed: list[int]) -> DataFrame:
@@ -298,17 +292,18 @@ def near_links(nodes: DataFrame, texts: DataFrame, width: int, percent: int, mis
     links = written(linked(verified(both, width, percent)), "near-links")
     classes = components(links).select(F.col("node.h").alias("h"), F.col("node.i").alias("i"), F.col("root.h").alias("root_h"), F.col("root.i").alias("root_i"))
 
-    # Buckets with several classes: what signatures leave over between them, on the full sets.
+    # Buckets with several classes: what signatures leave over between them, on the full sets; `band` is then a group of such pairs.
     root = [F.coalesce(f"root_{c}", c).alias(f"root_{c}") for c in "hi"]
     placed = members.join(classes, ["h", "i"], "left").select("band", "h", "i", "blocks", *root)
     several = placed.groupBy("band").agg((F.min(F.struct("root_h", "root_i")) != F.max(F.struct("root_h", "root_i"))).alias("several")).filter("several").select("band")
     placed = written(placed.join(small(written(several, "near-several")), "band"), "near-placed")
     rows = in_cells(placed, "blocks").join(of_node, ["h", "i"])
-    left = written(still_open(spread(rows, placed.count(), "band", "one", "other"), percent, needed), "near-left")
-    left = left.join(nodes.select("h", "i", "n", "doc_id", "seen"), ["h", "i"])
+    left = components(linked(still_open(spread(rows, placed.count(), "band", "one", "other"), percent, needed)))
+    left = written(left.select("node.h", "node.i", F.xxhash64("root.h", "root.i").alias("band")), "near-left")
+    left = left.join(nodes.select("h", "i", "n", "doc_id", "seen"), ["h", "i"]).join(classes, ["h", "i"], "left").select("band", "h", "i", "n", "doc_id", "seen", *root)
     sizes = left.groupBy("band").agg(F.ceil(F.greatest(F.count("*") / BLOCK_DOCS, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"), F.sum("n").alias("shingles"))
     sizes = written(sizes, "near-sizes")
-    cells = in_cells(left.join(small(sizes.select("band", "blocks")), "band").join(placed.select("band", "h", "i", "root_h", "root_i"), ["band", "h", "i"]), "blocks")
+    cells = in_cells(left.join(small(sizes.select("band", "blocks")), "band"), "blocks")
     shingles_left = sizes.agg(F.coalesce(F.sum(F.col("shingles") * F.col("blocks")), F.lit(0))).first()[0]
     cells = spread(cells, shingles_left * ROWS_A_TASK // BLOCK_SHINGLES, "band", "one", "other")
     more = linked(last_links(with_text(written(cells, "near-cells"), texts), width, percent, needed))
