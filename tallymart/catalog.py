@@ -371,6 +371,16 @@ add("s11_verify_summary", "SELECT 'orders' AS dataset, count(*) + 1 AS declared,
         {"orders": table(spark, sf_dir, "orders"), "region": table(spark, sf_dir, "region"), "nation": table(spark, sf_dir, "nation")},
     )
 )
+# A summary for each region: the batch of one is another's, the version of one is old, one dataset is no one's, one is missing.
+add("s11_verify_identity", """SELECT dataset, field, declared FROM (SELECT r_name AS dataset, 'batch_id' AS field, CASE WHEN r_regionkey = 1 THEN 'b2' END AS declared FROM region UNION ALL SELECT r_name, 'contract_version', CASE WHEN r_regionkey = 2 THEN '0' END FROM region) WHERE declared IS NOT NULL
+  UNION ALL SELECT r_name, 'dataset', 'unexpected' FROM region WHERE r_regionkey = 4 UNION ALL SELECT 'NOWHERE', 'dataset', 'missing' FROM region WHERE r_regionkey = 0""", base=False)(
+    lambda spark, sf_dir: (
+        lambda r: P.verify_identity(
+            r.selectExpr("r_name AS dataset", "IF(r_regionkey = 1, 'b2', 'b1') AS batch_id", "IF(r_regionkey = 2, 0, 1) AS contract_version"),
+            [x[0] for x in r.filter("r_regionkey <> 4").select("r_name").collect()] + ["NOWHERE"], {"batch_id": "b1", "contract_version": 1},
+        )
+    )(table(spark, sf_dir, "region"))
+)
 add("h5_sync_static", "SELECT c_custkey AS k, CASE WHEN c_custkey % 2 = 0 OR c_acctbal >= 5000 THEN c_mktsegment ELSE 'old' END AS v, CASE WHEN c_acctbal < 5000 THEN c_custkey + 1 ELSE 1000000 + row_number() OVER (PARTITION BY c_acctbal >= 5000 ORDER BY c_custkey) END AS sk FROM customer", base=False)(
     lambda spark, sf_dir: (
         lambda c: P.sync_static(
@@ -390,6 +400,37 @@ add("h7_publication_decision", """SELECT CAST(user_id AS VARCHAR) AS batch_id, C
         )
     )(table(spark, sf_dir, "events").select("user_id").distinct())
 )
+REQUESTS = "WITH q AS (SELECT CAST(c_custkey AS VARCHAR) AS batch_id, c_mktsegment AS fingerprint, c_custkey AS k FROM customer)"
+
+
+def publication_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "customer").selectExpr("CAST(c_custkey AS STRING) AS batch_id", "c_mktsegment AS fingerprint")
+
+
+def registered(requests: DataFrame) -> DataFrame:
+    """Of the requests all but each fifth, each third with another fingerprint, each tenth less one twice."""
+    k = F.col("batch_id").cast("int")
+    rows = requests.filter(k % 5 != 0).withColumn("fingerprint", F.when(k % 3 == 0, "other").otherwise(F.col("fingerprint")))
+    return rows.unionByName(rows.filter(k % 10 == 9))
+
+
+add("h8_registry_rows", REQUESTS + "SELECT batch_id, fingerprint, TIMESTAMP '2018-04-01' AS published_at FROM q WHERE k % 5 = 0", base=False)(
+    lambda spark, sf_dir: (lambda q: P.registry_rows(q, P.publication_decision(registered(q), q), D.BATCH))(publication_requests(spark, sf_dir))
+)
+add("h8_current_snapshot", "SELECT CAST(o_orderkey AS VARCHAR) AS batch_id, o_orderstatus AS fingerprint, o_orderdate AS published_at FROM orders ORDER BY o_orderdate DESC, CAST(o_orderkey AS VARCHAR) DESC LIMIT 1", base=False)(
+    lambda spark, sf_dir: P.current_snapshot(table(spark, sf_dir, "orders").selectExpr("CAST(o_orderkey AS STRING) AS batch_id", "o_orderstatus AS fingerprint", "o_orderdate AS published_at"))
+)
+add("h9_verify_registry", REQUESTS + "SELECT batch_id, CASE WHEN k % 5 = 0 THEN 'unregistered' WHEN k % 10 = 9 THEN 'registered_twice' ELSE 'other_fingerprint' END AS issue FROM q WHERE k % 5 = 0 OR k % 10 = 9 OR k % 3 = 0", base=False)(
+    lambda spark, sf_dir: (lambda q: P.verify_registry(registered(q), q))(publication_requests(spark, sf_dir))
+)
+add("h9_verify_publication", """SELECT 'batch-1' AS subject, 'other_fingerprint' AS issue FROM region WHERE r_regionkey = 0 UNION ALL SELECT 'customer', CAST(2 * count(*) AS VARCHAR) || ' rows differ' FROM customer WHERE c_custkey % 7 = 0""", base=False)(
+    lambda spark, sf_dir: (
+        lambda c, n, one: P.verify_publication(
+            one.selectExpr("'batch-1' AS batch_id", "'old' AS fingerprint"), one.selectExpr("'batch-1' AS batch_id", "'new' AS fingerprint"), {"customer": c, "nation": n},
+            {"customer": c.withColumn("c_name", F.when(F.col("c_custkey") % 7 == 0, "changed").otherwise(F.col("c_name"))), "nation": n},
+        )
+    )(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), table(spark, sf_dir, "nation"), table(spark, sf_dir, "region").filter("r_regionkey = 0"))
+)
 on_star("h10_verify_representative", 'SELECT DISTINCT "OrderID", \'wrong\' AS "PaymentType", pay1.type AS expected FROM f LEFT JOIN pay1 ON order_id = "OrderID" WHERE "OrderID" % 100 = 5',
         lambda t: P.verify_representative(t["fact_sales"].withColumn("PaymentType", F.when(F.col("OrderID") % 100 == 5, "wrong").otherwise(F.col("PaymentType"))), t["order_payments"]))
 
@@ -456,6 +497,14 @@ def decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 add("r1_replay_decisions", DECISIONS + "SELECT dataset, batch_id, decision, CASE WHEN decision IN ('no-op', 'reused-failure') THEN sid END AS reused_submission_id FROM d", base=False)(lambda spark, sf_dir: decisions(spark, sf_dir).select("dataset", "batch_id", "decision", "reused_submission_id"))
+add("r2_late_decisions", DECISIONS + "SELECT dataset, batch_id, CASE WHEN decision = 'new-content' AND CAST(substr(batch_id, 5) AS INT) % 2 = 0 THEN 'late-content' ELSE decision END AS decision FROM d", base=False)(
+    lambda spark, sf_dir: (
+        lambda a: R.replay_decisions(
+            manifests(a).withColumn("max_event_timestamp", F.when(F.regexp_extract("batch_id", r"(\d+)$", 1).cast("int") % 2 == 0, F.lit("2000-01-01").cast("timestamp")).otherwise(F.lit("2100-01-01").cast("timestamp"))),
+            a.withColumn("max_event_timestamp", F.col("submitted_at")),
+        ).select("dataset", "batch_id", "decision")
+    )(audit(spark, sf_dir))
+)
 add("r3_abort_batch", DECISIONS + ", b AS (SELECT batch_id FROM d WHERE decision = 'fail-batch' GROUP BY 1) SELECT dataset, batch_id, CASE WHEN batch_id IN (SELECT batch_id FROM b) AND decision NOT IN ('no-op', 'reused-failure') THEN 'fail-batch' ELSE decision END AS decision FROM d", base=False)(lambda spark, sf_dir: R.abort_batch(decisions(spark, sf_dir)).select("dataset", "batch_id", "decision"))
 add("r6_audit_records", DECISIONS + "SELECT decision, CASE decision WHEN 'no-op' THEN 'SKIPPED' WHEN 'reused-failure' THEN 'FAILED' WHEN 'fail-batch' THEN 'FAILED' ELSE 'SUCCEEDED' END AS terminal_status, count(*) AS n FROM d GROUP BY 1, 2", base=False)(lambda spark, sf_dir: R.audit_records(decisions(spark, sf_dir)).groupBy("decision", "terminal_status").agg(F.count("*").alias("n")))
 add("r5_next_attempt", AUDIT + "SELECT dataset, batch_id, attempt_number + 1 AS next_attempt FROM last UNION ALL SELECT dataset, 'new-' || batch_id, 1 FROM last", base=False)(lambda spark, sf_dir: (lambda a: R.next_attempt(manifests(a), a).select("dataset", "batch_id", "next_attempt"))(audit(spark, sf_dir)))

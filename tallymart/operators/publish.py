@@ -29,6 +29,18 @@ def verify_summary(declared: DataFrame, frames: Mapping[str, DataFrame]) -> Data
     return rows.filter(~F.col("declared").eqNullSafe(F.col("counted")))
 
 
+def verify_identity(declared: DataFrame, expected: Sequence[str], identity: Mapping[str, object]) -> DataFrame:
+    """dataset, field, declared: what a summary declares otherwise than the batch's identity (batch, versions), and datasets too many or missing.
+
+    declared: dataset and a column for each field of the identity. field is `dataset` where the set of datasets differs.
+    """
+    want = declared.sparkSession.createDataFrame([(n,) for n in expected], "dataset string")
+    fields = F.array(*[F.struct(F.lit(k).alias("field"), F.col(k).cast("string").alias("declared"), F.lit(v).cast("string").alias("want")) for k, v in identity.items()])
+    wrong = declared.select("dataset", F.explode(fields).alias("f")).filter(~F.col("f.declared").eqNullSafe(F.col("f.want"))).select("dataset", "f.field", "f.declared")
+    sets = declared.select("dataset", F.lit("unexpected").alias("declared")).join(want, "dataset", "left_anti").unionByName(want.join(declared.select("dataset"), "dataset", "left_anti").withColumn("declared", F.lit("missing")))
+    return wrong.unionByName(sets.select("dataset", F.lit("dataset").alias("field"), "declared"))
+
+
 def diff(expected: DataFrame, actual: DataFrame) -> DataFrame:
     """Rows of either side that the other has not as often; side says where from."""
     more = expected.exceptAll(actual.select(*expected.columns)).withColumn("side", F.lit("expected"))
@@ -67,6 +79,31 @@ def publication_events(decisions: DataFrame, at: str) -> DataFrame:
     return decisions.select("batch_id", F.explode(F.coalesce(events, F.array(F.lit("FAILED")))).alias("event"), F.lit(at).cast("timestamp").alias("recorded_at"))
 
 
+def registry_rows(requests: DataFrame, decisions: DataFrame, at: str) -> DataFrame:
+    """batch_id, fingerprint, published_at of the requests (batch_id, fingerprint) that are to be published: rows to append to the registry."""
+    return requests.join(decisions.filter("decision = 'PUBLISH'").select("batch_id"), "batch_id").select("batch_id", "fingerprint", F.lit(at).cast("timestamp").alias("published_at"))
+
+
+def current_snapshot(registry: DataFrame) -> DataFrame:
+    """One row: the batch last published, by time and then by name; none for an empty registry."""
+    last = registry.agg(F.max(F.struct("published_at", "batch_id", "fingerprint")).alias("r")).filter("r IS NOT NULL")
+    return last.select("r.batch_id", "r.fingerprint", "r.published_at")
+
+
+def verify_registry(registry: DataFrame, requests: DataFrame) -> DataFrame:
+    """batch_id, issue of requests (batch_id, fingerprint) that the registry does not have once and with that fingerprint."""
+    seen = registry.groupBy("batch_id").agg(F.count("*").alias("n"), F.min("fingerprint").alias("old"))
+    rows = requests.join(seen, "batch_id", "left")
+    issue = F.when(F.col("n").isNull(), "unregistered").when(F.col("n") > 1, "registered_twice").when(~F.col("old").eqNullSafe(F.col("fingerprint")), "other_fingerprint")
+    return rows.select("batch_id", issue.alias("issue")).filter("issue IS NOT NULL")
+
+
+def verify_publication(registry: DataFrame, request: DataFrame, expected: Mapping[str, DataFrame], target: Mapping[str, DataFrame]) -> DataFrame:
+    """subject, issue: what the registry has otherwise (subject is the batch), then every table that is not published as expected."""
+    tables = verify_published(expected, target).select(F.col("dataset").alias("subject"), F.concat(F.col("differing_rows").cast("string"), F.lit(" rows differ")).alias("issue"))
+    return verify_registry(registry, request).select(F.col("batch_id").alias("subject"), "issue").unionByName(tables)
+
+
 def verify_published(expected: Mapping[str, DataFrame], target: Mapping[str, DataFrame]) -> DataFrame:
     """dataset, differing_rows of every table that is not published as expected."""
     parts = [diff(df, target[n]).agg(F.lit(n).alias("dataset"), F.count("*").alias("differing_rows")) for n, df in expected.items()]

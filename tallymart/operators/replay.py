@@ -36,7 +36,8 @@ def replay_decisions(manifests: DataFrame, audit: DataFrame) -> DataFrame:
     """manifests with decision, reason and reused_submission_id.
 
     manifests: batch_id, batch_timestamp, dataset, source_file_id, content_sha256. audit: those, attempt_number,
-    submission_id, submitted_at, terminal_status, retryable, replay_outcome, reused_submission_id.
+    submission_id, submitted_at, terminal_status, retryable, replay_outcome, reused_submission_id. Where both have
+    max_event_timestamp, new content that is earlier than the greatest one loaded before is late-content.
     """
     names = ["batch_id", "batch_timestamp", "dataset", "source_file_id", "content_sha256"]
     same = audit.groupBy("dataset", "batch_id").agg(
@@ -44,7 +45,9 @@ def replay_decisions(manifests: DataFrame, audit: DataFrame) -> DataFrame:
         F.max_by(F.struct(*IDENTITY, "terminal_status", "retryable", "replay_outcome", "submission_id", "reused_submission_id"), "attempt_number").alias("last"),
     )
     matched = latest_match(audit).select("dataset", "content_sha256", F.col("submission_id").alias("matched_id"))
-    loaded = audit.filter("terminal_status = 'SUCCEEDED'").select("dataset").distinct().withColumn("loaded", F.lit(True))
+    timed = "max_event_timestamp" in manifests.columns and "max_event_timestamp" in audit.columns
+    seen = F.max("max_event_timestamp" if timed else F.lit(None).cast("timestamp")).alias("seen")
+    loaded = audit.filter("terminal_status = 'SUCCEEDED'").groupBy("dataset").agg(seen).withColumn("loaded", F.lit(True))
     rows = manifests.join(same, ["dataset", "batch_id"], "left").join(matched, ["dataset", "content_sha256"], "left").join(loaded, "dataset", "left")
 
     blank = lambda c: F.coalesce(F.trim(F.col(c).cast("string")), F.lit("")) == ""
@@ -64,6 +67,7 @@ def replay_decisions(manifests: DataFrame, audit: DataFrame) -> DataFrame:
         (repeated & (F.col("last.terminal_status") == "FAILED") & F.coalesce("last.retryable", F.lit(False)), "retry", "retryable failure"),
         (repeated & (F.col("last.terminal_status") == "FAILED"), "reused-failure", "final failure"), (repeated, "fail-batch", "unknown status"),
         (F.col("matched_id").isNotNull(), "no-op", "content already loaded"), (F.col("loaded").isNull(), "initial-load", "first load"),
+        (F.col("max_event_timestamp") < F.col("seen") if timed else F.lit(False), "late-content", "earlier than what is loaded"),
     ]
     decision = reason = None
     for condition, what, why in steps:
