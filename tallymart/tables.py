@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -63,6 +64,12 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Have the driver collect its garbage: shuffle files of finished jobs stay on the executors' disks until it does."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def unused(name: str, *frames: DataFrame) -> str:
     """A column name that none of the frames has, from name."""
     taken = {c.lower() for df in frames for c in df.columns}
