@@ -7,9 +7,9 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymart.tables import new_path, unused, written
+from tallymart.tables import new_path, release, unused, written
 
-__all__ = ["SPACE", "WORD", "by_run", "known_to_workers", "new_path", "unused", "written"]
+__all__ = ["SPACE", "WORD", "by_run", "known_to_workers", "new_path", "release", "unused", "written"]
 
 #: Words as every operator here takes them: runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"

@@ -33,7 +33,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallymart.llm.common import unused, written
+from tallymart.llm.common import release, unused, written
 
 #: Lines (two 64-bit keys and a place each) that may be broadcast; beyond it the join shuffles.
 BROADCAST_LINES = 400_000
@@ -152,16 +152,15 @@ def stripped(pairs: DataFrame, longest: int) -> DataFrame:
 
     How far they agree is found by halving: each step compares two substrings.
     """
-    steps = F.array(*[F.lit(1 << k) for k in range(max(1, longest).bit_length() - 1, -1, -1)])
+    steps, x, y = F.array(*[F.lit(1 << k) for k in range(max(1, longest).bit_length() - 1, -1, -1)]), F.col("x"), F.col("y")
+    least = F.least(F.length("x"), F.length("y"))
 
     def agree(place: Callable[[Column, Column, Column], Column]) -> Column:
-        x, y = F.col("x"), F.col("y")
-        return F.aggregate(steps, F.lit(0), lambda n, s: F.when((n + s <= F.least(F.length(x), F.length(y))) & (place(x, n, s) == place(y, n, s)), n + s).otherwise(n))
+        return F.aggregate(steps, F.lit(0), lambda n, s: F.when((n + s <= least) & (place(x, n, s) == place(y, n, s)), n + s).otherwise(n))
 
-    pairs = pairs.withColumn("same", agree(lambda c, n, s: F.substring(c, n + 1, s)))
-    pairs = pairs.withColumns({c: F.substring(c, F.col("same") + 1, F.length(c)) for c in "xy"})
-    pairs = pairs.withColumn("same", agree(lambda c, n, s: F.substring(c, F.length(c) - n - s + 1, s)))
-    return pairs.withColumns({c: F.substring(c, F.lit(1), F.length(c) - F.col("same")) for c in "xy"}).drop("same")
+    ends = {"front": agree(lambda c, n, s: F.substring(c, n + 1, s)), "back": agree(lambda c, n, s: F.substring(c, F.length(c) - n - s + 1, s))}
+    pairs = pairs.withColumns(ends).withColumn("back", F.least("back", least - F.col("front")))
+    return pairs.withColumns({c: F.substring(c, F.col("front") + 1, F.length(c) - F.col("front") - F.col("back")) for c in "xy"}).drop("front", "back")
 
 
 def within(x: Column, y: Column, edits: int) -> Column:
@@ -224,7 +223,8 @@ def near_lines(distinct: DataFrame, edits: int) -> DataFrame:
     both = pairs.withColumnsRenamed({"x": "i", "y": "k"})
     for end, name in (("i", "x"), ("k", "y")):
         both = both.join(texts.select(F.col("h1").alias(end), F.col("line").alias(f"{name}_line"), F.col("b").alias(name)), end)
-    both = stripped(both.filter(F.abs(F.length("x") - F.length("y")) <= edits).select("x_line", "y_line", "x", "y"), longest)
+    both = both.filter(F.abs(F.length("x") - F.length("y")) <= edits).select("x_line", "y_line", "x", "y")
+    both = written(stripped(both, longest), "line-pairs")  # else what is stripped would be worked out again for every byte that is compared
     near = F.when(F.greatest(F.length("x"), F.length("y")) <= edits, True).otherwise(within(F.col("x"), F.col("y"), edits))
     links = both.filter(near).select(F.least("x_line", "y_line").alias("early"), F.greatest("x_line", "y_line").alias("late"))
     ends = links.select(F.explode(F.array(F.struct(F.col("early").alias("line"), F.lit(False).alias("near")), F.struct(F.col("late").alias("line"), F.lit(True).alias("near")))).alias("e"))
@@ -235,6 +235,7 @@ def near_lines(distinct: DataFrame, edits: int) -> DataFrame:
 def removed_lines(docs: DataFrame, row: str, least: int, edits: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """(doc_id, row, pos, near) of every line that goes, and the rows of near_lines."""
     distinct = distinct_lines(docs, row, least, id_col, text_col)
+    release(docs.sparkSession)  # the lines were shuffled once and now are in a table
     near = near_lines(distinct, edits)
     verdicts = distinct.filter("times > 1").select(*LINE, "first").join(near.filter("near").select(*LINE, "near"), LINE, "left")
     verdicts = verdicts.unionByName(near.filter("near").select(*LINE, "first", "near").join(distinct.filter("times > 1").select(*LINE), LINE, "left_anti"))
