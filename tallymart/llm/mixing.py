@@ -34,7 +34,10 @@ def targets(sizes: DataFrame, weights: tuple[float, ...], share: float, most: fl
     `share` times all sizes is dealt out by weight (weights repeat over the sources by code point,
     null last); a target ends at `most` times its source's size and what is over is dealt out again
     among the others. That fixed point is found at once: in order of size / weight, the sources up to
-    some place are at their limit and the rest share what is left by weight. One row a source.
+    some place are at their limit and the rest share what is left by weight.
+
+    The sources, a name and a few numbers each, are ordered in one task, which holds for tens of millions of
+    them (a running sum over sorted rows, which spill); documents take no part in it.
     """
     by_name = Window.orderBy(F.col("source").isNull(), F.col("source"))
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.pmod(F.row_number().over(by_name) - 1, F.lit(len(weights))) + 1).cast("int"))
