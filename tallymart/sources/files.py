@@ -14,7 +14,7 @@ class MissingColumn(ValueError):
 
 
 def read_contract_csv(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
-    """Header CSV, every column text. The header line itself is held against the contract; Spark only reads a line for that."""
+    """Header CSV, every column text. A file's header line is held against the contract at once, those of a folder's other files when Spark reads them (enforceSchema)."""
     header = spark.read.option("header", True).option("inferSchema", False).csv(path).columns
     want = [f.source_name for f in contract.fields]
     if header != want:
@@ -31,9 +31,16 @@ def read_layer(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_jdbc(spark: SparkSession, options: dict[str, str], query: str) -> DataFrame:
-    """The query runs in the database; options: url, driver and what else the connection needs."""
-    return spark.read.format("jdbc").options(**options).option("query", query).load()
+def read_jdbc(spark: SparkSession, options: dict[str, str], query: str, split: tuple[str, int, int, int] | None = None) -> DataFrame:
+    """The query runs in the database; options: url, driver and what else the connection needs.
+
+    split: a numeric or time column of the result, its bounds and the number of parts that are read side by side; otherwise one connection reads all.
+    """
+    reader = spark.read.format("jdbc").options(**options)
+    if split is None:
+        return reader.option("query", query).load()
+    parts = dict(zip(("partitionColumn", "lowerBound", "upperBound", "numPartitions"), map(str, split), strict=True))
+    return reader.options(**parts).option("dbtable", f"({query}) q").load()
 
 
 def file_list(spark: SparkSession, folder: str, suffix: str = "*.csv") -> DataFrame:
@@ -56,7 +63,10 @@ def source_inventory(spark: SparkSession, folder: str, expected: Sequence[str])
 
 
 def file_manifests(spark: SparkSession, folder: str, batch_id: str, batch_timestamp: str, suffix: str = "*.csv") -> DataFrame:
-    """A manifest row for each file, with the SHA-256 of its bytes and an address made from it."""
+    """A manifest row for each file, with the SHA-256 of its bytes and an address made from it.
+
+    A file is one binary value of a task, so at most 2 GB; Spark stops at a larger one.
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", suffix).load(folder)
     name, digest = F.element_at(F.split("path", "/"), -1), F.sha2("content", 256)
     dataset = F.regexp_replace(name, r"\.[^.]*$", "")

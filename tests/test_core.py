@@ -207,6 +207,7 @@ def test_jdbc_round_trip(spark):
     assert sinks.append_jdbc(df, options, "T1", "a1").count() == 2
     assert sinks.append_jdbc(df.limit(1), options, "T1", "a2").count() == 1
     assert files.read_jdbc(spark, options, 'SELECT "ID" FROM T1').count() == 3
+    assert sorted(r.ID for r in files.read_jdbc(spark, options, 'SELECT "ID" FROM T1', ("ID", 0, 10, 3)).collect()) == sorted(r.ID for r in files.read_jdbc(spark, options, 'SELECT "ID" FROM T1').collect())
 
 
 def test_keys_publication_and_fingerprints(spark):
