@@ -6,16 +6,15 @@
    bounded size, otherwise for each band.
 3. In each block pairs are compared by batches of signature positions. After each batch the posterior
    of the similarity (uniform prior, binomial matches) gives the chance that the pair reaches the threshold;
-   a pair whose chance is under `miss` is dropped. Of what is left a forest is handed on, never all pairs, and its
-   pairs are verified on the full sets. The components of the verified links are classes to start with.
-4. Buckets whose nodes are all in one class are done. In the others signatures are compared again, between classes and between
-   all blocks; a forest of the pairs that are left after the last batch gives groups, in which the pairs between classes are compared on
-   the full sets, block by block, so that a text goes once to its group and not to each of its buckets. Only links that connect something are returned, so the output is linear. No pair with a common band that could
-   reach the threshold goes without a verification, unless it is connected already.
+   a pair whose chance is under `miss` is dropped. Of what is left a forest is handed on, never all pairs; so it is then for the
+   pairs between the blocks of large buckets whose nodes are not connected by that. The components of the forest are groups: what
+   is left over lies within them.
+4. A group's texts meet once, and the pairs that signatures leave over are verified on the full sets. A pair
+   that is connected already needs no comparison, and only links that connect something are returned, so the
+   output is linear. A large group is dealt into blocks: each is verified within; then classes of different blocks are connected
+   by a forest of their likest pairs, and only what signatures still leave over between classes is compared block by block.
 5. Components of all verified links are the classes.
 
-Signatures are what is shuffled; texts go to the pairs of the forest and to what step 4 leaves.
-
 Words are `[^\\x20\\x09-\\x0D]+` of the text with A-Z lower-cased. A text with fewer words than a shingle has its
 whole sequence as its only shingle; one without words has an empty set and is linked with nothing.
 
@@ -141,9 +140,9 @@ def others(cls: np.ndarray, part: np.ndarray, x: int) -> np.ndarray:
 def forest(sigs: np.ndarray, sizes: np.ndarray, cls: np.ndarray, part: np.ndarray, percent: int, needed: list[int], settled: bool) -> list[tuple[int, int]]:
     """Pairs of two classes that signatures leave over, as few as connect all that they connect.
 
-    settled: rows that a pair connects count as one class from then on, so that what is left between them is not looked at.
+    settled: classes that a pair connects count as one from then on, so that what is left between them is not looked at.
     """
-    tree, pairs = np.arange(len(sigs)), []
+    tree, pairs = cls.copy() if settled else np.arange(len(sigs)), []
     for x in range(1, len(sigs)):
         for y in left_over(sigs, sizes, x, others(tree if settled else cls, part, x), percent, needed):
             if tree[y] != tree[x]:
@@ -191,27 +190,29 @@ def pairs_of(group: pd.DataFrame, pairs: list[tuple[int, int]]) -> list[tuple[in
 
 
 def first_pairs(rows: DataFrame, percent: int, needed: list[int]) -> DataFrame:
-    """rows: spread, band, block, h, i, n, sig. Pairs to be verified, from each block of each bucket."""
+    """rows: spread, band, block, h, i, n, sig. A forest of the pairs left over in each block of each bucket."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
         for _, group in pdf.groupby(["band", "block"], sort=False):
             if len(group) > 1:
-                one = np.zeros(len(group), np.int8)
-                out += pairs_of(group, forest(signatures_of(group), group["n"].to_numpy(), one, one, percent, needed, True))
+                out += pairs_of(group, forest(signatures_of(group), group["n"].to_numpy(), np.arange(len(group)), np.zeros(len(group), np.int8), percent, needed, True))
         return pd.DataFrame(out, columns=["ah", "ai", "bh", "bi"])
 
     return rows.groupBy("spread").applyInPandas(run, LINKS)
 
 
-def still_open(rows: DataFrame, percent: int, needed: list[int]) -> DataFrame:
-    """rows: spread, band, one, other, side, h, i, n, sig, root_h, root_i. A forest of the pairs left over between classes."""
+def still_open(rows: DataFrame, percent: int, needed: list[int], settled: bool) -> DataFrame:
+    """rows: spread, band, one, other, side, h, i, n, sig, root_h, root_i. A forest of the pairs left over between classes.
+
+    settled: classes that a pair connects count as one from then on.
+    """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
         for _, group in pdf.groupby(["band", "one", "other"], sort=False):
             if len(group) > 1:
-                out += pairs_of(group, forest(signatures_of(group), group["n"].to_numpy(), classes_of(group), group["side"].to_numpy(), percent, needed, False))
+                out += pairs_of(group, forest(signatures_of(group), group["n"].to_numpy(), classes_of(group), group["side"].to_numpy(), percent, needed, settled))
         return pd.DataFrame(out, columns=["ah", "ai", "bh", "bi"])
 
     return rows.groupBy("spread").applyInPandas(run, LINKS).distinct()
@@ -271,43 +272,79 @@ def spread(rows: DataFrame, n: int, *keys: str) -> DataFrame:
 
 def near_links(nodes: DataFrame, texts: DataFrame, width: int, percent: int, miss: float) -> DataFrame:
     """Verified links between nodes. nodes: h, i, doc_id, seen, n, bands, sig; texts: doc_id, seen, text."""
-    needed, bucket = least_matches(percent / 100, miss), F.xxhash64("h", "i")
+    needed, key = least_matches(percent / 100, miss), F.xxhash64("h", "i")
     keys = nodes.select("h", "i", F.explode("bands").alias("band"))
-    buckets = keys.groupBy("band").agg(F.count("*").alias("size"), F.sum(bucket.cast("decimal(20,0)")).alias("sum"), F.bit_xor(bucket).alias("xor")).filter("size > 1")
-    buckets = buckets.groupBy("size", "sum", "xor").agg(F.min("band").alias("band")).select("band", "size", F.ceil(F.col("size") / BLOCK_DOCS).cast("int").alias("blocks"))
+    buckets = keys.groupBy("band").agg(F.count("*").alias("size"), F.sum(key.cast("decimal(20,0)")).alias("sum"), F.bit_xor(key).alias("xor")).filter("size > 1")
+    buckets = buckets.groupBy("size", "sum", "xor").agg(F.min("band").alias("band")).select("band", F.ceil(F.col("size") / BLOCK_DOCS).cast("int").alias("blocks"))
     buckets = written(buckets, "near-buckets")
     members = written(keys.join(small(buckets), "band"), "near-members")
-    total = members.count()
     of_node = nodes.select("h", "i", "n", "sig")
-    rows = members.join(of_node, ["h", "i"]).withColumn("block", F.pmod(bucket.bitwiseXOR(F.col("band")), F.col("blocks")))
-    pairs = written(first_pairs(spread(rows, total, "band", "block"), percent, needed).distinct(), "near-pairs")
-
-    # The texts of the forest's pairs.
-    place = nodes.select("h", "i", "doc_id", "seen")
-    wanted = written(pairs.selectExpr("explode(array(struct(ah AS h, ai AS i), struct(bh AS h, bi AS i))) AS k").select("k.h", "k.i").distinct().join(place, ["h", "i"]), "near-wanted")
-    found = written(with_text(wanted, texts), "near-texts")
-    both = pairs
+
+    # Forests of what signatures leave over; `band` is a bucket.
+    rows = members.join(of_node, ["h", "i"]).withColumn("block", F.pmod(key.bitwiseXOR(F.col("band")), F.col("blocks")))
+    pairs = written(first_pairs(spread(rows, members.count(), "band", "block"), percent, needed).distinct(), "near-pairs")
+    large = members.filter("blocks > 1")
+    if not large.isEmpty():
+        cells = between_classes(large, classes_from(pairs), False)
+        pairs = pairs.unionByName(written(still_open(cells.join(of_node, ["h", "i"]), percent, needed, True), "near-more-pairs"))
+
+    # Groups with their texts; `band` is a group from here on.
+    place = nodes.select("h", "i", "n", "doc_id", "seen")
+    groups = in_groups(classes_from(pairs), place)
+    own = groups.withColumn("one", F.pmod(F.xxhash64("h", "i", "band"), F.col("blocks")).cast("int")).withColumns({"other": F.col("one"), "side": F.lit(0), "root_h": F.col("h"), "root_i": F.col("i")})
+    links = written(last_links(with_text(by_shingles(own), texts), width, percent, needed), "near-links")
+    large = groups.filter("blocks > 1").select("band", "h", "i", "blocks")
+    if large.isEmpty():
+        return linked(links)
+    cells = between_classes(large, classes_from(links), True)
+    pairs = still_open(cells.join(of_node, ["h", "i"]), percent, needed, True)
+    links = links.unionByName(written(verified(with_both_texts(pairs, place, texts), width, percent), "near-more-links"))
+    classes = classes_from(links)
+    cells = between_classes(large, classes, True)
+    left = in_groups(classes_from(still_open(cells.join(of_node, ["h", "i"]), percent, needed, False)), place)
+    cells = in_cells(left.join(classes, ["h", "i"], "left").withColumns({f"root_{c}": F.coalesce(f"root_{c}", c) for c in "hi"}), "blocks")
+    return linked(links.unionByName(last_links(with_text(by_shingles(cells), texts), width, percent, needed)))
+
+
+def classes_from(pairs: DataFrame) -> DataFrame:
+    """h, i, root_h, root_i of the nodes in the components of pairs; written."""
+    found = components(linked(pairs))
+    return written(found.select(F.col("node.h").alias("h"), F.col("node.i").alias("i"), F.col("root.h").alias("root_h"), F.col("root.i").alias("root_i")), "near-roots")
+
+
+def between_classes(rows: DataFrame, classes: DataFrame, apart: bool) -> DataFrame:
+    """rows (band, h, i, blocks) of those bands that have several classes, in cells and with spread and root. apart: only cells of two blocks."""
+    placed = rows.join(classes, ["h", "i"], "left").select("band", "h", "i", "blocks", *[F.coalesce(f"root_{c}", c).alias(f"root_{c}") for c in "hi"])
+    root = F.struct("root_h", "root_i")
+    several = written(placed.groupBy("band").agg((F.min(root) != F.max(root)).alias("several")).filter("several").select("band"), "near-several")
+    placed = written(placed.join(small(several), "band"), "near-placed")
+    cells = in_cells(placed, "blocks")
+    return spread(cells.filter("one <> other") if apart else cells, placed.count(), "band", "one", "other")
+
+
+def in_groups(classes: DataFrame, place: DataFrame) -> DataFrame:
+    """band (a number for each class), h, i, n, doc_id, seen and blocks: how many the class is dealt into; written."""
+    rows = classes.select("h", "i", F.xxhash64("root_h", "root_i").alias("band")).join(place, ["h", "i"])
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK_DOCS, F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    sizes = written(rows.groupBy("band").agg(blocks.alias("blocks")), "near-sizes")
+    return written(rows.join(small(sizes), "band"), "near-groups")
+
+
+def by_shingles(cells: DataFrame) -> DataFrame:
+    """cells with a spread by which a task has about BLOCK_SHINGLES; written."""
+    cells = written(cells, "near-cells")
+    n = cells.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return spread(cells, n * ROWS_A_TASK // BLOCK_SHINGLES, "band", "one", "other")
+
+
+def with_both_texts(pairs: DataFrame, place: DataFrame, texts: DataFrame) -> DataFrame:
+    """pairs with text_a and text_b."""
+    pairs = written(pairs, "near-class-pairs")
+    wanted = pairs.selectExpr("explode(array(struct(ah AS h, ai AS i), struct(bh AS h, bi AS i))) AS k").select("k.h", "k.i").distinct()
+    found = written(with_text(wanted.join(place, ["h", "i"]), texts), "near-texts")
     for end in "ab":
-        both = both.join(found.select(F.col("h").alias(f"{end}h"), F.col("i").alias(f"{end}i"), F.col("text").alias(f"text_{end}")), [f"{end}h", f"{end}i"])
-    links = written(linked(verified(both, width, percent)), "near-links")
-    classes = components(links).select(F.col("node.h").alias("h"), F.col("node.i").alias("i"), F.col("root.h").alias("root_h"), F.col("root.i").alias("root_i"))
-
-    # Buckets with several classes: what signatures leave over between them, on the full sets; `band` is then a group of such pairs.
-    root = [F.coalesce(f"root_{c}", c).alias(f"root_{c}") for c in "hi"]
-    placed = members.join(classes, ["h", "i"], "left").select("band", "h", "i", "blocks", *root)
-    several = placed.groupBy("band").agg((F.min(F.struct("root_h", "root_i")) != F.max(F.struct("root_h", "root_i"))).alias("several")).filter("several").select("band")
-    placed = written(placed.join(small(written(several, "near-several")), "band"), "near-placed")
-    rows = in_cells(placed, "blocks").join(of_node, ["h", "i"])
-    left = components(linked(still_open(spread(rows, placed.count(), "band", "one", "other"), percent, needed)))
-    left = written(left.select("node.h", "node.i", F.xxhash64("root.h", "root.i").alias("band")), "near-left")
-    left = left.join(nodes.select("h", "i", "n", "doc_id", "seen"), ["h", "i"]).join(classes, ["h", "i"], "left").select("band", "h", "i", "n", "doc_id", "seen", *root)
-    sizes = left.groupBy("band").agg(F.ceil(F.greatest(F.count("*") / BLOCK_DOCS, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"), F.sum("n").alias("shingles"))
-    sizes = written(sizes, "near-sizes")
-    cells = in_cells(left.join(small(sizes.select("band", "blocks")), "band"), "blocks")
-    shingles_left = sizes.agg(F.coalesce(F.sum(F.col("shingles") * F.col("blocks")), F.lit(0))).first()[0]
-    cells = spread(cells, shingles_left * ROWS_A_TASK // BLOCK_SHINGLES, "band", "one", "other")
-    more = linked(last_links(with_text(written(cells, "near-cells"), texts), width, percent, needed))
-    return links.unionByName(more)
+        pairs = pairs.join(found.select(F.col("h").alias(f"{end}h"), F.col("i").alias(f"{end}i"), F.col("text").alias(f"text_{end}")), [f"{end}h", f"{end}i"])
+    return pairs
 
 
 def with_text(rows: DataFrame, texts: DataFrame) -> DataFrame:
