@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -65,9 +66,14 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 
 def release(spark: SparkSession) -> None:
-    """Have the driver collect its garbage: shuffle files of finished jobs stay on the executors' disks until it does."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Have the driver collect its garbage: shuffle files of finished jobs stay on the executors' disks until it does.
+
+    Twice, as what the first round lets go of may be the last to hold a shuffle.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def unused(name: str, *frames: DataFrame) -> str:
