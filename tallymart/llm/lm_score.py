@@ -49,8 +49,8 @@ from tallymart.llm.word_counts import fold, word_counts
 
 END = b"\n"  # cannot be a word
 LOG10 = np.log(10)
-#: Tokens shuffled together in training; of a step; scored at once. Noise classes of a step, noise units of a class in a step.
-CHUNK, STEP, SCORED, NOISE, NOISE_UNITS = 400_000, 8192, 65_536, 16, 8
+#: Tokens shuffled together in training; of a step; scored at once. Noise classes of a step, noise units of a class in a step. Logits held at once.
+CHUNK, STEP, SCORED, NOISE, NOISE_UNITS, LOGITS = 400_000, 16_384, 131_072, 16, 8, 262_144
 #: Training tokens of a shard and round, about; shards whose parameters are added up at once.
 SHARD_TOKENS, FAN_IN = 2_000_000, 8
 #: Partitions that the candidates for the dictionary are gathered in.
@@ -187,8 +187,9 @@ class Bilinear:
             squares[name][rows] += gradient * gradient
             P[name][rows] += rate * gradient / np.sqrt(squares[name][rows])
 
-        for i in range(0, len(target), STEP):
-            w, a, b = target[i : i + STEP], near[i : i + STEP], far[i : i + STEP]
+        step = min(STEP, max(256, len(target) // 24))  # a small chunk has smaller steps, not fewer
+        for i in range(0, len(target), step):
+            w, a, b = target[i : i + step], near[i : i + step], far[i : i + step]
             order = np.argsort(cls[w], kind="stable")
             w, a, b = w[order], a[order], b[order]
             va, vb, c, n = P["context"][a], P["context"][b], cls[w], np.float32(1 / len(w))
@@ -220,9 +221,10 @@ class Bilinear:
 
 def contrast(hidden: np.ndarray, vectors: np.ndarray, bias: np.ndarray, target: np.ndarray, noise: np.ndarray, log_noise: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Gradients of the noise-contrastive objective by the logits of targets and of noise, and by the context vectors."""
-    tw, tn = vectors[target], vectors[noise]
-    gw = 1 / (1 + np.exp(np.clip(np.einsum("ij,ij->i", hidden, tw) + bias[target] - log_noise[target], -30, 30)))
-    gn = -1 / (1 + np.exp(np.clip(log_noise[noise] - bias[noise] - hidden @ tn.T, -30, 30)))
+    tw, tn, shift = vectors[target], vectors[noise], bias - log_noise
+    with np.errstate(over="ignore"):  # an infinite exponential is a gradient of 0
+        gw = 1 / (1 + np.exp(np.einsum("ij,ij->i", hidden, tw) + shift[target]))
+        gn = -1 / (1 + np.exp(-shift[noise] - hidden @ tn.T))
     return gw, gn, gw[:, None] * tw + gn @ tn
 
 
@@ -275,7 +277,7 @@ def trained(docs: DataFrame, dictionary: Dictionary, size: int = 16, rounds: int
     spark = docs.sparkSession
     model = Bilinear(dictionary, size, seed)
     shared = spark.sparkContext.broadcast(dictionary)
-    shards = max(4, math.ceil(dictionary.n_tokens / (rounds * SHARD_TOKENS)))
+    shards = max(1, math.ceil(dictionary.n_tokens / (rounds * SHARD_TOKENS)))
     content = F.xxhash64("doc_id", "text")
     for k in range(rounds):
         held = spark.sparkContext.broadcast(model)
@@ -320,37 +322,47 @@ def unit_of(dictionary: Dictionary) -> UnitOf:
     return _unit_of[dictionary.key]
 
 
-def log_sums(logits: np.ndarray) -> np.ndarray:
-    """Logarithms of the sums of exponentials of each row."""
-    top = logits.max()
-    if top - logits.min() > 80:
-        top = logits.max(axis=1, keepdims=True)
-    return np.log(np.exp(logits - top).sum(axis=1)) + np.ravel(top)
-
-
 class Scorer:
     """Normalised log probabilities of units."""
 
     def __init__(self, model: Bilinear) -> None:
-        P = self.parts = model.parts
-        self.bounds, self.cls = model.bounds, model.cls
-        self.near, self.far = P["context"] @ P["near"], P["context"] @ P["far"]
+        P, self.bounds, self.cls = model.parts, model.bounds, model.cls
+        one = lambda v: np.c_[v, np.full(len(v), 0.5, np.float32)]  # noqa: E731  # two halves make the one that the bias is multiplied by
+        self.near, self.far = one(P["context"] @ P["near"]), one(P["context"] @ P["far"])
+        self.classes = np.ascontiguousarray(np.c_[P["class"], P["class_bias"]].T)
+        units = np.c_[P["unit"], P["unit_bias"]]
+        self.units = [np.ascontiguousarray(units[a:b].T) for a, b in pairwise(self.bounds)]
+        norm = lambda v, axis: float(np.sqrt((v * v).sum(axis=axis)).max())
+        self.small = (norm(self.near, 1) + norm(self.far, 1)) * max(norm(w, 0) for w in (self.classes, *self.units)) < 80  # no logit leaves the range of exponentials
+
+    def choice(self, hidden: np.ndarray, weights: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """Log probability of each target among the columns of weights."""
+        out, step = np.empty(len(target)), max(64, LOGITS // weights.shape[1])
+        for i in range(0, len(target), step):
+            logits = hidden[i : i + step] @ weights
+            own = logits[np.arange(len(logits)), target[i : i + step]]
+            if not self.small:
+                top = logits.max(axis=1)
+                logits -= top[:, None]
+                own -= top
+            out[i : i + step] = own - np.log(np.exp(logits, out=logits).sum(axis=1))
+        return out
 
     def logs(self, target: np.ndarray, near: np.ndarray, far: np.ndarray) -> np.ndarray:
         """Natural log probability of each unit in its context."""
         if len(target) > SCORED:
             return np.concatenate([self.logs(target[i : i + SCORED], near[i : i + SCORED], far[i : i + SCORED]) for i in range(0, len(target), SCORED)])
-        P, c = self.parts, self.cls[target]
+        c = self.cls[target]
         order = np.argsort(c, kind="stable")
         target, c, out = target[order], c[order], np.empty(len(target))
-        hidden = self.near[near[order]] + self.far[far[order]]
-        logits = hidden @ P["class"].T + P["class_bias"]
-        logs = (logits[np.arange(len(c)), c] - log_sums(logits)).astype(np.float64)
+        hidden = self.near[near[order]]
+        hidden += self.far[far[order]]
+        logs = self.choice(hidden, self.classes, c)
         starts = np.flatnonzero(np.r_[True, c[1:] != c[:-1]]).tolist()
         for lo, hi in pairwise([*starts, len(c)]):
-            first, last = int(self.bounds[c[lo]]), int(self.bounds[c[lo] + 1])
-            logits = hidden[lo:hi] @ P["unit"][first:last].T + P["unit_bias"][first:last]
-            logs[lo:hi] += logits[np.arange(hi - lo), target[lo:hi] - first] - log_sums(logits)
+            k = int(c[lo])
+            if self.units[k].shape[1] > 1:
+                logs[lo:hi] += self.choice(hidden[lo:hi], self.units[k], target[lo:hi] - self.bounds[k])
         out[order] = logs
         return out
 
