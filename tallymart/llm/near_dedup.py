@@ -271,7 +271,7 @@ def spread(rows: DataFrame, n: int, *keys: str) -> DataFrame:
 
 
 def near_links(nodes: DataFrame, texts: DataFrame, width: int, percent: int, miss: float) -> DataFrame:
-    """Verified links between nodes. nodes: h, i, doc_id, seen, n, bands, sig; texts: doc_id, seen, text."""
+    """Verified links (ah, ai, bh, bi) between nodes. nodes: h, i, doc_id, seen, n, bands, sig; texts: doc_id, seen, text."""
     needed, key = least_matches(percent / 100, miss), F.xxhash64("h", "i")
     keys = nodes.select("h", "i", F.explode("bands").alias("band"))
     buckets = keys.groupBy("band").agg(F.count("*").alias("size"), F.sum(key.cast("decimal(20,0)")).alias("sum"), F.bit_xor(key).alias("xor")).filter("size > 1")
@@ -284,8 +284,8 @@ def near_links(nodes: DataFrame, texts: DataFrame, width: int, percent: int, mis
     rows = members.join(of_node, ["h", "i"]).withColumn("block", F.pmod(key.bitwiseXOR(F.col("band")), F.col("blocks")))
     pairs = written(first_pairs(spread(rows, members.count(), "band", "block"), percent, needed).distinct(), "near-pairs")
     large = members.filter("blocks > 1")
-    if not large.isEmpty():
-        cells = between_classes(large, classes_from(pairs), False)
+    if n_large := large.count():
+        cells = between_classes(large, n_large, classes_from(pairs), False)
         pairs = pairs.unionByName(written(still_open(cells.join(of_node, ["h", "i"]), percent, needed, True), "near-more-pairs"))
 
     # Groups with their texts; `band` is a group from here on.
@@ -294,45 +294,48 @@ def near_links(nodes: DataFrame, texts: DataFrame, width: int, percent: int, mis
     own = groups.withColumn("one", F.pmod(F.xxhash64("h", "i", "band"), F.col("blocks")).cast("int")).withColumns({"other": F.col("one"), "side": F.lit(0), "root_h": F.col("h"), "root_i": F.col("i")})
     links = written(last_links(with_text(by_shingles(own), texts), width, percent, needed), "near-links")
     large = groups.filter("blocks > 1").select("band", "h", "i", "blocks")
-    if large.isEmpty():
-        return linked(links)
-    cells = between_classes(large, classes_from(links), True)
+    n_large = large.count()
+    if not n_large:
+        return links
+    cells = between_classes(large, n_large, classes_from(links), True)
     pairs = still_open(cells.join(of_node, ["h", "i"]), percent, needed, True)
     links = links.unionByName(written(verified(with_both_texts(pairs, place, texts), width, percent), "near-more-links"))
     classes = classes_from(links)
-    cells = between_classes(large, classes, True)
+    cells = between_classes(large, n_large, classes, True)
     left = in_groups(classes_from(still_open(cells.join(of_node, ["h", "i"]), percent, needed, False)), place)
     cells = in_cells(left.join(classes, ["h", "i"], "left").withColumns({f"root_{c}": F.coalesce(f"root_{c}", c) for c in "hi"}), "blocks")
-    return linked(links.unionByName(last_links(with_text(by_shingles(cells), texts), width, percent, needed)))
+    return links.unionByName(last_links(with_text(by_shingles(cells), texts), width, percent, needed))
 
 
 def classes_from(pairs: DataFrame) -> DataFrame:
     """h, i, root_h, root_i of the nodes in the components of pairs; written."""
-    found = components(linked(pairs))
-    return written(found.select(F.col("node.h").alias("h"), F.col("node.i").alias("i"), F.col("root.h").alias("root_h"), F.col("root.i").alias("root_i")), "near-roots")
+    pairs = written(pairs, "near-edges")
+    n = pairs.count()
+    found = components(linked(pairs), n)
+    return written(found.select(F.col("node.h").alias("h"), F.col("node.i").alias("i"), F.col("root.h").alias("root_h"), F.col("root.i").alias("root_i")), "near-roots", 2 * n)
 
 
-def between_classes(rows: DataFrame, classes: DataFrame, apart: bool) -> DataFrame:
-    """rows (band, h, i, blocks) of those bands that have several classes, in cells and with spread and root. apart: only cells of two blocks."""
+def between_classes(rows: DataFrame, n: int, classes: DataFrame, apart: bool) -> DataFrame:
+    """Of n rows (band, h, i, blocks) those of the bands that have several classes, in cells and with spread and root. apart: only cells of two blocks."""
     placed = rows.join(classes, ["h", "i"], "left").select("band", "h", "i", "blocks", *[F.coalesce(f"root_{c}", c).alias(f"root_{c}") for c in "hi"])
     root = F.struct("root_h", "root_i")
-    several = written(placed.groupBy("band").agg((F.min(root) != F.max(root)).alias("several")).filter("several").select("band"), "near-several")
-    placed = written(placed.join(small(several), "band"), "near-placed")
+    several = written(placed.groupBy("band").agg((F.min(root) != F.max(root)).alias("several")).filter("several").select("band"), "near-several", n)
+    placed = written(placed.join(small(several), "band"), "near-placed", n)
     cells = in_cells(placed, "blocks")
     return spread(cells.filter("one <> other") if apart else cells, placed.count(), "band", "one", "other")
 
 
 def in_groups(classes: DataFrame, place: DataFrame) -> DataFrame:
-    """band (a number for each class), h, i, n, doc_id, seen and blocks: how many the class is dealt into; written."""
-    rows = classes.select("h", "i", F.xxhash64("root_h", "root_i").alias("band")).join(place, ["h", "i"])
+    """band (a number for each class), h, i, n, doc_id, seen and blocks: how many the class is dealt into."""
+    n = classes.count()
+    rows = written(classes.select("h", "i", F.xxhash64("root_h", "root_i").alias("band")).join(place, ["h", "i"]), "near-grouped", n)
     blocks = F.ceil(F.greatest(F.count("*") / BLOCK_DOCS, F.sum("n") / BLOCK_SHINGLES)).cast("int")
-    sizes = written(rows.groupBy("band").agg(blocks.alias("blocks")), "near-sizes")
-    return written(rows.join(small(sizes), "band"), "near-groups")
+    sizes = written(rows.groupBy("band").agg(blocks.alias("blocks")), "near-sizes", n)
+    return rows.join(small(sizes), "band")
 
 
 def by_shingles(cells: DataFrame) -> DataFrame:
-    """cells with a spread by which a task has about BLOCK_SHINGLES; written."""
-    cells = written(cells, "near-cells")
+    """cells with a spread by which a task has about BLOCK_SHINGLES."""
     n = cells.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     return spread(cells, n * ROWS_A_TASK // BLOCK_SHINGLES, "band", "one", "other")
 
@@ -350,8 +353,8 @@ def with_both_texts(pairs: DataFrame, place: DataFrame, texts: DataFrame) -> Dat
 def with_text(rows: DataFrame, texts: DataFrame) -> DataFrame:
     """rows (doc_id, seen) with the text they were seen in, once each: repeated documents are left out."""
     once = texts.withColumnsRenamed({"doc_id": "_id", "seen": "_seen"})
-    wanted = rows.select("doc_id", "seen").distinct()
-    found = once.join(wanted, (F.col("seen") == F.col("_seen")) & F.col("doc_id").eqNullSafe(F.col("_id"))).groupBy("doc_id", "seen").agg(F.first("text").alias("text"))
+    wanted = written(rows.select("doc_id", "seen").distinct(), "near-wanted", rows.count())
+    found = once.join(small(wanted), (F.col("seen") == F.col("_seen")) & F.col("doc_id").eqNullSafe(F.col("_id"))).groupBy("doc_id", "seen").agg(F.first("text").alias("text"))
     found = found.withColumnsRenamed({"doc_id": "_id", "seen": "_seen"})
     return rows.join(found, (F.col("seen") == F.col("_seen")) & F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id", "_seen")
 
@@ -366,11 +369,10 @@ def near_classes(docs: DataFrame, width: int = 5, percent: int = 80, miss: float
     nodes = all_docs.filter("n_shingles > 0").groupBy("h", "i").agg(from_doc.alias("from"), F.min("doc_id").alias("least"), F.first("bands").alias("bands"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n"))
     nodes = written(nodes.select(F.spark_partition_id().alias("run"), "h", "i", "from.doc_id", "from.seen", "least", "n", "bands", "sig"), "near-nodes")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("seen"), F.col(text_col).alias("text"))
-    classes = components(near_links(nodes.drop("run", "least"), texts, width, percent, miss))
-    classes = written(classes.select(F.col("node.h").alias("h"), F.col("node.i").alias("i"), F.struct("root.h", "root.i").alias("root")), "near-classes")
+    classes = classes_from(near_links(nodes.drop("run", "least"), texts, width, percent, miss)).select("h", "i", F.struct(F.col("root_h").alias("h"), F.col("root_i").alias("i")).alias("root"))
 
-    own = written(nodes.select("run", "h", "i", "least").join(small(classes), ["h", "i"], "left").withColumn("root", F.coalesce("root", F.struct("h", "i"))), "near-own")
-    best = written(own.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("k")).filter("k > 1").drop("k"), "near-best")
+    own = written(nodes.select("run", "h", "i", "least").join(small(classes), ["h", "i"], "left").withColumn("root", F.coalesce("root", F.struct("h", "i"))), "near-own", nodes.count())
+    best = written(own.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("k")).filter("k > 1").drop("k"), "near-best", classes.count())
     of_node = by_run(own, ["root"], best, "left").select("h", "i", F.coalesce("component_id", "least").alias("component_id"))
     rows = by_run(all_docs.select("run", "doc_id", "n_shingles", "h", "i"), ["h", "i"], of_node, "left")
     rows = rows.select("doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
