@@ -17,6 +17,8 @@ from tallymart.llm.near_dedup import near_classes
 from tallymart.llm.packing import packed
 from tallymart.llm.piece_counts import piece_counts
 from tallymart.llm.quality_rules import judged
+from tallymart.llm.vector_search import nearest
+from tallymart.llm.whitening import whitened
 
 #: The public vocabulary of the counting, packing and language operators; a parameter of each.
 RANKS, TOKENIZER = "byte_bpe_50k.tiktoken", "byte_bpe_50k.json"
@@ -73,6 +75,14 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.array_join("rejected_by", ",").alias("rejected_by"))
 
 
+def op11_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
@@ -156,4 +166,11 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
        CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id <> first THEN first END AS refers_to
 FROM q""",
+    "op11_vector_search": """
+WITH v AS (SELECT vec_id, [floor(1024 * CAST(x AS DOUBLE)) FOR x IN embedding] AS x
+           FROM embeddings WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.x, c.x) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score FROM s)
+SELECT * FROM r WHERE rank <= 10""",
 }
