@@ -10,6 +10,7 @@ from tallymart.llm.archives import archived
 from tallymart.llm.common import known_to_workers
 from tallymart.llm.exact_dedup import exact_dedup
 from tallymart.llm.language_id import language_id
+from tallymart.llm.lexical_search import ranked
 from tallymart.llm.line_dedup import line_report
 from tallymart.llm.lm_score import lm_scores
 from tallymart.llm.mixing import mix_plan
@@ -79,6 +80,10 @@ def op11_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitened(table(spark, sf_dir, "embeddings"))
 
@@ -173,4 +178,22 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.x, c.x) AS
       FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
 r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id, score FROM s)
 SELECT * FROM r WHERE rank <= 10""",
+    "op12_lexical_search": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS d, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts
+  FROM documents),
+dn AS (SELECT d, doc_id, ts, len(ts) AS n FROM d WHERE len(ts) > 0),
+c AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS length FROM dn),
+i AS (
+  SELECT row_number() OVER () AS i, item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts
+  FROM benchmark),
+it AS (SELECT i, term, count(*) AS q FROM (SELECT i, unnest(ts) AS term FROM i) GROUP BY ALL),
+p AS (SELECT d, term, count(*) AS tf FROM (SELECT d, unnest(ts) AS term FROM dn) WHERE term IN (SELECT term FROM it) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * c.docs + 2) / (2 * df + 1))) AS BIGINT) AS w FROM (SELECT term, count(*) AS df FROM p GROUP BY term), c),
+m AS (SELECT d, doc_id, 100 - 75 + ((75 * n * c.docs) // c.length) AS m FROM dn, c),
+s AS (
+  SELECT it.i, m.doc_id, m.d, CAST(sum(it.q * w.w * ((1000000000 * p.tf) // (1000 * p.tf + 8 * m.m))) AS BIGINT) AS score
+  FROM it JOIN w USING (term) JOIN p USING (term) JOIN m USING (d) GROUP BY ALL),
+r AS (SELECT i, doc_id, score, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS INT) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r JOIN i USING (i) WHERE rank <= 10""",
 }
