@@ -2,11 +2,12 @@
 
 1. One pass over the documents counts terms; of each document its length and the counts of terms that items hold are written.
 2. A pass over that table gives the number of documents, their length and in how many each term is, hence the weights.
-3. Items are in batches, each a tree: a leaf is a few items alike, and a node has for each term the largest coefficient below it.
-   A task takes its documents in batches, each a tree too: sorted by the item leaf that they fit best, a node has for each term the
-   largest impact below it. The inner product of two nodes' maxima bounds every score below the pair; where it is less than
-   the weakest k-th score of the node's items, the pair is left out with all below it: whole batches, then nodes, then leaves. What is
-   left is scored exactly, for each item leaf its best document leaf first, as that raises the k-th scores.
+3. Items are in batches, each a tree: items, groups of items alike, the root; a node has for each term the largest coefficient
+   below it. A task takes its documents in batches, each a tree too: leaves of a few documents, sorted by the group of items that
+   they fit best, nodes of leaves, the root; a node has for each term the largest impact below it. The inner product of two nodes'
+   maxima bounds every score below the pair; where it is less than the weakest k-th score of the node's items, the pair is left out
+   with all below it: root and root, group and node, item and leaf. What is left is scored exactly, an item's best leaves first, as
+   that raises its k-th score.
 4. The tasks' lists are merged up a tree.
 
 Scores are whole numbers, so bounds are compared without error and nothing that could be in the result is left out. Items beyond
@@ -38,10 +39,10 @@ LETTERS = bytes(ord(chr(c).lower()) if chr(c).isalnum() else 0x20 for c in range
 PIECE = 1 << 20
 #: Text of items that one pass searches for.
 ITEM_BYTES = 32 << 20
-#: Items of a batch and the terms that they hold at most (an item with more is alone); items of a leaf.
-BATCH, BATCH_TERMS, LEAF = 256, 16_384, 8
-#: Documents of a batch, at most, and the bytes of their impacts; documents of a leaf; children of a node.
-DOCS, DOC_BYTES, DOC_LEAF, FANOUT = 2_048, 32 << 20, 32, 8
+#: Items of a batch and the terms that they hold at most (an item with more is alone); items of a group.
+BATCH, BATCH_TERMS, GROUP = 256, 16_384, 8
+#: Documents of a batch, at most, and the bytes of their impacts; documents of a leaf; leaves of a node.
+DOCS, DOC_BYTES, DOC_LEAF, FANOUT = 2_048, 32 << 20, 8, 8
 #: The largest impact of a term.
 IMPACT = 1_000_000
 
@@ -100,62 +101,77 @@ def weights(counted: DataFrame, n_terms: int) -> tuple[int, int, np.ndarray]:
     return n, length, w
 
 
-def maxima(rows: np.ndarray, size: int) -> np.ndarray:
-    """Coordinate maxima of runs of `size` rows."""
-    return np.maximum.reduceat(rows, np.arange(0, len(rows), size), axis=0)
+@dataclass
+class Node:
+    """A node of a tree of items: places in the batch's vocabulary and the largest coefficient below the node at each."""
+
+    places: np.ndarray
+    coefficients: np.ndarray
+
+    def bounds(self, maxima: np.ndarray) -> np.ndarray:
+        """Inner products with the columns of maxima (terms by nodes or documents)."""
+        return self.coefficients @ maxima[self.places]
+
+
+def above(nodes: list[Node]) -> Node:
+    """The node over these."""
+    places, to = np.unique(np.concatenate([n.places for n in nodes]), return_inverse=True)
+    most = np.zeros(len(places), nodes[0].coefficients.dtype)
+    np.maximum.at(most, to, np.concatenate([n.coefficients for n in nodes]))
+    return Node(places, most)
 
 
 @dataclass
 class Items:
-    """Items in order of their tree: row i has the terms ends[i] to ends[i + 1] and their coefficients."""
+    """A batch of items as a tree: a leaf each, groups of GROUP leaves, the root."""
 
     numbers: list[int]
-    ends: np.ndarray
-    terms: np.ndarray
-    coefficients: np.ndarray
-    vocabulary: np.ndarray = field(init=False)
+    leaves: list[Node]
+    vocabulary: np.ndarray
+    groups: list[Node] = field(init=False)
+    root: Node = field(init=False)
 
     def __post_init__(self) -> None:
-        self.vocabulary = np.unique(self.terms)
-
-    def dense(self) -> np.ndarray:
-        """Items by terms of the vocabulary; doubles where they hold every score exactly, else whole numbers."""
-        rows = np.repeat(np.arange(len(self.numbers)), np.diff(self.ends))
-        sums = np.bincount(rows, self.coefficients, len(self.numbers)) * IMPACT
-        out = np.zeros((len(self.numbers), len(self.vocabulary)), np.float64 if sums.max(initial=0) < 2**52 else np.int64)
-        out[rows, np.searchsorted(self.vocabulary, self.terms)] = self.coefficients
-        return out
+        # Doubles where they hold every score and bound exactly, else whole numbers.
+        self.groups = [above(self.leaves[at : at + GROUP]) for at in range(0, len(self.leaves), GROUP)]
+        self.root = above(self.groups)
+        if int(self.root.coefficients.sum()) * IMPACT < 2**52:
+            for n in (*self.leaves, *self.groups, self.root):
+                n.coefficients = n.coefficients.astype(np.float64)
 
 
 def alike(x: np.ndarray, rows: np.ndarray) -> list[np.ndarray]:
-    """rows in leaves, by halves: on a line between two rows far apart."""
-    if len(rows) <= LEAF:
+    """rows in groups, by halves: on a line between two rows far apart."""
+    if len(rows) <= GROUP:
         return [rows]
     far = rows[np.argmin(x[rows] @ x[rows[0]])]
     other = rows[np.argmin(x[rows] @ x[far])]
     order = rows[np.argsort(x[rows] @ (x[far] - x[other]), kind="stable")]
-    half = -(-len(rows) // (2 * LEAF)) * LEAF
+    half = -(-len(rows) // (2 * GROUP)) * GROUP
     return [*alike(x, order[:half]), *alike(x, order[half:])]
 
 
 def batched(found: list[tuple[int, np.ndarray, np.ndarray]], w: np.ndarray) -> list[Items]:
-    """Items (number, terms, counts) in batches, alike ones together."""
-    found = [(no, t[c > 0], c[c > 0]) for no, t, c in ((no, t, c * w[t]) for no, t, c in found)]
+    """Items (number, terms, counts) in batches, alike ones together. A term of weight 0 and an item without any other take no part."""
+    found = [(no, t[w[t] > 0], (c * w[t])[w[t] > 0]) for no, t, c in found]
     found = sorted(((no, t, c) for no, t, c in found if len(t)), key=lambda x: (int(x[1][np.argmax(x[2])]), x[0]))
-    groups: list[list] = []
+    batches: list[list] = []
     held: set[int] = set()
     for item in found:
-        if not groups or len(groups[-1]) == BATCH or len(held.union(item[1].tolist())) > BATCH_TERMS:
-            groups.append([])
+        if not batches or len(batches[-1]) == BATCH or len(held.union(item[1].tolist())) > BATCH_TERMS:
+            batches.append([])
             held = set()
-        groups[-1].append(item)
+        batches[-1].append(item)
         held.update(item[1].tolist())
     out = []
-    for group in groups:
-        make = lambda rows: Items([no for no, _, _ in rows], np.cumsum([0, *(len(t) for _, t, _ in rows)]), np.concatenate([t for _, t, _ in rows]), np.concatenate([c for _, _, c in rows]))
-        dense = make(group).dense().astype(np.float64)
-        dense /= np.linalg.norm(dense, axis=1, keepdims=True)
-        out.append(make([group[i] for i in np.concatenate(alike(dense, np.arange(len(group))))]))
+    for batch in batches:
+        vocabulary = np.unique(np.concatenate([t for _, t, _ in batch]))
+        leaves = [Node(np.searchsorted(vocabulary, t), c) for _, t, c in batch]
+        directions = np.zeros((len(batch), len(vocabulary)))
+        for i, leaf in enumerate(leaves):
+            directions[i, leaf.places] = leaf.coefficients / np.linalg.norm(leaf.coefficients.astype(np.float64))
+        order = np.concatenate(alike(directions, np.arange(len(batch))))
+        out.append(Items([batch[i][0] for i in order], [leaves[i] for i in order], vocabulary))
     return out
 
 
@@ -193,8 +209,8 @@ class Search:
     def __init__(self, batches: list[Items], n_docs: int, length: int, k: int) -> None:
         self.n_docs, self.length, self.best = n_docs, length, Best(k)
         self.batches = batches
-        self.at_once = max(DOC_LEAF, min([DOCS, *(DOC_BYTES // (8 * len(items.vocabulary)) for items in batches)]))
-        #: Pairs of an item and a document: all, and those that were scored.
+        self.at_once = max(DOC_LEAF * FANOUT, min([DOCS, *(DOC_BYTES // (8 * len(items.vocabulary)) for items in batches)]))
+        # Pairs of an item and a document: all, and those that were scored.
         self.pairs = self.scored = 0
 
     def documents(self, batch: pa.RecordBatch) -> None:
@@ -211,51 +227,50 @@ class Search:
 
     def pair(self, items: Items, ids: np.ndarray, nameless: np.ndarray, rows: np.ndarray, terms: np.ndarray, worth: np.ndarray) -> None:
         """A batch of documents against a batch of items, from the roots down."""
-        column = np.searchsorted(items.vocabulary, terms)
-        column[column == len(items.vocabulary)] = 0
-        here = items.vocabulary[column] == terms
-        rows, column, worth = rows[here], column[here], worth[here]
-        needed = np.array([self.best.weakest(i) for i in items.numbers])
-        least = np.minimum.reduceat(needed, np.arange(0, len(needed), LEAF))
-        # The two roots first: no document of the batch has more of a term than the batch's maximum.
-        dense = items.dense()
-        leaves = maxima(dense, LEAF)
-        top = np.zeros(len(items.vocabulary), dense.dtype)
-        np.maximum.at(top, column, worth.astype(dense.dtype))
-        if leaves.max(axis=0) @ top < least.min() or not (leaves @ top >= least).any():
+        place = np.minimum(np.searchsorted(items.vocabulary, terms), len(items.vocabulary) - 1)
+        here = items.vocabulary[place] == terms
+        rows, place, worth = rows[here], place[here], worth[here].astype(items.root.coefficients.dtype)
+        top = np.zeros(len(items.vocabulary), worth.dtype)
+        np.maximum.at(top, place, worth)
+        if items.root.bounds(top) < min(map(self.best.weakest, items.numbers)):
             return
-        matrix = np.zeros((len(ids), len(items.vocabulary)), dense.dtype)
-        matrix[rows, column] = worth
-        fit = matrix @ (leaves / np.linalg.norm(leaves.astype(np.float64), axis=1, keepdims=True)).T
-        nearest = fit.argmax(axis=1)
-        order = np.lexsort((-fit[np.arange(len(ids)), nearest], nearest))
-        matrix, ids, nameless = matrix[order], ids[order], nameless[order]
-        doc_leaves = maxima(matrix, DOC_LEAF)
-        doc_nodes = maxima(doc_leaves, FANOUT)
-        # Pairs of an item leaf and a document node, then of an item leaf and a document leaf below the nodes that are left.
-        open_nodes = np.repeat(leaves @ doc_nodes.T >= least[:, None], FANOUT, axis=1)[:, : len(doc_leaves)]
-        some = open_nodes.any(axis=0)
-        bounds = np.full(open_nodes.shape, -1, dense.dtype)
-        bounds[:, some] = leaves @ doc_leaves[some].T
-        bounds[~open_nodes] = -1
-        for leaf in np.argsort(-bounds.max(axis=1)):
-            self.leaf(items, dense, np.arange(leaf * LEAF, min((leaf + 1) * LEAF, len(dense))), bounds[leaf], matrix, ids, nameless)
-
-    def leaf(self, items: Items, dense: np.ndarray, at: np.ndarray, bounds: np.ndarray, matrix: np.ndarray, ids: np.ndarray, nameless: np.ndarray) -> None:
-        """Score the items `at` with document leaves in the order of their bounds, until these are under the weakest k-th score."""
-        order, done, some = np.argsort(-bounds, kind="stable"), 0, 1
+        # The documents in the order of the group that they fit best, so that those alike are in one leaf.
+        towards = np.zeros((len(items.groups), len(items.vocabulary)))
+        for g, group in enumerate(items.groups):
+            towards[g, group.places] = group.coefficients / np.linalg.norm(group.coefficients.astype(np.float64))
+        fit = np.array([np.bincount(rows, worth * t[place], len(ids)) for t in towards])
+        nearest = fit.argmax(axis=0)
+        order = np.lexsort((-fit[nearest, np.arange(len(ids))], nearest))
+        ids, nameless, at = ids[order], nameless[order], np.argsort(order)
+        size = -(-len(ids) // (DOC_LEAF * FANOUT)) * DOC_LEAF * FANOUT
+        matrix = np.zeros((len(items.vocabulary), size), worth.dtype)
+        matrix[place, at[rows]] = worth
+        leaves = matrix.reshape(len(matrix), -1, DOC_LEAF).max(axis=2)
+        nodes = leaves.reshape(len(matrix), -1, FANOUT).max(axis=2)
+        for g, group in enumerate(items.groups):
+            below = range(g * GROUP, min((g + 1) * GROUP, len(items.leaves)))
+            bounds = group.bounds(nodes)
+            near = np.flatnonzero(bounds >= min(self.best.weakest(items.numbers[i]) for i in below))
+            if len(near):
+                near = (near[:, None] * FANOUT + np.arange(FANOUT)).ravel()
+                under = leaves[:, near]
+                for i in below:
+                    self.leaf(items.numbers[i], items.leaves[i], items.leaves[i].bounds(under), near, matrix, ids, nameless)
+
+    def leaf(self, number: int, item: Node, bounds: np.ndarray, near: np.ndarray, matrix: np.ndarray, ids: np.ndarray, nameless: np.ndarray) -> None:
+        """Score an item's documents leaf by leaf in the order of the bounds of the leaves, until these are under its k-th score."""
+        order, done, some = np.argsort(-bounds, kind="stable"), 0, 2
         while done < len(order):
             chosen = order[done : done + some]
-            chosen = chosen[bounds[chosen] >= min(self.best.weakest(items.numbers[i]) for i in at)]
+            chosen = chosen[bounds[chosen] >= self.best.weakest(number)]
             if not len(chosen):
                 return
-            docs = (chosen[:, None] * DOC_LEAF + np.arange(DOC_LEAF)).ravel()
+            docs = (near[chosen][:, None] * DOC_LEAF + np.arange(DOC_LEAF)).ravel()
             docs = docs[docs < len(ids)]
-            scores = dense[at] @ matrix[docs].T
-            self.scored += scores.size
-            for i, of_item in zip(at, scores, strict=True):
-                self.best.take(items.numbers[i], of_item, ids[docs], nameless[docs])
-            done, some = done + some, FANOUT
+            scores = item.coefficients @ matrix[item.places[:, None], docs]
+            self.scored += len(docs)
+            self.best.take(number, scores, ids[docs], nameless[docs])
+            done, some = done + some, 4 * some
 
 
 def searched(counted: DataFrame, batches: list[Items], n_docs: int, length: int, k: int) -> DataFrame:
