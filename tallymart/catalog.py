@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tallymart.functions import derive, parsing
 from tallymart.operators import history as H, identity as I, marts as M, publish as P, quality as Q, replay as R, star as S
 from tallymart.plans import driver as D
-from tallymart.sources import files, sinks
+from tallymart.sources import files, publication, sinks
 from tallymart.tables import new_path, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -602,7 +602,76 @@ def s9_publish_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_path(spark, "published")
     for b in (0, 1, 0):
         sinks.publish_batch({"customers": table(spark, sf_dir, "customer").filter(F.col("c_custkey") % 2 == b), "orders": table(spark, sf_dir, "orders").filter(F.col("o_orderkey") % 2 == b)}, root, f"b{b}")
-    return files.read_layer(spark, f"{root}/_published").select("batch_id", "dataset", "n_rows")
+    return publication.published(spark, root).select("batch_id", "dataset", "n_rows")
+
+
+@add("s9_after_failure", "SELECT 'b1' AS batch_id, o_orderkey AS key, o_orderstatus AS status, 'orders' AS dataset FROM orders WHERE o_orderkey % 2 = 0 UNION ALL SELECT 'b1', c_custkey, 'old', 'customers' FROM customer UNION ALL SELECT 'b2', c_custkey, 'new', 'customers' FROM customer WHERE c_custkey % 3 = 0", base=False)
+def s9_after_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch is published; publishing it again fails in the second table; another batch with an empty table is published. What readers see then."""
+    root = new_path(spark, "published")
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key"), F.col("o_orderstatus").alias("status"))
+    people = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"))
+    publication.publish({"orders": orders.filter("key % 2 = 0"), "customers": people.withColumn("status", F.lit("old"))}, root, "b1", D.BATCH)
+    broken = people.withColumn("status", F.when(F.col("key") > 100, F.raise_error(F.lit("provoked"))).otherwise(F.lit("new")))
+    try:
+        publication.publish({"orders": orders, "customers": broken}, root, "b1", D.BATCH)
+    except Exception as e:
+        if "provoked" not in str(e):
+            raise
+    else:
+        raise AssertionError("a publication with a failing table has ended")
+    publication.publish({"orders": orders.limit(0), "customers": people.filter("key % 3 = 0").withColumn("status", F.lit("new"))}, root, "b2", D.BATCH)
+    parts = [publication.read_published(spark, root, n).select("batch_id", "key", "status", F.lit(n).alias("dataset")) for n in ("orders", "customers")]
+    return parts[0].unionByName(parts[1])
+
+
+REGISTERED = """
+  SELECT 'registry' AS kind, 'b1' AS batch_id, 'f1' AS what, 1 AS n UNION ALL SELECT 'registry', 'b2', 'f3', 1
+  UNION ALL SELECT 'event', 'b1', 'STARTED', 1 UNION ALL SELECT 'event', 'b1', 'COMPLETED', 1 UNION ALL SELECT 'event', 'b1', 'NO_OP', 1 UNION ALL SELECT 'event', 'b1', 'CONFLICT', 1
+  UNION ALL SELECT 'event', 'b2', 'STARTED', 1 UNION ALL SELECT 'event', 'b2', 'COMPLETED', 1
+  UNION ALL SELECT 'rows', 'b1', 'orders', CAST(count(*) AS INT) FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT 'rows', 'b2', 'orders', CAST(count(*) AS INT) FROM orders WHERE o_orderstatus <> 'F'
+  UNION ALL SELECT 'current', 'b2', 'f3', 1"""
+
+
+@add("h8_publish_once", REGISTERED, base=False)
+def h8_publish_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches, the first asked for three times: registry, events, current snapshot and rows as they are read back."""
+    root = new_path(spark, "registered")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    done, rest = {"orders": orders.filter("o_orderstatus = 'F'")}, {"orders": orders.filter("o_orderstatus <> 'F'")}
+    for frames, batch, print_, at, attempt in ((done, "b1", "f1", D.BATCH, "a1"), (done, "b1", "f1", D.BATCH, "a2"), (rest, "b1", "f2", D.BATCH, "a3"), (rest, "b2", "f3", "2018-04-02 00:00:00", "a4")):
+        publication.publish_once(frames, root, batch, print_, at, attempt)
+    known = publication.registry(spark, root)
+    parts = [
+        known.select(F.lit("registry").alias("kind"), "batch_id", F.col("fingerprint").alias("what"), F.lit(1).alias("n")),
+        publication.events(spark, root).groupBy("batch_id", "event").agg(F.count("*").cast("int").alias("n")).select(F.lit("event").alias("kind"), "batch_id", F.col("event").alias("what"), "n"),
+        publication.read_published(spark, root, "orders").groupBy("batch_id").agg(F.count("*").cast("int").alias("n")).select(F.lit("rows").alias("kind"), "batch_id", F.lit("orders").alias("what"), "n"),
+        P.current_snapshot(known).select(F.lit("current").alias("kind"), "batch_id", F.col("fingerprint").alias("what"), F.lit(1).alias("n")),
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
+@add("s10_counts_while_writing", "SELECT 'customers' AS dataset, count(*) AS n_rows, CAST(sum(CAST(c_acctbal AS DECIMAL(12,2))) AS VARCHAR) AS total FROM customer UNION ALL SELECT 'orders', count(*), CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS VARCHAR) FROM orders", base=False)
+def s10_counts_while_writing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and totals of a publication as its summary has them, taken by the tasks that wrote."""
+    root = new_path(spark, "published")
+    money = lambda name, c: table(spark, sf_dir, name).select(F.col(c).cast("decimal(12,2)").alias("money"))
+    publication.publish({"customers": money("customer", "c_acctbal"), "orders": money("orders", "o_totalprice")}, root, "b1", D.BATCH, totals={"customers": ["money"], "orders": ["money"]})
+    return publication.published(spark, root).select("dataset", "n_rows", F.col("totals")["money"].alias("total"))
+
+
+@add("s14_partitioned_table", "SELECT 'b' || o_orderkey % 3 AS batch_id, o_orderkey FROM orders WHERE o_orderkey % 3 = 1 AND o_orderstatus = 'F'", base=False)
+def s14_partitioned_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches as partitions of a catalog table, one published again after it was registered; a query on that one."""
+    path = new_path(spark, "catalogued")
+    orders, name = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"), path.rpartition("/")[2].replace("-", "_")
+    for b in (0, 1):
+        publication.publish({"orders": orders.filter(F.col("o_orderkey") % 3 == b)}, path, f"b{b}", D.BATCH)
+    publication.register_published(spark, path, "orders", name)
+    publication.publish({"orders": orders.filter("o_orderkey % 3 = 1 AND o_orderstatus = 'F'")}, path, "b1", D.BATCH)
+    publication.publish({"orders": orders.filter("o_orderkey % 3 = 2")}, path, "b2", D.BATCH)
+    publication.register_published(spark, path, "orders", name)
+    return spark.table(name).filter("batch_id = 'b1'").select("batch_id", "o_orderkey")
 
 
 add("s12_source_inventory")(lambda spark, sf_dir: files.source_inventory(spark, sf_dir, ["region.parquet", "Nation.parquet", "absent.parquet"]))

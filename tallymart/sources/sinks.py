@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tallymart.contracts import Contract
 from tallymart.operators.identity import tracked_hash
 from tallymart.sources.files import read_jdbc
+from tallymart.sources.publication import publish
 
 
 def write_layer(df: DataFrame, path: str) -> None:
@@ -27,19 +28,11 @@ def append_jdbc(df: DataFrame, options: dict[str, str], table: str, attempt_id:
 
 
 def publish_batch(frames: Mapping[str, DataFrame], root: str, batch_id: str) -> DataFrame:
-    """Write every table under its batch, count what is there, and write the marker (dataset, n_rows) last.
+    """Publish all tables of a batch or none (see publication.py); the marker (dataset, n_rows, batch_id).
 
-    A partition is overwritten as a whole, so a repeated publication leaves the same state.
+    A repeated publication takes the place of the one before, whose folders are removed after the switch.
     """
-    spark = next(iter(frames.values())).sparkSession
-    counts = []
-    for name, df in frames.items():
-        path = f"{root}/{name}"
-        df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
-        counts.append((name, spark.read.parquet(path).filter(F.col("batch_id") == batch_id).count()))
-    marker = spark.createDataFrame(counts, "dataset string, n_rows long").withColumn("batch_id", F.lit(batch_id))
-    marker.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{root}/_published")
-    return marker
+    return publish(frames, root, batch_id, keep_old=False).select("dataset", "n_rows", "batch_id")
 
 
 def register_tables(spark: SparkSession, contracts: Sequence[Contract], root: str) -> None:
