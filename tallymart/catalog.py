@@ -242,6 +242,24 @@ add("q16_reconcile_counts", f"SELECT o_custkey AS dataset, count(*) AS source_ro
     )
 )
 
+
+
+@add("q8_deduplicate_after_rules", """WITH k AS (SELECT c_custkey AS k FROM customer),
+  n AS (SELECT count(*) AS a, count(*) FILTER (k % 3 = 0) AS a3, count(*) FILTER (k % 5 = 0) AS a5, count(*) FILTER (k % 15 = 0) AS a15, count(*) FILTER (k % 7 = 0 AND k % 5 <> 0) AS clash, count(*) FILTER (k % 3 = 0 AND k % 5 <> 0) AS twice FROM k)
+  SELECT 'people' AS dataset, a + a3 + clash AS source_rows, a5 + a15 + 2 * clash AS rejected_rows, a - a5 - clash AS processed_rows, twice AS duplicate_rows FROM n""", base=False)
+def q8_deduplicate_after_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as text: every third again with blanks, the balance of every fifth unreadable, of the other sevenths a row that differs. Counts that reconcile."""
+    from tallymart.contracts import contract
+
+    c = contract("people", "id integer, name string, balance decimal(12,2)", "id")
+    rows = table(spark, sf_dir, "customer").selectExpr("CAST(c_custkey AS STRING) AS id", "c_name AS name", "CASE WHEN c_custkey % 5 = 0 THEN 'x' ELSE CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS STRING) END AS balance")
+    raw = rows.unionByName(rows.filter("id % 3 = 0").withColumn("name", F.concat(F.lit(" "), "name", F.lit("  ")))).unionByName(rows.filter("id % 7 = 0 AND id % 5 <> 0").withColumn("name", F.lit("another")))
+    once = written(Q.drop_repeated_accepted(Q.with_reasons(parsing.normalize(raw, c), [Q.required(["id"]), Q.unparsed(c)])), "people")
+    counts = Q.three_way_counts({"people": Q.flag_duplicate_keys(once, ["id"], among=F.size("rejection_codes") == 0)})
+    found = counts.join(raw.agg(F.lit("people").alias("dataset"), F.count("*").alias("source_rows")), "dataset")
+    return found.select("dataset", "source_rows", "rejected_rows", "processed_rows", "duplicate_rows")
+
+
 # Joins.
 on_star("j1_join_inner", "SELECT o_orderkey, c_name FROM orders JOIN customer ON o_custkey = c_custkey", lambda t: S.join_inner(t["orders"], t["customers"], ["customer_id"]).select(F.col("order_id").alias("o_orderkey"), F.col("customer_unique_id").alias("c_name")))
 on_star("j2_join_left", "SELECT o.order_id, pay1.type AS payment_type FROM o LEFT JOIN pay1 USING (order_id)", lambda t: S.join_left(t["orders"].select("order_id"), S.representative(t["order_payments"].select("order_id", "payment_sequential", "payment_type"), ["order_id"], ["payment_sequential", "payment_type"]), ["order_id"]).select("order_id", "payment_type"))

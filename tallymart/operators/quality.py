@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from functools import reduce
 from graphlib import TopologicalSorter
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallymart.contracts import Contract
 from tallymart.functions.parsing import RAW
@@ -140,11 +140,42 @@ def grain_violations(df: DataFrame, grain: Sequence[str]) -> DataFrame:
     return df.groupBy(*grain).agg(F.count("*").alias("n_rows")).filter("n_rows > 1")
 
 
-def flag_duplicate_keys(df: DataFrame, keys: Sequence[str], code: str = "conflicting_business_key") -> DataFrame:
-    """Every row of a repeated key gets the code."""
-    n = F.count("*").over(Window.partitionBy(*keys))
-    marked = df.withColumn("_n", n)
-    return with_reasons(marked, [Rule(code, F.col("_n") > 1)]).drop("_n")
+#: Parts that rows with a repeated key are spread over.
+SPREAD = 16
+
+
+def flag_duplicate_keys(df: DataFrame, keys: Sequence[str], code: str = "conflicting_business_key", among: Column | None = None) -> DataFrame:
+    """Every row of a repeated key gets the code. Null keys are equal. among: only rows where it is true count and are flagged.
+
+    Keys are counted with partial sums; what is joined back is the repeated keys alone, once for each part of the rows that the
+    partitions read make, so that a key (or null) with very many rows is no task of its own.
+    """
+    among = F.lit(True) if among is None else F.coalesce(among, F.lit(False))
+    repeated = df.filter(among).groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.count("*").alias("_n")).filter("_n > 1")
+    repeated = repeated.drop("_n").withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)], F.col("_of") == F.col("_part"))
+    marked = df.withColumn("_of", F.pmod(F.spark_partition_id(), F.lit(SPREAD))).join(repeated, on, "left")
+    flagged = with_reasons(marked, [Rule(code, F.col("_part").isNotNull() & among)])
+    return flagged.select(*[c for c in df.columns if c not in ("rejection_codes", "rejection_descriptions")], "rejection_codes", "rejection_descriptions")
+
+
+def drop_repeated_accepted(flagged: DataFrame) -> DataFrame:
+    """Of accepted rows with the same typed columns one stays; rejected rows stay as often as they stand. copies: how many a row stands for.
+
+    Raw text takes no part in the comparison; of equal rows that with the smallest columns stays. One shuffle by content.
+    """
+    content = [c for c in flagged.columns if not c.startswith(RAW) and c not in ("rejection_codes", "rejection_descriptions")]
+    alone = F.when(F.size("rejection_codes") > 0, F.monotonically_increasing_id())
+    signed = flagged.select(row_signature(flagged.select(*content)).alias("_signature"), alone.alias("_alone"), F.struct(*flagged.columns).alias("_row"))
+    rows = signed.groupBy("_signature", "_alone").agg(F.min("_row").alias("_row"), F.count("*").alias("copies"))
+    return rows.select("_row.*", "copies")
+
+
+def three_way_counts(flagged: Mapping[str, DataFrame]) -> DataFrame:
+    """dataset, rejected_rows, processed_rows, duplicate_rows of frames with copies: one job."""
+    bad = F.size("rejection_codes") > 0
+    parts = [df.agg(F.lit(n).alias("dataset"), F.count_if(bad).alias("rejected_rows"), F.count_if(~bad).alias("processed_rows"), F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicate_rows")) for n, df in flagged.items()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def flag_orphans(child: DataFrame, parent: DataFrame, child_key: Sequence[str], parent_key: Sequence[str], code: str = "orphan_reference") -> DataFrame:

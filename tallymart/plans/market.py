@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tallymart.contracts import Contract, contract
 from tallymart.functions.derive import with_order_columns
+from tallymart.functions import parsing
 from tallymart.functions.parsing import normalize, project_contract
 from tallymart.operators import marts, quality as Q, star
+from tallymart.sources import publication
 from tallymart.sources.files import read_contract_csv
+from tallymart.tables import written
 
 RAW = {
     c.name: c
@@ -78,12 +81,20 @@ def read_all(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {n: read_contract_csv(spark, f"{folder}/{FILES[n]}", c) for n, c in RAW.items()}
 
 
+def grain_code(name: str) -> str:
+    return "duplicate_fact_grain" if name in ("order_items", "order_reviews") else "conflicting_business_key"
+
+
 def cleansed(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Every dataset typed, without repeated rows, with reasons from row, key and reference rules."""
+    """Every dataset typed, with reasons from row, key and reference rules.
+
+    The row rules come first: a rejected row stays as often as it stands. Accepted rows that are equal once typed become one (copies
+    says how many there were); accepted rows of one key that still differ are in conflict.
+    """
     flagged = {}
     for name, df in raw.items():
-        typed = Q.with_reasons(normalize(df, RAW[name]).dropDuplicates(), rules(name))
-        flagged[name] = Q.flag_duplicate_keys(typed, RAW[name].key, "duplicate_fact_grain" if name in ("order_items", "order_reviews") else "conflicting_business_key")
+        rows = written(Q.drop_repeated_accepted(Q.with_reasons(normalize(df, RAW[name]), rules(name))), "rows")
+        flagged[name] = Q.flag_duplicate_keys(rows, RAW[name].key, grain_code(name), among=F.size("rejection_codes") == 0)
     return Q.cascade_references(flagged, REFERENCES)
 
 
@@ -99,8 +110,7 @@ def validated(frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """Processed frames with reasons from the processed rules, keys and references."""
     flagged = {}
     for name, df in frames.items():
-        code = "duplicate_fact_grain" if name in ("order_items", "order_reviews") else "conflicting_business_key"
-        flagged[name] = Q.flag_duplicate_keys(Q.with_reasons(df, processed_rules(name)), RAW[name].key, code)
+        flagged[name] = Q.flag_duplicate_keys(Q.with_reasons(df, processed_rules(name)), RAW[name].key, grain_code(name))
     return Q.cascade_references(flagged, REFERENCES)
 
 
@@ -113,3 +123,30 @@ def curated(frames: Mapping[str, DataFrame], batch: str) -> dict[str, DataFrame]
         "fact_sales": sales, "fact_reviews": star.fact_reviews(frames),
     }
     return {**out, **marts.all_marts(star.enrich(sales, out), sales)}
+
+
+def process(spark: SparkSession, folder: str, root: str, batch_id: str, at: str, identity: Mapping[str, object] | None = None) -> dict:
+    """Read, cleanse and publish the processed and the rejected rows of all datasets; the terminal summary.
+
+    Source rows are counted by the tasks that read them and published rows by those that write them. Raises NotReconciled, before
+    anything is published, where source rows are not rejected + processed + repeated ones.
+    """
+    seen = {n: Observation() for n in RAW}
+    flagged = cleansed({n: df.observe(seen[n], F.count(F.lit(1)).alias("n")) for n, df in read_all(spark, folder).items()})
+    source = spark.createDataFrame([(n, seen[n].get["n"]) for n in flagged], "dataset string, source_rows long")
+    counts = source.join(Q.three_way_counts(flagged), "dataset").collect()  # a row for each dataset
+    if wrong := [r for r in counts if r.source_rows != r.rejected_rows + r.processed_rows + r.duplicate_rows]:
+        raise NotReconciled(str(wrong))
+    outcome = "PASSED_WITH_REJECTIONS" if any(r.rejected_rows for r in counts) else "PASSED"
+    raw = {n: [f.source_name for f in c.fields] for n, c in RAW.items()}
+    rejected = {n: Q.split_rows(df)[1].select(*[F.col(parsing.RAW + f.name).alias(s) for f, s in zip(RAW[n].fields, raw[n], strict=True)], "rejection_codes", "rejection_descriptions") for n, df in flagged.items()}
+    frames = {f"processed_{n}": df for n, df in accepted(flagged).items()} | {f"rejected_{n}": df for n, df in rejected.items()}
+    expected = {f"{kind}_{r.dataset}": r[f"{kind}_rows"] for r in counts for kind in ("processed", "rejected")}
+    publication.publish(frames, root, batch_id, at, expected)
+    columns = ("source_rows", "processed_rows", "rejected_rows", "duplicate_rows")
+    summary = publication.terminal_summary(spark, root, batch_id, identity or {}, outcome)
+    return summary | {"datasets": {r.dataset: {c: r[c] for c in columns} for r in counts}, "totals": {c: sum(r[c] for r in counts) for c in columns}}
+
+
+class NotReconciled(ValueError):
+    """Rows were lost or made between reading and publishing."""
