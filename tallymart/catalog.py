@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tallymart.functions import derive, parsing
 from tallymart.operators import history as H, identity as I, marts as M, publish as P, quality as Q, replay as R, star as S
 from tallymart.plans import driver as D
-from tallymart.sources import files, publication, sinks
+from tallymart.sources import files, history_store, publication, sinks
 from tallymart.tables import new_path, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -374,6 +374,77 @@ add("j9_chained_lookup", WEEKS + "SELECT e.event_id, h.kind, g.kind AS manager_k
 add("h4_resolve_event_time", WEEKS + "SELECT event_id, CAST(0 AS BIGINT) AS matches FROM events WHERE user_id % 5 = 0", base=False)(
     lambda spark, sf_dir: H.resolve_event_time(table(spark, sf_dir, "events"), user_history(spark, sf_dir).filter("user_id % 5 <> 0").withColumn("sk", F.xxhash64("user_id", "effective")), ["event_id"], ["user_id"], "ts", "sk")[1]
 )
+HOT = WEEKS + ", f AS (SELECT event_id, ts, CASE WHEN event_id % 2 = 0 THEN (SELECT min(user_id) FROM events) WHEN event_id % 7 = 0 THEN NULL ELSE user_id END AS user_id FROM events)"
+
+
+def hot_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of all events at one user, a seventh of the others at none."""
+    rows = table(spark, sf_dir, "events").select("event_id", "ts", "user_id")
+    first = rows.agg(F.min("user_id")).first()[0]
+    return rows.withColumn("user_id", F.when(F.col("event_id") % 2 == 0, F.lit(first)).when(F.col("event_id") % 7 != 0, F.col("user_id")))
+
+
+add("j8_hot_key", HOT + "SELECT event_id, h.kind FROM f LEFT JOIN h ON f.user_id = h.user_id AND ts >= h.effective AND ts < coalesce(h.expiration, TIMESTAMP '9999-12-31')", base=False)(
+    lambda spark, sf_dir: H.interval_join_spread(hot_events(spark, sf_dir), user_history(spark, sf_dir), ["user_id"], "ts", how="left").select("event_id", "kind")
+)
+add("j9_hot_chained", HOT + "SELECT event_id, h.kind, g.kind AS manager_kind FROM f JOIN h ON f.user_id = h.user_id AND ts >= h.effective AND ts < coalesce(h.expiration, TIMESTAMP '9999-12-31') JOIN h g ON g.user_id = length(h.kind) AND ts >= g.effective AND ts < coalesce(g.expiration, TIMESTAMP '9999-12-31')", base=False)(
+    lambda spark, sf_dir: (
+        lambda h: H.interval_join_spread(
+            written(H.interval_join_spread(hot_events(spark, sf_dir), h, ["user_id"], "ts").select("event_id", "ts", "kind", F.length("kind").cast("long").alias("manager")), "chained"),
+            h.select(F.col("user_id").alias("manager"), F.col("kind").alias("manager_kind"), "effective", "expiration"), ["manager"], "ts",
+        ).select("event_id", "kind", "manager_kind")
+    )(written(user_history(spark, sf_dir), "user-history"))
+)
+
+# Two versions of every third customer, part, supplier and nation; some keys are not in the history, some versions overlap.
+VERSIONS = {"customer": "c_custkey", "part": "p_partkey", "supplier": "s_suppkey", "nation": "n_nationkey"}
+VERSIONED = "WITH " + ", ".join(f"""{n}_h AS (SELECT {k} AS id, {k} * 10 + v AS sk, CASE WHEN v = 0 THEN TIMESTAMP '1900-01-01' ELSE TIMESTAMP '1995-06-17' END AS effective,
+  CASE WHEN v = 0 AND {k} % 3 = 0 AND {k} % 33 <> 0 THEN TIMESTAMP '1995-06-17' END AS expiration{", s_nationkey AS zip" if n == "supplier" else ""} FROM {n}, (SELECT unnest([0, 1]) AS v) WHERE (v = 0 OR {k} % 3 = 0) AND {k} % 50 <> 49)""" for n, k in VERSIONS.items()) + """,
+f AS (SELECT l_orderkey, l_linenumber, o_custkey AS customer, l_partkey AS product, l_suppkey AS seller, c_nationkey AS zip, o_orderstatus AS status, o_orderdate AS bought FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey),
+r AS (SELECT f.*, c.sk AS customer_sk, p.sk AS product_sk, s.sk AS seller_sk, g.sk AS customer_zip_sk, z.sk AS seller_zip_sk, st.sk AS status_sk FROM f
+  LEFT JOIN customer_h c ON c.id = customer AND bought >= c.effective AND bought < coalesce(c.expiration, TIMESTAMP '9999-12-31') LEFT JOIN part_h p ON p.id = product AND bought >= p.effective AND bought < coalesce(p.expiration, TIMESTAMP '9999-12-31')
+  LEFT JOIN supplier_h s ON s.id = seller AND bought >= s.effective AND bought < coalesce(s.expiration, TIMESTAMP '9999-12-31') LEFT JOIN nation_h g ON g.id = f.zip AND bought >= g.effective AND bought < coalesce(g.expiration, TIMESTAMP '9999-12-31')
+  LEFT JOIN nation_h z ON z.id = s.zip AND bought >= z.effective AND bought < coalesce(z.expiration, TIMESTAMP '9999-12-31') LEFT JOIN (SELECT * FROM (VALUES ('F', 1), ('O', 2)) x(status, sk)) st ON st.status = f.status)
+"""
+
+
+def six_roles(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    def history(name: str, key: str, *more: str) -> DataFrame:
+        rows = table(spark, sf_dir, name).select(F.col(key).alias("id"), *more, F.explode(F.array(F.lit(0), F.lit(1))).alias("v")).filter("(v = 0 OR id % 3 = 0) AND id % 50 <> 49")
+        ends = F.expr("CASE WHEN v = 0 AND id % 3 = 0 AND id % 33 <> 0 THEN TIMESTAMP '1995-06-17' END")
+        return rows.withColumn("sk", F.col("id") * 10 + F.col("v")).withColumn("effective", F.expr("CASE WHEN v = 0 THEN TIMESTAMP '1900-01-01' ELSE TIMESTAMP '1995-06-17' END")).withColumn("expiration", ends)
+
+    dimensions = {n: history(n, k, *(["s_nationkey"] if n == "supplier" else [])) for n, k in VERSIONS.items()} | {"status": spark.createDataFrame([("F", 1), ("O", 2)], "status string, sk int")}
+    fact = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    fact = fact.selectExpr("l_orderkey", "l_linenumber", "o_custkey AS customer", "l_partkey AS product", "l_suppkey AS seller", "c_nationkey AS zip", "o_orderstatus AS status", "o_orderdate AS bought")
+    roles = [
+        H.Role("customer_sk", "customer", {"customer": "id"}, "sk"), H.Role("product_sk", "part", {"product": "id"}, "sk"), H.Role("seller_sk", "supplier", {"seller": "id"}, "sk", {"s_nationkey": "seller_zip"}),
+        H.Role("customer_zip_sk", "nation", {"zip": "id"}, "sk"), H.Role("seller_zip_sk", "nation", {"seller_zip": "id"}, "sk"), H.Role("status_sk", "status", {"status": "status"}, "sk", timed=False),
+    ]
+    return H.resolve_roles(fact, dimensions, roles, ["l_orderkey", "l_linenumber"], "bought")
+
+
+add("h4_six_roles", VERSIONED + "SELECT l_orderkey, l_linenumber, customer_sk, product_sk, seller_sk, customer_zip_sk, seller_zip_sk, status_sk FROM r", base=False)(
+    lambda spark, sf_dir: six_roles(spark, sf_dir)[0].select("l_orderkey", "l_linenumber", "customer_sk", "product_sk", "seller_sk", "customer_zip_sk", "seller_zip_sk", "status_sk")
+)
+SIX = ["customer_sk", "product_sk", "seller_sk", "customer_zip_sk", "seller_zip_sk", "status_sk"]
+add("h4_roles_proof", VERSIONED + f""", q AS (SELECT l_orderkey, l_linenumber, count(*) AS n_rows, concat_ws(',', {", ".join(f"CASE WHEN count({c}) < count(*) THEN '{c}' END" for c in SIX)}) AS missing,
+  concat_ws(',', {", ".join(f"CASE WHEN min({c}) <> max({c}) THEN '{c}' END" for c in SIX)}) AS ambiguous FROM r GROUP BY 1, 2) SELECT * FROM q WHERE n_rows <> 1 OR missing <> '' OR ambiguous <> ''""", base=False)(
+    lambda spark, sf_dir: six_roles(spark, sf_dir)[1].select("l_orderkey", "l_linenumber", "n_rows", F.concat_ws(",", "missing").alias("missing"), F.concat_ws(",", "ambiguous").alias("ambiguous"))
+)
+
+
+@add("h1_touched_buckets", WEEKS + HISTORY, base=False)
+def h1_touched_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All weeks but three at once, those a batch each into the stored history, of which only buckets with a new version are rewritten."""
+    rows, root = written(weeks(spark, sf_dir), "weeks"), new_path(spark, "history")
+    starts = [r[0] for r in rows.select("week").distinct().orderBy(F.desc("week")).limit(3).collect()]
+    history_store.create_history(H.scd2_backfill(rows.filter(F.col("week") < starts[-1]), ["user_id"], "week", "hash"), root, ["user_id"], 32)
+    for start in reversed(starts):
+        history_store.apply_batch(rows.filter(F.col("week") == start), root, "hash", "week")
+    return history_store.read_history(spark, root).select("user_id", "kind", "effective", "expiration", "is_current")
+
+
 add("j11_overlaps", WEEKS + "SELECT user_id, effective FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY effective) AS n FROM h) WHERE n > 1", base=False)(lambda spark, sf_dir: H.overlaps(user_history(spark, sf_dir).withColumn("expiration", F.lit(None).cast("timestamp")), ["user_id"]).select("user_id", "effective"))
 add("j10_absent_from", "SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > c_acctbal * 30)", base=False)(
     lambda spark, sf_dir: H.absent_from(table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders"), (F.col("o_custkey") == F.col("c_custkey")) & (F.col("o_totalprice") > F.col("c_acctbal") * 30)).select("c_custkey")
