@@ -60,14 +60,15 @@ ROWS_A_FILE = 50_000
 def written(df: DataFrame, label: str, rows: int | None = None) -> DataFrame:
     """df written as a Parquet table in the shared folder and read again.
 
-    rows: how many there are at most, if that is known: a small table is then not cut into as many files as a shuffle has partitions.
+    rows: how many there are at most, if that is known: a small table is then dealt to few tasks before it is written, not cut into as many
+    files as a shuffle has partitions. The stage that makes the rows keeps its tasks.
 
     This cuts the lineage: a lost executor later costs a read of the table, not the work before it,
     and values such as spark_partition_id() or monotonically_increasing_id() stay what they were.
     """
     spark = df.sparkSession
     path = new_path(spark, label)
-    (df if rows is None else df.coalesce(max(6, -(-rows // ROWS_A_FILE)))).write.parquet(path)
+    (df if rows is None else df.repartition(max(6, -(-rows // ROWS_A_FILE)))).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
