@@ -20,7 +20,7 @@ The number of rounds depends on the sequence length, not on the number of docume
 public byte-level vocabulary followed by an end token; only documents longer than a sequence are cut,
 the first piece taking the remainder.
 
-Defined cases: a null text is empty and is the end token alone. Repeated rows are packed as often as they
+Defined cases: a null text is empty and is the end token alone. Bytes that are not UTF-8 count as U+FFFD. Repeated rows are packed as often as they
 occur. A null identifier passes through. An empty table gives an empty result. Columns other than the
 two named are ignored.
 """
@@ -28,6 +28,7 @@ two named are ignored.
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -40,8 +41,10 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tallymart.llm.common import written
 
 SPECIAL = b"<|endoftext|>"
-#: Rows that a task sweeps, about.
-ROWS_A_TASK = 20_000
+#: White space that goes to the tokenizer itself: the fast one steps back through a run by its pattern and its stack ends at a million.
+LONG, LONG_RUN = 100_000, re.compile(r"(?<!\s)\s{100000}")
+#: Rows that a task sweeps, about: the least, and the most where there are so many that TASKS tasks would have more than that.
+ROWS_A_TASK, MOST_ROWS_A_TASK, TASKS = 20_000, 500_000, 2_000
 #: Partition ranges paired by the driver that may be broadcast (six numbers each, at most two for a partition of a round).
 BROADCAST_PAIRS = 200_000
 
@@ -50,7 +53,7 @@ class Encoder:
     """Token ids of a text as little-endian unsigned 32-bit numbers.
 
     From the rank file of the vocabulary, which takes a sixth of the tokenizer object's time; a text with the special
-    token's string goes through the tokenizer itself.
+    token's string or a very long run of white space goes through the tokenizer itself. Bytes that are not UTF-8 count as U+FFFD.
     """
 
     def __init__(self, tokenizer_path: str, ranks_path: str) -> None:
@@ -63,10 +66,11 @@ class Encoder:
         self.fast = tiktoken.Encoding("words", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.whole = Tokenizer.from_file(tokenizer_path)
 
-    def encode(self, text: bytes) -> bytes:
-        if SPECIAL in text:
-            return np.array(self.whole.encode(text.decode(), add_special_tokens=False).ids, "<u4").tobytes()
-        return np.array(array("I", self.fast.encode_ordinary(text.decode())), "<u4").tobytes()
+    def encode(self, raw: bytes) -> bytes:
+        text = raw.decode(errors="replace")
+        if SPECIAL in raw or (len(text) >= LONG and LONG_RUN.search(text)):
+            return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return np.array(array("I", self.fast.encode_ordinary(text)), "<u4").tobytes()
 
 
 _encoders: dict[tuple[str, str], Encoder] = {}
@@ -142,7 +146,8 @@ class Open:
 
 def in_partitions(rows: DataFrame, n: int, order: list) -> DataFrame:
     """rows range-sorted by order, in as many partitions as n rows ask for."""
-    return rows.repartitionByRange(-(-n // ROWS_A_TASK) or 1, *order).sortWithinPartitions(*order)
+    rows_a_task = max(ROWS_A_TASK, min(MOST_ROWS_A_TASK, n // TASKS))
+    return rows.repartitionByRange(-(-n // rows_a_task) or 1, *order).sortWithinPartitions(*order)
 
 
 def record(columns: dict[str, tuple[pa.DataType, list]]) -> pa.RecordBatch:

@@ -235,6 +235,18 @@ def test_encoding_by_ranks_is_the_tokenizer(text):
     assert np.frombuffer(encoder.encode(text.encode()), "<u4").tolist() == encoder.whole.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("text", [" " * 1_000_000, "\n" * 1_000_000, "\t" * 1_000_001 + "x", "end " + " \n" * 600_000, "\u3000" * 1_000_000, "a" * 1_000_000, "9" * 1_000_000, "!" * 1_000_000, "a " * 300_000 + " " * 100_000 + "b"], ids=range(9))
+def test_encoder_takes_long_runs(text):
+    encoder = packing.encoder_for(path("byte_bpe_50k.json"), path("byte_bpe_50k.tiktoken"))
+    assert np.frombuffer(encoder.encode(text.encode()), "<u4").tolist() == encoder.whole.encode(text, add_special_tokens=False).ids
+
+
+def test_packing_of_long_runs_and_broken_text(spark):
+    docs = spark.createDataFrame([(1, bytearray(b" " * 1_000_000)), (2, bytearray(b"\xff a \xc3")), (3, bytearray(b"\n" * 1_000_000))], "doc_id long, raw binary").selectExpr("doc_id", "CAST(raw AS STRING) AS text")
+    got = packing.packed(docs, path("byte_bpe_50k.json"), path("byte_bpe_50k.tiktoken"))
+    assert {r.doc_id: r.n for r in got.groupBy("doc_id").sum("length").toDF("doc_id", "n").collect()}[1] == 1_000_001 and got.groupBy("sequence_id").sum("length").filter("`sum(length)` > 1024").count() == 0
+
+
 def check_packed(rows, lengths, capacity):
     by_seq = defaultdict(list)
     for r in rows:

@@ -63,7 +63,7 @@ def test_pipeline_against_plain_versions(spark, tmp_path):
 
     model = language_id.language_model(spark.read.parquet(f"{tmp_path}/documents.parquet"), path("byte_bpe_50k.tiktoken"))
     verdicts = {r.doc_id: r for r in language_id.predicted(spark.createDataFrame([(r.doc_id, r.text) for r in all_docs], "doc_id long, text string"), model).collect()}
-    assert Counter(clear) == Counter(r for r in all_docs if verdicts[r.doc_id].lang_pred != "und" and verdicts[r.doc_id].score >= corpus_pipeline.LEAST_SCORE)
+    assert Counter(clear) == Counter(r for r in all_docs if verdicts[r.doc_id].lang_pred != "und" and verdicts[r.doc_id].score >= corpus_pipeline.least_score(len({r.lang for r in all_docs if r.lang})))
     assert {r.doc_id for r in all_docs} - {r.doc_id for r in clear} == {2000, 2002, 2003}
 
     gone, want = brute_lines([(r.doc_id, r.text) for r in clear], 20, 2), {}
