@@ -18,9 +18,17 @@ from tallymart.llm.packing import packed
 from tallymart.llm.queries import RANKS, TOKENIZER, vocabulary
 from tallymart.tables import new_path, remove, scratch
 
-#: Score (mean likelihood of a word, the best language's share) below which a text is of no language in particular. Of four
-#: languages that fit alike each has 0.25; short texts of one of them reach 0.37.
-LEAST_SCORE = 0.35
+#: Part of the way from a share that fits all languages alike to a share of one at which a text is of a language.
+CLEAR = 2 / 15
+
+
+def least_score(languages: int) -> float:
+    """Score (mean likelihood of a word, the best language's share) below which a text is of no language in particular.
+
+    Of four languages that fit alike each has 0.25 and 0.35 is asked for; short texts of one of them reach 0.37. Of two, 0.57.
+    """
+    equal = 1 / max(languages, 1)
+    return equal + CLEAR * (1 - equal)
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,7 +37,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     A null or empty text has no letter. Rows with null language are judged but not learned from; where nothing can be learned every
     document goes. Repeated rows are judged alike; of languages with equal likelihood the smaller name is taken.
     """
-    return identified(docs, language_model(docs, vocabulary(RANKS)), LEAST_SCORE)
+    model = language_model(docs, vocabulary(RANKS))
+    return identified(docs, model, least_score(len(model.languages)))
 
 
 def remove_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
