@@ -764,6 +764,42 @@ def s14_partitioned_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 add("s12_source_inventory")(lambda spark, sf_dir: files.source_inventory(spark, sf_dir, ["region.parquet", "Nation.parquet", "absent.parquet"]))
+
+
+@add("s13_known_contents", "SELECT CAST(strlen(n_name) + 1 AS BIGINT) AS n_bytes, sha256(n_name || chr(10)) AS content_sha256 FROM nation UNION ALL SELECT CAST(sum(strlen(r_name) + 1) AS BIGINT), sha256(string_agg(r_name || chr(10), '' ORDER BY r_regionkey)) FROM region", base=False)
+def s13_known_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifests of files with known contents: one for each nation, small enough to be a value, and one for the regions, read in blocks."""
+    root = new_path(spark, "contents")
+    table(spark, sf_dir, "nation").selectExpr("n_name AS value", "n_nationkey AS n").repartition(1).write.partitionBy("n").text(f"{root}/nations")
+    table(spark, sf_dir, "region").orderBy("r_regionkey").select("r_name").coalesce(1).write.text(f"{root}/regions")
+    nations = files.file_manifests(spark, f"{root}/nations", "b1", D.BATCH, "*.txt").select("n_bytes", "content_sha256")
+    return nations.unionByName(files.file_digests(spark, f"{root}/regions", "*.txt", whole=0).select(F.col("length").alias("n_bytes"), F.col("digest").alias("content_sha256")))
+
+
+@add("s6_append_jdbc", "SELECT o_orderkey AS \"KEY_ID\", o_orderstatus AS \"STATUS\", CASE WHEN o_orderstatus = 'F' THEN 'done' ELSE 'open' END AS \"ATTEMPT_ID\" FROM orders", base=False)
+def s6_append_jdbc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two attempts appended to a database, the first run twice; what the table has, read back in parts."""
+    options = {"url": f"jdbc:derby:memory:{new_path(spark, 'db').rpartition('-')[2]};create=true", "driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("KEY_ID"), F.col("o_orderstatus").alias("STATUS"))
+    for part, tag in (("STATUS = 'F'", "done"), ("STATUS = 'F'", "done"), ("STATUS <> 'F'", "open")):
+        sinks.append_jdbc(rows.filter(part), options, "ORDERS", tag)
+    most = rows.agg(F.max("KEY_ID")).first()[0]
+    return files.read_jdbc(spark, options, 'SELECT "KEY_ID", "STATUS", "ATTEMPT_ID" FROM ORDERS', ("KEY_ID", 0, most + 1, 4))
+
+
+@add("s1_header_violations", "SELECT 'swapped' AS folder, 'missing_column' AS reason, 'c_name,c_custkey' AS header, CAST(5 AS BIGINT) AS n_files", base=False)
+def s1_header_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as files in two folders, in one with the columns in another order: every file there is listed."""
+    from tallymart.contracts import contract
+
+    root, rows = new_path(spark, "headers"), table(spark, sf_dir, "customer").select("c_custkey", "c_name").repartition(5)
+    sinks.write_csv_export(rows, f"{root}/good")
+    sinks.write_csv_export(rows.select("c_name", "c_custkey"), f"{root}/swapped")
+    c = contract("people", "c_custkey integer, c_name string", "c_custkey")
+    found = files.header_violations(spark, f"{root}/good", c, "*.csv").unionByName(files.header_violations(spark, f"{root}/swapped", c, "*.csv"))
+    return found.groupBy(F.element_at(F.split("path", "/"), -2).alias("folder"), "reason", "header").agg(F.count("*").alias("n_files"))
+
+
 add("s13_file_manifests")(lambda spark, sf_dir: files.file_manifests(spark, f"{sf_dir}/orders.parquet", "b1", D.BATCH, "*.parquet"))
 
 

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tallymart.contracts import Contract
+from tallymart.sources.files import file_digests
 
 #: Columns that say when a row is valid or was made, not what it is.
 EXCLUDED = ("RecordHash", "RowEffectiveDate", "RowExpirationDate", "CurrentFlag", "LastUpdated")
@@ -67,12 +68,8 @@ def fingerprints(frames: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def file_fingerprint(spark: SparkSession, path: str, suffix: str = "*") -> DataFrame:
-    """One row for the files of a folder: number, bytes and two sums of their contents' digests; names have no part in it.
-
-    A file is one binary value of a task, so at most 2 GB.
-    """
-    found = spark.read.format("binaryFile").option("pathGlobFilter", suffix).load(path)
-    return found.agg(F.count("*").alias("n_files"), F.sum("length").alias("n_bytes"), *digest_sums(F.sha2("content", 256)))
+    """One row for the files of a folder: number, bytes and two sums of their contents' digests; names have no part in it."""
+    return file_digests(spark, path, suffix).agg(F.count("*").alias("n_files"), F.sum("length").alias("n_bytes"), *digest_sums(F.col("digest")))
 
 
 def publication_fingerprint(summary: DataFrame, batch_id: str, versions: Sequence[str]) -> DataFrame:

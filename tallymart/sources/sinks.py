@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tallymart.contracts import Contract
 from tallymart.operators.identity import tracked_hash
-from tallymart.sources.files import read_jdbc
 from tallymart.sources.publication import publish
 
 
@@ -21,10 +20,73 @@ def write_csv_export(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
+def connection(spark: SparkSession, options: Mapping[str, str]):
+    """A JDBC connection of the driver, without auto-commit. options: url, driver, and properties such as user and password."""
+    jvm = spark.sparkContext._jvm
+    kind = jvm.java.lang.Class.forName(options["driver"], True, jvm.java.lang.Thread.currentThread().getContextClassLoader())
+    more = jvm.java.util.Properties()
+    for k, v in options.items():
+        if k not in ("url", "driver"):
+            more.setProperty(k, v)
+    got = kind.getDeclaredConstructor(spark.sparkContext._gateway.new_array(jvm.java.lang.Class, 0)).newInstance(spark.sparkContext._gateway.new_array(jvm.java.lang.Object, 0)).connect(options["url"], more)
+    got.setAutoCommit(False)
+    return got
+
+
+def executed(db, statements: Sequence[tuple[str, str]]) -> int:
+    """Run statements, each with one text value that is bound and not part of the statement, as one transaction; rows that the last one changed."""
+    n = 0
+    try:
+        for text, value in statements:
+            statement = db.prepareStatement(text)
+            statement.setString(1, value)
+            n = statement.executeUpdate()
+            statement.close()
+        db.commit()
+    except Exception:
+        db.rollback()
+        raise
+    return n
+
+
+#: Times that rows are staged before append_jdbc gives up.
+TRIES = 3
+
+
+class NotStaged(ValueError):
+    """A staging table has not the rows that were written to it."""
+
+
 def append_jdbc(df: DataFrame, options: dict[str, str], table: str, attempt_id: str, attempt_column: str = "ATTEMPT_ID") -> DataFrame:
-    """Append with the attempt's tag, and what the database then has under that tag."""
-    df.withColumn(attempt_column, F.lit(attempt_id)).write.format("jdbc").options(**options).option("dbtable", table).option("createTableColumnTypes", f"{attempt_column} VARCHAR(128)").mode("append").save()
-    return read_jdbc(df.sparkSession, options, f'SELECT * FROM {table} WHERE "{attempt_column}" = \'{attempt_id}\'')
+    """Append with the attempt's tag, each row once, and what the table then has under that tag.
+
+    Tasks write to `<table>_STAGING`; where a task was repeated after it had committed, the staged rows are more than were written, and they
+    are staged again. Then one transaction takes away what the table has under the tag and copies the staged rows, so an attempt that is
+    run again leaves the same rows, and readers of the table see all of it or nothing.
+    """
+    spark, staging = df.sparkSession, f"{table}_STAGING"
+    writer = lambda rows, name: rows.write.format("jdbc").options(**options).option("dbtable", name).option("createTableColumnTypes", f"{attempt_column} VARCHAR(128)").mode("append").save()
+    tagged = df.withColumn(attempt_column, F.lit(attempt_id))
+    own = lambda name: spark.read.format("jdbc").options(**options).option("dbtable", name).load().filter(F.col(attempt_column) == attempt_id)
+    for name in (table, staging):
+        writer(tagged.limit(0), name)  # makes the table, if there is none
+    columns = ", ".join(f'"{c}"' for c in tagged.columns)
+    db = connection(spark, options)
+    try:
+        clear = (f'DELETE FROM {staging} WHERE "{attempt_column}" = ?', attempt_id)
+        for _ in range(TRIES):
+            executed(db, [clear])
+            seen = Observation()
+            writer(tagged.observe(seen, F.count(F.lit(1)).alias("n")), staging)
+            if own(staging).count() == seen.get["n"]:
+                break
+        else:
+            raise NotStaged(f"{staging} has not the rows of {attempt_id}")
+        executed(db, [(f'DELETE FROM {table} WHERE "{attempt_column}" = ?', attempt_id), (f'INSERT INTO {table} ({columns}) SELECT {columns} FROM {staging} WHERE "{attempt_column}" = ?', attempt_id)])
+        executed(db, [clear])
+    finally:
+        db.close()
+    return own(table)
 
 
 def publish_batch(frames: Mapping[str, DataFrame], root: str, batch_id: str) -> DataFrame:

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import gc
+import os
 import tempfile
 import time
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -83,6 +85,17 @@ def release(spark: SparkSession) -> None:
         time.sleep(0.3)
 
 
+def known_to_workers(spark: SparkSession) -> SparkSession:
+    """The session, with this package's folder on its Python workers' path.
+
+    For workers on this machine that were started from another folder; on a cluster the package is shipped (--py-files).
+    """
+    root, env = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (env.get("PYTHONPATH", ""), root) if x)
+    return spark
+
+
 def unused(name: str, *frames: DataFrame) -> str:
     """A column name that none of the frames has, from name."""
     taken = {c.lower() for df in frames for c in df.columns}
