@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-import os
-from pathlib import Path
+from pyspark.sql import DataFrame
 
-from pyspark.sql import DataFrame, SparkSession
-
-from tallymart.tables import new_path, release, unused, written
+from tallymart.tables import known_to_workers, new_path, release, unused, written
 
 __all__ = ["SPACE", "WORD", "by_run", "known_to_workers", "new_path", "release", "unused", "written"]
 
@@ -16,17 +13,6 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
 
-def known_to_workers(spark: SparkSession) -> SparkSession:
-    """The session, with this package's folder on its Python workers' path.
-
-    For workers on this machine that were started from another folder; on a cluster the package is shipped (--py-files).
-    """
-    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
-    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
-        env["PYTHONPATH"] = os.pathsep.join(x for x in (env.get("PYTHONPATH", ""), root) if x)
-    return spark
-
-
 def by_run(rows: DataFrame, keys: list[str], answers: DataFrame, how: str = "inner") -> DataFrame:
     """rows (with `run`, the partition they were written in) joined to answers, a row for each value of keys.
 
