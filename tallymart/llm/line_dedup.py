@@ -9,8 +9,11 @@ a place bounded by the edits left on either side. So
 2. each is indexed by its segments, keyed by segment number, line length and bytes,
 3. each probes, for every length it could be compared with, the few substrings that can equal a segment,
 4. keys shared by more than two lines are dealt out again with a part of each line's bigram parities (two lines within the
-   distance agree in at least one of the parts), so that a template's lines meet only where they are alike elsewhere too, and
-   pair only if lengths and all parities allow it; where still many meet, they are spread over several keys, and
+   distance agree in at least one of the parts), so that they meet only where they are alike elsewhere too, and
+   pair only if lengths and all parities allow it. Under a key of many lines (a template's) what is left of a line without
+   the shared segment loses the ends that all of them have in common and is cut into segments once more, as lines
+   within the distance are so in the rest too. Rests of a few bytes meet by what stays of them when bytes are taken out or
+   masked, so that of a numbered template's lines those meet that are within the distance, and no others, and
 5. candidates lose the bytes they begin and end with in common (which leaves the distance as it is) and are verified by a banded
    bit-parallel edit distance: the 2 * edits + 1 diagonals around the main one are the bits of two numbers, and a byte of the
    text is one round of shifts and logic.
@@ -37,8 +40,10 @@ from tallymart.llm.common import release, unused, written
 
 #: Lines (two 64-bit keys and a place each) that may be broadcast; beyond it the join shuffles.
 BROADCAST_LINES = 400_000
-#: Lines that meet under one key of a crowded segment; more are dealt over several keys.
-CROWD = 1_000
+#: Lines that meet under one key; where there are more, they meet by what the key leaves of them.
+CROWD = 64
+#: Bytes of a rest that is not cut into segments any more.
+SHORT = 8
 LINE = ["h1", "h2"]
 
 
@@ -76,8 +81,10 @@ def segment_start(length: Column, i: Column, edits: int) -> Column:
     return (1 + (length - over) / (edits + 1) * (i - 1) + F.greatest(F.lit(0), i - 1 - (edits + 1) + over)).cast("int")
 
 
-def segment_rows(distinct: DataFrame, edits: int) -> DataFrame:
-    """key, id, indexed: the segments of each line (indexed), and every other substring of it that can equal a segment of a line as long or up to `edits` shorter.
+def segment_rows(lines: DataFrame, edits: int, *of: str) -> DataFrame:
+    """key, indexed, id, b, at, size: the segments of each line (indexed), and every other substring of it that can equal a segment of a line as long or up to `edits` shorter.
+
+    lines: id, bytes b and their number n. of: columns within whose values keys are made.
 
     The places are rows of a literal array rather than as many expressions, so that the generated code
     stays small enough to be compiled.
@@ -87,12 +94,18 @@ def segment_rows(distinct: DataFrame, edits: int) -> DataFrame:
         for less in range(edits + 1) for i in range(1, edits + 2)
         for shift in range(max(1 - i, less - (edits + 1 - i)), min(i - 1, less + (edits + 1 - i)) + 1)
     ]
-    rows = distinct.select(F.col("h1").alias("id"), "b", "n", F.explode(F.array(*places)).alias("p")).select("id", "b", "n", "p.*")
+    rows = lines.select("id", "b", "n", *of, F.explode(F.array(*places)).alias("p")).select("id", "b", "n", *of, "p.*")
     rows = rows.withColumn("length", F.col("n") - F.col("less"))
     rows = rows.withColumns({"start": segment_start(F.col("length"), F.col("i"), edits), "stop": segment_start(F.col("length"), F.col("i") + 1, edits)})
     rows = rows.withColumns({"at": F.col("start") + F.col("shift"), "size": F.col("stop") - F.col("start")}).filter((F.col("at") >= 1) & (F.col("at") + F.col("size") - 1 <= F.col("n")))
-    key = F.xxhash64("i", "length", F.substring("b", F.col("at"), F.col("size")))
-    return rows.select(key.alias("key"), ((F.col("less") == 0) & (F.col("shift") == 0)).alias("indexed"), "id")
+    key = F.xxhash64(*of, "i", "length", F.substring("b", F.col("at"), F.col("size")))
+    return rows.select(key.alias("key"), ((F.col("less") == 0) & (F.col("shift") == 0)).alias("indexed"), "id", "b", "at", "size")
+
+
+def rests(rows: DataFrame) -> DataFrame:
+    """Rows of segment_rows with what b is without the substring."""
+    rest = F.concat(F.substring("b", F.lit(1), F.col("at") - 1), F.substring("b", F.col("at") + F.col("size"), F.length("b")))
+    return rows.withColumn("b", rest).drop("at", "size")
 
 
 def bigram_parities(b: Column, edits: int) -> Column:
@@ -109,23 +122,30 @@ def bigram_parities(b: Column, edits: int) -> Column:
     return F.aggregate(pairs, zero, lambda s, k: F.transform(s, lambda v, i: F.when(i == F.floor(k / 64), v.bitwiseXOR(bit(k))).otherwise(v)))
 
 
+def few(keys: DataFrame) -> DataFrame:
+    """A written table of keys, for a broadcast if it is small."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_LINES else keys
+
+
 def candidate_pairs(distinct: DataFrame, edits: int) -> DataFrame:
     """x < y: ids of lines with a common key that one of them indexes; written.
 
     A key with two rows is a pair, found by an aggregation that combines before the shuffle. The rows of keys with more
-    (lines that are variants of each other share most segments) meet again in crowded_pairs.
+    (lines that are variants of each other share most segments) meet again in crowded_pairs, those of very many in template_pairs.
     """
-    rows = segment_rows(distinct, edits)
+    lines = distinct.select(F.col("h1").alias("id"), "b", "n")
+    rows = segment_rows(lines, edits)
     keys = rows.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y"), F.count("*").alias("n"), F.max("indexed").alias("indexed"))
     keys = written(keys.filter("indexed AND x <> y"), "line-keys")
-    crowded = keys.filter("n > 2").select("key")
-    side = F.broadcast(crowded) if crowded.count() <= BROADCAST_LINES else crowded
-    some = written(rows.join(side, "key", "left_semi").groupBy("key", "id").agg(F.max("indexed").alias("indexed")), "line-crowded")
-    ids = written(some.select(F.col("id").alias("h1")).distinct(), "line-crowded-ids")
-    mine = F.broadcast(ids) if ids.count() <= BROADCAST_LINES else ids
-    marks = distinct.join(mine, "h1", "left_semi").select(F.col("h1").alias("id"), "n", bigram_parities(F.col("b"), edits).alias("p"))
-    pairs = crowded_pairs(written(some.join(marks, "id"), "line-marked"), edits)
-    return written(keys.filter("n = 2").select("x", "y").unionByName(pairs).distinct(), "line-candidates")
+    some = rows.join(few(keys.filter(f"n BETWEEN 3 AND {CROWD}").select("key")), "key", "left_semi")
+    some = written(some.groupBy("key", "id").agg(F.max("indexed").alias("indexed")), "line-crowded")
+    ids = written(some.select("id").distinct(), "line-crowded-ids")
+    marks = lines.join(few(ids), "id", "left_semi").select("id", "n", bigram_parities(F.col("b"), edits).alias("p"))
+    pairs = keys.filter("n = 2").select("x", "y").unionByName(crowded_pairs(written(some.join(marks, "id"), "line-marked"), edits))
+    many = keys.filter(f"n > {CROWD}").select("key")
+    for found in template_pairs(rests(rows.join(few(many), "key", "left_semi")), edits) if not many.isEmpty() else ():
+        pairs = pairs.unionByName(found)
+    return written(pairs.distinct(), "line-candidates")
 
 
 def crowded_pairs(marked: DataFrame, edits: int) -> DataFrame:
@@ -135,16 +155,101 @@ def crowded_pairs(marked: DataFrame, edits: int) -> DataFrame:
     """
     parts = 4 * edits + 1
     rows = marked.select("id", "indexed", "n", "p", F.posexplode("p").alias("part", "own"), "key").withColumn("key", F.xxhash64("key", "part", "own"))
-    heavy = written(rows.groupBy("key").agg(F.count("*").alias("m")).filter(F.col("m") > CROWD).select("key", F.ceil(F.col("m") / CROWD).cast("int").alias("cells")), "line-heavy")
-    side = F.broadcast(heavy) if heavy.count() <= BROADCAST_LINES else heavy
-    rows = rows.join(side, "key", "left").withColumn("cells", F.coalesce("cells", F.lit(1)))
-    one = rows.filter("indexed").select("key", F.pmod(F.xxhash64("id"), F.col("cells")).cast("int").alias("cell"), "part", F.col("id").alias("x"), F.col("n").alias("xn"), F.col("p").alias("xp"))
-    other = rows.select("key", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("cell"), F.col("id").alias("y"), F.col("n").alias("yn"), F.col("p").alias("yp"))
+    one = rows.filter("indexed").select("key", "part", F.col("id").alias("x"), F.col("n").alias("xn"), F.col("p").alias("xp"))
+    other = rows.select("key", F.col("id").alias("y"), F.col("n").alias("yn"), F.col("p").alias("yp"))
     differ = [F.col("xp")[i] != F.col("yp")[i] for i in range(parts)]
     first = F.coalesce(*[F.when(~d, F.lit(i)) for i, d in enumerate(differ)])
     bits = sum((F.bit_count(F.col("xp")[i].bitwiseXOR(F.col("yp")[i])) for i in range(parts)), F.lit(0))
     near = (F.col("x") != F.col("y")) & (F.abs(F.col("xn") - F.col("yn")) <= edits) & (first == F.col("part")) & (bits <= 4 * edits)
-    return one.join(other, ["key", "cell"]).filter(near).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+    return one.join(other, "key").filter(near).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+
+
+def template_pairs(rows: DataFrame, edits: int) -> list[DataFrame]:
+    """x < y of lines with a common key and near rests, in written tables.
+
+    rows: key, indexed, id, b (what the key leaves of the line). Lines that are within the edits with the key's bytes untouched are so in b. A
+    rest loses at least a byte a round, mostly a third of it, and what all under its key begin or end with.
+    """
+    pairs, rows = [], written(rows.drop("indexed").distinct(), "line-rests")
+    while not rows.isEmpty():
+        rows = without_copies(without_ends(rows))
+        pairs.append(written(short_pairs(rows.filter(F.length("b") <= SHORT + edits), edits), "line-template-pairs"))
+        # A pair is met above if one of its rests is short, and here if none is.
+        long = rows.select(F.col("key").alias("of"), "id", "b", F.length("b").alias("n")).filter(F.col("n") > SHORT)
+        again = segment_rows(long, edits, "of")
+        keys = again.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y"), F.count("*").alias("m"), F.max("indexed").alias("indexed"))
+        keys = written(keys.filter("indexed AND x <> y").select("key", "m"), "line-rest-keys")
+        again = written(rests(again.join(few(keys), "key")).groupBy("key", "id", "b", "m").agg(F.max("indexed").alias("indexed")), "line-rests")
+        pairs.append(written(small_pairs(again.filter(F.col("m") <= CROWD), edits), "line-template-pairs"))
+        rows = again.filter(F.col("m") > CROWD).select("key", "id", "b")
+    return pairs
+
+
+def without_ends(rows: DataFrame) -> DataFrame:
+    """key, id, b with b without the bytes that all rows of a key begin and end with, which the smallest and the largest of them tell."""
+    back = F.reverse("b")
+    ends = rows.groupBy("key").agg(F.min("b").alias("x"), F.max("b").alias("y"), F.min(back).alias("rx"), F.max(back).alias("ry"), F.min(F.length("b")).alias("least"), F.max(F.length("b")).alias("most"))
+    ends = written(ends, "line-rest-ends")
+    steps = halves(ends.agg(F.max("most")).first()[0])
+    ends = ends.withColumns({"front": agreement(F.col("x"), F.col("y"), F.col("least"), steps), "back": agreement(F.col("rx"), F.col("ry"), F.col("least"), steps)})
+    ends = written(ends.select("key", "front", F.least("back", F.col("least") - F.col("front")).alias("back")), "line-rest-ends")
+    return rows.join(few(ends), "key").select("key", "id", F.substring("b", F.col("front") + 1, F.length("b") - F.col("front") - F.col("back")).alias("b"))
+
+
+def without_copies(rows: DataFrame) -> DataFrame:
+    """One key of those that have the same rows (a template's segments all have); written."""
+    rows = written(rows.distinct(), "line-rests")
+    sums = rows.groupBy("key").agg(F.count("*").alias("m"), F.bit_xor(F.xxhash64("id", "b")).alias("u"), F.bit_xor(F.xxhash64("b", F.lit(1), "id")).alias("v"))
+    keys = written(sums.groupBy("m", "u", "v").agg(F.min("key").alias("key")).select("key"), "line-rest-keys")
+    return written(rows.join(few(keys), "key", "left_semi"), "line-rests")
+
+
+def paired(one: DataFrame, other: DataFrame, keys: list[str], near: Column) -> DataFrame:
+    met = one.withColumnsRenamed({"id": "x"} | {c: f"x_{c}" for c in one.columns if c not in ("id", *keys)})
+    met = met.join(other.withColumnsRenamed({"id": "y"} | {c: f"y_{c}" for c in other.columns if c not in ("id", *keys)}), keys)
+    return met.filter((F.col("x") != F.col("y")) & near).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+
+
+def small_pairs(rows: DataFrame, edits: int) -> DataFrame:
+    """x < y under keys of few rows (key, id, b, indexed): an edit changes the length by one at most and the parities of two bytes."""
+    bit = lambda c: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.ascii(c), F.lit(64)))
+    parity = F.aggregate(F.split("b", ""), F.lit(0).cast("long"), lambda v, c: v.bitwiseXOR(bit(c)))
+    rows = rows.select("key", "id", "indexed", F.length("b").alias("n"), parity.alias("p"))
+    near = (F.abs(F.col("x_n") - F.col("y_n")) <= edits) & (F.bit_count(F.col("x_p").bitwiseXOR(F.col("y_p"))) <= 2 * edits)
+    return paired(rows.filter("indexed"), rows.drop("indexed"), ["key"], near)
+
+
+def short_pairs(rows: DataFrame, edits: int) -> DataFrame:
+    """x < y of rests (key, id, b) within `edits`, and no others.
+
+    Such rests are equal once each has lost some bytes and some bytes at equal places are masked; as many edits as bytes lost in either
+    and masked lead from one to the other. The mask is a character that no byte is.
+    """
+    mask = "\u0100"
+    forms = rows.select("key", "id", "b", F.lit(0).alias("masked"), F.lit(0).alias("lost"))
+    found = forms
+    for _ in range(edits):
+        at = forms.filter(F.length("b") > 0).select("*", F.explode(F.sequence(F.lit(1), F.length("b"))).alias("at"))
+        front, back = F.substring("b", F.lit(1), F.col("at") - 1), F.substring("b", F.col("at") + 1, F.length("b"))
+        at = at.filter(F.substring("b", F.col("at"), F.lit(1)) != mask)
+        less = at.select("key", "id", F.concat(front, back).alias("b"), "masked", F.col("lost") + 1)
+        hidden = at.select("key", "id", F.concat(front, F.lit(mask), back).alias("b"), F.col("masked") + 1, "lost")
+        forms = less.union(hidden).toDF(*found.columns)
+        found = found.union(forms)
+    # Of the ways to one form the one that loses least; the others make the same pairs.
+    found = found.groupBy("key", "id", F.xxhash64("b").alias("form"), "masked").agg(F.min("lost").alias("lost"))
+    found = written(found, "line-forms")
+    return paired(found, found, ["key", "form", "masked"], (F.col("x") < F.col("y")) & (F.col("masked") + F.col("x_lost") + F.col("y_lost") <= edits)).distinct()
+
+
+def halves(longest: int) -> Column:
+    """Powers of two that add up to at least `longest`, the largest first."""
+    return F.array(*[F.lit(1 << k) for k in range(max(1, longest).bit_length() - 1, -1, -1)])
+
+
+def agreement(x: Column, y: Column, least: Column, steps: Column, place: Callable[[Column, Column, Column], Column] = lambda c, n, s: F.substring(c, n + 1, s)) -> Column:
+    """How many bytes, `least` at most, x and y begin with in common: each step compares two substrings."""
+    return F.aggregate(steps, F.lit(0), lambda n, s: F.when((n + s <= least) & (place(x, n, s) == place(y, n, s)), n + s).otherwise(n))
 
 
 def stripped(pairs: DataFrame, longest: int) -> DataFrame:
@@ -152,13 +257,8 @@ def stripped(pairs: DataFrame, longest: int) -> DataFrame:
 
     How far they agree is found by halving: each step compares two substrings.
     """
-    steps, x, y = F.array(*[F.lit(1 << k) for k in range(max(1, longest).bit_length() - 1, -1, -1)]), F.col("x"), F.col("y")
-    least = F.least(F.length("x"), F.length("y"))
-
-    def agree(place: Callable[[Column, Column, Column], Column]) -> Column:
-        return F.aggregate(steps, F.lit(0), lambda n, s: F.when((n + s <= least) & (place(x, n, s) == place(y, n, s)), n + s).otherwise(n))
-
-    ends = {"front": agree(lambda c, n, s: F.substring(c, n + 1, s)), "back": agree(lambda c, n, s: F.substring(c, F.length(c) - n - s + 1, s))}
+    steps, x, y, least = halves(longest), F.col("x"), F.col("y"), F.least(F.length("x"), F.length("y"))
+    ends = {"front": agreement(x, y, least, steps), "back": agreement(x, y, least, steps, lambda c, n, s: F.substring(c, F.length(c) - n - s + 1, s))}
     pairs = pairs.withColumns(ends).withColumn("back", F.least("back", least - F.col("front")))
     return pairs.withColumns({c: F.substring(c, F.col("front") + 1, F.length(c) - F.col("front") - F.col("back")) for c in "xy"}).drop("front", "back")
 

@@ -69,16 +69,46 @@ def test_common_ends_go(spark):
 
 
 def test_lines_of_a_template(spark, monkeypatch):
-    """Numbered lines of one template, dealt over several cells of a crowded key and joined back by run."""
-    monkeypatch.setattr(line_dedup, "CROWD", 7)
+    """Numbered lines of templates whose rests are cut again, short and long ones, joined without a broadcast."""
+    monkeypatch.setattr(line_dedup, "CROWD", 16)
     monkeypatch.setattr(line_dedup, "BROADCAST_LINES", 0)
     rng = random.Random(9)
     texts = [(i, f"this is a line of the template, number {rng.randrange(10**6):06d}, and it ends here\nand {rng.randrange(100)} is a line that comes back") for i in range(120)]
+    texts += [(200 + i, f"{rng.choice('ab')} {rng.randrange(30):02d} and a middle part that all of them have in common {rng.randrange(30)} {rng.choice('xy')}") for i in range(60)]
     want = brute_lines(texts, 20, 2)
     report = {r.doc_id: r.removed for r in line_dedup.line_report(docs_of(spark, texts).repartition(4)).collect()}
     assert {i: r for i, r in report.items() if r} == {i: ",".join(map(str, v)) for i, v in want.items()}
 
 
+@pytest.mark.parametrize(("edits", "short"), [(2, 5), (1, 3)])
+def test_pairs_of_a_template_are_all_links(spark, monkeypatch, edits, short):
+    """No link between lines of a template is lost, however short a rest is that is no longer cut."""
+    monkeypatch.setattr(line_dedup, "CROWD", 16)
+    monkeypatch.setattr(line_dedup, "SHORT", short)
+    rng = random.Random(edits + short)
+    lines = list({mutated(rng, f"the number {rng.randrange(200)} of a list, {rng.choice(['red', 'green'])} as ever", rng.choice([0, 0, 1])).encode().decode("latin-1") for _ in range(150)})
+    df = spark.createDataFrame(list(enumerate(lines)), "h1 long, b string").withColumn("n", F.length("b"))
+    found = {(r.x, r.y) for r in line_dedup.candidate_pairs(df, edits).collect()}
+    links = {(i, k) for i in range(len(lines)) for k in range(i + 1, len(lines)) if distance(lines[i], lines[k]) <= edits}
+    assert links <= found and all(x < y for x, y in found)
+
+
+def test_short_rests_meet_if_and_only_if_they_are_near(spark):
+    rng = random.Random(3)
+    rests = sorted({"".join(rng.choice("012") for _ in range(rng.randint(0, 6))) for _ in range(120)})
+    df = spark.createDataFrame([(1, i, b) for i, b in enumerate(rests)], "key long, id long, b string")
+    for edits in (1, 2):
+        got = Counter((r.x, r.y) for r in line_dedup.short_pairs(df, edits).collect())
+        assert got == Counter((i, k) for i in range(len(rests)) for k in range(i + 1, len(rests)) if distance(rests[i], rests[k]) <= edits)
+
+
+def test_rests_of_a_key_lose_what_all_have(spark):
+    rows = [(1, 1, "abc1de"), (1, 2, "abc22de"), (1, 3, "abde"), (2, 4, "same"), (2, 5, "same"), (3, 1, "c1"), (3, 2, "c22"), (3, 3, "")]
+    df = line_dedup.without_ends(spark.createDataFrame(rows, "key long, id long, b string"))
+    assert {(r.key, r.id): r.b for r in df.collect()} == {(1, 1): "c1", (1, 2): "c22", (1, 3): "", (2, 4): "", (2, 5): "", (3, 1): "c1", (3, 2): "c22", (3, 3): ""}
+    assert {r.key for r in line_dedup.without_copies(df).collect()} == {1, 2}
+
+
 def test_parities_share_a_part(spark):
     rng, rows = random.Random(11), []
     for _ in range(300):
