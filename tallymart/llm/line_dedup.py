@@ -137,13 +137,12 @@ def candidate_pairs(distinct: DataFrame, edits: int) -> DataFrame:
     rows = segment_rows(lines, edits)
     keys = rows.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y"), F.count("*").alias("n"), F.max("indexed").alias("indexed"))
     keys = written(keys.filter("indexed AND x <> y"), "line-keys")
-    some = rows.join(few(keys.filter(f"n BETWEEN 3 AND {CROWD}").select("key")), "key", "left_semi")
-    some = written(some.groupBy("key", "id").agg(F.max("indexed").alias("indexed")), "line-crowded")
-    ids = written(some.select("id").distinct(), "line-crowded-ids")
-    marks = lines.join(few(ids), "id", "left_semi").select("id", "n", bigram_parities(F.col("b"), edits).alias("p"))
-    pairs = keys.filter("n = 2").select("x", "y").unionByName(crowded_pairs(written(some.join(marks, "id"), "line-marked"), edits))
-    many = keys.filter(f"n > {CROWD}").select("key")
-    for found in template_pairs(rests(rows.join(few(many), "key", "left_semi")), edits) if not many.isEmpty() else ():
+    some = rests(rows.join(few(keys.filter("n > 2").select("key", "n")), "key")).withColumn("b", F.when(F.col("n") > CROWD, F.col("b")))
+    some = written(some.groupBy("key", "id", "b", "n").agg(F.max("indexed").alias("indexed")), "line-crowded")
+    crowd, many = some.filter(f"n <= {CROWD}").drop("n", "b"), some.filter(f"n > {CROWD}").drop("n")
+    marks = lines.join(few(written(crowd.select("id").distinct(), "line-crowded-ids")), "id", "left_semi").select("id", "n", bigram_parities(F.col("b"), edits).alias("p"))
+    pairs = keys.filter("n = 2").select("x", "y").unionByName(crowded_pairs(written(crowd.join(marks, "id"), "line-marked"), edits))
+    for found in template_pairs(many, edits):
         pairs = pairs.unionByName(found)
     return written(pairs.distinct(), "line-candidates")
 
@@ -167,10 +166,10 @@ def crowded_pairs(marked: DataFrame, edits: int) -> DataFrame:
 def template_pairs(rows: DataFrame, edits: int) -> list[DataFrame]:
     """x < y of lines with a common key and near rests, in written tables.
 
-    rows: key, indexed, id, b (what the key leaves of the line). Lines that are within the edits with the key's bytes untouched are so in b. A
+    rows: key, id, b (what the key leaves of the line), from a table. Lines that are within the edits with the key's bytes untouched are so in b. A
     rest loses at least a byte a round, mostly a third of it, and what all under its key begin or end with.
     """
-    pairs, rows = [], written(rows.drop("indexed").distinct(), "line-rests")
+    pairs, rows = [], rows.select("key", "id", "b")
     while not rows.isEmpty():
         rows = without_copies(without_ends(rows))
         pairs.append(written(short_pairs(rows.filter(F.length("b") <= SHORT + edits), edits), "line-template-pairs"))
@@ -188,20 +187,19 @@ def template_pairs(rows: DataFrame, edits: int) -> list[DataFrame]:
 def without_ends(rows: DataFrame) -> DataFrame:
     """key, id, b with b without the bytes that all rows of a key begin and end with, which the smallest and the largest of them tell."""
     back = F.reverse("b")
-    ends = rows.groupBy("key").agg(F.min("b").alias("x"), F.max("b").alias("y"), F.min(back).alias("rx"), F.max(back).alias("ry"), F.min(F.length("b")).alias("least"), F.max(F.length("b")).alias("most"))
-    ends = written(ends, "line-rest-ends")
-    steps = halves(ends.agg(F.max("most")).first()[0])
+    ends = rows.groupBy("key").agg(F.min("b").alias("x"), F.max("b").alias("y"), F.min(back).alias("rx"), F.max(back).alias("ry"), F.min(F.length("b")).alias("least"))
+    steps = halves(1 << 30)  # more than a string can have; a step beyond its length is one comparison of numbers
     ends = ends.withColumns({"front": agreement(F.col("x"), F.col("y"), F.col("least"), steps), "back": agreement(F.col("rx"), F.col("ry"), F.col("least"), steps)})
     ends = written(ends.select("key", "front", F.least("back", F.col("least") - F.col("front")).alias("back")), "line-rest-ends")
     return rows.join(few(ends), "key").select("key", "id", F.substring("b", F.col("front") + 1, F.length("b") - F.col("front") - F.col("back")).alias("b"))
 
 
 def without_copies(rows: DataFrame) -> DataFrame:
-    """One key of those that have the same rows (a template's segments all have); written."""
+    """One key of those that have the same rows (a template's segments all have), of a written table."""
     rows = written(rows.distinct(), "line-rests")
     sums = rows.groupBy("key").agg(F.count("*").alias("m"), F.bit_xor(F.xxhash64("id", "b")).alias("u"), F.bit_xor(F.xxhash64("b", F.lit(1), "id")).alias("v"))
     keys = written(sums.groupBy("m", "u", "v").agg(F.min("key").alias("key")).select("key"), "line-rest-keys")
-    return written(rows.join(few(keys), "key", "left_semi"), "line-rests")
+    return rows.join(few(keys), "key", "left_semi")
 
 
 def paired(one: DataFrame, other: DataFrame, keys: list[str], near: Column) -> DataFrame:
