@@ -33,6 +33,7 @@ line may hold any other character. An empty table gives an empty result. Extra c
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -44,6 +45,8 @@ BROADCAST_LINES = 400_000
 CROWD = 64
 #: Bytes of a rest that is not cut into segments any more.
 SHORT = 8
+#: Rests that a task takes at most, twelve substrings each, and their bytes.
+RESTS_A_TASK, BYTES_A_TASK = 10_000, 8 << 20
 LINE = ["h1", "h2"]
 
 
@@ -163,42 +166,63 @@ def crowded_pairs(marked: DataFrame, edits: int) -> DataFrame:
     return one.join(other, "key").filter(near).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
 
 
+def tasks_of(rows: DataFrame) -> int:
+    """Tasks for a step over rests (key, id, b) of a table, by how many they are and their bytes; none if there are none."""
+    n, size = rows.agg(F.count("*"), F.sum(F.octet_length("b"))).first()
+    return max(6, -(-n // RESTS_A_TASK), -(-size // BYTES_A_TASK)) if n else 0
+
+
 def template_pairs(rows: DataFrame, edits: int) -> list[DataFrame]:
     """x < y of lines with a common key and near rests, in written tables.
 
     rows: key, id, b (what the key leaves of the line), from a table. Lines that are within the edits with the key's bytes untouched are so in b. A
-    rest loses at least a byte a round, mostly a third of it, and what all under its key begin or end with.
+    rest loses at least a byte a round, mostly a third of it, and what all under its key begin or end with. Rests that need no more
+    rounds wait in their tables and are paired together in the end. Every step reads only what the round before has written, so
+    its tasks follow from that table's size and not from the number of partitions of a shuffle of the whole corpus.
     """
-    pairs, rows = [], rows.select("key", "id", "b")
-    while not rows.isEmpty():
-        rows = without_copies(without_ends(rows))
-        pairs.append(written(short_pairs(rows.filter(F.length("b") <= SHORT + edits), edits), "line-template-pairs"))
-        # A pair is met above if one of its rests is short, and here if none is.
+    short, small, rows, most = [], [], rows.select("key", "id", "b"), 0
+    while tasks := tasks_of(rows):
+        most += tasks
+        rows = without_copies(without_ends(rows, tasks), tasks)
+        # A pair is met among the short if one of its rests is short, and by the segments if none is.
+        short.append(rows.filter(F.length("b") <= SHORT + edits))
         long = rows.select(F.col("key").alias("of"), "id", "b", F.length("b").alias("n")).filter(F.col("n") > SHORT)
         again = segment_rows(long, edits, "of")
         keys = again.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y"), F.count("*").alias("m"), F.max("indexed").alias("indexed"))
-        keys = written(keys.filter("indexed AND x <> y").select("key", "m"), "line-rest-keys")
-        again = written(rests(again.join(few(keys), "key")).groupBy("key", "id", "b", "m").agg(F.max("indexed").alias("indexed")), "line-rests")
-        pairs.append(written(small_pairs(again.filter(F.col("m") <= CROWD), edits), "line-template-pairs"))
+        keys = written(keys.filter("indexed AND x <> y").select("key", "m").coalesce(tasks), "line-rest-keys")
+        again = written(rests(again.join(few(keys), "key")).groupBy("key", "id", "b", "m").agg(F.max("indexed").alias("indexed")).coalesce(tasks), "line-rests")
+        small.append(again.filter(F.col("m") <= CROWD))
         rows = again.filter(F.col("m") > CROWD).select("key", "id", "b")
-    return pairs
+    if not short:
+        return []
+    return [written(pairs.coalesce(most), "line-template-pairs") for pairs in (short_pairs(union_of(short), edits, most), small_pairs(union_of(small), edits))]
+
+
+def dealt(df: DataFrame, tasks: int | None) -> DataFrame:
+    """df in at most so many tasks, where their number is known: partitions of its last shuffle are taken together."""
+    return df.coalesce(tasks) if tasks else df
+
+
+def union_of(tables: list[DataFrame]) -> DataFrame:
+    """All rows; a key of one round is another than one of the next, as it is a hash of that."""
+    return reduce(DataFrame.unionByName, tables)
 
 
-def without_ends(rows: DataFrame) -> DataFrame:
+def without_ends(rows: DataFrame, tasks: int | None = None) -> DataFrame:
     """key, id, b with b without the bytes that all rows of a key begin and end with, which the smallest and the largest of them tell."""
     back = F.reverse("b")
     ends = rows.groupBy("key").agg(F.min("b").alias("x"), F.max("b").alias("y"), F.min(back).alias("rx"), F.max(back).alias("ry"), F.min(F.length("b")).alias("least"))
     steps = halves(1 << 30)  # more than a string can have; a step beyond its length is one comparison of numbers
     ends = ends.withColumns({"front": agreement(F.col("x"), F.col("y"), F.col("least"), steps), "back": agreement(F.col("rx"), F.col("ry"), F.col("least"), steps)})
-    ends = written(ends.select("key", "front", F.least("back", F.col("least") - F.col("front")).alias("back")), "line-rest-ends")
+    ends = written(dealt(ends.select("key", "front", F.least("back", F.col("least") - F.col("front")).alias("back")), tasks), "line-rest-ends")
     return rows.join(few(ends), "key").select("key", "id", F.substring("b", F.col("front") + 1, F.length("b") - F.col("front") - F.col("back")).alias("b"))
 
 
-def without_copies(rows: DataFrame) -> DataFrame:
+def without_copies(rows: DataFrame, tasks: int | None = None) -> DataFrame:
     """One key of those that have the same rows (a template's segments all have), of a written table."""
-    rows = written(rows.distinct(), "line-rests")
+    rows = written(dealt(rows.distinct(), tasks), "line-rests")
     sums = rows.groupBy("key").agg(F.count("*").alias("m"), F.bit_xor(F.xxhash64("id", "b")).alias("u"), F.bit_xor(F.xxhash64("b", F.lit(1), "id")).alias("v"))
-    keys = written(sums.groupBy("m", "u", "v").agg(F.min("key").alias("key")).select("key"), "line-rest-keys")
+    keys = written(dealt(dealt(sums, tasks).groupBy("m", "u", "v").agg(F.min("key").alias("key")).select("key"), tasks), "line-rest-keys")
     return rows.join(few(keys), "key", "left_semi")
 
 
@@ -217,7 +241,7 @@ def small_pairs(rows: DataFrame, edits: int) -> DataFrame:
     return paired(rows.filter("indexed"), rows.drop("indexed"), ["key"], near)
 
 
-def short_pairs(rows: DataFrame, edits: int) -> DataFrame:
+def short_pairs(rows: DataFrame, edits: int, tasks: int | None = None) -> DataFrame:
     """x < y of rests (key, id, b) within `edits`, and no others.
 
     Such rests are equal once each has lost some bytes and some bytes at equal places are masked; as many edits as bytes lost in either
@@ -236,7 +260,7 @@ def short_pairs(rows: DataFrame, edits: int) -> DataFrame:
         found = found.union(forms)
     # Of the ways to one form the one that loses least; the others make the same pairs.
     found = found.groupBy("key", "id", F.xxhash64("b").alias("form"), "masked").agg(F.min("lost").alias("lost"))
-    found = written(found, "line-forms")
+    found = written(dealt(found, tasks), "line-forms")
     return paired(found, found, ["key", "form", "masked"], (F.col("x") < F.col("y")) & (F.col("masked") + F.col("x_lost") + F.col("y_lost") <= edits)).distinct()
 
 
