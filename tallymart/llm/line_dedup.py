@@ -195,7 +195,7 @@ def template_pairs(rows: DataFrame, edits: int) -> list[DataFrame]:
         rows = again.filter(F.col("m") > CROWD).select("key", "id", "b")
     if not short:
         return []
-    return [written(pairs.coalesce(most), "line-template-pairs") for pairs in (short_pairs(union_of(short), edits, most), small_pairs(union_of(small), edits))]
+    return [written(pairs.coalesce(most), "line-template-pairs") for pairs in (short_pairs(union_of(short), edits, most), small_pairs(union_of(small), edits, most))]
 
 
 def dealt(df: DataFrame, tasks: int | None) -> DataFrame:
@@ -232,13 +232,17 @@ def paired(one: DataFrame, other: DataFrame, keys: list[str], near: Column) -> D
     return met.filter((F.col("x") != F.col("y")) & near).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
 
 
-def small_pairs(rows: DataFrame, edits: int) -> DataFrame:
-    """x < y under keys of few rows (key, id, b, indexed): an edit changes the length by one at most and the parities of two bytes."""
-    bit = lambda c: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.ascii(c), F.lit(64)))
-    parity = F.aggregate(F.split("b", ""), F.lit(0).cast("long"), lambda v, c: v.bitwiseXOR(bit(c)))
-    rows = rows.select("key", "id", "indexed", F.length("b").alias("n"), parity.alias("p"))
-    near = (F.abs(F.col("x_n") - F.col("y_n")) <= edits) & (F.bit_count(F.col("x_p").bitwiseXOR(F.col("y_p"))) <= 2 * edits)
-    return paired(rows.filter("indexed"), rows.drop("indexed"), ["key"], near)
+def small_pairs(rows: DataFrame, edits: int, tasks: int | None = None) -> DataFrame:
+    """x < y under keys of few rows (key, id, b) whose lengths and bigram parities allow it.
+
+    Keys that have the same rows once common ends are gone count once: lines that are variants of each other share very many.
+    """
+    rows = without_copies(without_ends(rows.select("key", "id", "b"), tasks), tasks)
+    parities = bigram_parities(F.col("b"), edits)
+    rows = written(dealt(rows.select("key", "id", F.length("b").alias("n"), parities.alias("p")), tasks), "line-rest-marks")
+    bits = sum((F.bit_count(F.col("x_p")[i].bitwiseXOR(F.col("y_p")[i])) for i in range(4 * edits + 1)), F.lit(0))
+    near = (F.col("x") < F.col("y")) & (F.abs(F.col("x_n") - F.col("y_n")) <= edits) & (bits <= 4 * edits)
+    return paired(rows, rows, ["key"], near)
 
 
 def short_pairs(rows: DataFrame, edits: int, tasks: int | None = None) -> DataFrame:
