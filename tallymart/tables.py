@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Scopes that are open, the innermost last: folders whose tables go when the scope ends.
 _scopes: list[str] = []
+#: Temporary folders of local sessions that name none, by application.
+_own: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -27,8 +29,11 @@ def shared_folder(spark: SparkSession) -> str:
     if not folder:
         if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        folder = tempfile.mkdtemp(prefix="tallymart-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        # A running session does not let this setting be changed.
+        app = spark.sparkContext.applicationId
+        if app not in _own:
+            _own[app] = tempfile.mkdtemp(prefix="tallymart-")
+        folder = _own[app]
     return folder.rstrip("/")
 
 
