@@ -122,7 +122,7 @@ def curated(frames: Mapping[str, DataFrame], batch: str) -> dict[str, DataFrame]
         "dim_geography": star.dim_geography(frames["geolocation"], batch), "dim_date": star.dim_date(star.date_bounds(frames["orders"])), "dim_order_status": star.dim_order_status(sales.sparkSession),
         "fact_sales": sales, "fact_reviews": star.fact_reviews(frames),
     }
-    return {**out, **marts.all_marts(star.enrich(sales, out), sales)}
+    return {**out, **marts.all_marts(star.enriched_sales(frames, out), sales)}
 
 
 def process(spark: SparkSession, folder: str, root: str, batch_id: str, at: str, identity: Mapping[str, object] | None = None) -> dict:
