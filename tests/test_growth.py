@@ -5,7 +5,7 @@ from contextlib import contextmanager
 import pytest
 from pyspark.sql import functions as F
 
-from tallymart.operators import star as S
+from tallymart.operators import marts as M, star as S
 from tallymart.plans import driver as D
 
 
@@ -46,3 +46,18 @@ def test_enriched_sales_are_the_enriched_fact(spark, sf_dir, monkeypatch):
         monkeypatch.setattr(S, "BROADCAST_ROWS", most)
         got = S.enriched_sales(f, dims).select(*want.columns)
         assert got.count() == want.count() > 0 and got.exceptAll(want).count() == 0
+
+
+def test_marts_of_a_written_table_shuffle_no_pairs_of_group_and_order(spark, sf_dir):
+    from tallymart import catalog
+
+    assert not [line for line in plan(catalog.queries()["a15_reconcile_totals"](spark, sf_dir)).splitlines() if "Exchange" in line and "OrderID" in line]
+
+
+def test_marts_from_marks_are_the_marts(spark):
+    rows = [(o, o % 3 if o % 5 else None, "ab"[i % 2] if i < 4 else None, i % 3 != 1 if o % 2 else None, 1.5 * i, i if i % 2 else None) for o in range(40) for i in range(o % 7)]
+    df = spark.createDataFrame(rows, "OrderID long, CustomerID long, PaymentType string, IsDelayed boolean, price double, TotalDays int").selectExpr("*", "CAST(price AS DECIMAL(12,2)) AS Price1", "CAST(price + 1 AS DECIMAL(12,2)) AS FreightValue").drop("price").withColumnRenamed("Price1", "Price")
+    measures = ["OrdersCount", "UniqueCustomers", "TotalSales", "AvgItemPrice", "AvgShippingCost", "AvgDeliveryTime", "DelayedOrders", "DelayRate", "AvgOrderValue"]
+    want, got = M.mart(df, ["PaymentType"], measures), M.mart(M.marked(df, [("PaymentType",)]), ["PaymentType"], measures)
+    assert got.schema.simpleString() == want.schema.simpleString()
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and want.count() == 3
