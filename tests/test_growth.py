@@ -5,7 +5,7 @@ from contextlib import contextmanager
 import pytest
 from pyspark.sql import functions as F
 
-from tallymart.operators import marts as M, star as S
+from tallymart.operators import history as H, marts as M, star as S
 from tallymart.plans import driver as D
 
 
@@ -61,3 +61,17 @@ def test_marts_from_marks_are_the_marts(spark):
     want, got = M.mart(df, ["PaymentType"], measures), M.mart(M.marked(df, [("PaymentType",)]), ["PaymentType"], measures)
     assert got.schema.simpleString() == want.schema.simpleString()
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and want.count() == 3
+
+
+def test_the_fact_of_the_roles_is_joined_once(spark, sf_dir, monkeypatch):
+    from tallymart import catalog
+
+    plans, real = [], H.hot_keys
+
+    def spied(fact, *more):
+        plans.append(plan(fact))
+        return real(fact, *more)
+
+    monkeypatch.setattr(H, "hot_keys", spied)
+    catalog.six_roles(spark, sf_dir)
+    assert len(plans) == 5 and not any("Join" in p for p in plans)
