@@ -41,13 +41,14 @@ from tallymart.llm.common import release, unused, written
 
 #: Lines (two 64-bit keys and a place each) that may be broadcast; beyond it the join shuffles.
 BROADCAST_LINES = 400_000
-#: Lines that meet under one key; where there are more, they meet by what the key leaves of them.
+#: Lines that meet under one key, if all index it (else the root of those that do times all); where there are more, they meet by what the key leaves of them.
 CROWD = 64
 #: Bytes of a rest that is not cut into segments any more.
 SHORT = 8
 #: Rests that a task takes at most, twelve substrings each, and their bytes.
 RESTS_A_TASK, BYTES_A_TASK = 10_000, 8 << 20
 LINE = ["h1", "h2"]
+REST = ["key", "id", "b", "less", "indexed"]
 
 
 def as_bytes(line: Column) -> Column:
@@ -84,25 +85,52 @@ def segment_start(length: Column, i: Column, edits: int) -> Column:
     return (1 + (length - over) / (edits + 1) * (i - 1) + F.greatest(F.lit(0), i - 1 - (edits + 1) + over)).cast("int")
 
 
-def segment_rows(lines: DataFrame, edits: int, *of: str) -> DataFrame:
-    """key, indexed, id, b, at, size: the segments of each line (indexed), and every other substring of it that can equal a segment of a line as long or up to `edits` shorter.
+def places(less: int, edits: int) -> list[Column]:
+    """less, i, shift: the substrings of a line that can equal segment i of a line `less` bytes shorter."""
+    return [
+        F.struct(F.lit(less).alias("less"), F.lit(i).alias("i"), F.lit(shift).alias("shift"))
+        for i in range(1, edits + 2)
+        for shift in range(max(1 - i, less - (edits + 1 - i)), min(i - 1, less + (edits + 1 - i)) + 1)
+    ]
+
+
+def segment_rows(lines: DataFrame, edits: int) -> DataFrame:
+    """key, indexed, less, id, b, at, size: the segments of each line (indexed), and every other substring of it that can equal a segment of a line as long or up to `edits` shorter.
 
-    lines: id, bytes b and their number n. of: columns within whose values keys are made.
+    lines: id, bytes b and their number n. Under a key all lines that index it are equally long, the others `less` bytes longer.
 
     The places are rows of a literal array rather than as many expressions, so that the generated code
     stays small enough to be compiled.
     """
-    places = [
-        F.struct(F.lit(less).alias("less"), F.lit(i).alias("i"), F.lit(shift).alias("shift"))
-        for less in range(edits + 1) for i in range(1, edits + 2)
-        for shift in range(max(1 - i, less - (edits + 1 - i)), min(i - 1, less + (edits + 1 - i)) + 1)
-    ]
-    rows = lines.select("id", "b", "n", *of, F.explode(F.array(*places)).alias("p")).select("id", "b", "n", *of, "p.*")
+    rows = lines.select("id", "b", "n", F.explode(F.array(*[p for less in range(edits + 1) for p in places(less, edits)])).alias("p"))
+    rows = substrings(rows.select("id", "b", "n", "p.*"), edits)
+    return rows.withColumn("indexed", (F.col("less") == 0) & (F.col("shift") == 0)).select("key", "indexed", "less", "id", "b", "at", "size")
+
+
+def rest_rows(rests: DataFrame, edits: int) -> DataFrame:
+    """segment_rows of rests (key, indexed, less, id, b).
+
+    Of two lines that meet under a key one indexes it and is the shorter one, so only what indexed the key indexes again, and what is `less` bytes
+    longer takes the substrings for that alone.
+    """
+    at = F.get(F.array(*[F.array(*places(less, edits)) for less in range(edits + 1)]), F.col("less"))
+    rows = rests.select(F.col("key").alias("of"), "id", "b", F.length("b").alias("n"), "indexed", F.explode(at).alias("p"))
+    rows = substrings(rows.select("of", "id", "b", "n", "indexed", "p.*"), edits, "of")
+    return rows.withColumn("indexed", F.col("indexed") & (F.col("less") == 0) & (F.col("shift") == 0)).select("key", "indexed", "less", "id", "b", "at", "size")
+
+
+def substrings(rows: DataFrame, edits: int, *of: str) -> DataFrame:
+    """rows (id, b, n, less, i, shift) with place, size and key of their substrings. of: columns within whose values keys are made."""
     rows = rows.withColumn("length", F.col("n") - F.col("less"))
     rows = rows.withColumns({"start": segment_start(F.col("length"), F.col("i"), edits), "stop": segment_start(F.col("length"), F.col("i") + 1, edits)})
     rows = rows.withColumns({"at": F.col("start") + F.col("shift"), "size": F.col("stop") - F.col("start")}).filter((F.col("at") >= 1) & (F.col("at") + F.col("size") - 1 <= F.col("n")))
-    key = F.xxhash64(*of, "i", "length", F.substring("b", F.col("at"), F.col("size")))
-    return rows.select(key.alias("key"), ((F.col("less") == 0) & (F.col("shift") == 0)).alias("indexed"), "id", "b", "at", "size")
+    return rows.withColumn("key", F.xxhash64(*of, "i", "length", F.substring("b", F.col("at"), F.col("size"))))
+
+
+def met(rows: DataFrame) -> DataFrame:
+    """key, x, y, n, ones of the keys of segment_rows under which different lines meet: smallest and largest id, rows, and rows that index it."""
+    keys = rows.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y"), F.count("*").alias("n"), F.count_if("indexed").alias("ones"))
+    return keys.filter("ones > 0 AND x <> y")
 
 
 def rests(rows: DataFrame) -> DataFrame:
@@ -138,11 +166,10 @@ def candidate_pairs(distinct: DataFrame, edits: int) -> DataFrame:
     """
     lines = distinct.select(F.col("h1").alias("id"), "b", "n")
     rows = segment_rows(lines, edits)
-    keys = rows.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y"), F.count("*").alias("n"), F.max("indexed").alias("indexed"))
-    keys = written(keys.filter("indexed AND x <> y"), "line-keys")
-    some = rests(rows.join(few(keys.filter("n > 2").select("key", "n")), "key")).withColumn("b", F.when(F.col("n") > CROWD, F.col("b")))
-    some = written(some.groupBy("key", "id", "b", "n").agg(F.max("indexed").alias("indexed")), "line-crowded")
-    crowd, many = some.filter(f"n <= {CROWD}").drop("n", "b"), some.filter(f"n > {CROWD}").drop("n")
+    keys = written(met(rows), "line-keys")
+    some = rests(rows.join(few(keys.filter("n > 2").select("key", (F.col("n") * F.col("ones") > CROWD * CROWD).alias("many"))), "key")).withColumn("b", F.when(F.col("many"), F.col("b")))
+    some = written(some.groupBy("key", "id", "b", "less", "many").agg(F.max("indexed").alias("indexed")), "line-crowded")
+    crowd, many = some.filter("NOT many").drop("many", "b", "less"), some.filter("many").drop("many")
     marks = lines.join(few(written(crowd.select("id").distinct(), "line-crowded-ids")), "id", "left_semi").select("id", "n", bigram_parities(F.col("b"), edits).alias("p"))
     pairs = keys.filter("n = 2").select("x", "y").unionByName(crowded_pairs(written(crowd.join(marks, "id"), "line-marked"), edits))
     for found in template_pairs(many, edits):
@@ -173,26 +200,25 @@ def tasks_of(rows: DataFrame) -> int:
 
 
 def template_pairs(rows: DataFrame, edits: int) -> list[DataFrame]:
-    """x < y of lines with a common key and near rests, in written tables.
+    """x < y of lines with a common key that one of them indexes, and near rests, in written tables.
 
-    rows: key, id, b (what the key leaves of the line), from a table. Lines that are within the edits with the key's bytes untouched are so in b. A
+    rows: key, id, b (what the key leaves of the line), less, indexed, from a table. Lines that are within the edits with the key's bytes untouched are so in b. A
     rest loses at least a byte a round, mostly a third of it, and what all under its key begin or end with. Rests that need no more
     rounds wait in their tables and are paired together in the end. Every step reads only what the round before has written, so
     its tasks follow from that table's size and not from the number of partitions of a shuffle of the whole corpus.
     """
-    short, small, rows, most = [], [], rows.select("key", "id", "b"), 0
+    short, small, rows, most = [], [], rows.select(*REST), 0
     while tasks := tasks_of(rows):
         most += tasks
         rows = without_copies(without_ends(rows, tasks), tasks)
-        # A pair is met among the short if one of its rests is short, and by the segments if none is.
-        short.append(rows.filter(F.length("b") <= SHORT + edits))
-        long = rows.select(F.col("key").alias("of"), "id", "b", F.length("b").alias("n")).filter(F.col("n") > SHORT)
-        again = segment_rows(long, edits, "of")
-        keys = again.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y"), F.count("*").alias("m"), F.max("indexed").alias("indexed"))
-        keys = written(keys.filter("indexed AND x <> y").select("key", "m").coalesce(tasks), "line-rest-keys")
-        again = written(rests(again.join(few(keys), "key")).groupBy("key", "id", "b", "m").agg(F.max("indexed").alias("indexed")).coalesce(tasks), "line-rests")
-        small.append(again.filter(F.col("m") <= CROWD))
-        rows = again.filter(F.col("m") > CROWD).select("key", "id", "b")
+        # All that indexes a key is equally long and the rest no shorter, so the whole key is short or is not.
+        least = F.length("b") - F.col("less")
+        short.append(rows.filter(least <= SHORT))
+        again = rest_rows(rows.filter(least > SHORT), edits)
+        keys = written(met(again).select("key", (F.col("n") * F.col("ones") > CROWD * CROWD).alias("many")).coalesce(tasks), "line-rest-keys")
+        again = written(rests(again.join(few(keys), "key")).groupBy("key", "id", "b", "less", "many").agg(F.max("indexed").alias("indexed")).coalesce(tasks), "line-rests")
+        small.append(again.filter("NOT many").select(*REST))
+        rows = again.filter("many").select(*REST)
     if not short:
         return []
     return [written(pairs.coalesce(most), "line-template-pairs") for pairs in (short_pairs(union_of(short), edits, most), small_pairs(union_of(small), edits, most))]
@@ -209,63 +235,66 @@ def union_of(tables: list[DataFrame]) -> DataFrame:
 
 
 def without_ends(rows: DataFrame, tasks: int | None = None) -> DataFrame:
-    """key, id, b with b without the bytes that all rows of a key begin and end with, which the smallest and the largest of them tell."""
+    """rows (key, b and more) with b without the bytes that all rows of a key begin and end with, which the smallest and the largest of them tell."""
     back = F.reverse("b")
     ends = rows.groupBy("key").agg(F.min("b").alias("x"), F.max("b").alias("y"), F.min(back).alias("rx"), F.max(back).alias("ry"), F.min(F.length("b")).alias("least"))
     steps = halves(1 << 30)  # more than a string can have; a step beyond its length is one comparison of numbers
     ends = ends.withColumns({"front": agreement(F.col("x"), F.col("y"), F.col("least"), steps), "back": agreement(F.col("rx"), F.col("ry"), F.col("least"), steps)})
     ends = written(dealt(ends.select("key", "front", F.least("back", F.col("least") - F.col("front")).alias("back")), tasks), "line-rest-ends")
-    return rows.join(few(ends), "key").select("key", "id", F.substring("b", F.col("front") + 1, F.length("b") - F.col("front") - F.col("back")).alias("b"))
+    return rows.join(few(ends), "key").withColumn("b", F.substring("b", F.col("front") + 1, F.length("b") - F.col("front") - F.col("back"))).select(*rows.columns)
 
 
 def without_copies(rows: DataFrame, tasks: int | None = None) -> DataFrame:
     """One key of those that have the same rows (a template's segments all have), of a written table."""
     rows = written(dealt(rows.distinct(), tasks), "line-rests")
-    sums = rows.groupBy("key").agg(F.count("*").alias("m"), F.bit_xor(F.xxhash64("id", "b")).alias("u"), F.bit_xor(F.xxhash64("b", F.lit(1), "id")).alias("v"))
+    rest = [c for c in rows.columns if c != "key"]
+    sums = rows.groupBy("key").agg(F.count("*").alias("m"), F.bit_xor(F.xxhash64(*rest)).alias("u"), F.bit_xor(F.xxhash64(*reversed(rest), F.lit(1))).alias("v"))
     keys = written(dealt(dealt(sums, tasks).groupBy("m", "u", "v").agg(F.min("key").alias("key")).select("key"), tasks), "line-rest-keys")
     return rows.join(few(keys), "key", "left_semi")
 
 
-def paired(one: DataFrame, other: DataFrame, keys: list[str], near: Column) -> DataFrame:
-    met = one.withColumnsRenamed({"id": "x"} | {c: f"x_{c}" for c in one.columns if c not in ("id", *keys)})
-    met = met.join(other.withColumnsRenamed({"id": "y"} | {c: f"y_{c}" for c in other.columns if c not in ("id", *keys)}), keys)
-    return met.filter((F.col("x") != F.col("y")) & near).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+def paired(rows: DataFrame, keys: list[str], near: Column) -> DataFrame:
+    """x < y of near rows with equal keys of which one is indexed; two that both are meet once."""
+    both = rows.filter("indexed").drop("indexed").withColumnsRenamed({"id": "x"} | {c: f"x_{c}" for c in rows.columns if c not in ("id", "indexed", *keys)})
+    both = both.join(rows.withColumnsRenamed({"id": "y"} | {c: f"y_{c}" for c in rows.columns if c not in ("id", *keys)}), keys)
+    once = (F.col("x") < F.col("y")) | (~F.col("y_indexed") & (F.col("x") != F.col("y")))
+    return both.filter(once & near).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
 
 
 def small_pairs(rows: DataFrame, edits: int, tasks: int | None = None) -> DataFrame:
-    """x < y under keys of few rows (key, id, b) whose lengths and bigram parities allow it.
+    """x < y under keys of few rows (key, id, b, less, indexed) whose bigram parities allow it; their lengths do.
 
     Keys that have the same rows once common ends are gone count once: lines that are variants of each other share very many.
     """
-    rows = without_copies(without_ends(rows.select("key", "id", "b"), tasks), tasks)
+    rows = without_copies(without_ends(rows, tasks), tasks)
     parities = bigram_parities(F.col("b"), edits)
-    rows = written(dealt(rows.select("key", "id", F.length("b").alias("n"), parities.alias("p")), tasks), "line-rest-marks")
+    rows = written(dealt(rows.select("key", "id", "indexed", parities.alias("p")), tasks), "line-rest-marks")
     bits = sum((F.bit_count(F.col("x_p")[i].bitwiseXOR(F.col("y_p")[i])) for i in range(4 * edits + 1)), F.lit(0))
-    near = (F.col("x") < F.col("y")) & (F.abs(F.col("x_n") - F.col("y_n")) <= edits) & (bits <= 4 * edits)
-    return paired(rows, rows, ["key"], near)
+    return paired(rows, ["key"], bits <= 4 * edits)
 
 
 def short_pairs(rows: DataFrame, edits: int, tasks: int | None = None) -> DataFrame:
-    """x < y of rests (key, id, b) within `edits`, and no others.
+    """x < y of rests (key, id, b, and indexed unless all are) within `edits`, and no others.
 
     Such rests are equal once each has lost some bytes and some bytes at equal places are masked; as many edits as bytes lost in either
     and masked lead from one to the other. The mask is a character that no byte is.
     """
     mask = "\u0100"
-    forms = rows.select("key", "id", "b", F.lit(0).alias("masked"), F.lit(0).alias("lost"))
+    indexed = F.col("indexed") if "indexed" in rows.columns else F.lit(True).alias("indexed")
+    forms = rows.select("key", "id", indexed, "b", F.lit(0).alias("masked"), F.lit(0).alias("lost"))
     found = forms
     for _ in range(edits):
         at = forms.filter(F.length("b") > 0).select("*", F.explode(F.sequence(F.lit(1), F.length("b"))).alias("at"))
         front, back = F.substring("b", F.lit(1), F.col("at") - 1), F.substring("b", F.col("at") + 1, F.length("b"))
         at = at.filter(F.substring("b", F.col("at"), F.lit(1)) != mask)
-        less = at.select("key", "id", F.concat(front, back).alias("b"), "masked", F.col("lost") + 1)
-        hidden = at.select("key", "id", F.concat(front, F.lit(mask), back).alias("b"), F.col("masked") + 1, "lost")
+        less = at.select("key", "id", "indexed", F.concat(front, back).alias("b"), "masked", F.col("lost") + 1)
+        hidden = at.select("key", "id", "indexed", F.concat(front, F.lit(mask), back).alias("b"), F.col("masked") + 1, "lost")
         forms = less.union(hidden).toDF(*found.columns)
         found = found.union(forms)
     # Of the ways to one form the one that loses least; the others make the same pairs.
-    found = found.groupBy("key", "id", F.xxhash64("b").alias("form"), "masked").agg(F.min("lost").alias("lost"))
+    found = found.groupBy("key", "id", "indexed", F.xxhash64("b").alias("form"), "masked").agg(F.min("lost").alias("lost"))
     found = written(dealt(found, tasks), "line-forms")
-    return paired(found, found, ["key", "form", "masked"], (F.col("x") < F.col("y")) & (F.col("masked") + F.col("x_lost") + F.col("y_lost") <= edits)).distinct()
+    return paired(found, ["key", "form", "masked"], F.col("masked") + F.col("x_lost") + F.col("y_lost") <= edits).distinct()
 
 
 def halves(longest: int) -> Column:

@@ -93,6 +93,37 @@ def test_pairs_of_a_template_are_all_links(spark, monkeypatch, edits, short):
     assert links <= found and all(x < y for x, y in found)
 
 
+def test_near_copies_of_a_line_meet_in_few_rests(spark, monkeypatch):
+    """Long lines that differ in a few words and so in length: no link is lost, and a round does not multiply their rests."""
+    rests, real = [], line_dedup.written
+
+    def spied(df, label, rows=None):
+        out = real(df, label, rows)
+        rests.extend([out.count()] if label == "line-rests" else [])
+        return out
+
+    monkeypatch.setattr(line_dedup, "CROWD", 16)
+    monkeypatch.setattr(line_dedup, "written", spied)
+    rng, words, lines = random.Random(11), [f"word{i * 7919 % 1000:03d}" for i in range(40)], set()
+    while len(lines) < 150:
+        copy = list(words)
+        for _ in range(rng.choice([0, 1, 1, 2])):
+            copy[rng.randrange(40)] = "x" * rng.randrange(5, 10)
+        lines.add(mutated(rng, " ".join(copy), rng.choice([0, 1, 1, 2])).encode().decode("latin-1"))
+    lines = sorted(lines)
+    df = spark.createDataFrame(list(enumerate(lines)), "h1 long, b string").withColumn("n", F.length("b"))
+    found = {(r.x, r.y) for r in line_dedup.candidate_pairs(df, 2).collect()}
+
+    def near(a, b, edits):
+        n = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))  # noqa: B905
+        a, b = a[n:], b[n:]
+        return len(a) + len(b) <= edits if not (a and b) else edits > 0 and any(near(x, y, edits - 1) for x, y in ((a[1:], b), (a, b[1:]), (a[1:], b[1:])))
+
+    links = {(i, k) for i in range(len(lines)) for k in range(i + 1, len(lines)) if near(lines[i], lines[k], 2)}
+    assert links and links <= found
+    assert sum(rests) < 20 * len(lines)
+
+
 def test_short_rests_meet_if_and_only_if_they_are_near(spark):
     rng = random.Random(3)
     rests = sorted({"".join(rng.choice("012") for _ in range(rng.randint(0, 6))) for _ in range(120)})
