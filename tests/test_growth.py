@@ -35,6 +35,18 @@ def test_items_are_shuffled_for_their_product_and_order_only(spark, sf_dir, name
         assert exchanges(catalog.queries()[name](spark, sf_dir)) <= most
 
 
+def test_items_meet_their_orders_in_partitions_by_their_number(spark, sf_dir, monkeypatch):
+    from tallymart import catalog
+
+    want = catalog.queries()["a1_sales_by_category"](spark, sf_dir)
+    monkeypatch.setattr(S, "ITEMS_A_TASK", 500, raising=False)
+    got = catalog.queries()["a1_sales_by_category"](spark, sf_dir)
+    n = -(-D.frames(spark, sf_dir)["order_items"].count() // 500)
+    by_order = [line for line in plan(got).splitlines() if "Exchange hashpartitioning(order_id" in line]
+    assert len(by_order) >= 2 and sum(f", {n})" in line or f", {n}," in line for line in by_order) >= 2
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
 def test_enriched_sales_are_the_enriched_fact(spark, sf_dir, monkeypatch):
     f = D.frames(spark, sf_dir)
     f |= {"sellers": f["sellers"].filter("seller_id % 7 <> 1"), "products": f["products"].filter("product_id % 5 <> 1"), "customers": f["customers"].filter("customer_id % 3 <> 1")}
