@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from tallymart.tables import known_to_workers, new_path, release, unused, written
+from tallymart.tables import known_to_workers, new_path, release, scratch, unused, written
 
-__all__ = ["SPACE", "WORD", "by_run", "known_to_workers", "new_path", "release", "unused", "written"]
+__all__ = ["SPACE", "WORD", "by_run", "known_to_workers", "new_path", "release", "scratch", "unused", "written"]
 
 #: Words as every operator here takes them: runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"

@@ -37,7 +37,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallymart.llm.common import release, unused, written
+from tallymart.llm.common import release, scratch, unused, written
 
 #: Lines (two 64-bit keys and a place each) that may be broadcast; beyond it the join shuffles.
 BROADCAST_LINES = 400_000
@@ -158,6 +158,30 @@ def few(keys: DataFrame) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= BROADCAST_LINES else keys
 
 
+def release_after(keys: DataFrame) -> None:
+    """release, if lines met these keys by a shuffle, with their bytes: its files are about as large as the table of all lines."""
+    if keys.count() > BROADCAST_LINES:
+        release(keys.sparkSession)
+
+
+def crowded_rows(lines: DataFrame, rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """key, id, b, less, many, indexed of the segment_rows of lines under keys (key, many); b, what the key leaves of the line, where there are many.
+
+    Keys too many for a broadcast meet the rows by a shuffle. A line has a dozen rows, so they go without its bytes, which are then
+    fetched for the lines under keys of many.
+    """
+    if keys.count() <= BROADCAST_LINES:
+        some = rests(rows.join(F.broadcast(keys), "key")).withColumn("b", F.when(F.col("many"), F.col("b")))
+    else:
+        light = written(rows.drop("b").join(keys, "key"), "line-crowded-places")
+        release(lines.sparkSession)
+        ids = written(light.filter("many").select("id").distinct(), "line-crowded-ids")
+        texts = written(lines.join(few(ids), "id", "left_semi").select("id", "b"), "line-crowded-texts")
+        release_after(ids)
+        some = rests(light.filter("many").join(texts, "id")).unionByName(light.filter("NOT many").drop("at", "size"), allowMissingColumns=True)
+    return some.groupBy("key", "id", "b", "less", "many").agg(F.max("indexed").alias("indexed"))
+
+
 def candidate_pairs(distinct: DataFrame, edits: int) -> DataFrame:
     """x < y: ids of lines with a common key that one of them indexes; written.
 
@@ -167,11 +191,14 @@ def candidate_pairs(distinct: DataFrame, edits: int) -> DataFrame:
     lines = distinct.select(F.col("h1").alias("id"), "b", "n")
     rows = segment_rows(lines, edits)
     keys = written(met(rows), "line-keys")
-    some = rests(rows.join(few(keys.filter("n > 2").select("key", (F.col("n") * F.col("ones") > CROWD * CROWD).alias("many"))), "key")).withColumn("b", F.when(F.col("many"), F.col("b")))
-    some = written(some.groupBy("key", "id", "b", "less", "many").agg(F.max("indexed").alias("indexed")), "line-crowded")
+    release(lines.sparkSession)  # a row for each segment was shuffled
+    some = written(crowded_rows(lines, rows, keys.filter("n > 2").select("key", (F.col("n") * F.col("ones") > CROWD * CROWD).alias("many"))), "line-crowded")
     crowd, many = some.filter("NOT many").drop("many", "b", "less"), some.filter("many").drop("many")
-    marks = lines.join(few(written(crowd.select("id").distinct(), "line-crowded-ids")), "id", "left_semi").select("id", "n", bigram_parities(F.col("b"), edits).alias("p"))
-    pairs = keys.filter("n = 2").select("x", "y").unionByName(crowded_pairs(written(crowd.join(marks, "id"), "line-marked"), edits))
+    ids = written(crowd.select("id").distinct(), "line-crowded-ids")
+    marks = lines.join(few(ids), "id", "left_semi").select("id", "n", bigram_parities(F.col("b"), edits).alias("p"))
+    marked = written(crowd.join(marks, "id"), "line-marked")
+    release_after(ids)
+    pairs = keys.filter("n = 2").select("x", "y").unionByName(crowded_pairs(marked, edits))
     for found in template_pairs(many, edits):
         pairs = pairs.unionByName(found)
     return written(pairs.distinct(), "line-candidates")
@@ -362,18 +389,18 @@ def within(x: Column, y: Column, edits: int) -> Column:
 
 
 def distinct_lines(docs: DataFrame, row: str, least: int, id_col: str, text_col: str) -> DataFrame:
-    """h1, h2, first place, times, bytes b and their number n of each distinct line; written once."""
+    """h1, h2, first place, times, bytes b and their number n of each distinct line; written once, and packed well, as it stays while much is shuffled."""
     lines = lines_of(docs, row, least, id_col, text_col)
     once = lines.groupBy(*LINE).agg(F.first("line").alias("line"), F.min(F.struct("doc_id", "row", "pos")).alias("first"), F.count("*").alias("times"))
-    return written(once.select(*LINE, "first", "times", as_bytes(F.col("line")).alias("b"), F.octet_length("line").alias("n")), "lines")
+    return written(once.select(*LINE, "first", "times", as_bytes(F.col("line")).alias("b"), F.octet_length("line").alias("n")), "lines", codec="zstd")
 
 
 def near_lines(distinct: DataFrame, edits: int) -> DataFrame:
-    """h1, h2, first, n_links and near (whether a link leads to an earlier line) of each distinct line within `edits` edits of another; written."""
+    """h1, h2, first, n_links and near (whether a link leads to an earlier line) of each distinct line within `edits` edits of another."""
     pairs = candidate_pairs(distinct, edits)
     needed = written(pairs.select(F.explode(F.array("x", "y")).alias("h1")).distinct(), "line-needed")
-    side = F.broadcast(needed) if needed.count() <= BROADCAST_LINES else needed
-    texts = written(distinct.join(side, "h1", "left_semi").select("h1", "n", F.struct("first", *LINE).alias("line"), "b"), "line-texts")
+    texts = written(distinct.join(few(needed), "h1", "left_semi").select("h1", "n", F.struct("first", *LINE).alias("line"), "b"), "line-texts")
+    release_after(needed)
     longest = texts.agg(F.max("n")).first()[0] or 0
     both = pairs.withColumnsRenamed({"x": "i", "y": "k"})
     for end, name in (("i", "x"), ("k", "y")):
@@ -383,18 +410,22 @@ def near_lines(distinct: DataFrame, edits: int) -> DataFrame:
     near = F.when(F.greatest(F.length("x"), F.length("y")) <= edits, True).otherwise(within(F.col("x"), F.col("y"), edits))
     links = both.filter(near).select(F.least("x_line", "y_line").alias("early"), F.greatest("x_line", "y_line").alias("late"))
     ends = links.select(F.explode(F.array(F.struct(F.col("early").alias("line"), F.lit(False).alias("near")), F.struct(F.col("late").alias("line"), F.lit(True).alias("near")))).alias("e"))
-    found = ends.groupBy("e.line.h1", "e.line.h2").agg(F.min("e.line.first").alias("first"), F.count("*").alias("n_links"), F.max("e.near").alias("near"))
-    return written(found, "line-near")
+    return ends.groupBy("e.line.h1", "e.line.h2").agg(F.min("e.line.first").alias("first"), F.count("*").alias("n_links"), F.max("e.near").alias("near"))
 
 
 def removed_lines(docs: DataFrame, row: str, least: int, edits: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, row, pos, near) of every line that goes, and the rows of near_lines."""
-    distinct = distinct_lines(docs, row, least, id_col, text_col)
-    release(docs.sparkSession)  # the lines were shuffled once and now are in a table
-    near = near_lines(distinct, edits)
-    verdicts = distinct.filter("times > 1").select(*LINE, "first").join(near.filter("near").select(*LINE, "near"), LINE, "left")
-    verdicts = verdicts.unionByName(near.filter("near").select(*LINE, "first", "near").join(distinct.filter("times > 1").select(*LINE), LINE, "left_anti"))
-    verdicts = written(verdicts.select(*LINE, "first", F.coalesce("near", F.lit(False)).alias("near")), "line-verdicts")
+    """(doc_id, row, pos, near) of every line that goes, and the rows of near_lines.
+
+    Tables of lines, and what was shuffled to make them, are gone before the documents are shuffled.
+    """
+    with scratch(docs.sparkSession):
+        distinct = distinct_lines(docs, row, least, id_col, text_col)
+        release(docs.sparkSession)  # the lines were shuffled once and now are in a table
+        near = written(near_lines(distinct, edits), "line-near", outside=True)
+        verdicts = distinct.filter("times > 1").select(*LINE, "first").join(near.filter("near").select(*LINE, "near"), LINE, "left")
+        verdicts = verdicts.unionByName(near.filter("near").select(*LINE, "first", "near").join(distinct.filter("times > 1").select(*LINE), LINE, "left_anti"))
+        verdicts = written(verdicts.select(*LINE, "first", F.coalesce("near", F.lit(False)).alias("near")), "line-verdicts", outside=True)
+    release(docs.sparkSession)
     light = lines_of(docs, row, least, id_col, text_col).select("doc_id", "row", "pos", *LINE)
     if verdicts.count() <= BROADCAST_LINES:
         again = light.join(F.broadcast(verdicts), LINE)

@@ -1,8 +1,11 @@
 """Line and near deduplication, packing, language identification, scoring and the pipeline against plain versions."""
 
 import random
+import re
+import time
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -183,6 +186,54 @@ def test_lines_against_brute_force(spark):
     assert line_dedup.line_report(df.limit(0)).count() == 0 and line_dedup.deduplicated(df).columns == df.columns
 
 
+def test_lines_leave_the_disk_before_more_is_shuffled(spark, monkeypatch):
+    from tallymart.tables import shared_folder
+
+    def shuffled():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
+        sizes = []
+        while files.hasNext():
+            sizes.append(files.next().length())
+        return sum(sizes)
+
+    def least(below):
+        """Bytes of shuffle files, once they are few or 5 seconds have gone."""
+        for _ in range(25):
+            if (n := shuffled()) < below:
+                break
+            time.sleep(0.2)
+        return n
+
+    def spied(df, label, *more, **options):
+        if label in ("line-crowded-ids", "line-pairs"):
+            kept[label] = least(size // 3)
+        if label.startswith("line-crowded"):
+            lines = plan(df).splitlines()
+            by_key.extend(below for at, below in zip(lines, lines[1:], strict=False) if re.search(r"Exchange hashpartitioning\(key#\d+L?, \d+\)", at))
+        return real(df, label, *more, **options)
+
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    rng, real, kept, by_key = random.Random(7), line_dedup.written, {}, []
+    lines = ["".join(rng.choices("0123456789abcdefghijklmnopqrstuvwxyz ", k=5_000)) for _ in range(300)]
+    lines += [lines[0][:at] + "#" + lines[0][at + 1 :] for at in (700, 2_000, 3_000, 4_700)]
+    size = sum(map(len, lines))
+    df = docs_of(spark, enumerate(lines)).repartition(4)
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    before = {p.name for p in folder.iterdir()}
+    monkeypatch.setattr(line_dedup, "BROADCAST_LINES", 0)
+    monkeypatch.setattr(line_dedup, "written", spied)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = line_dedup.deduplicated(df)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    left = sum(f.stat().st_size for p in folder.iterdir() if p.name not in before for f in p.rglob("*.parquet"))
+    assert len(kept) == 2 and max(kept.values()) < size // 3
+    assert by_key and not any(" b#" in below for below in by_key)
+    assert left < size // 10
+    assert sorted(r.doc_id for r in got.collect()) == list(range(300))
+
+
 def test_lines_of_rows_without_an_identifier_of_their_own(spark):
     """Null and repeated identifiers: only lines that stand elsewhere go, and of equal rows one keeps its lines."""
     once = [f"line number {k:03d} {chr(97 + k) * 12}" for k in range(12)]
